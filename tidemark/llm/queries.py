@@ -6,13 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, dedup, htmltext, langid, licenses, packing, quality, sharding, vectors
+from .common import held_out
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_balanced_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_read(spark, sf_dir, "documents"), shards=24)
+
+
+def op2_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_read(spark, sf_dir, "pages"))
+
+
+def op3_bottom_k_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.near_duplicates(_read(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op4_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ids = bpe.encode(_read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, packed=True)
@@ -24,10 +37,100 @@ def op4_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = quality.train(docs, labels.filter(~out))
+    return quality.score(docs, model, threshold=0.3).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 3, 1)
+    model = langid.train(docs, ~out)
+    return langid.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+def op7_columnar_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors_ = _read(spark, sf_dir, "embeddings")
+    return vectors.top_k(vectors_, vectors_.filter(F.col("vec_id") % 50 == 0), k=5, scale=256)
+
+
+def op8_license_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
 def op9_bin_completion_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(_read(spark, sf_dir, "documents"), vocabulary, 2048, separator=0, keep_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op4_segment_tree_bpe, op9_bin_completion_packing)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_balanced_label_propagation,
+        op2_host_suffix_array,
+        op3_bottom_k_minhash,
+        op4_segment_tree_bpe,
+        op5_nbsvm_quality,
+        op6_language_mixture,
+        op7_columnar_topk,
+        op8_license_compression,
+        op9_bin_completion_packing,
+        op10_inverted_multi_index,
+    )
+}
+
+_VECTORS = """
+usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_bottom_k_minhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+         WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, d.n AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(l.b, d.doc_id)) AS kept
+FROM sizes d LEFT JOIN lowest l ON l.a = d.doc_id""",
+    "op7_columnar_topk": f"""
+WITH {_VECTORS.strip()},
+whole AS (SELECT vec_id, list_transform(v, lambda x: floor(256 * x)) AS v FROM usable WHERE vec_id IS NOT NULL),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op10_inverted_multi_index": f"""
+WITH RECURSIVE {_VECTORS.strip()},
+fit AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM usable
+        WHERE label IS NOT NULL AND list_dot_product(v, v) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fit a JOIN fit b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+   AND list_dot_product(a.v, b.v) >= 0.93 * a.norm * b.norm),
+reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(lowest.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(lowest.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN lowest ON lowest.a = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id""",
+}
