@@ -1,15 +1,59 @@
-"""The corpus pipeline: language ID, quality, near-duplicates, packing."""
+"""The corpus pipeline over ``documents``: language ID, quality, near-duplicates, packing.
+
+Each stage takes ``(spark, docs, sf_dir)``, works on all that the stage before kept and returns the columns of
+``documents``; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import dedup, langid, packing, quality
+from tidemark.llm.common import table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Share of its words that a document's language needs; below it no language is that of the document.
+LEAST_SHARE = 0.5
+#: Quality score below which a document goes.
+LEAST_QUALITY = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language: those without letters, and those of which no language has half of the words, go."""
+    found = langid.identifier(spark, langid.train(docs, F.lit(True)))(F.col("text"))
+    rows = docs.select(*COLUMNS, found.alias("_found"))
+    return rows.filter("_found.lang_pred <> 'und'").filter(F.col("_found.score") >= LEAST_SHARE).select(*COLUMNS)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is not below the threshold, learned from the labels of those that are here."""
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = docs.select(*COLUMNS, quality.scorer(spark, model)(F.col("text")).alias("_score"))
+    return rows.filter(F.col("_score") >= LEAST_QUALITY).select(*COLUMNS)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    kept = dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, separator=0, keep_ids=False)
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [("language ID", language), ("quality classifier", good), ("MinHash near-dedup", distinct), ("best-fit packing", packed)]
+ORACLE_SQL = None  # a trained model and a search for the fewest sequences aren't SQL; tests/llm checks the stages
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents`` after all stages, each stage's result written once to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = table(docs, "stage")
     return docs
