@@ -1 +1,148 @@
-"""Readers and writers of text formats."""
+"""Readers and writers of text formats. Every reader takes the session and a path that Spark can read."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import sequence as sq
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir; a temporary one where it is unset)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, value``: lines with their number from 0 in their file.
+
+    Lines are numbered within their scan partition; the partitions' line counts (one row each) give each its offset.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("at"))
+    own = lines.withColumn("k", F.row_number().over(Window.partitionBy("file", "block").orderBy("at")) - 1)
+    counts = lines.groupBy("file", "block").count()
+    ahead = counts.select("file", "block", (F.sum("count").over(Window.partitionBy("file").orderBy("block")) - F.col("count")).alias("ahead"))
+    return own.join(ahead, ["file", "block"]).select("file", (F.col("k") + F.col("ahead")).alias("line"), "value")
+
+
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """``read_id, seq, qual`` of well-formed records of four lines; plain or gzip."""
+    parts = numbered_lines(spark, path).groupBy("file", F.expr("line div 4").alias("record")).agg(
+        *[F.max(F.when(F.col("line") % 4 == k, F.col("value"))).alias(c) for k, c in enumerate(("head", "seq", "plus", "qual"))]
+    )
+    good = parts.filter("head like '@%' and plus like '+%' and length(seq) = length(qual)").filter(F.col("seq").rlike("^[A-Za-z.]*$"))
+    return good.select(F.substring("head", 2, 1_000_000).alias("read_id"), "seq", "qual")
+
+
+def write_fastq(df: DataFrame, path: str) -> None:
+    df.select(F.concat(F.lit("@"), F.col("read_id").cast("string"), F.lit("\n"), "seq", F.lit("\n+\n"), "qual")).write.text(path)
+
+
+def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """``tag_id, n, seq``: records with one or more sequence lines, an optional count behind the id; letters but ACGT become N."""
+    records = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", r"^>|\n$", "").alias("r")).filter("r <> ''")
+    head, body = F.substring_index("r", "\n", 1), F.expr("substr(r, length(substring_index(r, '\\n', 1)) + 2)")
+    name, count = F.split(head, r"\s+")[0], F.try_to_number(F.regexp_extract(head, r"\s(\d+)\s*$", 1), F.lit("999999999999")).cast("long")
+    return records.select(name.alias("tag_id"), F.coalesce(count, F.lit(1)).alias("n"), sq.normalise(F.replace(body, F.lit("\n"), F.lit(""))).alias("seq"))
+
+
+def import_tags(spark: SparkSession, path: str) -> DataFrame:
+    """``tag_id, seq, n`` of a table ``seq<tab>n``: upper case, U as T; sequences with other than letters, and repeated ones, are refused; ids sq1 ... in order of sequence."""
+    rows = spark.read.text(path).select(F.split("value", "\t").alias("f")).select(F.replace(F.upper(F.col("f")[0]), F.lit("U"), F.lit("T")).alias("seq"), F.col("f")[1].cast("long").alias("n"))
+    once = rows.filter(F.col("seq").rlike("^[A-Z]+$")).groupBy("seq").agg(F.count("*").alias("copies"), F.sum("n").alias("n")).filter("copies = 1")
+    from ..operators.intervals import running_total
+
+    return running_total(once.withColumn("one", F.lit(1)), "one", [F.col("seq")], "k").select(F.concat(F.lit("sq"), F.col("k").cast("string")).alias("tag_id"), "seq", "n")
+
+
+BED = "chrom string, start long, end long, id string, weight double, strand string"
+
+
+def read_bed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.csv(path, sep="\t", schema=BED, comment="#")
+
+
+def write_bed(df: DataFrame, path: str) -> None:
+    df.select("chrom", "start", "end", "id", "weight", "strand").write.csv(path, sep="\t", compression="gzip")
+
+
+def read_repeats(spark: SparkSession, path: str) -> DataFrame:
+    """``chrom, start, end, strand`` of lines whose first field is a whole number; 1-based starts become 0-based, C is the minus strand."""
+    f = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("f")).filter(F.get("f", F.lit(0)).rlike(r"^\d+$"))
+    return f.select(F.get("f", F.lit(4)).alias("chrom"), (F.get("f", F.lit(5)).cast("long") - 1).alias("start"), F.get("f", F.lit(6)).cast("long").alias("end"), F.when(F.get("f", F.lit(8)) == "+", "+").otherwise("-").alias("strand"))
+
+
+def read_genes(spark: SparkSession, path: str) -> DataFrame:
+    """Gene annotation of six columns; strand 1 and -1 become + and -."""
+    genes = spark.read.csv(path, sep="\t", schema="chrom string, start long, end long, name string, strand int, id string", comment="#")
+    return genes.withColumn("strand", F.when(F.col("strand") == 1, "+").otherwise("-"))
+
+
+def read_matrices(spark: SparkSession, path: str) -> DataFrame:
+    """``wm, pos, a, c, g, t`` of matrix files: rows after P0 or PO, a pseudo-count by the rows' sum, rows scaled to 1."""
+    blocks = spark.read.option("lineSep", "//\n").text(path).filter(F.col("value").rlike(r"(?m)^NA\s"))
+    rows = blocks.select(F.regexp_extract("value", r"(?m)^NA\s+(\S+)", 1).alias("wm"), F.explode(F.split("value", "\n")).alias("line")).filter(F.col("line").rlike(r"^\d+\s"))
+    f = F.split(F.trim("line"), r"\s+")
+    cells = rows.select("wm", (f[0].cast("int") - 1).alias("pos"), *[f[k + 1].cast("double").alias(c) for k, c in enumerate("acgt")])
+    total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
+    pseudo = F.when(F.abs(total - 1) < 0.01, 0.0001).otherwise(0.5)
+    return cells.select("wm", "pos", *[((F.col(c) + pseudo) / (total + 4 * pseudo)).alias(c) for c in "acgt"])
+
+
+def read_sites(spark: SparkSession, path: str) -> DataFrame:
+    """Site lines ``s-e strand posterior motif key``; the region's id is the third from last part of the key."""
+    f = F.split("value", r"\s+")
+    rows = spark.read.text(path).select(f.alias("f")).filter(F.size("f") >= 5)
+    span = F.split(F.col("f")[0], "-")
+    return rows.select(F.element_at(F.split(F.col("f")[4], "_"), -3).alias("region_id"), span[0].cast("long").alias("s"), span[1].cast("long").alias("e"), F.col("f")[1].alias("strand"), F.col("f")[2].cast("double").alias("post"), F.col("f")[3].alias("wm"))
+
+
+def read_maf(spark: SparkSession, path: str) -> DataFrame:
+    """``block, species, start, size, strand, text``: one row an ``s`` line of alignment blocks, starts 1-based; the block is named by its first line."""
+    blocks = spark.read.option("lineSep", "\n\n").text(path).filter(F.col("value").contains("a score="))
+    lines = blocks.select(F.sha2(F.col("value"), 256).alias("block"), F.explode(F.split("value", "\n")).alias("line")).filter("line like 's %'")
+    f = F.split("line", r"\s+")
+    return lines.select("block", f[1].alias("species"), (f[2].cast("long") + 1).alias("start"), f[3].cast("long").alias("size"), f[4].alias("strand"), f[6].alias("text"))
+
+
+def read_lines(spark: SparkSession, path: str, pattern: str, sep: str = "\t") -> DataFrame:
+    """Fields of the lines that match a pattern."""
+    return spark.read.text(path).filter(F.col("value").rlike(pattern)).select(F.split("value", sep).alias("fields"))
+
+
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """``path, factor, sample_id``: a sheet ``factor;path,path...`` as one row a file; ids are file names without their endings."""
+    f = F.split("value", ";")
+    rows = spark.read.text(path).select(f[0].alias("factor"), F.explode(F.split(f[1], ",")).alias("path"))
+    return rows.select("path", "factor", F.regexp_replace(F.substring_index("path", "/", -1), r"(\.(gz|bed|fastq|fq))+$", "").alias("sample_id"))
+
+
+def write_wig(df: DataFrame, path: str, step: int) -> None:
+    """A variableStep track of ``chrom, pos, level`` for each sequence, one file a sequence, its header first."""
+    head = df.select("chrom").distinct().select("chrom", F.lit(-1).cast("long").alias("pos"), F.format_string("variableStep chrom=%s span=" + str(step), "chrom").alias("value"))
+    body = df.select("chrom", "pos", F.concat_ws(" ", "pos", "level").alias("value"))
+    head.unionByName(body).repartition("chrom").sortWithinPartitions("chrom", "pos").select("chrom", "value").write.partitionBy("chrom").text(path)
+
+
+def write_by_group(df: DataFrame, path: str, key: str) -> None:
+    """One folder a group."""
+    df.repartition(key).write.partitionBy(key).parquet(path)
+
+
+def read_regions(spark: SparkSession, path: str) -> DataFrame:
+    """Regions of four columns by space or BED by tab, # lines skipped, reversed ends swapped, id ``ctc-chrom-start-end-strand``."""
+    lines = spark.read.text(path).filter("value not like '#%' and trim(value) <> ''")
+    bed = F.col("value").contains("\t")
+    f = F.when(bed, F.split("value", "\t")).otherwise(F.split(F.trim("value"), r"\s+"))
+    rows = lines.select(f.alias("f"), bed.alias("bed"))
+    strand = F.when(F.col("bed"), F.coalesce(F.get("f", F.lit(5)), F.lit("+"))).otherwise(F.coalesce(F.get("f", F.lit(3)), F.lit("+")))
+    a, b = F.col("f")[1].cast("long"), F.col("f")[2].cast("long")
+    out = rows.select(F.col("f")[0].alias("chrom"), F.least(a, b).alias("start"), F.greatest(a, b).alias("end"), strand.alias("strand"))
+    return out.withColumn("id", F.concat_ws("-", F.lit("ctc"), "chrom", "start", "end", "strand"))
