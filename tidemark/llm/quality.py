@@ -21,12 +21,25 @@ TRAINING_ROWS = 20_000
 REMEMBERED = 500_000
 
 
+class _Kinds(dict):
+    """The kind of a character: A, a, 0, or itself."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        self[code] = kind
+        return kind
+
+
+_KINDS = _Kinds()
+_AGAIN = re.compile(r"([Aa0])\1+|(.)\2{2,}", re.S)
+#: Signs that may stand around a word's letters.
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalpha())
+
+
 def shape(word: str) -> str:
-    """The kinds of characters in a word, runs as one: ``Abc12.`` is ``Aa0.``; three of one sign are ``...3``."""
-    out = re.sub(r"[A-ZÀ-ÖØ-Þ]+", "A", word)
-    out = re.sub(r"[^\W\d_A]+", "a", out)
-    out = re.sub(r"[0-9]+", "0", out)
-    return re.sub(r"([^Aa0])\1+", r"\1\1", out)[:12]
+    """The kinds of characters in a word, runs as one, of a sign as two: ``Abc12.`` is ``Aa0.``, ``of%%%`` is ``a%%``."""
+    return _AGAIN.sub(lambda m: m[1] or m[2] * 2, word.translate(_KINDS))[:12]
 
 
 class WordCodes:
@@ -37,30 +50,23 @@ class WordCodes:
 
     def clear(self):
         self.numbers: dict[str, int] = {}
-        self.codes: list[tuple[int, int]] = []
+        self.table = np.zeros((4096, 2), "u4")
 
     def __call__(self, words: list[str]) -> np.ndarray:
         """Rows ``letters, shape`` of the words, as unsigned 32-bit numbers."""
         try:
-            at = list(map(self.numbers.__getitem__, words))
+            return self.table[list(map(self.numbers.__getitem__, words))]
         except KeyError:
             if len(self.numbers) > REMEMBERED:
                 self.clear()
-            for word in words:
-                if word not in self.numbers:
-                    letters = re.sub(r"[\W\d_]+", "", word).lower()
-                    self.numbers[word] = len(self.codes)
-                    self.codes.append((zlib.crc32(b"w" + letters.encode()), zlib.crc32(b"s" + shape(word).encode())))
-                    self.table = None
-            at = list(map(self.numbers.__getitem__, words))
-        if self.table is None:
-            self.grow()
-        return self.table[at]
-
-    table = None
-
-    def grow(self) -> None:
-        self.table = np.array(self.codes, "u4").reshape(-1, 2)
+        for word in words:
+            if word not in self.numbers:
+                k = self.numbers[word] = len(self.numbers)
+                if k == len(self.table):
+                    self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                letters = word.strip(SIGNS).lower()
+                self.table[k] = zlib.crc32(b"w" + letters.encode()), zlib.crc32(b"s" + shape(word).encode())
+        return self.table[list(map(self.numbers.__getitem__, words))]
 
 
 def features(text: str | None, codes: WordCodes) -> np.ndarray:
