@@ -125,7 +125,7 @@ def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rou
 
     A document's size is its UTF-8 bytes plus 8. ``links`` (a, b: pairs of ids) are edges that shall not be cut; without them, equal texts
     are linked. All documents start where the hash of their id puts them, blocks of a very large group in shards side by
-    side. Linked documents move by label propagation under quotas; then free documents level the loads, all sizes first
+    side. Linked documents move by label propagation under quotas, groups that fit into a shard before larger ones; then free documents level the loads, all sizes first
     and small ones last, until shards differ by about one small document if free documents suffice. Slots are gapless from 0 in each shard,
     counted by hash buckets. Texts are read once and cross no shuffle.
 
@@ -152,17 +152,19 @@ def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rou
         linked = text_links(base, capacity)
         first = F.pmod(F.xxhash64("group") % 1_000_003, F.lit(shards)) + F.floor(F.col("block") / 8)
         own = F.when(F.col("blocks") > 1, F.pmod(first, F.lit(shards)).cast("int")).otherwise(F.pmod(F.xxhash64("hub"), F.lit(shards)).cast("int"))
-        linked = table(linked.select("id", "hub", "size", F.when(F.col("id") == F.col("hub"), own).otherwise(hash_shard).alias("shard")), "linked")
-        pairs = linked.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+        linked = table(linked.select("id", "hub", "size", (F.col("blocks") > 1).alias("large"), F.when(F.col("id") == F.col("hub"), own).otherwise(hash_shard).alias("shard")), "linked")
+        pairs = linked.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"), "large")
         linked = linked.select("id", "size", "shard")
     else:
         ends = links.select(F.col("a").alias("end")).unionByName(links.select(F.col("b").alias("end"))).distinct()
         linked = table(base.filter("copy = 0").join(ends, F.col("doc") == F.col("end"), "left_semi").select("id", "size", hash_shard.alias("shard")), "linked")
-        pairs = links.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
+        pairs = links.select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"), F.lit(False).alias("large"))
     free = base.join(linked, "id", "left_anti").select("id", "size", hash_shard.alias("shard"))
     pairs = table(pairs, "links")
     free = free.withColumn("free", F.lit(True))
-    moved = propagate(linked, pairs, shards, capacity, rounds)
+    # Groups that fit into a shard go first, so that the blocks of larger ones don't take their room.
+    moved = propagate(linked, pairs.filter("not large"), shards, capacity, rounds)
+    moved = propagate(moved, pairs.filter("large"), shards, capacity, rounds)
     nodes = table(moved.withColumn("free", F.lit(False)).unionByName(free), "nodes")
     mean = (total or 0) / max(1, count)
     for most in LEVELS:
