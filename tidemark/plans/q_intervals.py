@@ -89,7 +89,7 @@ i AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before + {slack} THEN 1
 
 
 def _few(spark, sf):
-    """A sparse half of the regions' sequence: regions whose score is in the upper tail, so that gaps remain."""
+    """The called regions: those whose score is above the cutoff."""
     return v.regions(spark, sf).filter("score > 45")
 
 

@@ -93,9 +93,9 @@ def src10(spark, sf):
     return rows.select(F.col("fields")[0].cast("long").alias("seq_id"), F.col("fields")[1].alias("sample"))
 
 
-@query("src11_sample_sheet", v.sql("tags", "SELECT '/data/' || sample || '/s' || seq_id || '.bed.gz' AS path, sample AS factor, 's' || seq_id AS sample_id FROM tags WHERE seq_id % 100 = 1"))
+@query("src11_sample_sheet", v.sql("tags", "SELECT '/data/' || sample || '/s' || seq_id || '.bed.gz' AS path, sample AS factor, 's' || seq_id AS sample_id FROM tags"))
 def src11(spark, sf):
-    rows = v.tags(spark, sf).filter("seq_id % 100 = 1").groupBy("sample", (F.col("seq_id") % 300).alias("k")).agg(F.array_join(F.collect_list(F.format_string("/data/%s/s%d.bed.gz", "sample", "seq_id")), ",").alias("paths"))
+    rows = v.tags(spark, sf).groupBy("sample", (F.col("seq_id") % 300).alias("k")).agg(F.array_join(F.collect_list(F.format_string("/data/%s/s%d.bed.gz", "sample", "seq_id")), ",").alias("paths"))
     return s.read_samples(spark, _text(rows, spark, "sheet", "sample", F.lit(";"), "paths"))
 
 
