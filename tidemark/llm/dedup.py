@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import math
 
 import numpy as np
 import xxhash
@@ -20,6 +19,8 @@ REMEMBERED = 500_000
 SHORT_LIST = 8
 #: Members of a long list that are compared with as many others in one task.
 LIST_BLOCK = 256
+#: Further hubs of a long list of near copies, and how often they are chosen.
+HUBS, HUB_ROUNDS = 8, 2
 #: Rows up to which the ids of documents to verify (8 bytes each) are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -80,7 +81,7 @@ def sketches(docs: DataFrame, words: int, size: int, id_col: str, text_col: str)
             for text in columns["text"]:
                 x = shingle_set(text, words, hashes)
                 out["n"].append(len(x))
-                out["class"].append(hashlib.blake2b(x.tobytes(), digest_size=16).hexdigest() if len(x) else None)
+                out["class"].append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None)
                 out["sketch"].append((x[:size] ^ _TOP).view("i8"))
             return out
 
@@ -88,18 +89,18 @@ def sketches(docs: DataFrame, words: int, size: int, id_col: str, text_col: str)
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return map_rows(rows, f"id {kind}, n bigint, class string, sketch array<bigint>", make)
+    return map_rows(rows, f"id {kind}, n bigint, class binary, sketch array<bigint>", make)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch: int = SKETCH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of every document; links are pairs with Jaccard of at least ``percent`` %.
 
     1. Documents with equal shingle sets are one class. 2. Each class puts the rarest of its retained values into
-    inverted lists: two sketches that share at least half of their values (for sets that the sketch holds whole: as
-    many as the threshold asks for) share one of these. Of two sets at 80 % a sketch of 64 shares half with a probability above 1 - 1e-7. 3. Short lists
-    pair all members, long ones pair all members with their first and last class. 4. Pairs whose union sketch estimates
-    at least half a union shared are verified on whole sets. 5. Members of long lists that are still in different
-    components are compared with each other block by block, so no pair of a list stays untested across components.
+    inverted lists, so many that two linked classes share one: what a sketch that holds the whole set must share follows from the
+    threshold; of larger sets at 80 % two sketches of 64 share 57 values on average, and 45 with a probability of about 1 - 1e-4. 3. Short lists pair all members, long ones pair all members with their first and last class.
+    4. Pairs whose union sketch estimates three quarters of the threshold are verified on whole sets. 5. Members of long
+    lists that are still in different components are compared with each other block by block, each pair in the
+    first list it shares, so no pair of a list stays untested across components.
 
     So a group of thousands of near copies costs a few pairs a member, and every link between different texts is kept
     in the components. Nothing that grows with the corpus is collected.
@@ -107,21 +108,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     Null and empty texts have n_shingles 0 and are their own components. Repeated rows are copies; a null id takes the
     component of its exact copies (else null), has no other links and is not kept. Other columns are not carried.
     """
-    t = percent / 100
-    base = table(sketches(docs, words, sketch, id_col, text_col), "sketches")
-    classes = base.filter("class is not null").groupBy("class").agg(
+    made = table(sketches(docs, words, sketch, id_col, text_col), "sketches")
+    classes = made.filter("class is not null").groupBy("class").agg(
         F.min("id").alias("low"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     classes = table(classes, "classes")
+    base = table(made.select("id", "n", "class"), "ids")
+    forget(made)
 
-    values = classes.select("class", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
+    values = classes.select("class", F.explode("sketch").alias("value"))
     shared = values.groupBy("value").count().filter("count > 1").withColumnRenamed("count", "df")
-    rows = values.join(shared, "value")
+    rows = values.join(shared, "value").join(classes.select("class", "n", F.size("sketch").alias("s")), "class")
     # Values of one class alone are the rarest: they take the first places of its prefix.
     order = Window.partitionBy("class").orderBy("df", "value")
-    whole = F.col("n") <= int(sketch * t)
-    asked = F.when(whole, F.ceil(F.lit(percent) * F.col("n") / 100)).otherwise(F.ceil(F.col("s") / 2))
     place = F.row_number().over(order) + F.col("s") - F.count("*").over(Window.partitionBy("class"))
+    whole = F.least(F.ceil(F.lit(percent) * F.col("n") / 100), F.lit(sketch) - F.floor((100 - percent) * F.col("n") / percent))
+    asked = F.when(F.col("n") <= sketch, whole).otherwise(F.ceil(F.col("s") * percent * 7 / 800))
     lists = rows.withColumn("place", place).filter(F.col("place") <= F.col("s") - asked + 1)
     lists = table(lists.select("value", "class", "n"), "lists")
     lengths = lists.groupBy("value").agg(F.count("*").alias("length"), F.min("class").alias("first"), F.max("class").alias("last")).filter("length > 1")
@@ -131,40 +133,61 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     short = members.filter(F.col("length") <= SHORT_LIST).select("value", "class", "n")
     other = short.select("value", F.col("class").alias("b"), F.col("n").alias("nb"))
     pairs = short.join(other, "value").filter(F.col("class") < F.col("b")).filter(close(F.col("n"), F.col("nb"))).select(F.col("class").alias("a"), "b")
-    long = members.filter(F.col("length") > SHORT_LIST)
+    long = table(members.filter(F.col("length") > SHORT_LIST), "long")
     hubs = long.select("class", F.explode(F.array("first", "last")).alias("hub")).filter("class <> hub")
     pairs = pairs.unionByName(hubs.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))).distinct()
-    edges = table(verified(docs, base, classes, pairs, words, percent, sketch, id_col, text_col), "edges")
+    checker = Verifier(docs, base, classes, words, percent, sketch, id_col, text_col)
+    edges = table(checker.links(pairs), "edges")
     joined = table(components(edges), "components")
 
-    # Long lists: members that are not yet in one component meet in blocks.
-    label = members.filter(F.col("length") > SHORT_LIST).join(joined.withColumnRenamed("node", "class"), "class", "left")
-    label = label.withColumn("root", F.coalesce("root", "class"))
+    def labelled() -> DataFrame:
+        label = long.join(joined.withColumnRenamed("node", "class"), "class", "left")
+        return label.select("value", "class", "n", F.coalesce("root", "class").alias("root"))
+
+    # Lists in which near copies were found, but not all linked: further hubs join most of the rest.
+    for k in range(HUB_ROUNDS):
+        label = labelled()
+        by_root = label.groupBy("value", "root").agg(F.count("*").alias("m"))
+        mixed = by_root.groupBy("value").agg(F.count("*").alias("roots"), F.sum("m").alias("m")).filter("roots > 1 and roots < m").select("value")
+        mixed = table(label.join(mixed, "value"), "mixed")
+        if not mixed.head(1):
+            break
+        ordered = F.row_number().over(Window.partitionBy("value").orderBy(F.xxhash64("class", F.lit(k))))
+        chosen = mixed.withColumn("hub_no", ordered).filter(F.col("hub_no") <= HUBS)
+        chosen = chosen.select("value", F.col("class").alias("hub"), F.col("n").alias("nh"), F.col("root").alias("root_h"))
+        met = mixed.join(chosen, "value").filter((F.col("root") != F.col("root_h")) & close(F.col("n"), F.col("nh")))
+        found = table(checker.links(met.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()), "edges")
+        edges = edges.unionByName(found)
+        joined = table(components(edges), "components")
+
+    # What is still apart in long lists meets in blocks.
+    label = labelled()
     apart = label.groupBy("value").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("m")).filter("r1 <> r2")
     blocks = F.ceil(F.col("m") / LIST_BLOCK).cast("int")
-    rest = label.select("value", "class", "n", "root").join(apart.select("value", blocks.alias("blocks")), "value")
-    rest = rest.join(classes.select("class", "sketch"), "class")
+    rest = table(label.join(apart.select("value", blocks.alias("blocks")), "value"), "apart")
+    facts = rest.groupBy("class").agg(F.collect_list("value").alias("all"))  # at most ``sketch`` values a class
+    top = F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("tops")
+    rest = rest.join(facts.join(classes.select("class", top), "class"), "class")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     left = rest.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     right = rest.withColumn("to", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.select("value", "block", "to", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "root", "sketch")])
-    least = F.when(F.greatest("n", "n_b") <= sketch, F.ceil(F.greatest("n", "n_b") * percent / 100)).otherwise(F.ceil(F.least(F.size("sketch"), F.size("sketch_b")) / 2))
+    right = right.select("value", "block", "to", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "root", "all", "tops")])
+    both = F.ceil((F.col("n") + F.col("n_b")) * percent / (100 + percent))
+    least = F.when(F.greatest("n", "n_b") <= sketch, both).otherwise(F.ceil(F.least(F.size("tops"), F.size("tops_b")) * percent * 7 / 800))
     met = left.join(right, ["value", "block", "to"]).filter(
         (F.col("class") < F.col("class_b")) & (F.col("root") != F.col("root_b")) & close(F.col("n"), F.col("n_b"))
-        & (F.size(F.array_intersect("sketch", "sketch_b")) >= least)
+        & (F.col("value") == F.array_min(F.array_intersect("all", "all_b")))
+        & (F.size(F.array_intersect("tops", "tops_b")) >= least)
     )
-    more = table(met.select(F.col("class").alias("a"), F.col("class_b").alias("b")).distinct(), "pairs")
-    if more.head(1):
-        late = table(verified(docs, base, classes, more, words, percent, sketch, id_col, text_col), "edges")
-        if late.head(1):
-            joined = table(components(edges.unionByName(late)), "components")
-    forget(lists)
+    late = table(checker.links(met.select(F.col("class").alias("a"), F.col("class_b").alias("b"))), "edges")
+    if late.head(1):
+        joined = table(components(edges.unionByName(late)), "components")
 
     named = joined.join(classes.select(F.col("class").alias("node"), "low"), "node")
     lowest = named.groupBy("root").agg(F.min("low").alias("component"))
     of = named.join(lowest, "root").select(F.col("node").alias("class"), "component")
     facts = classes.join(of, "class", "left").select("class", F.coalesce("component", "low").alias("component"))
-    out = base.select("id", "n", "class").join(facts, "class", "left")
+    out = base.join(facts, "class", "left")
     component = F.coalesce("component", "id")
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -172,48 +195,66 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     )
 
 
-def verified(docs: DataFrame, base: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """The ``pairs`` (a, b: classes) whose whole sets reach the threshold.
-
-    The union sketch goes first: the ``size`` smallest values of both sketches are a sample of the union, and the share of them
-    that both have estimates the Jaccard similarity. Pairs below five eighths of the threshold (six deviations) leave.
-    Of the rest, one text of each class is read again and its whole set compared.
-    """
-    side = lambda c, k: classes.select(F.col("class").alias(c), F.col("sketch").alias(k))
-    near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    union = F.slice(F.array_sort(F.array_union("x", "y")), 1, size)
-    near = near.select("a", "b", F.size(F.array_intersect(F.array_intersect(union, "x"), "y")).alias("both"), F.size(union).alias("of"))
-    near = table(near.filter(F.col("both") * 100 >= F.col("of") * (percent * 5 / 8)).select("a", "b"), "near")
-    wanted = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
-    some = base.filter("class is not null and id is not null").join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id"))
-    some = table(some, "wanted")
-    ids = some.select("id").distinct()
-    ids = F.broadcast(ids) if some.count() <= BROADCAST_ROWS else ids
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id")
-
-    def make_sets():
-        hashes = kept("word hashes", WordHashes)
-
-        def function(columns):
-            sets = [shingle_set(text, words, hashes).tobytes() for text in columns["text"]]
-            names = [hashlib.blake2b(x, digest_size=16).hexdigest() if x else None for x in sets]
-            return {"class": names, "set": sets}
-
-        return function
-
-    sets = map_rows(texts.select("text"), "class string, set binary", make_sets)
-    sets = table(sets.join(wanted, "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), "sets")
-
-    def make_check():
-        def function(columns):
-            stay = []
-            for x, y in zip(columns["x"], columns["y"], strict=True):
-                shared, union = jaccard(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"))
-                stay.append(100 * shared >= percent * union)
-            return {"a": columns["a"], "b": columns["b"], "linked": stay}
-
-        return function
-
-    side = lambda c, k: sets.select(F.col("class").alias(c), F.col("set").alias(k))
-    out = map_rows(near.join(side("a", "x"), "a").join(side("b", "y"), "b"), "a string, b string, linked boolean", make_check)
-    return out.filter("linked").select("a", "b")
+class Verifier:
+    """Finds the pairs of classes whose whole sets reach the threshold; sets that were needed once are kept in tables."""
+
+    def __init__(self, docs: DataFrame, base: DataFrame, classes: DataFrame, words: int, percent: int, size: int, id_col: str, text_col: str):
+        self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        self.base, self.classes, self.words, self.percent, self.size = base, classes, words, percent, size
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The linked ones of ``pairs`` (a, b).
+
+        The union sketch goes first: the ``size`` smallest values of both sketches are a sample of the union, and the
+        share of them that both have estimates the Jaccard similarity. Pairs below three quarters of the threshold leave. Of
+        the rest, one text of each class is read again, once, and its whole set compared.
+        """
+        percent = self.percent
+        side = lambda c, k: self.classes.select(F.col("class").alias(c), F.col("sketch").alias(k))
+        near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
+        union = F.slice(F.array_sort(F.array_union("x", "y")), 1, self.size)
+        near = near.select("a", "b", F.size(F.array_intersect(F.array_intersect(union, "x"), "y")).alias("both"), F.size(union).alias("of"))
+        near = table(near.filter(F.col("both") * 400 >= F.col("of") * (percent * 3)).select("a", "b"), "near")
+        self._add(near)
+
+        def make():
+            def function(columns):
+                stay = []
+                for x, y in zip(columns["x"], columns["y"], strict=True):
+                    shared, union = jaccard(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"))
+                    stay.append(100 * shared >= percent * union)
+                return {"a": columns["a"], "b": columns["b"], "linked": stay}
+
+            return function
+
+        whole = lambda c, k: self.sets.select(F.col("class").alias(c), F.col("set").alias(k))
+        out = map_rows(near.join(whole("a", "x"), "a").join(whole("b", "y"), "b"), "a binary, b binary, linked boolean", make)
+        return out.filter("linked").select("a", "b")
+
+    def _add(self, near: DataFrame) -> None:
+        """Read the sets of the classes in ``near`` that aren't there yet."""
+        words = self.words
+        wanted = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
+        if self.sets is not None:
+            wanted = wanted.join(self.sets.select("class"), "class", "left_anti")
+        some = self.base.filter("class is not null and id is not null").join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id"))
+        some = table(some, "wanted")
+        count = some.count()
+        if self.sets is not None and not count:
+            return
+        ids = some.select("id").distinct()
+        texts = self.docs.join(F.broadcast(ids) if count <= BROADCAST_ROWS else ids, "id")
+
+        def make():
+            hashes = kept("word hashes", WordHashes)
+
+            def function(columns):
+                sets = [shingle_set(text, words, hashes).tobytes() for text in columns["text"]]
+                return {"class": [hashlib.blake2b(x, digest_size=16).digest() if x else None for x in sets], "set": sets}
+
+            return function
+
+        made = map_rows(texts.select("text"), "class binary, set binary", make)
+        made = table(made.join(some.select("class"), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), "sets")
+        self.sets = made if self.sets is None else self.sets.unionByName(made)
