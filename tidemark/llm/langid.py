@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,26 +10,40 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SLICE, kept
+from .common import SLICE, slices
 
-#: Places of the hashed space of character n-grams.
+#: Places of the hashed space of n-grams: three bytes of a word in UTF-8, lower case, with a space before and behind it.
 PLACES = 1 << 16
-#: Lengths of n-grams; a word stands between two marks.
-LENGTHS = (1, 2, 3)
-#: Words that a Python worker remembers.
-REMEMBERED = 300_000
-#: Steps of expectation-maximisation, at most, and the change at which they end.
-STEPS, SMALL = 20, 1e-3
-#: What a word's likelihood falls to, so that one strange word decides nothing.
+#: Steps of expectation-maximisation, at most, and the change at which a document's end.
+STEPS, SMALL = 20, 2e-3
+#: What a word's likelihood falls to against the best language's, so that one strange word decides nothing.
 FLOOR = 1e-4
+#: Bytes that are looked up together.
+CHUNK = 1 << 21
 
-WORD = re.compile(r"[^\W\d_]+")
+LETTER = re.compile(r"[^\W\d_]")
+#: Letters of ASCII stay, its other signs are spaces, bytes of other characters stay.
+_KEPT = bytes(b if b > 127 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def places(word: str) -> list[int]:
-    """Hashed places of a word's character n-grams, in lower case."""
-    marked = f"<{word.lower()}>"
-    return [zlib.crc32(marked[i : i + n].encode()) % PLACES for n in LENGTHS for i in range(len(marked) - n + 1) if n > 1 or 0 < i < len(marked) - 1]
+def buffer(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes, each with a space before it and one after the last, and where each begins."""
+    raw = [text.lower().encode().translate(_KEPT) for text in texts]
+    starts = np.concatenate([[0], np.cumsum([len(x) + 1 for x in raw])])
+    return np.frombuffer(b" " + b" ".join(raw) + b" ", "u1"), starts
+
+
+def ngrams(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the n-grams' last bytes and their hashed places; ``data`` begins and ends with a space.
+
+    An n-gram ends at each byte of a word and at the space behind it; at a word's first byte it begins with two spaces.
+    """
+    blank = data == 32
+    at = np.flatnonzero(~(blank[1:] & blank[:-1])) + 1
+    last, before = data[at].astype("u4"), data[at - 1].astype("u4")
+    first = np.where(before == 32, np.uint32(32), data[np.maximum(at - 2, 0)].astype("u4"))
+    code = (first << np.uint32(16) | before << np.uint32(8) | last) * np.uint32(0x9E3779B1)
+    return at, code >> np.uint32(16)
 
 
 @dataclass
@@ -45,7 +57,7 @@ class Model:
 def train(docs: DataFrame, chosen: F.Column, text_col: str = "text", lang_col: str = "lang") -> Model:
     """N-gram counts of the ``chosen`` documents with a text and a language, all of them, by language.
 
-    Each task counts distinct words first and sends a count for each language and place it has seen, which Spark sums; the driver
+    Each task sums up its documents and sends a count for each language and place it has seen, which Spark sums; the driver
     gets at most PLACES rows a language.
     """
     rows = docs.filter(chosen & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -53,24 +65,18 @@ def train(docs: DataFrame, chosen: F.Column, text_col: str = "text", lang_col: s
     def count(batches):
         import pyarrow as pa
 
-        words: dict[str, Counter] = {}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256).to_pydict()
-                for lang, text in zip(part["lang"], part["text"], strict=True):
-                    words.setdefault(lang, Counter()).update(WORD.findall(text))
-                for lang in [x for x in words if len(words[x]) > REMEMBERED]:
-                    yield from sums(pa, lang, words.pop(lang))
-        for lang, seen in words.items():
-            yield from sums(pa, lang, seen)
-
-    def sums(pa, lang, seen):
-        total = np.zeros(PLACES, "i8")
-        for word, n in seen.items():
-            for p in places(word):
-                total[p] += n
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "place", "n"])
+        totals: dict[str, np.ndarray] = {}
+        for part in slices(batches):
+            by_lang: dict[str, list[str]] = {}
+            for lang, text in zip(part["lang"], part["text"], strict=True):
+                by_lang.setdefault(lang, []).append(text)
+            for lang, texts in by_lang.items():
+                total = totals.setdefault(lang, np.zeros(PLACES, "i8"))
+                for piece in chunks(buffer(texts)[0]):
+                    total += np.bincount(ngrams(piece)[1], minlength=PLACES)
+        for lang, total in totals.items():
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["lang", "place", "n"])
 
     counted = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).mapInArrow(count, "lang string, place int, n bigint")
     got = counted.groupBy("lang", "place").agg(F.sum("n").alias("n")).toPandas()
@@ -83,51 +89,56 @@ def train(docs: DataFrame, chosen: F.Column, text_col: str = "text", lang_col: s
     return Model(languages, np.log((counts + 0.5) / (counts.sum(0) + 0.5 * seen)).astype("f4"))
 
 
-class WordLikelihoods:
-    """For a word, its likelihood under each language as a share of the largest, remembered by number."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.clear()
-
-    def clear(self):
-        self.numbers: dict[str, int] = {}
-        self.rows = np.zeros((1024, self.model.logs.shape[1]), "f4")
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        try:
-            at = list(map(self.numbers.__getitem__, words))
-        except KeyError:
-            if len(self.numbers) > REMEMBERED:
-                self.clear()
-            for word in words:
-                if word not in self.numbers:
-                    k = self.numbers[word] = len(self.numbers)
-                    if k == len(self.rows):
-                        self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                    log = self.model.logs[places(word)].sum(0)
-                    self.rows[k] = np.maximum(np.exp(log - log.max()), FLOOR)
-            at = list(map(self.numbers.__getitem__, words))
-        return self.rows[at]
-
-
-def mixtures(likelihoods: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Language shares of documents whose words lie end to end.
+def chunks(data: np.ndarray):
+    """Pieces of about CHUNK bytes, cut at spaces, each with a space at both ends."""
+    at = 0
+    while at < len(data) - 1:
+        end = min(at + CHUNK, len(data) - 1)
+        if end < len(data) - 1:
+            later = np.flatnonzero(data[end : end + CHUNK] == 32)
+            end = end + int(later[0]) if len(later) else len(data) - 1
+        yield data[at : end + 1]
+        at = end
+
+
+def word_likelihoods(data: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins, and its likelihood under each language as a share of the largest."""
+    places, rows, offset = [], [], 0
+    for piece in chunks(data):
+        at, codes = ngrams(piece)
+        first = np.flatnonzero(piece[at - 1] == 32)
+        if len(first):
+            log = np.add.reduceat(logs[codes], first, axis=0)
+            log -= log.max(1, keepdims=True)
+            places.append(at[first] + offset)
+            rows.append(np.maximum(np.exp(log), np.float32(FLOOR)))
+        offset += len(piece) - 1
+    if not rows:
+        return np.zeros(0, "i8"), np.zeros((0, logs.shape[1]), "f4")
+    return np.concatenate(places), np.concatenate(rows)
+
+
+def mixtures(likelihoods: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Language shares of documents whose words lie end to end, ``counts`` (none of them 0) to a document.
 
     All documents of a batch step together: the expectation shares each word out among the languages, the maximisation
-    averages a document's words.
+    averages a document's words. Documents that no longer change leave the batch.
     """
-    docs = np.repeat(np.arange(len(counts)), counts)
-    shares = np.full((len(counts), likelihoods.shape[1]), 1 / likelihoods.shape[1], "f4")
+    out = np.full((len(counts), likelihoods.shape[1]), 1 / likelihoods.shape[1], "f4")
+    left = np.arange(len(counts))
     for _ in range(STEPS):
-        weight = likelihoods * shares[docs]
+        shares = out[left]
+        weight = likelihoods * np.repeat(shares, counts, axis=0)
         weight /= weight.sum(1, keepdims=True)
-        new = np.add.reduceat(weight, starts, axis=0) / counts[:, None]
-        change = np.abs(new - shares).max(initial=0)
-        shares = new.astype("f4")
-        if change < SMALL:
+        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        new = (np.add.reduceat(weight, starts, axis=0) / counts[:, None]).astype("f4")
+        out[left] = new
+        moving = np.abs(new - shares).max(1) >= SMALL
+        if not moving.any():
             break
-    return shares
+        if moving.mean() < 0.7:
+            likelihoods, left, counts = likelihoods[np.repeat(moving, counts)], left[moving], counts[moving]
+    return out
 
 
 def select(shares: np.ndarray, likelihoods: np.ndarray) -> np.ndarray:
@@ -153,23 +164,23 @@ def identifier(spark: SparkSession, model: Model):
     0 and no languages; so is every text if no language was learned. Ties go to the first name.
     """
     shared = spark.sparkContext.broadcast(model)
-    key = ("language words", tuple(model.languages), zlib.crc32(model.logs.tobytes()))
 
     def batch(texts: list[str | None]) -> list[tuple]:
         it = shared.value
-        words = kept(key, lambda: WordLikelihoods(it))
         out = [("und", 0.0, [], [])] * len(texts)
-        found = [WORD.findall(text) if text else [] for text in texts]
-        at = [i for i, x in enumerate(found) if x] if it.languages else []
+        at = [i for i, text in enumerate(texts) if it.languages and text and LETTER.search(text)]
         if not at:
             return out
-        counts = np.array([len(found[i]) for i in at])
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        rows = np.concatenate([words(found[i]) for i in at])
-        shares = mixtures(rows, starts, counts)
+        data, begins = buffer([texts[i] for i in at])
+        places, rows = word_likelihoods(data, it.logs)
+        starts = np.searchsorted(places, begins)
+        counts = np.diff(starts)
+        some = counts > 0
+        shares = np.full((len(at), len(it.languages)), 1 / len(it.languages), "f4")
+        shares[some] = mixtures(rows, counts[some])
         for k, i in enumerate(at):
             own = shares[k].astype("f8")
-            if own.max() < 0.99:
+            if own.max() < 0.99 and counts[k]:
                 own = np.where(select(own, rows[starts[k] : starts[k] + counts[k]]), own, 0)
             own /= own.sum()
             best = int(own.argmax())
