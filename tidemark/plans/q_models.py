@@ -16,11 +16,13 @@ from .q_intervals import _WINDOWS, windows
 from .q_scores import distances, region_posteriors
 from .registry import query
 
-FG, BG = F.col("fg_0") + F.col("fg_1"), F.col("bg_0") + F.col("bg_1")
+def both(side: str):
+    """Sum of a side's two replicates."""
+    return F.col(f"{side}_0") + F.col(f"{side}_1")
 
 
 def _ratios(spark, sf):
-    return m.log_ratios(windows(spark, sf), FG, BG)
+    return m.log_ratios(windows(spark, sf), both("fg"), both("bg"))
 
 
 def _scored(spark, sf):
@@ -46,8 +48,8 @@ def mod1_ratios(spark, sf):
 @query("mod2_no_background", v.sql("reads", _WINDOWS + ", t AS (SELECT sum(fg_0 + fg_1) / count(*) AS bg FROM windows) SELECT chrom, start, fg_0 + fg_1 AS fg, round(bg, 6) AS bg FROM windows, t"))
 def mod2(spark, sf):
     w = windows(spark, sf)
-    mean = w.agg(F.round(F.sum(FG) / F.count("*"), 6).alias("bg"))
-    return w.join(F.broadcast(mean)).select("chrom", "start", FG.alias("fg"), "bg")
+    mean = w.agg(F.round(F.sum(both("fg")) / F.count("*"), 6).alias("bg"))
+    return w.join(F.broadcast(mean)).select("chrom", "start", both("fg").alias("fg"), "bg")
 
 
 @query(
@@ -59,9 +61,9 @@ def mod3(spark, sf):
     """Mean log counts of the replicates with a pseudo-count each; a window stays if any replicate of a side has two."""
     w = windows(spark, sf)
     t = w.agg(*[(F.sum(c) / (2 * F.count("*"))).alias(f"p_{c}") for c in ("fg_0", "fg_1", "bg_0", "bg_1")])
-    both = w.join(F.broadcast(t)).filter((F.greatest("fg_0", "fg_1") >= 2) & (F.greatest("bg_0", "bg_1") >= 2))
+    joined = w.join(F.broadcast(t)).filter((F.greatest("fg_0", "fg_1") >= 2) & (F.greatest("bg_0", "bg_1") >= 2))
     ln = lambda c: F.log(F.col(c) + F.col(f"p_{c}"))
-    return both.select("chrom", "start", F.round((ln("fg_0") + ln("fg_1")) / 2 - (ln("bg_0") + ln("bg_1")) / 2, 5).alias("x"))
+    return joined.select("chrom", "start", F.round((ln("fg_0") + ln("fg_1")) / 2 - (ln("bg_0") + ln("bg_1")) / 2, 5).alias("x"))
 
 
 @query("mod4_z_histogram")
@@ -98,12 +100,12 @@ def mod6(spark, sf):
 )
 def mod7(spark, sf):
     """Peaks against the background of their nearest window, in closed form."""
-    w = windows(spark, sf).withColumn("bg", BG)
+    w = windows(spark, sf).withColumn("bg", both("bg"))
     peaks = v.regions(spark, sf).filter("score > 40").selectExpr("region_id", "chrom", "(start + end) div 2 as middle", "score as height", "20.0D + (end - start) / 20.0D as sigma")
     near = iv.nearest(peaks, w.select("chrom", "middle", F.col("middle").cast("string").alias("win")), "region_id", "win")
-    both = peaks.join(near, "region_id").withColumn("at", F.col("near_id").cast("long")).join(w.select("chrom", F.col("middle").alias("at"), "bg"), ["chrom", "at"])
+    met = peaks.join(near, "region_id").withColumn("at", F.col("near_id").cast("long")).join(w.select("chrom", F.col("middle").alias("at"), "bg"), ["chrom", "at"])
     x = F.log((F.col("height") * math.sqrt(2 * math.pi) * F.col("sigma") / 150 + 0.5) / (F.col("bg") + 0.5))
-    return both.withColumn("x", x).filter("x >= 0.5").orderBy(F.desc("x"), "region_id").limit(2000).select("region_id", F.round("x", 5).alias("x"))
+    return met.withColumn("x", x).filter("x >= 0.5").orderBy(F.desc("x"), "region_id").limit(2000).select("region_id", F.round("x", 5).alias("x"))
 
 
 def _matrices(spark, sf, most: int = 20) -> dict[int, np.ndarray]:
