@@ -74,6 +74,19 @@ def test_long_lists_of_near_copies(spark):
     assert [got[i] for i in range(60)] == roots
 
 
+def test_cut_and_appended_copies(spark):
+    """Of two nested texts the larger sketch shares fewest values: all pairs at 80 to 85 % are still found."""
+    rng = random.Random(12)
+    texts = []
+    for k in range(400):
+        whole, share = [f"w{rng.randint(0, 10**9)}" for _ in range(503)], (0.8, 0.8, 0.82, 0.85)[k % 4]
+        n = round(500 * share) + 3
+        at = (0, 503 - n, (503 - n) // 2)[k % 3]  # appended to, cut at the front, cut on both sides
+        texts += [" ".join(whole[at : at + n]), " ".join(whole)]
+    got = {r["doc_id"]: r["component_id"] for r in dedup.near_duplicates(documents(spark, texts), words=4).collect()}
+    assert [k for k in range(0, 800, 2) if not got[k] == got[k + 1] == k] == []
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     assert dedup.near_duplicates(none).count() == 0

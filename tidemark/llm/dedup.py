@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import xxhash
@@ -13,6 +14,8 @@ from .common import components, forget, kept, map_rows, table
 
 #: Retained values a document.
 SKETCH = 64
+#: Probability with which a pair at exactly the threshold may share fewer retained values than are asked for.
+MISS = 1e-6
 #: Words whose hashes a Python worker remembers.
 REMEMBERED = 500_000
 #: Lists up to this length pair all their members; longer ones go by hubs first.
@@ -70,6 +73,20 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return shared, len(a) + len(b) - shared
 
 
+def least_shared(size: int, percent: int, miss: float = MISS) -> int:
+    """Values that two sketches of ``size`` share at ``percent`` % Jaccard similarity, but for a probability of ``miss``.
+
+    The sketch of the larger set shares Binomial(size, p) values. p is smallest, the similarity itself, where one set holds
+    the other (appended or cut copies), so that case sets the bound; sets of equal size share more.
+    """
+    p, below = percent / 100, 0.0
+    for k in range(size):
+        below += math.comb(size, k) * p**k * (1 - p) ** (size - k)
+        if below > miss:
+            return max(1, k)
+    return size
+
+
 def sketches(docs: DataFrame, words: int, size: int, id_col: str, text_col: str) -> DataFrame:
     """``id, n, class, sketch``: set size, digest of the set, and its ``size`` smallest hashes, in signed order."""
 
@@ -97,8 +114,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
 
     1. Documents with equal shingle sets are one class. 2. Each class puts the rarest of its retained values into
     inverted lists, so many that two linked classes share one: what a sketch that holds the whole set must share follows from the
-    threshold; of larger sets at 80 % two sketches of 64 share 57 values on average, and 45 with a probability of about 1 - 1e-4. 3. Short lists pair all members, long ones pair all members with their first and last class.
-    4. Pairs whose union sketch estimates three quarters of the threshold are verified on whole sets. 5. Members of long
+    threshold; of larger sets ``least_shared`` values, which nested sets at the threshold miss with a probability below MISS.
+    3. Short lists pair all members, long ones pair all members with their first and last class.
+    4. Pairs whose union sketch shares as large a part are verified on whole sets. 5. Members of long
     lists that are still in different components are compared with each other block by block, each pair in the
     first list it shares, so no pair of a list stays untested across components.
 
@@ -123,7 +141,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     order = Window.partitionBy("class").orderBy("df", "value")
     place = F.row_number().over(order) + F.col("s") - F.count("*").over(Window.partitionBy("class"))
     whole = F.least(F.ceil(F.lit(percent) * F.col("n") / 100), F.lit(sketch) - F.floor((100 - percent) * F.col("n") / percent))
-    asked = F.when(F.col("n") <= sketch, whole).otherwise(F.ceil(F.col("s") * percent * 7 / 800))
+    asked = F.when(F.col("n") <= sketch, whole).otherwise(least_shared(sketch, percent))
     lists = rows.withColumn("place", place).filter(F.col("place") <= F.col("s") - asked + 1)
     lists = table(lists.select("value", "class", "n"), "lists")
     lengths = lists.groupBy("value").agg(F.count("*").alias("length"), F.min("class").alias("first"), F.max("class").alias("last")).filter("length > 1")
@@ -173,7 +191,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     right = rest.withColumn("to", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     right = right.select("value", "block", "to", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "root", "all", "tops")])
     both = F.ceil((F.col("n") + F.col("n_b")) * percent / (100 + percent))
-    least = F.when(F.greatest("n", "n_b") <= sketch, both).otherwise(F.ceil(F.least(F.size("tops"), F.size("tops_b")) * percent * 7 / 800))
+    least = F.when(F.greatest("n", "n_b") <= sketch, both).otherwise(least_shared(sketch, percent))
     met = left.join(right, ["value", "block", "to"]).filter(
         (F.col("class") < F.col("class_b")) & (F.col("root") != F.col("root_b")) & close(F.col("n"), F.col("n_b"))
         & (F.col("value") == F.array_min(F.array_intersect("all", "all_b")))
@@ -207,7 +225,7 @@ class Verifier:
         """The linked ones of ``pairs`` (a, b).
 
         The union sketch goes first: the ``size`` smallest values of both sketches are a sample of the union, and the
-        share of them that both have estimates the Jaccard similarity. Pairs below three quarters of the threshold leave. Of
+        share of them that both have estimates the Jaccard similarity. Pairs below ``least_shared`` of ``size`` leave. Of
         the rest, one text of each class is read again, once, and its whole set compared.
         """
         percent = self.percent
@@ -215,7 +233,7 @@ class Verifier:
         near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
         union = F.slice(F.array_sort(F.array_union("x", "y")), 1, self.size)
         near = near.select("a", "b", F.size(F.array_intersect(F.array_intersect(union, "x"), "y")).alias("both"), F.size(union).alias("of"))
-        near = table(near.filter(F.col("both") * 400 >= F.col("of") * (percent * 3)).select("a", "b"), "near")
+        near = table(near.filter(F.col("both") * self.size >= F.col("of") * least_shared(self.size, percent)).select("a", "b"), "near")
         self._add(near)
 
         def make():
