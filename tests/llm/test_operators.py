@@ -247,6 +247,19 @@ def test_html(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_runs_repeat_across_a_large_host(spark):
+    """A notice on two of a host's 600 pages is found, an unmarked article copied onto one url only is not."""
+    words = lambda name, n=12: " ".join(f"{name}_{j}" for j in range(n))
+    rows = [(k, f"http://big/{k}", f"<div>{words(f'notice{k % 300}', 9)}</div><div>{words(f'own{k}')}</div>") for k in range(600)]
+    rows += [(1000 + k, "http://big/same", f"<div>{words('copied')}</div>") for k in range(300)]
+    rows += [(2000 + k, None, f"<div>{words('copied')}</div>") for k in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(7)
+    for at_once in (128, 16):
+        got = {r["page_id"]: r["text"] for r in htmltext.extract(df, at_once).collect()}
+        assert [k for k in range(600) if got[k] != words(f"own{k}")] == []
+        assert len(got) == 1200 and all(text == words("copied") for k, text in got.items() if k >= 1000)
+
+
 def test_repeated_runs_match_brute_force():
     rng = np.random.default_rng(1)
     tokens, page = rng.integers(0, 3, 300), np.repeat(np.arange(10), 30)

@@ -1,20 +1,24 @@
-"""Main text of web pages: page structure first, then long runs that repeat across the pages of a host (suffix array)."""
+"""Main text of web pages: page structure first, then long runs that repeat across all pages of a host (suffixes dealt by their beginnings)."""
 
 from __future__ import annotations
 
 import html
 import re
-import zlib
+import uuid
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages of one host that one suffix array covers.
+from .common import kept, map_rows, table
+from .dedup import WordHashes, _MIX, _mixed
+
+#: Pages that a task holds at once; the result doesn't depend on it.
 PAGES = 128
-#: Hosts up to which their counts (some 50 bytes each) are broadcast.
-BROADCAST_HOSTS = 100_000
+#: Suffixes that one task sorts at once, about.
+SUFFIXES = 2_000_000
 #: Tokens of a run that counts as repeated. A power of two: the suffixes are sorted by prefix doubling up to it.
 RUN = 8
 
@@ -149,19 +153,37 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray
         return covered
     lengths = np.diff(np.r_[starts, len(order)])
     distinct = np.maximum.reduceat(p, starts) != np.minimum.reduceat(p, starts)
-    hits = order[np.repeat(distinct, lengths)]
+    return cover(order[np.repeat(distinct, lengths)], n, run)
+
+
+def cover(hits: np.ndarray, n: int, run: int) -> np.ndarray:
+    """True for those of ``n`` tokens that lie in a run that begins at one of ``hits``."""
     ends = np.zeros(n + 1, "i8")
     np.add.at(ends, hits, 1)
     np.add.at(ends, hits + run, -1)
     return np.cumsum(ends[:-1]) > 0
 
 
+def beginnings(host: str | None, words: list[str], hashes: WordHashes, run: int) -> np.ndarray:
+    """64-bit hashes of the first ``run`` words of each suffix of a page that has as many, with the page's host."""
+    h = np.fromiter((hashes[w.encode()] for w in words), "u8", len(words))
+    count = max(0, len(h) - run + 1)
+    x = np.full(count, xxhash.xxh3_64_intdigest((host or "").encode()), "u8")
+    for k in range(run if count else 0):
+        x = _mixed(x * _MIX + h[k : k + count])
+    return x
+
+
 def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col, url_col, text, n_chars, n_repeated`` of every page; ``n_repeated`` counts the words of its text that lie in repeated runs.
 
-    The pages of a host are dealt by hash into groups of about ``pages_at_once``, so a host with any share of all pages
-    is spread over many tasks. In a group the word streams of all pages lie end to end in one suffix array, and runs of
-    at least ``run`` words on distinct pages are found. Where the page marks its article (or main element), that is the text and
+    Runs of at least ``run`` words on distinct pages of a host are found over the whole host. Pages are parsed once, in
+    chunks of ``pages_at_once``; the suffixes of their word streams are dealt by a hash of their host and first
+    ``run`` words, so that equal beginnings of all chunks meet in one sort; those on distinct urls go back to their chunks.
+    A chunk sends each beginning with two urls at most, so a run on all pages of a host with any share of all
+    pages is a few entries a chunk, and a host is spread over many tasks.
+
+    Where the page marks its article (or main element), that is the text and
     repeats within it stay: articles that quote each other are no boilerplate. On other pages blocks of which
     repeated runs cover more than half are boilerplate; what menus, notices and the like hold is dropped on all.
 
@@ -170,39 +192,92 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
     """
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("host"))
-    hosts = pages.select(host.alias("host")).groupBy("host").count()
-    hosts = hosts.select("host", F.ceil(F.col("count") / pages_at_once).cast("int").alias("groups"))
-    # The counts of hosts are broadcast up to a checked number of rows; the pages are then dealt by host and group, not by host.
-    few = hosts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    dealt = rows.join(F.broadcast(hosts) if few else hosts, "host")
-    dealt = dealt.withColumn("group", F.pmod(F.xxhash64("id", "url"), F.col("groups")).cast("int")).repartition("host", "group")
-
-    def function(group: pd.DataFrame) -> pd.DataFrame:
-        found = [blocks(page) for page in group["html"]]
-        urls = pd.factorize(group["url"].fillna(""))[0]
-        order = np.argsort(urls, kind="stable")
-        tokens, page, spans = [], [], {}
-        for i in order:
-            for k, (kind, text) in enumerate(found[i]):
-                words = text.split(" ")
-                spans[i, k] = (len(tokens), len(tokens) + len(words))
-                tokens += [zlib.crc32(w.encode()) for w in words]
-                page += [urls[i]] * len(words)
-        covered = np.r_[0, np.cumsum(repeated(np.array(tokens, "i8"), np.array(page, "i8"), run))]
-        texts, counts = [], []
-        for i, own in enumerate(found):
-            kept, n = [], 0
-            for k, (kind, text) in enumerate(own):
-                a, b = spans[i, k]
-                hit = int(covered[b] - covered[a])
-                if kind == MAIN or kind == OTHER and 2 * hit <= b - a:
-                    kept.append(text)
-                    n += hit
-            texts.append(" ".join(kept))
-            counts.append(n)
-        words = {"url": group["url"].to_list(), "text": texts}
-        return pd.DataFrame({"id": group["id"].to_list(), **{k: pd.Series(v, dtype=object) for k, v in words.items()}, "n_repeated": counts})[["id", "url", "text", "n_repeated"]]
-
     kinds = [rows.schema[c].dataType.simpleString() for c in ("id", "url")]
-    out = dealt.groupBy("host", "group").applyInPandas(function, f"id {kinds[0]}, url {kinds[1]}, text string, n_repeated bigint")
+
+    def parse():
+        def function(columns):
+            found = [blocks(page) for page in columns["html"]]
+            suffixes = sum(max(0, sum(text.count(" ") + 1 for _, text in own) - run + 1) for own in found)
+            out = {"chunk": uuid.uuid4().hex, "suffixes": suffixes, "ids": columns["id"], "urls": columns["url"], "hosts": columns["host"]}
+            out |= {"kinds": [[kind for kind, _ in own] for own in found], "texts": [[text for _, text in own] for own in found]}
+            return {name: [value] for name, value in out.items()}
+
+        return function
+
+    schema = f"chunk string, suffixes bigint, ids array<{kinds[0]}>, urls array<{kinds[1]}>, hosts array<string>, kinds array<array<int>>, texts array<array<string>>"
+    parsed = table(map_rows(rows, schema, parse, pages_at_once), "parsed")
+    parts = max(1, -(-(parsed.agg(F.sum("suffixes")).first()[0] or 0) // SUFFIXES))
+
+    def deal():
+        hashes = kept("word hashes", WordHashes)
+
+        def function(columns):
+            out = {"chunk": [], "part": [], "beginnings": [], "urls": []}
+            for chunk, urls, hosts, texts in zip(*(columns[c] for c in ("chunk", "urls", "hosts", "texts")), strict=True):
+                own = [beginnings(host, " ".join(page).split(), hashes, run) for host, page in zip(hosts, texts, strict=True)]
+                x = np.concatenate([np.zeros(0, "u8"), *own])
+                url = np.repeat(np.array([xxhash.xxh3_64_intdigest((u or "").encode()) & 0xFFFFFFFF for u in urls], "u4"), [len(o) for o in own])
+                order = np.lexsort((url, x))
+                x, url = x[order], url[order]
+                ends = np.r_[True, x[1:] != x[:-1]] if len(x) else np.zeros(0, bool)
+                lasts = np.r_[ends[1:], True] if len(x) else ends
+                stay = ends | lasts & np.r_[False, url[1:] != url[:-1]] if len(x) else ends
+                x, url = x[stay], url[stay]
+                part = (x % np.uint64(parts)).astype("i8")
+                order = np.lexsort((url, part))  # by url, so that the urls compress
+                x, url, part = x[order], url[order], part[order]
+                cuts = np.searchsorted(part, np.arange(parts + 1))
+                for k in np.flatnonzero(np.diff(cuts)):
+                    a, b = cuts[k], cuts[k + 1]
+                    for name, value in zip(out, (chunk, int(k), x[a:b].tobytes(), url[a:b].tobytes()), strict=True):
+                        out[name].append(value)
+            return out
+
+        return function
+
+    def find(group: pd.DataFrame) -> pd.DataFrame:
+        x, url = np.frombuffer(b"".join(group["beginnings"]), "u8"), np.frombuffer(b"".join(group["urls"]), "u4")
+        chunk = np.repeat(np.arange(len(group)), [len(b) // 8 for b in group["beginnings"]])
+        order = np.argsort(x, kind="stable")
+        x, url, chunk = x[order], url[order], chunk[order]
+        starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+        distinct = np.maximum.reduceat(url, starts) != np.minimum.reduceat(url, starts)
+        hits = np.repeat(distinct, np.diff(np.r_[starts, len(x)]))
+        x, chunk = x[hits], chunk[hits]
+        order = np.argsort(chunk, kind="stable")
+        x, cuts = x[order], np.searchsorted(chunk[order], np.arange(len(group) + 1))
+        names = group["chunk"].to_list()
+        back = [(names[k], np.unique(x[cuts[k] : cuts[k + 1]]).tobytes()) for k in np.flatnonzero(np.diff(cuts))]
+        return pd.DataFrame(back, columns=["chunk", "hits"])
+
+    dealt = map_rows(parsed.select("chunk", "urls", "hosts", "texts"), "chunk string, part int, beginnings binary, urls binary", deal, 1)
+    hits = dealt.groupBy("part").applyInPandas(find, "chunk string, hits binary").groupBy("chunk").agg(F.collect_list("hits").alias("hits"))
+
+    def judge():
+        hashes = kept("word hashes", WordHashes)
+
+        def function(columns):
+            out = {"id": [], "url": [], "text": [], "n_repeated": []}
+            for ids, urls, hosts, kinds_, texts, found in zip(*(columns[c] for c in ("ids", "urls", "hosts", "kinds", "texts", "hits")), strict=True):
+                known = np.sort(np.frombuffer(b"".join(found or []), "u8"))
+                for id_, url, host, kind, page in zip(ids, urls, hosts, kinds_, texts, strict=True):
+                    x = beginnings(host, " ".join(page).split(), hashes, run)
+                    at = np.flatnonzero(np.isin(x, known))
+                    ends = np.cumsum([0, *(text.count(" ") + 1 for text in page)])
+                    covered = np.r_[0, np.cumsum(cover(at, int(ends[-1]), run))]
+                    stay, n = [], 0
+                    for k, text in enumerate(page):
+                        a, b = ends[k], ends[k + 1]
+                        hit = int(covered[b] - covered[a])
+                        if kind[k] == MAIN or kind[k] == OTHER and 2 * hit <= b - a:
+                            stay.append(text)
+                            n += hit
+                    for name, value in zip(out, (id_, url, " ".join(stay), n), strict=True):
+                        out[name].append(value)
+            return out
+
+        return function
+
+    met = parsed.join(hits, "chunk", "left").select("ids", "urls", "hosts", "kinds", "texts", "hits")
+    out = map_rows(met, f"id {kinds[0]}, url {kinds[1]}, text string, n_repeated bigint", judge, 1)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
