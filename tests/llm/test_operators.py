@@ -280,6 +280,25 @@ def test_licenses(spark):
         licenses.scan(documents(spark, texts), templates={"none": "nothing to see"})
 
 
+def test_wrapped_and_repeated_licenses(spark):
+    """Wrapped headers among other text, and several licenses in one line."""
+    import textwrap
+
+    full = ("MIT", "BSD", "ISC", "GPL", "LGPL", "MPL-2.0", "Apache-2.0", "CC0-1.0")
+    wrapped = {name: [f" * {line}" for line in textwrap.wrap(licenses.TEMPLATES[name], 60)] for name in full}
+    texts = ["\n".join(["Some words and a title of the file", "", *wrapped[name], "", "and then the code is here to see"]) for name in full]
+    two = "Released under the MIT License. And also: This work is licensed under the GNU General Public License, version 3."
+    texts += [two, "\n".join(["x"] + wrapped["MIT"] + wrapped["BSD"] + ["y"]), "\n".join(["Released under the MIT License."] * 600)]
+    got = {}
+    for r in licenses.scan(documents(spark, texts)).collect():
+        got.setdefault(r["doc_id"], []).append((r["block"], r["license"], r["n_changed"], r["matched"]))
+    for k, name in enumerate(full):
+        assert got[k] == [(2, name, 0, " ".join(licenses.words(licenses.TEMPLATES[name])))]
+    assert [x[:3] for x in got[8]] == [(0, "MIT (line)", 0), (0, "GPL-3.0 (line)", 0)]
+    assert [x[:3] for x in got[9]] == [(1, "MIT", 0), (1 + len(wrapped["MIT"]), "BSD", 0)]
+    assert [x[0] for x in sorted(got[10])] == list(range(600))
+
+
 def _vectors(spark, seed=5, n=400, dims=16):
     rng = np.random.default_rng(seed)
     base = rng.normal(size=(n // 4, dims))

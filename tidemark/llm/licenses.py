@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
+import math
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,24 +47,39 @@ def words(text: str) -> list[str]:
 
 
 def window(block: list[str], template: list[str]) -> tuple[int, int, list[tuple[str, str]]]:
-    """The part of the block that the template's matching words span, and the ``missing, added`` words there."""
+    """The part of the block that the template's matching words span, and the ``missing, added`` words there.
+
+    Matching words far out that cost more changes than they save (an "and" in the text around) don't belong to the span.
+    """
     match = difflib.SequenceMatcher(None, template, block, autojunk=False)
     pieces = [m for m in match.get_matching_blocks() if m.size]
     if not pieces:
         return 0, 0, [(" ".join(template), "")]
-    start, end = pieces[0].b, pieces[-1].b + pieces[-1].size
+    best = None
+    for i, first in enumerate(pieces):
+        cost = first.a
+        for j in range(i, len(pieces)):
+            if j > i:
+                cost += max(pieces[j].a - pieces[j - 1].a - pieces[j - 1].size, pieces[j].b - pieces[j - 1].b - pieces[j - 1].size)
+            end = pieces[j].b + pieces[j].size
+            found = (cost + len(template) - pieces[j].a - pieces[j].size, first.b - end, first.b, end)
+            best = found if best is None else min(best, found)
+    _, _, start, end = best
     inner = difflib.SequenceMatcher(None, template, block[start:end], autojunk=False)
     differences = [(" ".join(template[a:b]), " ".join(block[start:end][c:d])) for tag, a, b, c, d in inner.get_opcodes() if tag != "equal"]
     return start, end, differences
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, stems: tuple[str, ...] = STEMS, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, block, license, reduction, n_changed, differences, matched`` for each block that words a license.
+    """``id_col, block, license, reduction, n_changed, differences, matched`` for each notice that words a license.
 
-    A block is a line of the text (numbered from 0, empty ones too) that has one of the ``stems``. zstandard compresses it plain and
+    Around each of the ``stems`` the words of consecutive lines, as far as the longest template reaches on either side, are
+    a candidate. zstandard compresses it plain and
     with each template as a raw dictionary; the templates are ranked by the share of bytes saved. From the best on, the
-    exact differences in words decide: the first template within ``tolerance`` wins. ``matched`` is its
-    wording in the block; ``differences`` pairs what is missing with what stands there instead.
+    exact differences in words decide: the first template within ``tolerance`` wins. What lies before and behind the
+    match is judged again, so several notices in a line or a wrapped one amid text each have a row. ``block`` is
+    the line (numbered from 0, empty ones too) in which the match begins, ``reduction`` the share of bytes saved on the lines it
+    spans, ``matched`` its wording; ``differences`` pairs what is missing with what stands there instead.
 
     ``stems`` must cover ``templates``: a template without any of them is refused. Null and empty texts have no rows;
     repeated rows and null ids are scanned each for itself; other columns are not carried. Whole texts.
@@ -79,39 +97,87 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, stems: tuple[
         plain = z.ZstdCompressor(**options)
         by_name = {name: z.ZstdCompressor(dict_data=d, **options) for name, d in raw.items()}
         worded = {name: words(text) for name, text in chosen.items()}
-        known: dict[str, tuple | None] = {}
+        counted = {name: Counter(own) for name, own in worded.items()}
+        reach = math.ceil((1 + tolerance) * max(map(len, worded.values()), default=0))
+        known: dict[tuple, tuple | None] = {}
 
-        def judge(block: str) -> tuple | None:
+        def saving(block: str, names: list[str]) -> dict[str, float]:
             data = block.encode()
             alone = len(plain.compress(data))
-            saved = {name: (alone - len(c.compress(data))) / alone for name, c in by_name.items()}
-            own = words(block)
+            return {name: (alone - len(by_name[name].compress(data))) / alone for name in names}
+
+        def judge(block: str, own: list[str]) -> tuple | None:
+            there = Counter(own)
+            # A template of which more words than the tolerance are nowhere in the block can't win.
+            able = [name for name, c in counted.items() if c.total() - (c & there).total() <= tolerance * c.total()]
+            saved = saving(block, able) if able else {}
             for name in sorted(saved, key=lambda name: (-saved[name], name)):
-                if saved[name] <= 0:
-                    return None
                 start, end, differences = window(own, worded[name])
                 changed = sum(max(len(a.split()), len(b.split())) for a, b in differences)
                 if changed <= tolerance * len(worded[name]):
-                    return name, saved[name], changed, [f"{a} -> {b}" for a, b in differences], " ".join(own[start:end])
+                    return name, start, end, changed, [f"{a} -> {b}" for a, b in differences]
             return None
 
+        def notices(text: str) -> list[tuple]:
+            """``block, license, reduction, n_changed, differences, matched`` in the text's order."""
+            spans = [m.span() for m in WORD.finditer(text)]
+            own = [text[a:b].lower() for a, b in spans]
+            offsets = [0]
+            for w in own:
+                offsets.append(offsets[-1] + len(w) + 1)
+            joined, at = " ".join(own), set()
+            for stem in stems:
+                k = joined.find(stem)
+                while k >= 0:
+                    at.add(bisect.bisect_right(offsets, k) - 1)
+                    k = joined.find(stem, k + 1)
+            lines = text.split("\n")
+            begins = [0]
+            for line in lines:
+                begins.append(begins[-1] + len(line) + 1)
+            found = []
+
+            def best(a: int, b: int) -> tuple | None:
+                block = text[spans[a][0] : spans[b - 1][1]]
+                if block not in known:
+                    if len(known) > 10_000:
+                        known.clear()
+                    known[block] = judge(block, own[a:b])
+                if won := known[block]:
+                    return won[0], a + won[1], a + won[2], *won[3:]
+                return None
+
+            def search(low: int, high: int, places: list[int]) -> None:
+                for place in places:
+                    if place < low:
+                        continue
+                    while low <= place:
+                        a, b = max(low, place - reach), min(high, place + reach)
+                        if not (won := best(a, b)):
+                            break
+                        if low < a or b < high:  # what the block cut off may belong to the match
+                            won = best(max(low, won[1] - reach), min(high, won[2] + reach)) or won
+                        won = best(won[1], won[2]) or won  # templates that differ in a word rank by the match alone
+                        name, start, end, changed, differences = won
+                        if low < start:
+                            search(low, start, [p for p in places if low <= p < start])
+                        first, last = (bisect.bisect_right(begins, spans[p][0]) - 1 for p in (start, end - 1))
+                        lines_ = "\n".join(lines[first : last + 1]).strip()
+                        found.append((first, name, saving(lines_, [name])[name], changed, differences, " ".join(own[start:end])))
+                        low = end
+
+            search(0, len(own), sorted(at))
+            return found
+
         def function(columns):
             out = {k: [] for k in ("id", "block", "license", "reduction", "n_changed", "differences", "matched")}
             for doc, text in zip(columns["id"], columns["text"], strict=True):
                 lower = text.lower() if text else ""
-                if not any(stem in lower for stem in stems):
+                if not any(all(part in lower for part in stem.split()) for stem in stems):
                     continue
-                for k, line in enumerate(text.split("\n")):
-                    low = line.lower()
-                    if any(stem in low for stem in stems):
-                        line = line.strip()
-                        if line not in known:
-                            if len(known) > 10_000:
-                                known.clear()
-                            known[line] = judge(line)
-                        if won := known[line]:
-                            for name, value in zip(out, (doc, k, *won), strict=True):
-                                out[name].append(value)
+                for row in notices(text):
+                    for name, value in zip(out, (doc, *row), strict=True):
+                        out[name].append(value)
             return out
 
         return function
