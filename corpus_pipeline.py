@@ -35,9 +35,22 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    kept = dedup.near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One row of each group of near-duplicates: the one with the smallest id, null ids last.
+
+    Rows are told apart by their own key (id, then digest of the row), not by doc_id: rows with a null id are documents like
+    others, and rows of one id with different texts are decided each for itself. Of rows that are equal throughout one stays;
+    rows without words are no near-duplicates, so all of them stay.
+    """
+    number = F.col("doc_id").cast("long")
+    # Hexadecimal digits of the id in the order of the ids; "G" comes behind all digits.
+    order = F.coalesce(F.lpad(F.hex(number.bitwiseXOR(F.lit(-(2**63)))), 16, "0"), F.lit("G"))
+    digest = F.md5(F.to_json(F.struct(*COLUMNS)).cast("binary"))
+    keyed = docs.select(*COLUMNS, F.concat_ws("-", order, digest).alias("_key"))
+    worded = F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    rows = keyed.filter(worded)
+    kept = dedup.near_duplicates(rows, id_col="_key").filter("kept").select("_key").distinct()
+    one = rows.dropDuplicates(["_key"]).join(kept, "_key", "left_semi")
+    return one.select(*COLUMNS).unionByName(docs.filter(~worded).select(*COLUMNS))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

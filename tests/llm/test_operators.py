@@ -367,3 +367,15 @@ def test_pipeline(spark):
         assert docs.columns == list(cp.COLUMNS) and now <= kept and now
         kept = now
     assert {r["doc_id"] for r in cp.run(spark, sf).collect()} == kept
+
+
+def test_pipeline_distinct_rows(spark):
+    """Null ids are ordinary rows, different texts of one id are apart, of repeated rows one stays."""
+    import corpus_pipeline as cp
+
+    text = lambda name, n=30: " ".join(f"{name}{k}" for k in range(n))
+    texts = [text("a"), text("b"), text("b"), text("c"), text("c"), text("d"), text("e"), text("a"), text("f"), text("f") + " more", "", "", None]
+    ids = [5, None, None, 7, 7, 7, None, -3, None, 2**62, 9, 9, None]
+    got = cp.distinct(spark, documents(spark, texts, ids), "").collect()
+    want = [(-3, text("a")), (None, text("b")), (7, text("c")), (7, text("d")), (None, text("e")), (2**62, text("f") + " more"), (9, ""), (9, ""), (None, None)]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in got))) == sorted(map(str, want))
