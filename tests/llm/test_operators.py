@@ -339,6 +339,25 @@ def test_top_k(spark):
         assert sorted(got.get(q, [])) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
 
 
+def test_top_k_deals_packs(spark, monkeypatch):
+    """No group holds more than a stated number of packs, however many queries there are; the answers stay."""
+    rows, df = _vectors(spark)
+    want = sorted(map(tuple, vectors.top_k(df, df, k=3).collect()))
+    seen, cogroup = [], type(df.groupBy()).cogroup
+
+    def watched(packs, other):
+        seen.append((packs._df, packs.count()))
+        return cogroup(packs, other)
+
+    monkeypatch.setattr(type(df.groupBy()), "cogroup", watched)
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 8)
+    monkeypatch.setattr(vectors, "PACKS_AT_ONCE", 3, raising=False)
+    assert sorted(map(tuple, vectors.top_k(df, df, k=3).collect())) == want
+    packed, groups = seen[0]
+    assert max(r["count"] for r in groups.collect()) <= 3 < packed.select("pack").distinct().count()
+
+
 def test_queries_match_sql(spark):
     import duckdb
 

@@ -14,6 +14,8 @@ from .common import components, map_rows, table
 
 #: Candidates and queries that one task holds in one step of the search.
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
+#: Packs of queries that one task takes to a block.
+PACKS_AT_ONCE = 8
 #: Dimensions that are accumulated between two prunings.
 DIM_BLOCK = 16
 #: Vectors of one cell, and probes into it, that one task compares.
@@ -63,6 +65,17 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
             yield int(query_ids[i]), int(row_ids[alive[j]]), int(scores[j])
 
 
+def deal(rows: DataFrame, n_rows: int, asked: DataFrame, n_asked: int) -> tuple[DataFrame, DataFrame]:
+    """Packs of queries and rows with the groups (block, dims, some) in which they meet: each pack and block in one of them."""
+    blocks, packs = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_asked // QUERY_ROWS))
+    groups = -(-packs // PACKS_AT_ONCE)
+    asked = asked.withColumn("pack", F.pmod(F.xxhash64("id"), F.lit(packs)).cast("int"))
+    packed = asked.groupBy("pack", "dims").agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
+    packed = packed.withColumn("some", F.pmod("pack", F.lit(groups))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    return packed, rows.withColumn("some", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``query_id, rank, id_col, score``: the k candidates with the highest integer inner product with each query.
 
@@ -71,7 +84,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
     part, nor do candidates of another length than the query's; rows with one id twice are two candidates.
 
     Candidates are dealt by hash into blocks of about BLOCK_ROWS, the stated queries into packs of QUERY_ROWS, and every
-    pack meets every block once, in a task that holds one block and one pack at a time. Each task returns k rows a query, and the
+    pack meets every block once, in a group of one block and at most PACKS_AT_ONCE packs, however many queries there are. Each task returns k rows a query, and the
     ranking cuts to k rows a query again before it shuffles.
     """
 
@@ -81,22 +94,17 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
         return rows.select(F.col(id_col).cast("long").alias("id"), x.alias("v"), F.size(vec_col).alias("dims"))
 
     rows, asked = whole(candidates), whole(queries)
-    blocks = max(1, -(-candidates.count() // BLOCK_ROWS))
-    packs = max(1, -(-asked.count() // QUERY_ROWS))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    asked = asked.withColumn("pack", F.pmod(F.xxhash64("id"), F.lit(packs)).cast("int"))
-    packed = asked.groupBy("pack", "dims").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))
-    packed = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    packed, rows = deal(rows, candidates.count(), asked, asked.count())
 
     def search(key, packs: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(block) and len(packs):
             m, ids = _matrix(block["v"], key[1]), block["id"].to_numpy()
             for q_ids, vs in zip(packs["ids"], packs["vs"], strict=True):
-                found += search_block(np.stack(vs), np.asarray(q_ids), m, ids, k)
+                found += search_block(np.asarray(vs).reshape(-1, key[1]), np.asarray(q_ids), m, ids, k)
         return pd.DataFrame(found, columns=["query_id", "id", "score"])
 
-    met = packed.groupBy("block", "dims").cogroup(rows.groupBy("block", "dims"))
+    met = packed.groupBy("block", "dims", "some").cogroup(rows.groupBy("block", "dims", "some"))
     best = met.applyInPandas(search, "query_id long, id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
