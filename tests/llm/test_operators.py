@@ -74,6 +74,55 @@ def test_long_lists_of_near_copies(spark):
     assert [got[i] for i in range(60)] == roots
 
 
+def test_blocks_of_long_lists(spark, monkeypatch):
+    """Near copies at all distances in lists of many blocks: the components are those of brute force."""
+    rng = random.Random(21)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for _ in range(150):
+        own = list(base)
+        for k in rng.sample(range(150), rng.choice([0, 2, 5, 9, 14])):
+            own[k] = f"v{rng.randint(0, 9999)}"
+        texts.append(" ".join(own))
+    _, roots = jaccard_components(texts, 4)
+    assert 10 < len(set(roots)) < 100
+    monkeypatch.setattr(dedup, "LIST_BLOCK", 16)
+    got = {r["doc_id"]: r["component_id"] for r in dedup.near_duplicates(documents(spark, texts), words=4).collect()}
+    assert [got[i] for i in range(150)] == roots
+
+
+def test_linked_pairs_match_brute_force():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype("u8") * np.uint64(0x9E3779B97F4A7C15)) for _ in range(60)]
+    shared = dedup.shared_counts(sets[:20], sets[20:], 16)
+    assert all(shared[i, j] == len(np.intersect1d(sets[i], sets[20 + j])) for i in range(20) for j in range(40))
+    found = dedup.linked_pairs(sets, sets, list(range(60)), list(range(60)), 50, 64)
+    root = list(range(60))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for i, j in found:
+        assert find(i) != find(j)
+        root[find(i)] = find(j)
+    for i in range(60):
+        for j in range(60):
+            a, b = dedup.jaccard(sets[i], sets[j])
+            assert 100 * a < 50 * b or find(i) == find(j)
+
+
+@pytest.mark.parametrize("size", [64, 200, 1000])
+def test_contained_pairs(spark, size):
+    """Every pair of nested texts at 80 to 85 % is linked, for sets around and above the sketch's size."""
+    rng = random.Random(size)
+    texts = []
+    for k in range(120):
+        whole = [f"w{rng.randint(0, 10**9)}" for _ in range(size + 3)]
+        texts += [" ".join(whole[: math.ceil(size * (0.8, 0.85)[k % 2]) + 3]), " ".join(whole)]
+    got = {r["doc_id"]: r["component_id"] for r in dedup.near_duplicates(documents(spark, texts), words=4).collect()}
+    assert [k for k in range(0, 240, 2) if not got[k] == got[k + 1] == k] == []
+
+
 def test_cut_and_appended_copies(spark):
     """Of two nested texts the larger sketch shares fewest values: all pairs at 80 to 85 % are still found."""
     rng = random.Random(12)

@@ -6,6 +6,7 @@ import hashlib
 import math
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,10 +21,8 @@ MISS = 1e-6
 REMEMBERED = 500_000
 #: Lists up to this length pair all their members; longer ones go by hubs first.
 SHORT_LIST = 8
-#: Members of a long list that are compared with as many others in one task.
-LIST_BLOCK = 256
-#: Further hubs of a long list of near copies, and how often they are chosen.
-HUBS, HUB_ROUNDS = 8, 2
+#: Members of a long list, and shingles of theirs, that are compared with as many others in one group.
+LIST_BLOCK, BLOCK_VALUES = 256, 4_000_000
 #: Rows up to which the ids of documents to verify (8 bytes each) are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -115,12 +114,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     1. Documents with equal shingle sets are one class. 2. Each class puts the rarest of its retained values into
     inverted lists, so many that two linked classes share one: what a sketch that holds the whole set must share follows from the
     threshold; of larger sets ``least_shared`` values, which nested sets at the threshold miss with a probability below MISS.
-    3. Short lists pair all members, long ones pair all members with their first and last class.
-    4. Pairs whose union sketch shares as large a part are verified on whole sets. 5. Members of long
-    lists that are still in different components are compared with each other block by block, each pair in the
-    first list it shares, so no pair of a list stays untested across components.
+    3. Short lists pair all members, long ones pair all members with their first class.
+    4. Pairs whose union sketch shares as large a part are verified on whole sets. 5. Long lists are compared in
+    blocks: each class first within a block of its longest list; then all pairs of a list that are still in different
+    components, so that none stays untested. Pairs that aren't linked never leave the task that compares them.
 
-    So a group of thousands of near copies costs a few pairs a member, and every link between different texts is kept
+    So a group of thousands of near copies costs a few rows a member, and every link between different texts is kept
     in the components. Nothing that grows with the corpus is collected.
 
     Null and empty texts have n_shingles 0 and are their own components. Repeated rows are copies; a null id takes the
@@ -144,67 +143,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     asked = F.when(F.col("n") <= sketch, whole).otherwise(least_shared(sketch, percent))
     lists = rows.withColumn("place", place).filter(F.col("place") <= F.col("s") - asked + 1)
     lists = table(lists.select("value", "class", "n"), "lists")
-    lengths = lists.groupBy("value").agg(F.count("*").alias("length"), F.min("class").alias("first"), F.max("class").alias("last")).filter("length > 1")
+    lengths = lists.groupBy("value").agg(F.count("*").alias("length"), F.min("class").alias("first")).filter("length > 1")
     members = lists.join(lengths, "value")
-    close = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
     short = members.filter(F.col("length") <= SHORT_LIST).select("value", "class", "n")
     other = short.select("value", F.col("class").alias("b"), F.col("n").alias("nb"))
-    pairs = short.join(other, "value").filter(F.col("class") < F.col("b")).filter(close(F.col("n"), F.col("nb"))).select(F.col("class").alias("a"), "b")
-    long = table(members.filter(F.col("length") > SHORT_LIST), "long")
-    hubs = long.select("class", F.explode(F.array("first", "last")).alias("hub")).filter("class <> hub")
-    pairs = pairs.unionByName(hubs.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b"))).distinct()
+    close = F.least("n", "nb") * 100 >= F.greatest("n", "nb") * percent
+    pairs = short.join(other, "value").filter(F.col("class") < F.col("b")).filter(close).select(F.col("class").alias("a"), "b")
+    long = table(members.filter(F.col("length") > SHORT_LIST).select("value", "class", "n", "first"), "long")
+    hubs = long.filter("class <> first").select(F.least("class", "first").alias("a"), F.greatest("class", "first").alias("b"))
     checker = Verifier(docs, base, classes, words, percent, sketch, id_col, text_col)
-    edges = table(checker.links(pairs), "edges")
+    near = checker.near(pairs.unionByName(hubs).distinct())
+    sets = checker.sets(near, long)
+    edges = table(checker.links(near, sets).unionByName(_long_links(long, None, sets, percent, sketch)), "edges")
+    forget(near, lists)
     joined = table(components(edges), "components")
-
-    def labelled() -> DataFrame:
-        label = long.join(joined.withColumnRenamed("node", "class"), "class", "left")
-        return label.select("value", "class", "n", F.coalesce("root", "class").alias("root"))
-
-    # Lists in which near copies were found, but not all linked: further hubs join most of the rest.
-    for k in range(HUB_ROUNDS):
-        label = labelled()
-        by_root = label.groupBy("value", "root").agg(F.count("*").alias("m"))
-        mixed = by_root.groupBy("value").agg(F.count("*").alias("roots"), F.sum("m").alias("m")).filter("roots > 1 and roots < m").select("value")
-        mixed = table(label.join(mixed, "value"), "mixed")
-        if not mixed.head(1):
-            break
-        ordered = F.row_number().over(Window.partitionBy("value").orderBy(F.xxhash64("class", F.lit(k))))
-        chosen = mixed.withColumn("hub_no", ordered).filter(F.col("hub_no") <= HUBS)
-        chosen = chosen.select("value", F.col("class").alias("hub"), F.col("n").alias("nh"), F.col("root").alias("root_h"))
-        met = mixed.join(chosen, "value").filter((F.col("root") != F.col("root_h")) & close(F.col("n"), F.col("nh")))
-        found = table(checker.links(met.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()), "edges")
-        edges = edges.unionByName(found)
-        joined = table(components(edges), "components")
-
-    # What is still apart in long lists meets in blocks.
-    label = labelled()
-    apart = label.groupBy("value").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count("*").alias("m")).filter("r1 <> r2")
-    blocks = F.ceil(F.col("m") / LIST_BLOCK).cast("int")
-    rest = table(label.join(apart.select("value", blocks.alias("blocks")), "value"), "apart")
-    facts = rest.groupBy("class").agg(F.collect_list("value").alias("all"))  # at most ``sketch`` values a class
-    top = F.transform("sketch", lambda v: F.shiftright(v, 32).cast("int")).alias("tops")
-    rest = rest.join(facts.join(classes.select("class", top), "class"), "class")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    left = rest.withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = rest.withColumn("to", F.col("block")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.select("value", "block", "to", *[F.col(c).alias(f"{c}_b") for c in ("class", "n", "root", "all", "tops")])
-    both = F.ceil((F.col("n") + F.col("n_b")) * percent / (100 + percent))
-    least = F.when(F.greatest("n", "n_b") <= sketch, both).otherwise(least_shared(sketch, percent))
-    met = left.join(right, ["value", "block", "to"]).filter(
-        (F.col("class") < F.col("class_b")) & (F.col("root") != F.col("root_b")) & close(F.col("n"), F.col("n_b"))
-        & (F.col("value") == F.array_min(F.array_intersect("all", "all_b")))
-        & (F.size(F.array_intersect("tops", "tops_b")) >= least)
-    )
-    late = table(checker.links(met.select(F.col("class").alias("a"), F.col("class_b").alias("b"))), "edges")
+    late = table(_long_links(long, joined, sets, percent, sketch), "edges")
     if late.head(1):
         joined = table(components(edges.unionByName(late)), "components")
 
     named = joined.join(classes.select(F.col("class").alias("node"), "low"), "node")
     lowest = named.groupBy("root").agg(F.min("low").alias("component"))
     of = named.join(lowest, "root").select(F.col("node").alias("class"), "component")
-    facts = classes.join(of, "class", "left").select("class", F.coalesce("component", "low").alias("component"))
+    facts = table(classes.join(of, "class", "left").select("class", F.coalesce("component", "low").alias("component")), "classes")
+    forget(classes, long, sets, edges, late, joined)
     out = base.join(facts, "class", "left")
     component = F.coalesce("component", "id")
     return out.select(
@@ -213,56 +175,153 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     )
 
 
+def _long_links(long: DataFrame, joined: DataFrame | None, sets: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links ``a, b`` within the long lists (``value, class, n``): enough of them to join what is linked; pairs never leave a task.
+
+    Without components (``joined``) each class goes to its longest list only, and a block of a list is compared within
+    itself: that joins most of a group of near copies. With them, every pair of a list whose classes are still in different
+    components is compared: all members in blocks meet, block by block, the members outside the list's largest component.
+    """
+    within = joined is None
+    at = [] if within else ["b_block"]
+    blocks = F.greatest(F.ceil(F.col("m") / LIST_BLOCK), F.ceil(F.col("bulk") / BLOCK_VALUES)).cast("int")
+    if within:
+        lengths = long.groupBy("value").agg(F.count("*").alias("length"))
+        longest = Window.partitionBy("class").orderBy(F.desc("length"), "value")
+        own = long.join(lengths, "value").withColumn("k", F.row_number().over(longest)).filter("k = 1").withColumn("root", F.col("class"))
+        dealt = own.select("value", "class", "n", "root")
+        loads = dealt.groupBy("value").agg(F.count("*").alias("m"), F.sum("n").alias("bulk")).filter("m > 1").select("value", blocks.alias("blocks"))
+        dealt = dealt.join(loads, "value").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(True))
+    else:
+        label = long.join(joined.withColumnRenamed("node", "class"), "class", "left").select("value", "class", "n", F.coalesce("root", "class").alias("root"))
+        by_root = label.groupBy("value", "root").agg(F.count("*").alias("m"), F.sum("n").alias("bulk"))
+        lists = by_root.groupBy("value").agg(
+            F.max_by("root", F.struct("m", "root")).alias("main"), F.count("*").alias("roots"), F.sum("m").alias("m"), F.sum("bulk").alias("bulk")
+        ).filter("roots > 1")
+        lists = lists.select("value", "main", blocks.alias("blocks"))
+        apart = label.join(lists, "value").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+        every = F.sequence(F.lit(0), F.col("blocks") - 1)
+        asks = apart.filter("root <> main").withColumn("b_block", F.col("block")).withColumn("block", F.explode(every)).withColumn("asks", F.lit(True))
+        # A block without any member outside the main component asks nothing; those that ask meet all blocks.
+        asking = apart.filter("root <> main").select("value", F.col("block").alias("b_block")).distinct()
+        answers = apart.join(asking, "value").withColumn("asks", F.lit(False))
+        columns = ["value", "block", "b_block", "class", "n", "root", "asks"]
+        dealt = asks.select(*columns).unionByName(answers.select(*columns))
+    met = dealt.join(sets, "class").select("value", "block", *at, "class", "root", "asks", "set")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        here = group["asks"].to_numpy(bool)
+        asked, others = group[here], group if within else group[~here]
+        found = linked_pairs(
+            [np.frombuffer(x, "u8") for x in asked["set"]], [np.frombuffer(x, "u8") for x in others["set"]],
+            asked["root"].to_list(), others["root"].to_list(), percent, size,
+        )
+        a, b = asked["class"].to_list(), others["class"].to_list()
+        return pd.DataFrame([(min(a[i], b[j]), max(a[i], b[j])) for i, j in found], columns=["a", "b"])
+
+    return met.groupBy("value", "block", *at).applyInPandas(compare, "a binary, b binary")
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of all sets in ``a`` with all in ``b``, by products of 0/1 matrices of ``width`` values."""
+    out = np.zeros((len(a), len(b)), "f4")
+    if not a or not b:
+        return out
+    every = np.concatenate([*a, *b])
+    values, codes = np.unique(every, return_inverse=True)
+    rows = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    in_a = rows < len(a)
+    both = np.zeros(len(values), "u1")
+    both[codes[in_a]] |= 1
+    both[codes[~in_a]] |= 2
+    number = np.cumsum(both == 3) - 1
+    stay = both[codes] == 3
+    rows, codes = rows[stay], number[codes[stay]]
+    order = np.argsort(codes, kind="stable")
+    rows, codes = rows[order], codes[order]
+    for low in range(0, int(codes[-1]) + 1 if len(codes) else 0, width):
+        x, y = np.searchsorted(codes, (low, low + width))
+        m = np.zeros((len(a) + len(b), width), "f4")
+        m[rows[x:y], codes[x:y] - low] = 1
+        out += m[: len(a)] @ m[len(a) :].T
+    return out
+
+
+def linked_pairs(a: list[np.ndarray], b: list[np.ndarray], root_a: list, root_b: list, percent: int, size: int) -> list[tuple[int, int]]:
+    """Positions ``i, j`` of linked pairs that join sets of different roots, none of them twice: a forest over the roots.
+
+    The union sketch leaves out most pairs, the sizes of the intersections of the whole sets decide.
+    """
+    if not a or not b:
+        return []
+    n_a, n_b = (np.array([len(x) for x in sets]) for sets in (a, b))
+    names = {root: k for k, root in enumerate({*root_a, *root_b})}
+    up = np.arange(len(names))
+
+    def top(k: int) -> int:
+        while up[k] != k:
+            up[k] = up[up[k]]
+            k = up[k]
+        return int(k)
+
+    of_a, of_b = (np.array([names[r] for r in roots]) for roots in (root_a, root_b))
+    able = (of_a[:, None] != of_b[None]) & (np.minimum(n_a[:, None], n_b) * 100 >= np.maximum(n_a[:, None], n_b) * percent)
+    least = least_shared(size, percent) / size
+    found = []
+    heads_b = [x[:size] for x in b]
+    for i in np.flatnonzero(able.any(1)):
+        # Of both sketches' values the smallest ``size`` are a sample of the union.
+        js = np.flatnonzero(able[i])
+        js = js[[top(of_b[j]) != top(of_a[i]) for j in js]]
+        if not len(js):
+            continue
+        heads = [heads_b[j] for j in js]
+        joint = np.concatenate(heads)
+        hit = np.isin(joint, a[i][:size])
+        ends = np.cumsum([0, *map(len, heads)])
+        both = np.add.reduceat(hit, ends[:-1]) if len(joint) else np.zeros(len(js), int)
+        of = np.minimum(size, np.minimum(n_a[i], size) + np.minimum(n_b[js], size) - both)
+        js = js[both >= of * least]
+        for low in range(0, len(js), 32):
+            near = js[low : low + 32]
+            near = near[[top(of_b[j]) != top(of_a[i]) for j in near]]
+            if not len(near):
+                continue
+            shared = shared_counts([a[i]], [b[j] for j in near])[0]
+            for j, n in zip(near, shared, strict=True):
+                if 100 * n >= percent * (n_a[i] + n_b[j] - n) and top(of_a[i]) != top(of_b[j]):
+                    up[top(of_a[i])] = top(of_b[j])
+                    found.append((int(i), int(j)))
+    return found
+
+
 class Verifier:
-    """Finds the pairs of classes whose whole sets reach the threshold; sets that were needed once are kept in tables."""
+    """Finds the pairs of classes whose whole sets reach the threshold."""
 
     def __init__(self, docs: DataFrame, base: DataFrame, classes: DataFrame, words: int, percent: int, size: int, id_col: str, text_col: str):
         self.docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         self.base, self.classes, self.words, self.percent, self.size = base, classes, words, percent, size
-        self.sets: DataFrame | None = None
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of ``pairs`` (a, b).
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The ones of ``pairs`` (a, b) whose union sketch is similar enough.
 
-        The union sketch goes first: the ``size`` smallest values of both sketches are a sample of the union, and the
-        share of them that both have estimates the Jaccard similarity. Pairs below ``least_shared`` of ``size`` leave. Of
-        the rest, one text of each class is read again, once, and its whole set compared.
+        The ``size`` smallest values of both sketches are a sample of the union, and the share of them that both have estimates the
+        Jaccard similarity. Pairs below ``least_shared`` of ``size`` leave.
         """
-        percent = self.percent
         side = lambda c, k: self.classes.select(F.col("class").alias(c), F.col("sketch").alias(k))
         near = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
         union = F.slice(F.array_sort(F.array_union("x", "y")), 1, self.size)
         near = near.select("a", "b", F.size(F.array_intersect(F.array_intersect(union, "x"), "y")).alias("both"), F.size(union).alias("of"))
-        near = table(near.filter(F.col("both") * self.size >= F.col("of") * least_shared(self.size, percent)).select("a", "b"), "near")
-        self._add(near)
-
-        def make():
-            def function(columns):
-                stay = []
-                for x, y in zip(columns["x"], columns["y"], strict=True):
-                    shared, union = jaccard(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"))
-                    stay.append(100 * shared >= percent * union)
-                return {"a": columns["a"], "b": columns["b"], "linked": stay}
-
-            return function
+        return table(near.filter(F.col("both") * self.size >= F.col("of") * least_shared(self.size, self.percent)).select("a", "b"), "near")
 
-        whole = lambda c, k: self.sets.select(F.col("class").alias(c), F.col("set").alias(k))
-        out = map_rows(near.join(whole("a", "x"), "a").join(whole("b", "y"), "b"), "a binary, b binary, linked boolean", make)
-        return out.filter("linked").select("a", "b")
-
-    def _add(self, near: DataFrame) -> None:
-        """Read the sets of the classes in ``near`` that aren't there yet."""
+    def sets(self, near: DataFrame, long: DataFrame) -> DataFrame:
+        """``class, set`` of the classes in ``near`` and ``long``, from one text of each, all read in one pass."""
         words = self.words
-        wanted = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
-        if self.sets is not None:
-            wanted = wanted.join(self.sets.select("class"), "class", "left_anti")
+        wanted = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).unionByName(long.select("class")).distinct()
         some = self.base.filter("class is not null and id is not null").join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("id"))
         some = table(some, "wanted")
-        count = some.count()
-        if self.sets is not None and not count:
-            return
         ids = some.select("id").distinct()
-        texts = self.docs.join(F.broadcast(ids) if count <= BROADCAST_ROWS else ids, "id")
+        texts = self.docs.join(F.broadcast(ids) if some.count() <= BROADCAST_ROWS else ids, "id")
 
         def make():
             hashes = kept("word hashes", WordHashes)
@@ -275,4 +334,23 @@ class Verifier:
 
         made = map_rows(texts.select("text"), "class binary, set binary", make)
         made = table(made.join(some.select("class"), "class", "left_semi").groupBy("class").agg(F.first("set").alias("set")), "sets")
-        self.sets = made if self.sets is None else self.sets.unionByName(made)
+        forget(some)
+        return made
+
+    def links(self, near: DataFrame, sets: DataFrame) -> DataFrame:
+        """The linked ones of ``near``, by their whole sets."""
+        percent = self.percent
+
+        def make():
+            def function(columns):
+                stay = []
+                for x, y in zip(columns["x"], columns["y"], strict=True):
+                    shared, union = jaccard(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"))
+                    stay.append(100 * shared >= percent * union)
+                return {"a": columns["a"], "b": columns["b"], "linked": stay}
+
+            return function
+
+        whole = lambda c, k: sets.select(F.col("class").alias(c), F.col("set").alias(k))
+        out = map_rows(near.join(whole("a", "x"), "a").join(whole("b", "y"), "b"), "a binary, b binary, linked boolean", make)
+        return out.filter("linked").select("a", "b")
