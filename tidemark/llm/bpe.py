@@ -14,8 +14,8 @@ from .common import kept, map_rows
 
 #: Unicode's White_Space characters: what ``\s`` means to the public encoders (Python's ``regex`` adds four controls).
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Words that a Python worker remembers; the memory starts afresh when it is full.
-REMEMBERED = 400_000
+#: Pieces that a Python worker remembers, twice over, and the length from which a piece is encoded anew each time.
+REMEMBERED, LONGEST = 300_000, 64
 NO_PAIR = 1 << 62
 
 
@@ -88,46 +88,29 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Words:
-    """Packed ids of whole texts, by way of the parts between single spaces, whose ids a worker remembers.
+class Pieces(dict):
+    """Packed ids of pieces, remembered; when the memory is full, what wasn't met since it last was is forgotten."""
 
-    A space that is followed by a character other than white space always begins a new match of the split pattern, so
-    the parts can be encoded one by one. A text with an empty part or one that begins with white space is encoded
-    whole instead.
-    """
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks, self.before = ranks, {}
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.spaced = encode, {}
-
-    def __call__(self, text: str) -> bytes:
-        head, *rest = text.split(" ")
-        try:
-            return (self.encode([head])[0] if head else b"") + b"".join(map(self.spaced.__getitem__, rest))
-        except KeyError:
-            new = list({part for part in rest if part not in self.spaced})
-            if any(not part or part[0].isspace() for part in new):
-                return self.encode([text])[0]
-            if len(self.spaced) > REMEMBERED:
-                self.spaced.clear()
-                new = list(set(rest))
-            self.spaced.update(zip(new, self.encode([" " + part for part in new]), strict=True))
-            return (self.encode([head])[0] if head else b"") + b"".join(map(self.spaced.__getitem__, rest))
-
-
-def rank_encoder(ranks: dict[bytes, int], pattern: str) -> Words:
-    """An encoder of texts to packed ids for ranks and a split pattern."""
-    split, pieces = split_pattern(pattern), {}
-
-    def packed(piece: str) -> bytes:
-        if (ids := pieces.get(piece)) is None:
-            ids = np.array(merge(piece.encode(), ranks), "<u4").tobytes()
-            if len(piece) < 64:
-                if len(pieces) > REMEMBERED:
-                    pieces.clear()
-                pieces[piece] = ids
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+            if len(piece) >= LONGEST:
+                return ids
+        if len(self) >= REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = ids
         return ids
 
-    return Words(lambda texts: [b"".join(map(packed, split.findall(text))) for text in texts])
+
+def rank_encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str], bytes]:
+    """An encoder of texts to packed ids for ranks and a split pattern."""
+    split, pieces = split_pattern(pattern), Pieces(ranks)
+    return lambda text: b"".join(map(pieces.__getitem__, split.findall(text)))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", packed: bool = False) -> DataFrame:
