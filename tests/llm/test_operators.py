@@ -319,6 +319,29 @@ def test_repeated_runs_match_brute_force():
     assert (htmltext.repeated(tokens, page, 8) == want).all()
 
 
+def test_seeds_find_every_repeated_run():
+    """Through the seeds of chunks of pages: exactly the runs that brute force finds, but for the words compared by a byte."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{k}" for k in range(40)]
+    passages = [[vocabulary[k] for k in rng.integers(0, 40, rng.integers(5, 14))] for _ in range(6)]
+    pages = [[w for _ in range(6) for w in (*passages[rng.integers(0, 6)], *(vocabulary[k] for k in rng.integers(0, 40, rng.integers(0, 6))))] for _ in range(24)]
+    pages += [["short"], [], pages[0][:9]]
+    n, hashes = len(pages), dedup.WordHashes()
+    tokens, page = np.concatenate([[hashes[w.encode()] for w in p] for p in pages if p]), np.repeat(np.arange(n), list(map(len, pages)))
+    want = htmltext.repeated(tokens, page, 8)
+    chunks = [range(0, 10), range(10, n)]
+    own = [htmltext.entries(["h"] * len(c), [f"u{k}" for k in c], [pages[k] for k in c], hashes, 8) for c in chunks]
+    mask = htmltext.repeats(*(np.concatenate([o[k] for o in own]) for k in ("seed", "around", "url")))
+    got, cut = [], len(own[0]["seed"])
+    for c, o, m in zip(chunks, own, (mask[:cut], mask[cut:]), strict=True):
+        for j, k in enumerate(c):
+            at = o["page"] == j
+            begins = {int(a) - b for a, e in zip(o["at"][at], o["entry"][at], strict=True) for b in range(5) if m[e] >> b & 1}
+            got.append(htmltext.cover(np.array([x for x in begins if 0 <= x <= len(pages[k]) - 8], "i8"), len(pages[k]), 8))
+    got = np.concatenate(got)
+    assert want.any() and not want.all() and (got >= want).all() and (got == want).mean() > 0.98
+
+
 def test_licenses(spark):
     texts = ["intro\nReleased under the MIT License.\nend", "Licensed under the Apache License, Version 2.0", "a license to sing", None, "", licenses.TEMPLATES["ISC"].upper()]
     got = {r["doc_id"]: r for r in licenses.scan(documents(spark, texts)).collect()}

@@ -17,9 +17,9 @@ from .dedup import WordHashes, _MIX, _mixed
 
 #: Pages that a task holds at once; the result doesn't depend on it.
 PAGES = 128
-#: Suffixes that one task sorts at once, about.
-SUFFIXES = 2_000_000
-#: Tokens of a run that counts as repeated. A power of two: the suffixes are sorted by prefix doubling up to it.
+#: Words whose seeds (about a third as many) one task sorts at once.
+WORDS = 4_000_000
+#: Tokens of a run that counts as repeated: a power of two, 8 at most.
 RUN = 8
 
 # Elements whose content is never text of the page.
@@ -164,28 +164,77 @@ def cover(hits: np.ndarray, n: int, run: int) -> np.ndarray:
     return np.cumsum(ends[:-1]) > 0
 
 
-def beginnings(host: str | None, words: list[str], hashes: WordHashes, run: int) -> np.ndarray:
-    """64-bit hashes of the first ``run`` words of each suffix of a page that has as many, with the page's host."""
+def seeds(host: str | None, words: list[str], hashes: WordHashes, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``at, seed, around`` of the places by which a page's runs of ``run`` words are found again on other pages.
+
+    Of the windows of ``run / 2`` words in each run the one with the smallest hash (the host's in it) is its seed, the leftmost on
+    ties: equal runs on two pages have equal seeds at equal places, and neighbouring runs share theirs, so that about a third of the
+    suffixes is enough. ``around`` holds a byte for each of the ``run / 2`` words on either side, the left ones lowest; 0 is no word.
+    """
+    half = run // 2
     h = np.fromiter((hashes[w.encode()] for w in words), "u8", len(words))
-    count = max(0, len(h) - run + 1)
+    count = len(h) - half + 1
+    none = np.zeros(0, "u8")
+    if len(h) < run:
+        return np.zeros(0, "i8"), none, none
     x = np.full(count, xxhash.xxh3_64_intdigest((host or "").encode()), "u8")
-    for k in range(run if count else 0):
+    for k in range(half):
         x = _mixed(x * _MIX + h[k : k + count])
-    return x
+    least = np.lib.stride_tricks.sliding_window_view(x, run - half + 1).argmin(1)
+    at = np.unique(np.arange(len(least)) + least)
+    marks = np.concatenate([np.zeros(half, "u8"), h % np.uint64(255) + np.uint64(1), np.zeros(half, "u8")])
+    around = np.zeros(len(at), "u8")
+    for k in range(half):
+        around |= marks[at + k] << np.uint64(8 * k)
+        around |= marks[at + 2 * half + k] << np.uint64(8 * (half + k))
+    return at, x[at], around
+
+
+def entries(hosts: list, urls: list, pages: list[list[str]], hashes: WordHashes, run: int) -> dict[str, np.ndarray]:
+    """The seeds of a chunk of pages, ``page, at, entry``, and its entries ``seed, around, url``: each seed with the same words around once, or twice if it is on more than one url."""
+    found = [seeds(host, page, hashes, run) for host, page in zip(hosts, pages, strict=True)]
+    page = np.repeat(np.arange(len(pages)), [len(f[0]) for f in found])
+    at, seed, around = (np.concatenate([np.zeros(0, kind), *(f[k] for f in found)]) for k, kind in enumerate(("i8", "u8", "u8")))
+    marks = np.array([xxhash.xxh3_64_intdigest((u or "").encode()) & 0xFFFFFFFF for u in urls], "u4")
+    url = marks[page] if len(page) else np.zeros(0, "u4")
+    order = np.lexsort((url, around, seed))
+    page, at, seed, around, url = (v[order] for v in (page, at, seed, around, url))
+    first = np.r_[True, (seed[1:] != seed[:-1]) | (around[1:] != around[:-1])] if len(seed) else np.zeros(0, bool)
+    last = np.r_[first[1:], True] if len(seed) else first
+    stay = first | last & np.r_[False, url[1:] != url[:-1]] if len(seed) else first
+    entry = np.cumsum(stay) - 1
+    entry = entry[np.maximum.accumulate(np.where(first, np.arange(len(seed)), 0))] if len(seed) else entry  # that of the first
+    return {"page": page, "at": at, "entry": entry, "seed": seed[stay], "around": around[stay], "url": url[stay]}
+
+
+def repeats(seed: np.ndarray, around: np.ndarray, url: np.ndarray, run: int = RUN) -> np.ndarray:
+    """A byte for each entry; bit k is set if the run that begins k words before the seed is on more than one url."""
+    half, out = run // 2, np.zeros(len(seed), "u1")
+    for k in range(half + 1):
+        mask = sum(0xFF << (8 * t) for t in (*range(half - k, half), *range(half, 2 * half - k)))
+        x = _mixed(seed * _MIX + (around & np.uint64(mask)))
+        order = np.argsort(x, kind="stable")  # the suffixes from here on, by their first ``run`` words
+        x, own = x[order], url[order]
+        starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, "i8")
+        if len(starts):
+            distinct = np.maximum.reduceat(own, starts) != np.minimum.reduceat(own, starts)
+            out[order[np.repeat(distinct, np.diff(np.r_[starts, len(x)]))]] |= np.uint8(1 << k)
+    return out
 
 
 def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``id_col, url_col, text, n_chars, n_repeated`` of every page; ``n_repeated`` counts the words of its text that lie in repeated runs.
 
-    Runs of at least ``run`` words on distinct pages of a host are found over the whole host. Pages are parsed once, in
-    chunks of ``pages_at_once``; the suffixes of their word streams are dealt by a hash of their host and first
-    ``run`` words, so that equal beginnings of all chunks meet in one sort; those on distinct urls go back to their chunks.
-    A chunk sends each beginning with two urls at most, so a run on all pages of a host with any share of all
-    pages is a few entries a chunk, and a host is spread over many tasks.
+    Runs of at least ``run`` words (8 at most) on distinct pages of a host are found over the whole host. Pages are parsed once, in
+    chunks of ``pages_at_once``; menus, notices and the like are dropped by the page's structure. Of the word streams of what is
+    left, the suffixes at their seeds (see ``seeds``) are dealt by hash of host and seed, so that equal beginnings of all
+    chunks meet in one sort; a byte an entry goes back to its chunk. A chunk sends a seed with the same words around it twice
+    at most, so a run on all pages of a host with any share of all pages is a few entries a chunk, and a host is spread over
+    many tasks. Words around a seed are compared by a byte each: a run one word too short counts with a probability of 1/255.
 
     Where the page marks its article (or main element), that is the text and
     repeats within it stay: articles that quote each other are no boilerplate. On other pages blocks of which
-    repeated runs cover more than half are boilerplate; what menus, notices and the like hold is dropped on all.
+    repeated runs cover more than half are boilerplate.
 
     A null or empty page has the empty text. A null url is a host of its own; repeated pages are pages of the same url and don't
     count as distinct. Null ids are kept; other columns are not carried.
@@ -196,88 +245,82 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
 
     def parse():
         def function(columns):
-            found = [blocks(page) for page in columns["html"]]
-            suffixes = sum(max(0, sum(text.count(" ") + 1 for _, text in own) - run + 1) for own in found)
-            out = {"chunk": uuid.uuid4().hex, "suffixes": suffixes, "ids": columns["id"], "urls": columns["url"], "hosts": columns["host"]}
-            out |= {"kinds": [[kind for kind, _ in own] for own in found], "texts": [[text for _, text in own] for own in found]}
+            found = [[(kind, text) for kind, text in blocks(page) if kind != AROUND] for page in columns["html"]]
+            words = sum(text.count(" ") + 1 for own in found for _, text in own)
+            out = {"chunk": uuid.uuid4().hex, "words": words, "ids": columns["id"], "urls": columns["url"], "hosts": columns["host"]}
+            out |= {"marked": [any(kind == MAIN for kind, _ in own) for own in found], "texts": [[text for _, text in own] for own in found]}
             return {name: [value] for name, value in out.items()}
 
         return function
 
-    schema = f"chunk string, suffixes bigint, ids array<{kinds[0]}>, urls array<{kinds[1]}>, hosts array<string>, kinds array<array<int>>, texts array<array<string>>"
+    schema = f"chunk string, words bigint, ids array<{kinds[0]}>, urls array<{kinds[1]}>, hosts array<string>, marked array<boolean>, texts array<array<string>>"
     parsed = table(map_rows(rows, schema, parse, pages_at_once), "parsed")
-    parts = max(1, -(-(parsed.agg(F.sum("suffixes")).first()[0] or 0) // SUFFIXES))
+    parts = max(1, -(-(parsed.agg(F.sum("words")).first()[0] or 0) // WORDS))
+
+    def own_entries(columns: dict, hashes: WordHashes):
+        for chunk, urls, hosts, texts in zip(*(columns[c] for c in ("chunk", "urls", "hosts", "texts")), strict=True):
+            own = entries(hosts, urls, [" ".join(page).split() for page in texts], hashes, run)
+            part = (own["seed"] % np.uint64(parts)).astype("i8")
+            order = np.argsort(part, kind="stable")
+            yield chunk, own, order, np.searchsorted(part[order], np.arange(parts + 1))
 
     def deal():
         hashes = kept("word hashes", WordHashes)
 
         def function(columns):
-            out = {"chunk": [], "part": [], "beginnings": [], "urls": []}
-            for chunk, urls, hosts, texts in zip(*(columns[c] for c in ("chunk", "urls", "hosts", "texts")), strict=True):
-                own = [beginnings(host, " ".join(page).split(), hashes, run) for host, page in zip(hosts, texts, strict=True)]
-                x = np.concatenate([np.zeros(0, "u8"), *own])
-                url = np.repeat(np.array([xxhash.xxh3_64_intdigest((u or "").encode()) & 0xFFFFFFFF for u in urls], "u4"), [len(o) for o in own])
-                order = np.lexsort((url, x))
-                x, url = x[order], url[order]
-                ends = np.r_[True, x[1:] != x[:-1]] if len(x) else np.zeros(0, bool)
-                lasts = np.r_[ends[1:], True] if len(x) else ends
-                stay = ends | lasts & np.r_[False, url[1:] != url[:-1]] if len(x) else ends
-                x, url = x[stay], url[stay]
-                part = (x % np.uint64(parts)).astype("i8")
-                order = np.lexsort((url, part))  # by url, so that the urls compress
-                x, url, part = x[order], url[order], part[order]
-                cuts = np.searchsorted(part, np.arange(parts + 1))
+            out = {"chunk": [], "part": [], "seeds": [], "around": [], "urls": []}
+            for chunk, own, order, cuts in own_entries(columns, hashes):
                 for k in np.flatnonzero(np.diff(cuts)):
-                    a, b = cuts[k], cuts[k + 1]
-                    for name, value in zip(out, (chunk, int(k), x[a:b].tobytes(), url[a:b].tobytes()), strict=True):
+                    at = order[cuts[k] : cuts[k + 1]]
+                    at_part = (own["seed"][at] >> np.uint64(32)).astype("u4")  # the low bits tell the part
+                    for name, value in zip(out, (chunk, int(k), at_part.tobytes(), own["around"][at].tobytes(), own["url"][at].tobytes()), strict=True):
                         out[name].append(value)
             return out
 
         return function
 
     def find(group: pd.DataFrame) -> pd.DataFrame:
-        x, url = np.frombuffer(b"".join(group["beginnings"]), "u8"), np.frombuffer(b"".join(group["urls"]), "u4")
-        chunk = np.repeat(np.arange(len(group)), [len(b) // 8 for b in group["beginnings"]])
-        order = np.argsort(x, kind="stable")
-        x, url, chunk = x[order], url[order], chunk[order]
-        starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-        distinct = np.maximum.reduceat(url, starts) != np.minimum.reduceat(url, starts)
-        hits = np.repeat(distinct, np.diff(np.r_[starts, len(x)]))
-        x, chunk = x[hits], chunk[hits]
-        order = np.argsort(chunk, kind="stable")
-        x, cuts = x[order], np.searchsorted(chunk[order], np.arange(len(group) + 1))
-        names = group["chunk"].to_list()
-        back = [(names[k], np.unique(x[cuts[k] : cuts[k + 1]]).tobytes()) for k in np.flatnonzero(np.diff(cuts))]
-        return pd.DataFrame(back, columns=["chunk", "hits"])
-
-    dealt = map_rows(parsed.select("chunk", "urls", "hosts", "texts"), "chunk string, part int, beginnings binary, urls binary", deal, 1)
-    hits = dealt.groupBy("part").applyInPandas(find, "chunk string, hits binary").groupBy("chunk").agg(F.collect_list("hits").alias("hits"))
+        seed, around, url = (np.frombuffer(b"".join(group[c]), kind) for c, kind in (("seeds", "u4"), ("around", "u8"), ("urls", "u4")))
+        hits = repeats(seed.astype("u8"), around, url, run).tobytes()
+        ends = np.cumsum([0, *(len(u) // 4 for u in group["urls"])])
+        back = [(chunk, part, hits[a:b]) for chunk, part, a, b in zip(group["chunk"], group["part"], ends[:-1], ends[1:], strict=True)]
+        return pd.DataFrame(back, columns=["chunk", "part", "hits"])
+
+    dealt = map_rows(parsed.select("chunk", "urls", "hosts", "texts"), "chunk string, part int, seeds binary, around binary, urls binary", deal, 1)
+    hits = dealt.groupBy("part").applyInPandas(find, "chunk string, part int, hits binary")
+    hits = hits.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("part", "hits"))).alias("found"))
 
     def judge():
         hashes = kept("word hashes", WordHashes)
 
         def function(columns):
             out = {"id": [], "url": [], "text": [], "n_repeated": []}
-            for ids, urls, hosts, kinds_, texts, found in zip(*(columns[c] for c in ("ids", "urls", "hosts", "kinds", "texts", "hits")), strict=True):
-                known = np.sort(np.frombuffer(b"".join(found or []), "u8"))
-                for id_, url, host, kind, page in zip(ids, urls, hosts, kinds_, texts, strict=True):
-                    x = beginnings(host, " ".join(page).split(), hashes, run)
-                    at = np.flatnonzero(np.isin(x, known))
+            several = zip(own_entries(columns, hashes), *(columns[c] for c in ("ids", "urls", "marked", "texts", "found")), strict=True)
+            for (_, own, order, _), ids, urls, marked, texts, found in several:
+                mask = np.zeros(len(order), "u1")
+                mask[order] = np.frombuffer(b"".join(bytes(f["hits"]) for f in found or []), "u1")
+                mask = mask[own["entry"]]
+                cuts = np.argsort(own["page"], kind="stable")
+                bounds = np.searchsorted(own["page"][cuts], np.arange(len(texts) + 1))
+                for k, (id_, url, main, page) in enumerate(zip(ids, urls, marked, texts, strict=True)):
+                    here = cuts[bounds[k] : bounds[k + 1]]
                     ends = np.cumsum([0, *(text.count(" ") + 1 for text in page)])
-                    covered = np.r_[0, np.cumsum(cover(at, int(ends[-1]), run))]
-                    stay, n = [], 0
-                    for k, text in enumerate(page):
-                        a, b = ends[k], ends[k + 1]
-                        hit = int(covered[b] - covered[a])
-                        if kind[k] == MAIN or kind[k] == OTHER and 2 * hit <= b - a:
+                    n = int(ends[-1])
+                    begins = np.concatenate([own["at"][here][(mask[here] >> back & 1) == 1] - back for back in range(run // 2 + 1)])
+                    begins = np.unique(begins[(begins >= 0) & (begins + run <= n)])
+                    covered = np.r_[0, np.cumsum(cover(begins, n, run))]
+                    stay, repeated_words = [], 0
+                    for b, text in enumerate(page):
+                        hit = int(covered[ends[b + 1]] - covered[ends[b]])
+                        if main or 2 * hit <= ends[b + 1] - ends[b]:
                             stay.append(text)
-                            n += hit
-                    for name, value in zip(out, (id_, url, " ".join(stay), n), strict=True):
+                            repeated_words += hit
+                    for name, value in zip(out, (id_, url, " ".join(stay), repeated_words), strict=True):
                         out[name].append(value)
             return out
 
         return function
 
-    met = parsed.join(hits, "chunk", "left").select("ids", "urls", "hosts", "kinds", "texts", "hits")
+    met = parsed.join(hits, "chunk", "left").select("chunk", "ids", "urls", "hosts", "marked", "texts", "found")
     out = map_rows(met, f"id {kinds[0]}, url {kinds[1]}, text string, n_repeated bigint", judge, 1)
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
