@@ -19,8 +19,10 @@ _kept: dict = {}
 
 
 def kept(key, build: Callable):
-    """``build()``, once in the life of a worker for a key: memories of words outlive the task that made them."""
+    """``build()``, once in a worker for a key: a memory of words outlives the task that made it, until another one is asked for."""
     if key not in _kept:
+        _kept.clear()  # a worker that several operators use never holds the memories of all
+        pa.default_memory_pool().release_unused()
         _kept[key] = build()
     return _kept[key]
 
