@@ -7,6 +7,9 @@ lies, once. Rows of one busy sequence so spread over its bins, and no plan has a
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +17,8 @@ from ..sources import scratch
 
 #: Positions in a bin of the overlap joins, unless the caller says how long its intervals are.
 BIN = 1000
+#: Positions that one task sweeps in order.
+TILE = 10_000
 
 
 def _binned(df: DataFrame, start: Column, end: Column, width: int, name: str) -> DataFrame:
@@ -36,25 +41,59 @@ def overlaps(left: DataFrame, right: DataFrame, key: str = "chrom", width: int =
     return a.join(b, on & once & (shared >= least)).drop("_bin", "_r_bin")
 
 
-def merge(df: DataFrame, keys: list[str], slack: int = 0) -> DataFrame:
-    """Rows with ``island``: the number of the merged run, within ``keys``, of intervals that touch or are at most ``slack`` apart."""
-    order = Window.partitionBy(*keys).orderBy("start", "end")
-    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opens = (before.isNull() | (F.col("start") > before + slack)).cast("int")
-    return df.withColumn("_opens", opens).withColumn("island", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_opens")
+def _tiled(df: DataFrame, keys: list[str], at: str, tile: int, state: dict[str, Column], back: tuple[str, ...] = ()) -> DataFrame:
+    """Rows with ``_tile`` (``at`` by ``tile`` positions) and each ``state`` of all tiles before (behind, for those in ``back``) within ``keys``.
+
+    States are maxima, minima for those in ``back``. A tile has one row of states, so a sequence is swept by as many tasks as it has
+    tiles, and only the tiles' states go through one window.
+    """
+    rows = df.withColumn("_tile", F.floor(F.col(at) / tile).cast("long"))
+    tiles = rows.groupBy(*keys, "_tile").agg(*[c.alias(k) for k, c in state.items()])
+    ahead = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(1, Window.unboundedFollowing)
+    found = [(F.min(k).over(behind) if k in back else F.max(k).over(ahead)).alias(k) for k in state]
+    carried = tiles.select(*[F.col(k).alias(f"_{i}_key") for i, k in enumerate([*keys, "_tile"])], *found)
+    on = [F.col(k).eqNullSafe(F.col(f"_{i}_key")) for i, k in enumerate([*keys, "_tile"])]
+    return rows.join(carried, reduce(and_, on)).select(*rows.columns, *state)
+
+
+def _opened(df: DataFrame, keys: list[str], slack: int, tile: int) -> DataFrame:
+    """Rows with ``_before``, the largest end before each within ``keys``, and ``_opens``: whether the row begins a merged run."""
+    rows = _tiled(df, keys, "start", tile, {"_carried": F.max("end")})
+    order = Window.partitionBy(*keys, "_tile").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_before", F.greatest(F.max("end").over(order), "_carried")).drop("_carried", "_tile")
+    return rows.withColumn("_opens", F.col("_before").isNull() | (F.col("start") > F.col("_before") + slack))
+
+
+def merge(df: DataFrame, keys: list[str], slack: int = 0, tile: int = TILE) -> DataFrame:
+    """Rows with ``island``: the start of the merged run, within ``keys``, of intervals that touch or are at most ``slack`` apart.
+
+    A busy sequence is swept in tiles of ``tile`` positions; each takes up the largest end and the open run of the tiles before.
+    """
+    first = F.when(F.col("_opens"), F.col("start"))
+    rows = _tiled(_opened(df, keys, slack, tile), keys, "start", tile, {"_run": F.max(first)})
+    order = Window.partitionBy(*keys, "_tile").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("island", F.greatest(F.max(first).over(order), "_run")).drop("_opens", "_before", "_run", "_tile")
+
 
+def covered(df: DataFrame, keys: list[str], id_col: str, tile: int = TILE) -> DataFrame:
+    """Rows with ``contained``: whether an interval that sorts before (smaller start, or equal start and larger end, then smaller id) reaches as far."""
+    rows = _tiled(df, keys, "start", tile, {"_carried": F.max("end")})
+    order = Window.partitionBy(*keys, "_tile").orderBy("start", F.desc("end"), id_col).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.greatest(F.max("end").over(order), "_carried")
+    return rows.withColumn("contained", F.coalesce(before >= F.col("end"), F.lit(False))).drop("_carried", "_tile")
 
-def merged(df: DataFrame, keys: list[str], slack: int = 0, **more: Column) -> DataFrame:
+
+def merged(df: DataFrame, keys: list[str], slack: int = 0, tile: int = TILE, **more: Column) -> DataFrame:
     """One row per merged run: ``keys, start, end``, the number of intervals ``n`` and further aggregates."""
-    runs = merge(df, keys, slack).groupBy(*keys, "island")
+    runs = merge(df, keys, slack, tile).groupBy(*keys, "island")
     return runs.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), *[c.alias(k) for k, c in more.items()]).drop("island")
 
 
-def gaps(df: DataFrame, key: str = "chrom") -> DataFrame:
-    """The stretches between merged intervals of each sequence, within their span."""
-    runs = merged(df, [key])
-    order = Window.partitionBy(key).orderBy("start")
-    return runs.select(key, F.lag("end").over(order).alias("start"), F.col("start").alias("end")).filter("start < end")
+def gaps(df: DataFrame, key: str = "chrom", tile: int = TILE) -> DataFrame:
+    """The stretches between merged intervals of each sequence, within their span: a run that opens behind others ends a gap."""
+    opened = _opened(df, [key], 0, tile).filter(F.col("_opens") & F.col("_before").isNotNull())
+    return opened.select(key, F.col("_before").alias("start"), F.col("start").alias("end")).distinct()
 
 
 def subtract(left: DataFrame, right: DataFrame, id_col: str, key: str = "chrom", width: int = BIN) -> DataFrame:
@@ -71,24 +110,60 @@ def subtract(left: DataFrame, right: DataFrame, id_col: str, key: str = "chrom",
     return cut.unionByName(whole)
 
 
-def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str = "chrom") -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key: str = "chrom", tile: int = TILE) -> DataFrame:
     """For each left row the right row with the nearest middle, the one with the smaller middle on ties (then the smaller id).
 
-    Both sides are one sorted stream per sequence; the last right row before and the first behind each left row are
-    carried along, so nothing is paired. ``middle`` is a column of both.
+    Both sides are one sorted stream per tile of a sequence; the last right row before and the first behind each left row are
+    carried along, also over tiles, so nothing is paired. ``middle`` is a column of both.
     """
     both = left.select(key, F.col("middle").alias("at"), F.col(left_id).alias("left_id"), F.lit(None).cast("struct<at:double,id:string>").alias("r"))
     right_row = F.struct(F.col("middle").cast("double").alias("at"), F.col(right_id).cast("string").alias("id"))
     low = right.groupBy(key, "middle").agg(F.min(F.col(right_id)).alias(right_id))
     both = both.unionByName(low.select(key, F.col("middle").alias("at"), F.lit(None).cast(left.schema[left_id].dataType).alias("left_id"), right_row.alias("r")))
-    order = Window.partitionBy(key).orderBy("at", F.col("left_id").isNotNull().cast("int"))
-    prev = F.last("r", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    back = Window.partitionBy(key).orderBy(F.desc("at"), F.col("left_id").isNotNull().cast("int"))
-    follow = F.last("r", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
-    found = both.withColumn("p", prev).withColumn("f", follow).filter("left_id is not null")
+    both = _tiled(both, [key], "at", tile, {"_last": F.max("r"), "_next": F.min("r")}, back=("_next",))
+    own = Window.partitionBy(key, "_tile")
+    asks = F.col("left_id").isNotNull().cast("int")
+    prev = F.last("r", ignorenulls=True).over(own.orderBy("at", asks).rowsBetween(Window.unboundedPreceding, 0))
+    follow = F.last("r", ignorenulls=True).over(own.orderBy(F.desc("at"), asks).rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("p", F.coalesce(prev, "_last")).withColumn("f", F.coalesce(follow, "_next")).filter("left_id is not null")
     take = (F.col("f").isNull()) | (F.col("p").isNotNull() & (F.col("at") - F.col("p.at") <= F.col("f.at") - F.col("at")))
     best = F.when(take, F.col("p")).otherwise(F.col("f"))
-    return found.select(F.col("left_id").alias(left_id), best["id"].alias("near_id"), F.abs(best["at"] - F.col("at")).alias("distance"))
+    return found.filter("p is not null or f is not null").select(F.col("left_id").alias(left_id), best["id"].alias("near_id"), F.abs(best["at"] - F.col("at")).alias("distance"))
+
+
+def numbered(df: DataFrame, keys: list[str], at: str, order: list[Column], name: str, one: Column | None = None, tile: int = TILE) -> DataFrame:
+    """Rows with the running sum of ``one`` (default: 1 a row) in ``order`` within ``keys``; ``order`` must begin with ``at``, ascending.
+
+    Each tile counts for itself and adds the sum of the tiles before it.
+    """
+    one = F.lit(1) if one is None else one
+    rows = df.withColumn("_tile", F.floor(F.col(at) / tile).cast("long"))
+    tiles = rows.groupBy(*keys, "_tile").agg(F.sum(one).alias("_own"))
+    ahead = tiles.select(*keys, "_tile", (F.sum("_own").over(Window.partitionBy(*keys).orderBy("_tile")) - F.col("_own")).alias("_ahead"))
+    own = F.sum(one).over(Window.partitionBy(*keys, "_tile").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return rows.join(ahead, [*keys, "_tile"]).withColumn(name, own + F.col("_ahead")).drop("_tile", "_ahead")
+
+
+def nearest_sides(left: DataFrame, right: DataFrame, k: int, key: str = "chrom", left_id: str = "region_id", right_id: str = "gene", tile: int = TILE) -> DataFrame:
+    """``left_id, side, rank, right_id, delta`` of the k nearest right rows on each side by middles, ties by id; missing neighbours are null rows.
+
+    Right rows get numbers along their sequence, once by (middle, id desc) and once by (middle, id). A left row needs the k
+    numbers up to the last at or before its middle, and the k after it: it finds that number in one sorted
+    stream, and an equi-join on (sequence, number) brings the rows. No left row meets more than 2k right rows.
+    """
+    up = numbered(right, [key], "middle", [F.col("middle"), F.desc(right_id)], "no", tile=tile).withColumn("side", F.lit("left"))
+    down = numbered(right, [key], "middle", [F.col("middle"), F.col(right_id)], "no", tile=tile).withColumn("side", F.lit("right"))
+    there = up.unionByName(down).select(key, "side", "no", "middle", F.col(right_id))
+    stream = left.select(key, "middle", left_id, F.lit(0).alias("one")).unionByName(
+        right.select(key, "middle", F.lit(None).cast(left.schema[left_id].dataType).alias(left_id), F.lit(1).alias("one"))
+    )
+    at = numbered(stream, [key], "middle", [F.col("middle"), F.desc("one")], "before", F.col("one"), tile).filter(F.col(left_id).isNotNull())
+    steps = at.select(key, left_id, F.col("middle").alias("mid"), "before", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank"))
+    sides = F.explode(F.array(
+        F.struct(F.lit("left").alias("side"), (F.col("before") - F.col("rank") + 1).alias("no")), F.struct(F.lit("right").alias("side"), (F.col("before") + F.col("rank")).alias("no"))
+    )).alias("s")
+    asked = steps.select(key, left_id, "mid", "rank", sides).select(key, left_id, "mid", "rank", "s.side", "s.no")
+    return asked.join(there, [key, "side", "no"], "left").select(left_id, "side", "rank", right_id, (F.col("middle") - F.col("mid")).alias("delta"))
 
 
 def window_counts(reads: DataFrame, lengths: Column, size: int, step: int, inner: int | None = None, value: str = "weight", groups: tuple[str, ...] = ()) -> DataFrame:
@@ -122,7 +197,7 @@ def coverage(pairs: DataFrame, id_col: str, start: str, end: str, lo: str, hi: s
     return joined.select(id_col, "bp", F.sum(F.coalesce("d", F.lit(0.0))).over(order).alias("cov"))
 
 
-def running_total(df: DataFrame, value: str, order: list[Column], name: str, parts: int = 16) -> DataFrame:
+def running_total(df: DataFrame, value: str, order: list[Column], name: str) -> DataFrame:
     """Global running sum of ``value`` in ``order`` without one task that sees all rows.
 
     Rows are range-partitioned by ``order``; the partitions' totals (one row each) are summed in front of each, and
@@ -130,7 +205,7 @@ def running_total(df: DataFrame, value: str, order: list[Column], name: str, par
     from a sample and must be the same for the totals and the sums, also after a lost executor.
     """
     path = scratch(df.sparkSession, "ranged")
-    df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
     ranged = df.sparkSession.read.parquet(path)
     inside = ranged.withColumn("_sum", F.sum(value).over(Window.partitionBy("_part").orderBy(*order)))
     totals = ranged.groupBy("_part").agg(F.sum(value).alias("_total"))

@@ -165,39 +165,18 @@ def joi6(spark, sf):
 
 @query(
     "joi7_three_nearest_each_side",
-    v.sql("regions", """, a AS (SELECT region_id, chrom, (start + "end") // 2 AS middle FROM regions WHERE score > 40),
-  b AS (SELECT region_id AS gene, chrom, (start + "end") // 2 AS middle FROM regions WHERE score <= 2),
+    v.sql("regions", """, a AS (SELECT region_id, chrom, (start + "end") // 2 AS middle FROM regions WHERE strand = '+'),
+  b AS (SELECT region_id AS gene, chrom, (start + "end") // 2 AS middle FROM regions WHERE strand = '-'),
   p AS (SELECT a.region_id, b.gene, b.middle - a.middle AS delta, CASE WHEN b.middle <= a.middle THEN 'left' ELSE 'right' END AS side FROM a JOIN b ON a.chrom = b.chrom),
-  r AS (SELECT *, row_number() OVER (PARTITION BY region_id, side ORDER BY abs(delta), gene) AS k FROM p)
-  SELECT region_id, side, CAST(k AS INTEGER) AS rank, gene, delta FROM r WHERE k <= 3"""),
+  r AS (SELECT *, row_number() OVER (PARTITION BY region_id, side ORDER BY abs(delta), gene) AS k FROM p),
+  e AS (SELECT region_id, side, rank FROM a, (SELECT unnest(['left', 'right']) AS side), (SELECT unnest([1, 2, 3]) AS rank))
+  SELECT e.region_id, e.side, CAST(e.rank AS INTEGER) AS rank, r.gene, r.delta FROM e LEFT JOIN r ON r.region_id = e.region_id AND r.side = e.side AND r.k = e.rank"""),
 )
 def joi7(spark, sf):
-    """Each side from a stream per sequence: a left row takes the ids of the next three right positions on that side."""
-    a = v.regions(spark, sf).filter("score > 40").selectExpr("region_id", "chrom", "(start + end) div 2 as middle")
-    b = v.regions(spark, sf).filter("score <= 2").selectExpr("region_id as gene", "chrom", "(start + end) div 2 as middle")
-    return nearest_sides(a, b, 3)
-
-
-def nearest_sides(left, right, k: int):
-    """``region_id, side, rank, gene, delta`` of the k nearest right rows on each side by middles, ties by gene.
-
-    Right rows get numbers along their sequence, once by (middle, gene desc) and once by (middle, gene). A left row needs the k
-    numbers up to the last at or before its middle, and the k after it: it finds that number in one sorted
-    stream, and an equi-join on (chrom, number) brings the rows. No left row meets more than 2k right rows.
-    """
-    up, down = Window.partitionBy("chrom").orderBy("middle", F.desc("gene")), Window.partitionBy("chrom").orderBy("middle", "gene")
-    numbered = right.withColumn("up", F.row_number().over(up)).withColumn("down", F.row_number().over(down))
-    stream = left.select("chrom", "middle", "region_id", F.lit(0).alias("one")).unionByName(
-        right.select("chrom", "middle", F.lit(None).cast("string").alias("region_id"), F.lit(1).alias("one"))
-    )
-    order = Window.partitionBy("chrom").orderBy("middle", F.desc("one")).rowsBetween(Window.unboundedPreceding, 0)
-    at = stream.withColumn("before", F.sum("one").over(order)).filter("region_id is not null")
-    steps = F.explode(F.sequence(F.lit(1), F.lit(k))).alias("rank")
-    lefts = at.select("chrom", "region_id", F.col("middle").alias("mid"), steps, "before").withColumn("up", F.col("before") - F.col("rank") + 1)
-    rights = at.select("chrom", "region_id", F.col("middle").alias("mid"), steps, "before").withColumn("down", F.col("before") + F.col("rank"))
-    row = ["region_id", "side", "rank", "gene", (F.col("middle") - F.col("mid")).alias("delta")]
-    found = lefts.join(numbered.select("chrom", "middle", "gene", "up"), ["chrom", "up"]).withColumn("side", F.lit("left")).select(*row)
-    return found.unionByName(rights.join(numbered.select("chrom", "middle", "gene", "down"), ["chrom", "down"]).withColumn("side", F.lit("right")).select(*row))
+    """Peaks (the + regions) with the next three genes (the - regions) on either side, null where there are fewer."""
+    a = v.regions(spark, sf).filter("strand = '+'").selectExpr("region_id", "chrom", "(start + end) div 2 as middle")
+    b = v.regions(spark, sf).filter("strand = '-'").selectExpr("region_id as gene", "chrom", "(start + end) div 2 as middle")
+    return iv.nearest_sides(a, b, 3)
 
 
 @query(
@@ -258,6 +237,16 @@ def fil13(spark, sf):
     return windows(spark, sf).filter("bg_0 + bg_1 < 60")
 
 
+@query(
+    "fil13_background_filter_report",
+    v.sql("reads", _WINDOWS + " SELECT count(*) AS windows, count(*) FILTER (bg_0 + bg_1 >= 60) AS dropped, round(100.0 * count(*) FILTER (bg_0 + bg_1 >= 60) / count(*), 6) AS percent FROM windows"),
+)
+def fil13_report(spark, sf):
+    """How many windows the background filter drops."""
+    dropped = F.count_if(F.expr("bg_0 + bg_1 >= 60"))
+    return windows(spark, sf).agg(F.count("*").alias("windows"), dropped.alias("dropped"), F.round(100.0 * dropped / F.count("*"), 6).alias("percent"))
+
+
 @query(
     "fil14_combined_cut",
     v.sql("reads", _WINDOWS + " SELECT chrom, start, fg_0 + fg_1 AS score FROM windows WHERE bg_0 + bg_1 <= 80 AND fg_0 + fg_1 > 5"),
@@ -341,6 +330,16 @@ def agg13(spark, sf):
     return iv.merged(_few(spark, sf), ["chrom"], slack=2, members=members)
 
 
+@query(
+    "agg13_contained_clusters",
+    v.sql("regions", """, o AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start, "end" DESC, region_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM regions)
+  SELECT o.region_id, o.before IS NOT NULL AND o.before >= o."end" AS contained FROM o"""),
+)
+def agg13_contained(spark, sf):
+    """Regions that lie wholly in an earlier one: the cluster predicate is the caller's, here containment instead of overlap."""
+    return iv.covered(v.regions(spark, sf), ["chrom"], "region_id").select("region_id", "contained")
+
+
 @query(
     "agg14_complement",
     v.sql("regions", _FEW + _ISLANDS.format(t="few", slack=0) + """, m AS (SELECT chrom, min(start) AS s, max("end") AS e FROM i GROUP BY chrom, island),

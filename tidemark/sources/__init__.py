@@ -12,9 +12,11 @@ from ..functions import sequence as sq
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir; a temporary one where it is unset)."""
+    """A new path in the folder that driver and executors share: spark.checkpoint.dir. Only in local mode may it be unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
