@@ -143,7 +143,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, sketch:
     asked = F.when(F.col("n") <= sketch, whole).otherwise(least_shared(sketch, percent))
     lists = rows.withColumn("place", place).filter(F.col("place") <= F.col("s") - asked + 1)
     lists = table(lists.select("value", "class", "n"), "lists")
-    lengths = lists.groupBy("value").agg(F.count("*").alias("length"), F.min("class").alias("first")).filter("length > 1")
+    lengths = lists.groupBy("value").agg(F.count("*").alias("length"), F.min("class").alias("first"), F.bit_xor(F.xxhash64("class")).alias("who")).filter("length > 1")
+    # Lists of the same classes give the same pairs: one of them is enough.
+    lengths = lengths.groupBy("length", "first", "who").agg(F.min("value").alias("value")).drop("who")
     members = lists.join(lengths, "value")
 
     short = members.filter(F.col("length") <= SHORT_LIST).select("value", "class", "n")
@@ -250,12 +252,23 @@ def shared_counts(a: list[np.ndarray], b: list[np.ndarray], width: int = 4096) -
 def linked_pairs(a: list[np.ndarray], b: list[np.ndarray], root_a: list, root_b: list, percent: int, size: int) -> list[tuple[int, int]]:
     """Positions ``i, j`` of linked pairs that join sets of different roots, none of them twice: a forest over the roots.
 
-    The union sketch leaves out most pairs, the sizes of the intersections of the whole sets decide.
+    The sketches (the ``size`` smallest values) leave out most pairs; of the rest, the sizes of the intersections of the whole
+    sets decide. All pairs are counted at once.
     """
     if not a or not b:
         return []
     n_a, n_b = (np.array([len(x) for x in sets]) for sets in (a, b))
     names = {root: k for k, root in enumerate({*root_a, *root_b})}
+    of_a, of_b = (np.array([names[r] for r in roots]) for roots in (root_a, root_b))
+    able = (of_a[:, None] != of_b[None]) & (np.minimum(n_a[:, None], n_b) * 100 >= np.maximum(n_a[:, None], n_b) * percent)
+    if not able.any():
+        return []
+    both = shared_counts([x[:size] for x in a], [x[:size] for x in b])
+    union = np.minimum(size, np.minimum(n_a, size)[:, None] + np.minimum(n_b, size) - both)
+    able &= both * size >= union * least_shared(size, percent)
+    rows, columns = np.flatnonzero(able.any(1)), np.flatnonzero(able.any(0))
+    shared = shared_counts([a[i] for i in rows], [b[j] for j in columns])
+    linked = able[np.ix_(rows, columns)] & (100 * shared >= percent * (n_a[rows][:, None] + n_b[columns] - shared))
     up = np.arange(len(names))
 
     def top(k: int) -> int:
@@ -264,34 +277,15 @@ def linked_pairs(a: list[np.ndarray], b: list[np.ndarray], root_a: list, root_b:
             k = up[k]
         return int(k)
 
-    of_a, of_b = (np.array([names[r] for r in roots]) for roots in (root_a, root_b))
-    able = (of_a[:, None] != of_b[None]) & (np.minimum(n_a[:, None], n_b) * 100 >= np.maximum(n_a[:, None], n_b) * percent)
-    least = least_shared(size, percent) / size
     found = []
-    heads_b = [x[:size] for x in b]
-    for i in np.flatnonzero(able.any(1)):
-        # Of both sketches' values the smallest ``size`` are a sample of the union.
-        js = np.flatnonzero(able[i])
-        js = js[[top(of_b[j]) != top(of_a[i]) for j in js]]
-        if not len(js):
-            continue
-        heads = [heads_b[j] for j in js]
-        joint = np.concatenate(heads)
-        hit = np.isin(joint, a[i][:size])
-        ends = np.cumsum([0, *map(len, heads)])
-        both = np.add.reduceat(hit, ends[:-1]) if len(joint) else np.zeros(len(js), int)
-        of = np.minimum(size, np.minimum(n_a[i], size) + np.minimum(n_b[js], size) - both)
-        js = js[both >= of * least]
-        for low in range(0, len(js), 32):
-            near = js[low : low + 32]
-            near = near[[top(of_b[j]) != top(of_a[i]) for j in near]]
-            if not len(near):
-                continue
-            shared = shared_counts([a[i]], [b[j] for j in near])[0]
-            for j, n in zip(near, shared, strict=True):
-                if 100 * n >= percent * (n_a[i] + n_b[j] - n) and top(of_a[i]) != top(of_b[j]):
-                    up[top(of_a[i])] = top(of_b[j])
-                    found.append((int(i), int(j)))
+    for k, i in enumerate(rows):
+        near = columns[linked[k]]
+        for at in np.unique(of_b[near], return_index=True)[1]:
+            j = near[at]
+            x, y = top(of_a[i]), top(of_b[j])
+            if x != y:
+                up[x] = y
+                found.append((int(i), int(j)))
     return found
 
 
