@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import html
+import itertools
 import re
 import uuid
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -164,37 +166,39 @@ def cover(hits: np.ndarray, n: int, run: int) -> np.ndarray:
     return np.cumsum(ends[:-1]) > 0
 
 
-def seeds(host: str | None, words: list[str], hashes: WordHashes, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``at, seed, around`` of the places by which a page's runs of ``run`` words are found again on other pages.
+def seeds(hosts: list, pages: list[str], hashes: WordHashes, run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``page, at, seed, around`` of the places by which runs of ``run`` words of a chunk's pages are found again on other pages.
 
     Of the windows of ``run / 2`` words in each run the one with the smallest hash (the host's in it) is its seed, the leftmost on
     ties: equal runs on two pages have equal seeds at equal places, and neighbouring runs share theirs, so that about a third of the
-    suffixes is enough. ``around`` holds a byte for each of the ``run / 2`` words on either side, the left ones lowest; 0 is no word.
+    suffixes is enough. ``around`` holds four bits for each of the ``run / 2`` words on either side, the left ones lowest; 0 is no word.
     """
     half = run // 2
-    h = np.fromiter((hashes[w.encode()] for w in words), "u8", len(words))
-    count = len(h) - half + 1
-    none = np.zeros(0, "u8")
+    words = [page.encode().split() for page in pages]
+    counts = np.array([len(w) for w in words], "i8")
+    h = np.fromiter(map(hashes.__getitem__, itertools.chain.from_iterable(words)), "u8", int(counts.sum()))
+    none = np.zeros(0, "i8")
     if len(h) < run:
-        return np.zeros(0, "i8"), none, none
-    x = np.full(count, xxhash.xxh3_64_intdigest((host or "").encode()), "u8")
+        return none, none, none.astype("u8"), none.astype("u4")
+    page, end = np.repeat(np.arange(len(pages)), counts), np.cumsum(counts)
+    of_host = np.array([xxhash.xxh3_64_intdigest((host or "").encode()) for host in hosts], "u8")
+    x = of_host[page][: len(h) - half + 1]
     for k in range(half):
-        x = _mixed(x * _MIX + h[k : k + count])
-    least = np.lib.stride_tricks.sliding_window_view(x, run - half + 1).argmin(1)
-    at = np.unique(np.arange(len(least)) + least)
-    marks = np.concatenate([np.zeros(half, "u8"), h % np.uint64(255) + np.uint64(1), np.zeros(half, "u8")])
-    around = np.zeros(len(at), "u8")
+        x = _mixed(x * _MIX + h[k : k + len(x)])
+    begins = np.arange(len(h) - run + 1)
+    begins = begins[begins + run <= end[page[begins]]]
+    at = np.unique(begins + np.lib.stride_tricks.sliding_window_view(x, run - half + 1)[begins].argmin(1))
+    page, marks, around = page[at], (h % np.uint64(15) + np.uint64(1)).astype("u4"), np.zeros(len(at), "u4")
     for k in range(half):
-        around |= marks[at + k] << np.uint64(8 * k)
-        around |= marks[at + 2 * half + k] << np.uint64(8 * (half + k))
-    return at, x[at], around
+        for there, shift in ((at - half + k, 4 * k), (at + half + k, 4 * (half + k))):
+            inside = (there >= (end - counts)[page]) & (there < end[page])
+            around |= np.where(inside, marks[np.where(inside, there, 0)], np.uint32(0)) << np.uint32(shift)
+    return page, at - (end - counts)[page], x[at], around
 
 
-def entries(hosts: list, urls: list, pages: list[list[str]], hashes: WordHashes, run: int) -> dict[str, np.ndarray]:
+def entries(hosts: list, urls: list, pages: list[str], hashes: WordHashes, run: int) -> dict[str, np.ndarray]:
     """The seeds of a chunk of pages, ``page, at, entry``, and its entries ``seed, around, url``: each seed with the same words around once, or twice if it is on more than one url."""
-    found = [seeds(host, page, hashes, run) for host, page in zip(hosts, pages, strict=True)]
-    page = np.repeat(np.arange(len(pages)), [len(f[0]) for f in found])
-    at, seed, around = (np.concatenate([np.zeros(0, kind), *(f[k] for f in found)]) for k, kind in enumerate(("i8", "u8", "u8")))
+    page, at, seed, around = seeds(hosts, pages, hashes, run)
     marks = np.array([xxhash.xxh3_64_intdigest((u or "").encode()) & 0xFFFFFFFF for u in urls], "u4")
     url = marks[page] if len(page) else np.zeros(0, "u4")
     order = np.lexsort((url, around, seed))
@@ -211,8 +215,8 @@ def repeats(seed: np.ndarray, around: np.ndarray, url: np.ndarray, run: int = RU
     """A byte for each entry; bit k is set if the run that begins k words before the seed is on more than one url."""
     half, out = run // 2, np.zeros(len(seed), "u1")
     for k in range(half + 1):
-        mask = sum(0xFF << (8 * t) for t in (*range(half - k, half), *range(half, 2 * half - k)))
-        x = _mixed(seed * _MIX + (around & np.uint64(mask)))
+        mask = sum(0xF << (4 * t) for t in (*range(half - k, half), *range(half, 2 * half - k)))
+        x = _mixed(seed * _MIX + (around & np.uint32(mask)))
         order = np.argsort(x, kind="stable")  # the suffixes from here on, by their first ``run`` words
         x, own = x[order], url[order]
         starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, "i8")
@@ -230,7 +234,7 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
     left, the suffixes at their seeds (see ``seeds``) are dealt by hash of host and seed, so that equal beginnings of all
     chunks meet in one sort; a byte an entry goes back to its chunk. A chunk sends a seed with the same words around it twice
     at most, so a run on all pages of a host with any share of all pages is a few entries a chunk, and a host is spread over
-    many tasks. Words around a seed are compared by a byte each: a run one word too short counts with a probability of 1/255.
+    many tasks. Words around a seed are compared by four bits each: a run one word too short counts with a probability of 1/15.
 
     Where the page marks its article (or main element), that is the text and
     repeats within it stay: articles that quote each other are no boilerplate. On other pages blocks of which
@@ -248,28 +252,31 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
             found = [[(kind, text) for kind, text in blocks(page) if kind != AROUND] for page in columns["html"]]
             words = sum(text.count(" ") + 1 for own in found for _, text in own)
             out = {"chunk": uuid.uuid4().hex, "words": words, "ids": columns["id"], "urls": columns["url"], "hosts": columns["host"]}
-            out |= {"marked": [any(kind == MAIN for kind, _ in own) for own in found], "texts": [[text for _, text in own] for own in found]}
+            # Blocks have no white space but spaces, so their ends can be line ends.
+            texts = "\r".join("\n".join(text for _, text in own) for own in found)
+            out |= {"marked": [any(kind == MAIN for kind, _ in own) for own in found], "texts": zstandard.compress(texts.encode("utf-8", "surrogatepass"))}
             return {name: [value] for name, value in out.items()}
 
         return function
 
-    schema = f"chunk string, words bigint, ids array<{kinds[0]}>, urls array<{kinds[1]}>, hosts array<string>, marked array<boolean>, texts array<array<string>>"
+    schema = f"chunk string, words bigint, ids array<{kinds[0]}>, urls array<{kinds[1]}>, hosts array<string>, marked array<boolean>, texts binary"
     parsed = table(map_rows(rows, schema, parse, pages_at_once), "parsed")
     parts = max(1, -(-(parsed.agg(F.sum("words")).first()[0] or 0) // WORDS))
 
     def own_entries(columns: dict, hashes: WordHashes):
         for chunk, urls, hosts, texts in zip(*(columns[c] for c in ("chunk", "urls", "hosts", "texts")), strict=True):
-            own = entries(hosts, urls, [" ".join(page).split() for page in texts], hashes, run)
+            pages_ = zstandard.decompress(texts).decode("utf-8", "surrogatepass").split("\r")
+            own = entries(hosts, urls, pages_, hashes, run)
             part = (own["seed"] % np.uint64(parts)).astype("i8")
-            order = np.argsort(part, kind="stable")
-            yield chunk, own, order, np.searchsorted(part[order], np.arange(parts + 1))
+            order = np.lexsort((own["url"], part))  # by url, so that the urls compress
+            yield chunk, pages_, own, order, np.searchsorted(part[order], np.arange(parts + 1))
 
     def deal():
         hashes = kept("word hashes", WordHashes)
 
         def function(columns):
             out = {"chunk": [], "part": [], "seeds": [], "around": [], "urls": []}
-            for chunk, own, order, cuts in own_entries(columns, hashes):
+            for chunk, _, own, order, cuts in own_entries(columns, hashes):
                 for k in np.flatnonzero(np.diff(cuts)):
                     at = order[cuts[k] : cuts[k + 1]]
                     at_part = (own["seed"][at] >> np.uint64(32)).astype("u4")  # the low bits tell the part
@@ -280,7 +287,7 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
         return function
 
     def find(group: pd.DataFrame) -> pd.DataFrame:
-        seed, around, url = (np.frombuffer(b"".join(group[c]), kind) for c, kind in (("seeds", "u4"), ("around", "u8"), ("urls", "u4")))
+        seed, around, url = (np.frombuffer(b"".join(group[c]), kind) for c, kind in (("seeds", "u4"), ("around", "u4"), ("urls", "u4")))
         hits = repeats(seed.astype("u8"), around, url, run).tobytes()
         ends = np.cumsum([0, *(len(u) // 4 for u in group["urls"])])
         back = [(chunk, part, hits[a:b]) for chunk, part, a, b in zip(group["chunk"], group["part"], ends[:-1], ends[1:], strict=True)]
@@ -295,14 +302,15 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
 
         def function(columns):
             out = {"id": [], "url": [], "text": [], "n_repeated": []}
-            several = zip(own_entries(columns, hashes), *(columns[c] for c in ("ids", "urls", "marked", "texts", "found")), strict=True)
-            for (_, own, order, _), ids, urls, marked, texts, found in several:
+            several = zip(own_entries(columns, hashes), *(columns[c] for c in ("ids", "urls", "marked", "found")), strict=True)
+            for (_, texts, own, order, _), ids, urls, marked, found in several:
                 mask = np.zeros(len(order), "u1")
                 mask[order] = np.frombuffer(b"".join(bytes(f["hits"]) for f in found or []), "u1")
                 mask = mask[own["entry"]]
                 cuts = np.argsort(own["page"], kind="stable")
                 bounds = np.searchsorted(own["page"][cuts], np.arange(len(texts) + 1))
-                for k, (id_, url, main, page) in enumerate(zip(ids, urls, marked, texts, strict=True)):
+                for k, (id_, url, main, text_) in enumerate(zip(ids, urls, marked, texts, strict=True)):
+                    page = text_.split("\n") if text_ else []
                     here = cuts[bounds[k] : bounds[k + 1]]
                     ends = np.cumsum([0, *(text.count(" ") + 1 for text in page)])
                     n = int(ends[-1])
