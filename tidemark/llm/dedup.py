@@ -22,7 +22,7 @@ REMEMBERED = 500_000
 #: Lists up to this length pair all their members; longer ones go by hubs first.
 SHORT_LIST = 8
 #: Members of a long list, and shingles of theirs, that are compared with as many others in one group.
-LIST_BLOCK, BLOCK_VALUES = 256, 4_000_000
+LIST_BLOCK, BLOCK_VALUES = 1024, 4_000_000
 #: Rows up to which the ids of documents to verify (8 bytes each) are broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -193,7 +193,7 @@ def _long_links(long: DataFrame, joined: DataFrame | None, sets: DataFrame, perc
         own = long.join(lengths, "value").withColumn("k", F.row_number().over(longest)).filter("k = 1").withColumn("root", F.col("class"))
         dealt = own.select("value", "class", "n", "root")
         loads = dealt.groupBy("value").agg(F.count("*").alias("m"), F.sum("n").alias("bulk")).filter("m > 1").select("value", blocks.alias("blocks"))
-        dealt = dealt.join(loads, "value").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(True))
+        dealt = dealt.join(loads, "value").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")).withColumn("asks", F.lit(True)).withColumn("answers", F.lit(True))
     else:
         label = long.join(joined.withColumnRenamed("node", "class"), "class", "left").select("value", "class", "n", F.coalesce("root", "class").alias("root"))
         by_root = label.groupBy("value", "root").agg(F.count("*").alias("m"), F.sum("n").alias("bulk"))
@@ -202,18 +202,18 @@ def _long_links(long: DataFrame, joined: DataFrame | None, sets: DataFrame, perc
         ).filter("roots > 1")
         lists = lists.select("value", "main", blocks.alias("blocks"))
         apart = label.join(lists, "value").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-        every = F.sequence(F.lit(0), F.col("blocks") - 1)
-        asks = apart.filter("root <> main").withColumn("b_block", F.col("block")).withColumn("block", F.explode(every)).withColumn("asks", F.lit(True))
-        # A block without any member outside the main component asks nothing; those that ask meet all blocks.
+        # A member answers each block that asks; within its own block it asks by the same row.
         asking = apart.filter("root <> main").select("value", F.col("block").alias("b_block")).distinct()
-        answers = apart.join(asking, "value").withColumn("asks", F.lit(False))
-        columns = ["value", "block", "b_block", "class", "n", "root", "asks"]
+        answers = apart.join(asking, "value").withColumn("asks", (F.col("block") == F.col("b_block")) & (F.col("root") != F.col("main"))).withColumn("answers", F.lit(True))
+        every = F.sequence(F.lit(0), F.col("blocks") - 1)
+        asks = apart.filter("root <> main").withColumn("b_block", F.col("block")).withColumn("block", F.explode(every)).filter("block <> b_block")
+        asks = asks.withColumn("asks", F.lit(True)).withColumn("answers", F.lit(False))
+        columns = ["value", "block", "b_block", "class", "n", "root", "asks", "answers"]
         dealt = asks.select(*columns).unionByName(answers.select(*columns))
-    met = dealt.join(sets, "class").select("value", "block", *at, "class", "root", "asks", "set")
+    met = dealt.join(sets, "class").select("value", "block", *at, "class", "root", "asks", "answers", "set")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        here = group["asks"].to_numpy(bool)
-        asked, others = group[here], group if within else group[~here]
+        asked, others = group[group["asks"].to_numpy(bool)], group[group["answers"].to_numpy(bool)]
         found = linked_pairs(
             [np.frombuffer(x, "u8") for x in asked["set"]], [np.frombuffer(x, "u8") for x in others["set"]],
             asked["root"].to_list(), others["root"].to_list(), percent, size,
