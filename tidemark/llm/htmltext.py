@@ -295,7 +295,8 @@ def extract(pages: DataFrame, pages_at_once: int = PAGES, run: int = RUN, id_col
 
     dealt = map_rows(parsed.select("chunk", "urls", "hosts", "texts"), "chunk string, part int, seeds binary, around binary, urls binary", deal, 1)
     hits = dealt.groupBy("part").applyInPandas(find, "chunk string, part int, hits binary")
-    hits = hits.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("part", "hits"))).alias("found"))
+    # Written first, so that its size is known when the join is planned: the parsed pages move only if it is too large to broadcast.
+    hits = table(hits.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("part", "hits"))).alias("found")), "hits")
 
     def judge():
         hashes = kept("word hashes", WordHashes)
