@@ -197,15 +197,15 @@ def coverage(pairs: DataFrame, id_col: str, start: str, end: str, lo: str, hi: s
     return joined.select(id_col, "bp", F.sum(F.coalesce("d", F.lit(0.0))).over(order).alias("cov"))
 
 
-def running_total(df: DataFrame, value: str, order: list[Column], name: str) -> DataFrame:
+def running_total(df: DataFrame, value: str, order: list[Column], name: str, parts: int | None = None) -> DataFrame:
     """Global running sum of ``value`` in ``order`` without one task that sees all rows.
 
-    Rows are range-partitioned by ``order``; the partitions' totals (one row each) are summed in front of each, and
+    Rows are range-partitioned by ``order`` into the session's number of partitions (or ``parts``); the partitions' totals (one row each) are summed in front of each, and
     every partition runs its own sum. ``order`` must be a total order. The ranged rows are written once, as their bounds come
     from a sample and must be the same for the totals and the sums, also after a lost executor.
     """
     path = scratch(df.sparkSession, "ranged")
-    df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    df.repartitionByRange(*([parts] if parts else []), *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
     ranged = df.sparkSession.read.parquet(path)
     inside = ranged.withColumn("_sum", F.sum(value).over(Window.partitionBy("_part").orderBy(*order)))
     totals = ranged.groupBy("_part").agg(F.sum(value).alias("_total"))

@@ -9,26 +9,42 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import nearest
 
 def log_ratios(windows: DataFrame, fg: Column, bg: Column, least: float = 2.0) -> DataFrame:
     """``x`` (log enrichment against the totals) and ``s`` (its sampling variance) of windows with enough counts.
 
-    Windows with fewer than ``least`` counts on a side leave; half a count is added on each side.
+    Totals and the number of windows cover all windows; then those with fewer than ``least`` counts on a side leave. Half a count is
+    added on each side.
     """
-    kept = windows.withColumn("f", fg).withColumn("b", bg).filter((F.col("f") >= least) & (F.col("b") >= least))
-    t = kept.agg(F.sum("f").alias("tf"), F.sum("b").alias("tb"), F.count("*").alias("n"))
-    both = kept.join(F.broadcast(t))
+    t = windows.agg(F.sum(fg).alias("tf"), F.sum(bg).alias("tb"), F.count("*").alias("n"))
+    both = windows.withColumn("f", fg).withColumn("b", bg).filter((F.col("f") >= least) & (F.col("b") >= least)).join(F.broadcast(t))
     x = F.log((F.col("f") + 0.5) / (F.col("b") + 0.5)) + F.log((F.col("tb") + 0.5 * F.col("n")) / (F.col("tf") + 0.5 * F.col("n")))
     s = (1 / F.col("tf") + 1 / F.col("tb")) / ((F.col("f") + F.col("b") + 0.5) / (F.col("tf") + F.col("tb") + 0.5 * F.col("n")))
     return both.withColumn("x", x).withColumn("s", s).drop("tf", "tb", "n", "f", "b")
 
 
-def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 25) -> dict[str, float]:
+def replicate_ratios(windows: DataFrame, fg: list[str], bg: list[str], least: float = 2.0) -> DataFrame:
+    """``x`` and ``s`` by replicate: means of log counts with a pseudo-count each (half a replicate's mean), variances added.
+
+    A window stays if any replicate of a side has ``least`` counts. The sampling variance of a mean of m logs is the sum
+    of 1/(count + pseudo) over m squared.
+    """
+    t = windows.agg(*[(F.sum(c) / (2 * F.count("*"))).alias(f"_p_{c}") for c in (*fg, *bg)])
+    any_ = lambda side: F.greatest(*side) >= least if len(side) > 1 else F.col(side[0]) >= least
+    joined = windows.filter(any_(fg) & any_(bg)).join(F.broadcast(t))
+    full = lambda c: F.col(c) + F.col(f"_p_{c}")
+    mean = lambda side: sum(F.log(full(c)) for c in side) / len(side)
+    noise = lambda side: sum(1 / full(c) for c in side) / len(side) ** 2
+    return joined.withColumn("x", mean(fg) - mean(bg)).withColumn("s", noise(fg) + noise(bg)).drop(*[f"_p_{c}" for c in (*fg, *bg)])
+
+
+def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100) -> dict[str, float]:
     """Mixture of a uniform share ``rho`` and a normal ``mu, q + s`` of the rows ``x, s``.
 
     Equal rows are counted first. The outer search halves the interval of q by the sign of the likelihood's derivative
-    until it is within ``width``; inside, expectation-maximisation steps of rho and mu, each one pass that sums five
-    columns, run until they change by less than ``width``.
+    until its width is ``width`` of its middle; inside, from the mean on, expectation-maximisation steps of rho and mu, each one pass
+    that sums four columns, run until the sum of their relative changes is within ``width``.
     """
     rows = df.groupBy("x", "s").agg(F.count("*").alias("n")).cache()
     try:
@@ -36,31 +52,32 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 25) -> dic
         count, low, high, sx, sxx = (float(v or 0) for v in base)
         if not count or high <= low:
             return {"rho": 0.0, "mu": sx / count if count else 0.0, "q": 0.001, "range": 1.0}
-        span, mu, rho = high - low, sx / count, 0.05
-        lo, hi = 0.001, max(0.002, 1.25 * (sxx / count - mu * mu))
-
-        def step(q: float, mu: float, rho: float):
-            v = F.col("s") + q
-            normal = (1 - rho) * F.exp(-((F.col("x") - mu) ** 2) / (2 * v)) / F.sqrt(2 * math.pi * v)
-            post = (rho / span) / (rho / span + normal)
-            same = F.col("n") * (1 - post)
-            got = rows.agg(
-                F.sum(F.col("n") * post), F.sum(same * F.col("x") / v), F.sum(same / v), F.sum(same * ((F.col("x") - mu) ** 2 / v**2 - 1 / v) / 2),
-                F.sum(F.col("n") * F.log(rho / span + normal)),
-            ).first()
+        span, mean, rho = high - low, sx / count, 0.005
+        mu, lo, hi = mean, 0.001, max(0.001, 1.25 * (sxx / count - mean * mean))
+        q = (lo + hi) / 2
+
+        def step(q: float, mu: float, rho: float) -> list[float]:
+            v, off = F.col("s") + q, (F.col("x") - mu) ** 2
+            normal = (1 - rho) * F.exp(-off / (2 * v)) / F.sqrt(2 * math.pi * v)
+            same = F.col("n") * normal / (rho / span + normal)
+            got = rows.agg(F.sum(F.col("n") - same), F.sum(same * F.col("x") / v), F.sum(same / v), F.sum(same * (off / v**2 - 1 / v))).first()
             return [float(g or 0) for g in got]
 
-        while hi - lo > width * hi:
-            q = (lo + hi) / 2
+        while 2 * (hi - lo) / (hi + lo) > width:
+            q, mu, slope = (lo + hi) / 2, mean, 0.0
+            if not 1e-6 < rho < 1:
+                rho = 0.005
             for _ in range(most_steps):
-                sp, a, b, slope, _like = step(q, mu, rho)
-                new_mu, new_rho = (a / b if b else mu), min(max(sp / count, 1e-9), 1 - 1e-9)
-                done = abs(new_mu - mu) < width and abs(new_rho - rho) < width
+                other, a, b, slope = step(q, mu, rho)
+                new_mu, new_rho = (a / b if b else mu), other / count
+                new_rho = new_rho if new_rho >= 1e-6 else 0.0
+                change = abs(new_rho - rho) / (2 * (new_rho + rho)) if new_rho + rho else 0.0
+                change += abs(new_mu - mu) / (2 * abs(new_mu + mu)) if new_mu + mu else 0.0
                 mu, rho = new_mu, new_rho
-                if done:
+                if change <= width:
                     break
-            lo, hi = (q, hi) if slope > 0 else (lo, q)
-        return {"rho": rho, "mu": mu, "q": (lo + hi) / 2, "range": span}
+            lo, hi = (lo, q) if slope < 0 else (q, hi)
+        return {"rho": rho, "mu": mu, "q": q, "range": span}
     finally:
         rows.unpersist()
 
@@ -73,6 +90,24 @@ def z_scores(df: DataFrame, fit: dict[str, float]) -> DataFrame:
     return df.withColumn("z", (F.col("x") - fit["mu"]) / F.sqrt(v)).withColumn("post", F.lit(other) / (other + normal))
 
 
+def peak_z(peaks: DataFrame, windows: DataFrame, fg: list[str], bg: list[str], fragment: float, width: float, sigma: float, mu: float) -> DataFrame:
+    """``z`` of peaks (``peak_id, chrom, start, end, height, sd, back``) against the background of the window nearest to their middle.
+
+    The foreground count is that of the fitted peak and of its uniform background in a window, for all replicates; expected counts
+    by the pooled frequency give the sampling variance, ``sigma`` and ``mu`` of the noise fit the rest.
+    """
+    t = windows.agg(F.sum(sum(map(F.col, fg))).alias("tf"), F.sum(sum(map(F.col, bg))).alias("tb"), F.count("*").alias("n"))
+    places = peaks.withColumn("middle", F.expr("(start + end) div 2"))
+    near = nearest(places, windows.select("chrom", "middle", F.col("middle").cast("string").alias("_win")), "peak_id", "_win")
+    counts = windows.select("chrom", F.col("middle").alias("_at"), sum(map(F.col, bg)).alias("_b"))
+    met = places.join(near.select("peak_id", F.col("near_id").cast("long").alias("_at")), "peak_id").join(counts, ["chrom", "_at"]).join(F.broadcast(t))
+    f = (F.col("height") * math.sqrt(2 * math.pi) * F.col("sd") / fragment + F.col("back") * width / fragment) * len(fg)
+    pooled = (f + F.col("_b") + 0.5) / (F.col("tf") + F.col("tb") + 0.5 * F.col("n"))
+    spread = F.sqrt(2 * sigma**2 + 1 / (F.col("tf") * pooled) + 1 / (F.col("tb") * pooled))
+    x = F.log((f + 0.5) / (F.col("_b") + 0.5)) + F.log((F.col("tb") + 0.5 * F.col("n")) / (F.col("tf") + 0.5 * F.col("n")))
+    return met.withColumn("z", (x - mu) / spread).drop("middle", "_at", "_b", "tf", "tb", "n")
+
+
 def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_000, seed: int = 3) -> pd.DataFrame:
     """Normal components and a uniform background of one coverage profile (``bp, cov``): ``rho, mu, sigma, height, rmsd``.
 
@@ -88,6 +123,7 @@ def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_0
     k = int(min(max(size // (4 * fragment), 2), 30))
     rng, best = np.random.default_rng(seed), None
     for _ in range(5):
+        before = -np.inf
         mu, sigma, rho = rng.uniform(x.min(), x.max(), k), np.full(k, (lo_s + hi_s) / 2), np.full(k + 1, 1 / (k + 1))
         for _ in range(60):
             dens = rho[:k] * np.exp(-((x[:, None] - mu) ** 2) / (2 * sigma**2)) / (np.sqrt(2 * np.pi) * sigma)
@@ -97,7 +133,10 @@ def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_0
             mu = np.clip((r * x[:, None]).sum(0) / mass, x.min(), x.max())
             sigma = np.clip(np.sqrt((r * (x[:, None] - mu) ** 2).sum(0) / mass), lo_s, hi_s)
             rho = np.append(mass, max(0.0, w.sum() - mass.sum())) / w.sum()
-        like = float((w * np.log(total)).sum())
+            like = float((w * np.log(total)).sum())
+            if like - before < 1e-6 * abs(like):
+                break
+            before = like
         if best is None or like > best[0]:
             best = (like, mu, sigma, rho)
     _, mu, sigma, rho = best
@@ -116,7 +155,7 @@ def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_0
         at = np.abs(x - m) <= s
         height = p * w.sum() / (np.sqrt(2 * np.pi) * s)
         model = height * np.exp(-((x[at] - m) ** 2) / (2 * s * s)) + rho[k] * w.sum() / size
-        rmsd = float(np.sqrt(np.mean((model - smooth[at]) ** 2))) if at.any() else 10.0
+        rmsd = float(np.mean(np.abs(model - smooth[at])) / w.sum()) if at.any() else 10.0  # on the profile scaled to sum 1
         out.append((p, m, s, height, rmsd))
     return pd.DataFrame(out, columns=columns)
 
@@ -158,6 +197,24 @@ def fit_beta(counts: DataFrame, passes: int = 10, points: int = 15) -> DataFrame
     return spark.createDataFrame([(wm, (lo + hi) / 2) for wm, (lo, hi) in sorted(bounds.items())], "wm long, beta double")
 
 
+def enrichment(regions: DataFrame, sums: DataFrame, beta: float, share: int = 11) -> DataFrame:
+    """One row ``mean, spread, total``: the enrichment of regions (``region_id, len``) by their posterior sums (``region_id, n``).
+
+    A region's score is ln(n + beta len) - (ln(N + beta L) - ln M). The foreground is one of ``share`` regions; those of it without a
+    site have n = 0 and the mean length. ``mean`` and ``spread`` are exponentiated.
+    """
+    t = regions.agg(F.sum("len").alias("tl"), F.avg("len").alias("al"), F.count("*").alias("m"))
+    c = regions.join(sums, "region_id")
+    e = F.log(F.col("n") + beta * F.col("len"))
+    k = c.agg(F.count("*").alias("k"), F.coalesce(F.sum("n"), F.lit(0.0)).alias("tn"), F.coalesce(F.sum(e), F.lit(0.0)).alias("s1"), F.coalesce(F.sum(e * e), F.lit(0.0)).alias("s2"))
+    one = t.join(F.broadcast(k)).withColumn("d", F.log(F.col("tn") + beta * F.col("tl")) - F.log("m")).withColumn("e0", F.log(beta * F.col("al")))
+    one = one.withColumn("rest", F.greatest(F.expr(f"m div {share}") - F.col("k"), F.lit(0))).withColumn("all", F.col("k") + F.col("rest"))
+    mean = (F.col("s1") + F.col("rest") * F.col("e0")) / F.col("all")
+    square = (F.col("s2") + F.col("rest") * F.col("e0") * F.col("e0")) / F.col("all")
+    spread = F.sqrt(F.greatest(square - mean * mean, F.lit(0.0)))
+    return one.select(F.exp(mean - F.col("d")).alias("mean"), F.exp(spread).alias("spread"), ((mean - F.col("d")) * F.col("all")).alias("total"))
+
+
 def shuffle_columns(cells: DataFrame, stratum: list[str], value: str, seed: int, replace: bool) -> DataFrame:
     """``cells`` with ``value`` shuffled within strata: drawn with replacement, or permuted.
 

@@ -38,7 +38,7 @@ def mod1(spark, sf):
 
 @query(
     "mod1_log_ratios",
-    v.sql("reads", _WINDOWS + """, k AS (SELECT *, fg_0 + fg_1 AS f, bg_0 + bg_1 AS b FROM windows), g AS (SELECT * FROM k WHERE f >= 2 AND b >= 2), t AS (SELECT sum(f) AS tf, sum(b) AS tb, count(*) AS n FROM g)
+    v.sql("reads", _WINDOWS + """, k AS (SELECT *, fg_0 + fg_1 AS f, bg_0 + bg_1 AS b FROM windows), g AS (SELECT * FROM k WHERE f >= 2 AND b >= 2), t AS (SELECT sum(f) AS tf, sum(b) AS tb, count(*) AS n FROM k)
   SELECT chrom, start, round(ln((f + 0.5) / (b + 0.5)) + ln((tb + 0.5 * n) / (tf + 0.5 * n)), 6) AS x, round((1 / tf + 1 / tb) / ((f + b + 0.5) / (tf + tb + 0.5 * n)), 6) AS s FROM g, t"""),
 )
 def mod1_ratios(spark, sf):
@@ -54,27 +54,37 @@ def mod2(spark, sf):
 
 @query(
     "mod3_replicate_ratios",
-    v.sql("reads", _WINDOWS + """, t AS (SELECT sum(fg_0) AS f0, sum(fg_1) AS f1, sum(bg_0) AS b0, sum(bg_1) AS b1, count(*) AS n FROM windows)
-  SELECT chrom, start, round((ln(fg_0 + f0 / (2 * n)) + ln(fg_1 + f1 / (2 * n))) / 2 - (ln(bg_0 + b0 / (2 * n)) + ln(bg_1 + b1 / (2 * n))) / 2, 5) AS x FROM windows, t WHERE greatest(fg_0, fg_1) >= 2 AND greatest(bg_0, bg_1) >= 2"""),
+    v.sql("reads", _WINDOWS + """, t AS (SELECT sum(fg_0) / (2 * count(*)) AS f0, sum(fg_1) / (2 * count(*)) AS f1, sum(bg_0) / (2 * count(*)) AS b0, sum(bg_1) / (2 * count(*)) AS b1 FROM windows)
+  SELECT chrom, start, round((ln(fg_0 + f0) + ln(fg_1 + f1)) / 2 - (ln(bg_0 + b0) + ln(bg_1 + b1)) / 2, 5) AS x,
+    round((1 / (fg_0 + f0) + 1 / (fg_1 + f1)) / 4 + (1 / (bg_0 + b0) + 1 / (bg_1 + b1)) / 4, 6) AS s FROM windows, t WHERE greatest(fg_0, fg_1) >= 2 AND greatest(bg_0, bg_1) >= 2"""),
 )
 def mod3(spark, sf):
-    """Mean log counts of the replicates with a pseudo-count each; a window stays if any replicate of a side has two."""
-    w = windows(spark, sf)
-    t = w.agg(*[(F.sum(c) / (2 * F.count("*"))).alias(f"p_{c}") for c in ("fg_0", "fg_1", "bg_0", "bg_1")])
-    joined = w.join(F.broadcast(t)).filter((F.greatest("fg_0", "fg_1") >= 2) & (F.greatest("bg_0", "bg_1") >= 2))
-    ln = lambda c: F.log(F.col(c) + F.col(f"p_{c}"))
-    return joined.select("chrom", "start", F.round((ln("fg_0") + ln("fg_1")) / 2 - (ln("bg_0") + ln("bg_1")) / 2, 5).alias("x"))
+    """Mean log ratio and sampling variance by replicate."""
+    out = m.replicate_ratios(windows(spark, sf), ["fg_0", "fg_1"], ["bg_0", "bg_1"])
+    return out.select("chrom", "start", F.round("x", 5).alias("x"), F.round("s", 6).alias("s"))
+
+
+@query("mod3_replicate_scores")
+def mod3_scores(spark, sf):
+    """z-scores by the mixture fitted on the replicates' ratios."""
+    x = m.replicate_ratios(windows(spark, sf), ["fg_0", "fg_1"], ["bg_0", "bg_1"])
+    return m.z_scores(x, m.fit_mixture(x)).select("chrom", "start", F.round("z", 4).alias("z"), F.round("post", 4).alias("post"))
 
 
 @query("mod4_z_histogram")
 def mod4(spark, sf):
-    """Windows and expected enriched windows by z in 201 bins of 0.1 on [-10, 10]."""
+    """Share of windows, and of expected enriched and other windows, by z in 201 bins of 0.1 on [-10, 10]."""
     bin_ = F.least(F.greatest(F.floor((F.col("z") + 10) * 10), F.lit(0)), F.lit(200))
-    return _scored(spark, sf).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.round(F.sum("post"), 3).alias("enriched"))
+    h = _scored(spark, sf).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.sum("post").alias("p"))
+    total = h.agg(F.sum("n").alias("total"))
+    every = spark.range(201).withColumnRenamed("id", "bin").join(h, "bin", "left").join(F.broadcast(total))
+    n, p = F.coalesce("n", F.lit(0)), F.coalesce("p", F.lit(0.0))
+    share = lambda c: F.round(c / F.col("total"), 6)
+    return every.select("bin", (F.col("bin") / 10 - 10).alias("z"), share(n).alias("share"), share(p).alias("enriched"), share(n - p).alias("background"))
 
 
 def _profiles(spark, sf):
-    found = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf).filter("score > 49"))
+    found = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf))
     pairs = found.select(F.col("r_region_id").alias("region_id"), F.col("r_start").alias("gs"), F.col("r_end").alias("ge"), F.col("start").alias("rs"), F.col("end").alias("re"), "weight")
     return iv.coverage(pairs, "region_id", "gs", "ge", "rs", "re", "weight")
 
@@ -92,20 +102,24 @@ def mod6(spark, sf):
     return peaks.select("region_id", F.round("mu", 2).alias("mu"), F.round("sigma", 2).alias("sigma"), F.round("rmsd", 4).alias("rmsd"), (F.col("rmsd") > 1.0).alias("bad"))
 
 
+NOISE = {"fragment": 150.0, "width": 500.0, "sigma": 0.2, "mu": 0.05}
+
+
 @query(
     "mod7_peak_z",
-    v.sql("reads regions", _WINDOWS + """, pk AS (SELECT region_id, chrom, (start + "end") // 2 AS mid, score AS height, 20.0 + ("end" - start) / 20.0 AS sigma FROM regions WHERE score > 40),
-  nn AS (SELECT pk.*, w.bg_0 + w.bg_1 AS bg, row_number() OVER (PARTITION BY region_id ORDER BY abs(w.middle - pk.mid), w.middle) AS k FROM pk JOIN windows w ON w.chrom = pk.chrom),
-  z AS (SELECT region_id, ln((height * sqrt(2 * pi()) * sigma / 150 + 0.5) / (bg + 0.5)) AS x FROM nn WHERE k = 1) SELECT region_id, round(x, 5) AS x FROM z WHERE x >= 0.5 ORDER BY x DESC, region_id LIMIT 2000"""),
+    v.sql("reads regions", _WINDOWS + """, pk AS (SELECT region_id, chrom, (start + "end") // 2 AS mid, score AS height, 20.0 + ("end" - start) / 20.0 AS sd, score / 8.0 AS back FROM regions),
+  nn AS (SELECT pk.*, w.bg_0 + w.bg_1 AS b, row_number() OVER (PARTITION BY region_id ORDER BY abs(w.middle - pk.mid), w.middle) AS k FROM pk JOIN windows w ON w.chrom = pk.chrom),
+  t AS (SELECT sum(fg_0 + fg_1) AS tf, sum(bg_0 + bg_1) AS tb, count(*) AS n FROM windows),
+  f AS (SELECT region_id, b, tf, tb, n, 2 * (height * sqrt(2 * pi()) * sd / 150.0 + back * 500.0 / 150.0) AS f FROM nn, t WHERE k = 1),
+  e AS (SELECT *, tf * (f + b + 0.5) / (tf + tb + 0.5 * n) AS ef, tb * (f + b + 0.5) / (tf + tb + 0.5 * n) AS eb FROM f),
+  z AS (SELECT region_id, (ln((f + 0.5) / (b + 0.5)) + ln((tb + 0.5 * n) / (tf + 0.5 * n)) - 0.05) / sqrt(2 * 0.2 * 0.2 + 1 / ef + 1 / eb) AS z FROM e)
+  SELECT region_id, round(z, 5) AS z FROM z WHERE round(z, 5) >= 3 ORDER BY round(z, 5) DESC, region_id LIMIT 2000"""),
 )
 def mod7(spark, sf):
-    """Peaks against the background of their nearest window, in closed form."""
-    w = windows(spark, sf).withColumn("bg", both("bg"))
-    peaks = v.regions(spark, sf).filter("score > 40").selectExpr("region_id", "chrom", "(start + end) div 2 as middle", "score as height", "20.0D + (end - start) / 20.0D as sigma")
-    near = iv.nearest(peaks, w.select("chrom", "middle", F.col("middle").cast("string").alias("win")), "region_id", "win")
-    met = peaks.join(near, "region_id").withColumn("at", F.col("near_id").cast("long")).join(w.select("chrom", F.col("middle").alias("at"), "bg"), ["chrom", "at"])
-    x = F.log((F.col("height") * math.sqrt(2 * math.pi) * F.col("sigma") / 150 + 0.5) / (F.col("bg") + 0.5))
-    return met.withColumn("x", x).filter("x >= 0.5").orderBy(F.desc("x"), "region_id").limit(2000).select("region_id", F.round("x", 5).alias("x"))
+    """The best 2000 peaks by z against the nearest window's background, with the noise parameters of a fit."""
+    peaks = v.regions(spark, sf).selectExpr("region_id as peak_id", "chrom", "start", "end", "score as height", "20.0D + (end - start) / 20.0D as sd", "score / 8.0D as back")
+    z = m.peak_z(peaks, windows(spark, sf), ["fg_0", "fg_1"], ["bg_0", "bg_1"], **NOISE).select(F.col("peak_id").alias("region_id"), F.round("z", 5).alias("z"))
+    return z.filter("z >= 3").orderBy(F.desc("z"), "region_id").limit(2000)
 
 
 def _matrices(spark, sf, most: int = 20) -> dict[int, np.ndarray]:
@@ -141,30 +155,38 @@ def mod10(spark, sf):
 
 @query(
     "mod11_enrichment_score",
-    v.sql("regions sites", """, c AS (SELECT g.region_id, "end" - start AS len, coalesce(sum(post), 0) AS n FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id AND s.wm = 3 GROUP BY ALL),
-  t AS (SELECT sum(n) AS tn, sum(len) AS tl, count(*) AS m FROM c), s AS (SELECT ln(n + 0.01 * len) - (ln(tn + 0.01 * tl) - ln(m)) AS e FROM c, t)
-  SELECT round(avg(e), 6) AS mean, round(exp(avg(e)), 6) AS score, round(exp(stddev_pop(e)), 6) AS spread, round(sum(e), 3) AS total FROM s"""),
+    v.sql("regions sites", """, g AS (SELECT region_id, "end" - start AS len FROM regions), t AS (SELECT sum(len) AS tl, avg(len) AS al, count(*) AS m FROM g),
+  c AS (SELECT g.region_id, g.len, sum(post) AS n FROM g JOIN sites s ON s.region_id = g.region_id WHERE s.wm = 3 AND s.post >= 0.95 GROUP BY ALL), k AS (SELECT sum(n) AS tn, count(*) AS k FROM c),
+  d AS (SELECT ln(tn + 0.01 * tl) - ln(m) AS d, ln(0.01 * al) AS e, greatest(m // 11 - k, 0) AS rest FROM t, k),
+  s AS (SELECT ln(n + 0.01 * len) - d AS e FROM c, d UNION ALL SELECT e - d FROM (SELECT e, d, unnest(range(rest)) FROM d))
+  SELECT round(exp(avg(e)), 6) AS mean, round(exp(stddev_pop(e)), 6) AS spread, round(sum(e), 3) AS total FROM s"""),
 )
 def mod11(spark, sf):
-    sums = v.sites(spark, sf).filter("wm = 3").groupBy("region_id").agg(F.sum("post").alias("n"))
-    c = v.regions(spark, sf).join(sums, "region_id", "left").select((F.col("end") - F.col("start")).alias("len"), F.coalesce("n", F.lit(0.0)).alias("n"))
-    t = c.agg(F.sum("n").alias("tn"), F.sum("len").alias("tl"), F.count("*").alias("m"))
-    e = c.join(F.broadcast(t)).select((F.log(F.col("n") + 0.01 * F.col("len")) - (F.log(F.col("tn") + 0.01 * F.col("tl")) - F.log("m"))).alias("e"))
-    return e.agg(F.round(F.avg("e"), 6).alias("mean"), F.round(F.exp(F.avg("e")), 6).alias("score"), F.round(F.exp(F.stddev_pop("e")), 6).alias("spread"), F.round(F.sum("e"), 3).alias("total"))
+    """Enrichment of the foreground: an eleventh of all regions, of which those without a site count with the mean length."""
+    g = v.regions(spark, sf).select("region_id", (F.col("end") - F.col("start")).alias("len"))
+    sums = v.sites(spark, sf).filter("wm = 3 and post >= 0.95").groupBy("region_id").agg(F.sum("post").alias("n"))
+    return m.enrichment(g, sums, beta=0.01).select(F.round("mean", 6).alias("mean"), F.round("spread", 6).alias("spread"), F.round("total", 3).alias("total"))
 
 
 @query(
     "mod12_site_enrichment",
-    v.sql("regions sites", """, c AS (SELECT s.wm, s.region_id, sum(post) AS n FROM sites s WHERE region_id IN (SELECT region_id FROM regions WHERE score > 15) GROUP BY ALL),
-  b AS (SELECT s.wm, sum(post) AS bg FROM sites s WHERE region_id IN (SELECT region_id FROM regions WHERE score <= 15) GROUP BY 1)
-  SELECT c.wm, round(sum(ln(n + 0.5)) - count(*) * ln(max(bg) + count(*) * 0.5 + sum(n + 0.5)), 3) AS ll FROM c JOIN b ON b.wm = c.wm GROUP BY c.wm"""),
+    v.sql("regions sites", """, p AS (SELECT region_id, score > 15 AS fg FROM regions), w AS (SELECT DISTINCT wm FROM sites),
+  c AS (SELECT w.wm, p.region_id, p.fg, coalesce(sum(s.post), 0) AS n FROM p CROSS JOIN w LEFT JOIN sites s ON s.region_id = p.region_id AND s.wm = w.wm GROUP BY ALL),
+  t AS (SELECT wm, sum(n) + 0.5 * count(*) AS pool, count(*) FILTER (fg) AS kf, count(*) FILTER (NOT fg) AS kb, sum(ln(n + 0.5)) FILTER (fg) AS lf, sum(ln(n + 0.5)) FILTER (NOT fg) AS lb FROM c GROUP BY 1)
+  SELECT wm, round(lf - kf * ln(pool), 3) AS ll, round(lf - kf * ln(pool) - 0.1 * (lb - kb * ln(pool)), 3) AS score FROM t"""),
 )
 def mod12(spark, sf):
-    sites = v.sites(spark, sf).join(v.regions(spark, sf).select("region_id", "score"), "region_id")
-    c = sites.filter("score > 15").groupBy("wm", "region_id").agg(F.sum("post").alias("n"))
-    b = sites.filter("score <= 15").groupBy("wm").agg(F.sum("post").alias("bg"))
-    k = F.count("*")
-    return c.join(b, "wm").groupBy("wm").agg(F.round(F.sum(F.log(F.col("n") + 0.5)) - k * F.log(F.max("bg") + k * 0.5 + F.sum(F.col("n") + 0.5)), 3).alias("ll"))
+    """Log-likelihood of each motif's sites over all foreground regions, those without a site included, and the same less a tenth of the background's."""
+    regions = v.regions(spark, sf).select("region_id", (F.col("score") > 15).alias("fg"))
+    size = regions.agg(F.count_if("fg").alias("kf"), F.count_if(~F.col("fg")).alias("kb"))
+    c = v.sites(spark, sf).join(regions, "region_id").groupBy("wm", "region_id", "fg").agg(F.sum("post").alias("n"))
+    log = F.log(F.col("n") + 0.5) - F.log(F.lit(0.5))  # above a region without a site
+    zero = F.lit(0.0)
+    t = c.groupBy("wm").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("fg"), log).otherwise(zero)).alias("lf"), F.sum(F.when(F.col("fg"), zero).otherwise(log)).alias("lb"))
+    t = t.join(F.broadcast(size))
+    pool = F.log(F.col("n") + 0.5 * (F.col("kf") + F.col("kb")))
+    ll = lambda s: F.col(f"l{s}") + F.col(f"k{s}") * (F.log(F.lit(0.5)) - pool)
+    return t.select("wm", F.round(ll("f"), 3).alias("ll"), F.round(ll("f") - 0.1 * ll("b"), 3).alias("score"))
 
 
 @query("mod13_forward_selection")
@@ -200,34 +222,53 @@ def mod14(spark, sf):
     return spark.createDataFrame(kept, "rank int, wm int")
 
 
-@query(
-    "mod16_precision_curve",
-    v.sql("regions sites", """, t AS (SELECT g.region_id, score > 15 AS fg, CAST(floor(coalesce(sum(post), 0) / 0.1 + 1e-9) AS BIGINT) AS k FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY ALL),
-  h AS (SELECT k, count(*) FILTER (fg) AS f, count(*) FILTER (NOT fg) AS b FROM t GROUP BY 1), c AS (SELECT k, sum(f) OVER w AS tp, sum(b) OVER w AS fp, sum(f) OVER () AS p FROM h WINDOW w AS (ORDER BY k DESC))
-  SELECT k, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS ppv, round(CAST(tp AS DOUBLE) / p, 6) AS sens FROM c"""),
-)
-def mod16(spark, sf):
-    """Precision and sensitivity for every cutoff step: counts by step first, then sums over the steps above."""
-    k = F.floor(F.col("post") / 0.1 + 1e-9)
+_CURVE = """, t AS (SELECT g.region_id, score > 15 AS fg, CAST(floor(coalesce(sum(post), 0) / 0.0001 + 1e-6) AS BIGINT) AS k FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY ALL),
+  h AS (SELECT k, count(*) FILTER (fg) AS f, count(*) FILTER (NOT fg) AS b FROM t GROUP BY 1), c AS (SELECT k, sum(f) OVER w AS tp, sum(b) OVER w AS fp, sum(f) OVER () AS p FROM h WINDOW w AS (ORDER BY k DESC)),
+  r AS (SELECT k, CAST(tp AS DOUBLE) / (tp + fp) AS ppv, CAST(tp AS DOUBLE) / p AS sens FROM c)"""
+
+
+def _precision(spark, sf):
+    """Precision and sensitivity from each cutoff step on that a score lies in (between them nothing changes): counts by step, then sums over the steps above."""
+    k = F.floor(F.col("post") / 0.0001 + 1e-6)
     fg = F.col("score") > 15
     h = region_posteriors(spark, sf).groupBy(k.alias("k")).agg(F.count_if(fg).alias("f"), F.count_if(~fg).alias("b"))
     above = iv.running_total(iv.running_total(h, "f", [F.desc("k")], "tp"), "b", [F.desc("k")], "fp")
     total = h.agg(F.sum("f").alias("p"))
-    return above.join(F.broadcast(total)).select("k", F.round(F.col("tp") / (F.col("tp") + F.col("fp")), 6).alias("ppv"), F.round(F.col("tp") / F.col("p"), 6).alias("sens"))
+    return above.join(F.broadcast(total)).select("k", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("ppv"), (F.col("tp") / F.col("p")).alias("sens"))
+
+
+@query("mod16_precision_curve", v.sql("regions sites", _CURVE + " SELECT k, round(ppv, 6) AS ppv, round(sens, 6) AS sens FROM r"))
+def mod16(spark, sf):
+    return _precision(spark, sf).select("k", F.round("ppv", 6).alias("ppv"), F.round("sens", 6).alias("sens"))
+
+
+@query("mod16_area", v.sql("regions sites", _CURVE + ", d AS (SELECT ppv, sens - coalesce(lag(sens) OVER (ORDER BY k DESC), 0) AS d FROM r) SELECT round(sum(ppv * d), 6) AS area FROM d"))
+def mod16_area(spark, sf):
+    """Area below the curve: precision times the step in sensitivity; a step is a cutoff's own share of the true ones, so no neighbour is needed."""
+    k = F.floor(F.col("post") / 0.0001 + 1e-6)
+    own = region_posteriors(spark, sf).groupBy(k.alias("k")).agg(F.count_if(F.col("score") > 15).alias("f"))
+    total = own.agg(F.sum("f").alias("p"))
+    return _precision(spark, sf).join(own, "k").join(F.broadcast(total)).agg(F.round(F.sum(F.col("ppv") * F.col("f") / F.col("p")), 6).alias("area"))
 
 
 @query(
     "mod17_balanced_regression",
     v.sql("regions sites", """, t AS (SELECT g.region_id, g.score, coalesce(sum(post), 0) AS post FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY ALL),
-  r AS (SELECT *, row_number() OVER (PARTITION BY score > 15 ORDER BY region_id) AS k FROM t), b AS (SELECT * FROM r WHERE k <= 700)
-  SELECT round(regr_slope(post, score), 6) AS slope, round(regr_intercept(post, score), 6) AS intercept, round(regr_r2(post, score), 6) AS r2, round(corr(post, score), 6) AS r FROM b"""),
+  r AS (SELECT *, row_number() OVER (PARTITION BY score > 15 ORDER BY md5(region_id), region_id) AS k, count(*) FILTER (score > 15) OVER () AS a, count(*) FILTER (score <= 15) OVER () AS b FROM t),
+  b AS (SELECT * FROM r WHERE k <= least(a, b))
+  SELECT count(*) AS n, round(regr_slope(post, score), 6) AS slope, round(regr_intercept(post, score), 6) AS intercept, round(regr_r2(post, score), 6) AS r2, round(corr(post, score), 6) AS r FROM b"""),
 )
 def mod17(spark, sf):
-    """Regression on as many rows above as below the cut (the first 700 of each by id, a fixed sampling step of the method)."""
-    rows = region_posteriors(spark, sf)
-    each = [rows.filter(c).orderBy("region_id").limit(700) for c in ("score > 15", "score <= 15")]
+    """Regression on as many rows above as below the cut: as many as the smaller side has, drawn by a hash of the id."""
+    rows = region_posteriors(spark, sf).select("region_id", "score", "post", F.md5(F.col("region_id").cast("binary")).alias("draw"), F.lit(1).alias("one"))
+    n = rows.agg(F.least(F.count_if(F.col("score") > 15), F.count_if(F.col("score") <= 15))).first()[0]
+    order = [F.col("draw"), F.col("region_id")]
+    each = [iv.running_total(rows.filter(c), "one", order, "k").filter(F.col("k") <= n) for c in ("score > 15", "score <= 15")]
     b = each[0].unionByName(each[1])
-    return b.agg(F.round(F.regr_slope("post", "score"), 6).alias("slope"), F.round(F.regr_intercept("post", "score"), 6).alias("intercept"), F.round(F.regr_r2("post", "score"), 6).alias("r2"), F.round(F.corr("post", "score"), 6).alias("r"))
+    return b.agg(
+        F.count("*").alias("n"), F.round(F.regr_slope("post", "score"), 6).alias("slope"), F.round(F.regr_intercept("post", "score"), 6).alias("intercept"),
+        F.round(F.regr_r2("post", "score"), 6).alias("r2"), F.round(F.corr("post", "score"), 6).alias("r"),
+    )
 
 
 def _cells(spark, sf):
@@ -246,16 +287,30 @@ def mod19(spark, sf):
     return m.shuffle_columns(_cells(spark, sf), ["block"], "base", seed=13, replace=False).groupBy("block", "base").agg(F.count("*").alias("n"))
 
 
-@query("mod20_shuffled_site_distances")
+SHUFFLES = 1000
+
+
+@query(
+    "mod20_shuffled_site_distances",
+    v.sql("regions sites", f""", p AS (SELECT region_id, "end" - start AS len, ("end" - start) // 2 AS mu FROM regions),
+  t AS (SELECT s.*, p.len, p.mu FROM sites s JOIN p ON p.region_id = s.region_id WHERE s.post >= 0.0001), c AS (SELECT *, unnest(range(1, {SHUFFLES + 1})) AS copy FROM t),
+  m AS (SELECT FALSE AS shuffled, abs((s + e) // 2 - mu) AS d, post, 1 AS w FROM t UNION ALL
+    SELECT TRUE, abs((((l_orderkey * 7919 + l_linenumber * 104729 + copy * 15485863 + s) % 2147483647 * 48271 % 2147483647 * 48271 % 2147483647) % len) - mu), post, {SHUFFLES} FROM c)
+  SELECT shuffled, d // 50 AS bin, round(sum(post) / max(w), 4) AS weight FROM m GROUP BY ALL"""),
+)
 def mod20(spark, sf):
-    """Distances from a site to the next of its region, real and in 20 seeded shuffles of the positions, by bins of 50."""
-    sites = v.sites(spark, sf).select("region_id", "l_linenumber", "s", F.lit(0).alias("copy"))
-    copies = sites.select("region_id", "l_linenumber", "s", F.explode(F.sequence(F.lit(1), F.lit(20))).alias("copy"))
-    moved = copies.withColumn("s", F.pmod(F.xxhash64("region_id", "l_linenumber", "s", "copy"), F.lit(900)))
-    order = Window.partitionBy("region_id", "copy").orderBy("s")
-    gap = F.lead("s").over(order) - F.col("s")
-    bins = sites.unionByName(moved).withColumn("gap", gap).filter("gap is not null").groupBy(F.expr("gap div 50").alias("bin"), (F.col("copy") > 0).alias("shuffled"))
-    return bins.agg(F.count("*").alias("n"))
+    """Distances of sites to their region's peak, real and in 1000 shuffles to a place in the region, by bins of 50, weighted by the posterior.
+
+    A shuffle's place is a step of a multiplicative generator seeded by the site and the shuffle's number, so it doesn't depend on
+    partitions. The copies exist only within the tasks that count them.
+    """
+    peaks = v.regions(spark, sf).selectExpr("region_id", "end - start as len", "(end - start) div 2 as mu")
+    t = v.sites(spark, sf).filter("post >= 0.0001").join(peaks, "region_id")
+    real = t.groupBy(F.expr("abs((s + e) div 2 - mu) div 50").alias("bin")).agg(F.round(F.sum("post"), 4).alias("weight")).withColumn("shuffled", F.lit(False))
+    copies = t.select("l_orderkey", "l_linenumber", "s", "len", "mu", "post", F.explode(F.sequence(F.lit(1), F.lit(SHUFFLES))).alias("copy"))
+    place = "((l_orderkey * 7919 + l_linenumber * 104729 + copy * 15485863L + s) % 2147483647L * 48271L % 2147483647L * 48271L % 2147483647L) % len"
+    moved = copies.groupBy(F.expr(f"abs({place} - mu) div 50").alias("bin")).agg(F.round(F.sum("post") / SHUFFLES, 4).alias("weight")).withColumn("shuffled", F.lit(True))
+    return real.unionByName(moved).select("shuffled", "bin", "weight")
 
 
 @query("fun10_matrix_alignment")

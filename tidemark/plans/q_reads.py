@@ -123,9 +123,17 @@ def fil22(spark, sf):
     return running_total(tags, "one", [F.col("seq_id")], "k").filter(F.col("k") % step == 0).select("seq_id")
 
 
-@query("agg2_unify_tags", v.sql("fastq", "SELECT substr(seq, 1, 5) AS seq, count(*) AS n, min(read_id) AS first_id FROM fastq GROUP BY 1"))
+@query(
+    "agg2_unify_tags",
+    v.sql("sequences", f""", t AS (SELECT doc_id, seq, 1 + doc_id % 5 AS n FROM sequences), c AS (SELECT 'before' AS stage, doc_id, seq, n FROM t
+  UNION ALL SELECT 'after', doc_id, CASE """ + " ".join(f"WHEN ends_with(seq, '{ADAPTOR[:k]}') THEN left(seq, len(seq) - {k})" for k in range(6, 0, -1)) + """ ELSE seq END, n FROM t)
+  SELECT stage, seq, CAST(sum(n) AS BIGINT) AS n, min(doc_id) AS first_id FROM c GROUP BY ALL"""),
+)
 def agg2(spark, sf):
-    return v.fastq(spark, sf).groupBy(F.substring("seq", 1, 5).alias("seq")).agg(F.count("*").alias("n"), F.min("read_id").alias("first_id"))
+    """Sum of counts by whole sequence, before and after trimming; a sequence crosses the shuffle once for each stage."""
+    tags = v.sequences(spark, sf).withColumn("n", 1 + F.col("doc_id") % 5)
+    each = [tags.select(F.lit("before").alias("stage"), "doc_id", "seq", "n"), tags.select(F.lit("after").alias("stage"), "doc_id", sq.trim_tail(F.col("seq"), ADAPTOR, 6).alias("seq"), "n")]
+    return each[0].unionByName(each[1]).groupBy("stage", "seq").agg(F.sum("n").alias("n"), F.min("doc_id").alias("first_id"))
 
 
 _MATRIX = """, w AS (SELECT h.target_id, t.sample, CAST(t.n AS DOUBLE) / c.k AS x FROM hits h JOIN tags t ON t.seq_id = h.seq_id JOIN (SELECT seq_id, count(*) AS k FROM hits GROUP BY 1) c ON c.seq_id = h.seq_id)"""
@@ -293,9 +301,9 @@ def joi17(spark, sf):
     return a.unionByName(tags.join(chosen, "seq_id", "left_anti").select("seq_id", F.lit("missing").alias("how")))
 
 
-@query("win11_top_tags", v.sql("fastq", "SELECT substr(seq, 1, 8) AS seq, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, substr(seq, 1, 8)) AS rank FROM fastq GROUP BY 1 ORDER BY rank LIMIT 200"))
+@query("win11_top_tags", v.sql("sequences", "SELECT seq, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, seq) AS rank FROM sequences GROUP BY 1 ORDER BY rank LIMIT 200"))
 def win11(spark, sf):
-    best = v.fastq(spark, sf).groupBy(F.substring("seq", 1, 8).alias("seq")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "seq").limit(200)
+    best = v.sequences(spark, sf).groupBy("seq").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "seq").limit(200)
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "seq")).cast("long"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import intervals as iv
 from . import views as v
 from .registry import query
 
@@ -19,16 +20,30 @@ _PEAKS = """, peaks AS (SELECT region_id, chrom, ("end" - start) // 2 AS mu, sco
 
 @query(
     "joi8_nearest_peak_per_site",
-    v.sql("regions sites", _PEAKS + """ SELECT s.region_id, s.l_linenumber, s.wm, s.s, (s.s + s.e) // 2 - p.mu AS distance, round(s.post, 6) AS post
-  FROM sites s JOIN peaks p ON p.region_id = s.region_id WHERE s.post >= 0.0001"""),
+    v.sql("regions sites reads", """, pk AS (SELECT region_id, chrom, start, "end" - start AS len, unnest(range(1, 2 + CAST(substr(region_id, 4) AS BIGINT) % 3)) AS k, 2 + CAST(substr(region_id, 4) AS BIGINT) % 3 AS parts FROM regions),
+  mus AS (SELECT region_id, chrom, start, k, len * k // parts AS mu FROM pk),
+  n AS (SELECT s.region_id, s.l_linenumber, s.wm, s.s, s.e, s.strand, s.post, m.chrom, m.start, m.k, (s.s + s.e) / 2.0 - m.mu AS distance,
+    row_number() OVER (PARTITION BY s.region_id, s.l_linenumber, s.wm, s.s, s.strand, s.post ORDER BY abs((s.s + s.e) / 2.0 - m.mu), m.k) AS r FROM sites s JOIN mus m ON m.region_id = s.region_id WHERE s.post >= 0.0001),
+  f AS (SELECT *, start + (s + e) // 2 AS p FROM n WHERE r = 1)
+  SELECT f.region_id, f.l_linenumber, f.wm, f.s, f.k AS peak, f.distance, round(f.post, 6) AS post, round(coalesce(sum(x.weight), 0), 6) AS cov
+  FROM f LEFT JOIN reads x ON x.chrom = f.chrom AND x.start <= f.p AND x."end" > f.p GROUP BY f.region_id, f.l_linenumber, f.wm, f.s, f.strand, f.k, f.distance, f.post"""),
 )
 def joi8(spark, sf):
-    """Signed distance of each site to the nearest peak of its region (the peak list of a region is folded to the nearest)."""
-    sites = v.sites(spark, sf).filter("post >= 0.0001").withColumn("mid", F.expr("(s + e) div 2"))
-    met = sites.join(_peaks(spark, sf), "region_id")
+    """The nearest of a region's peaks (one to three, evenly spaced) to each site, its signed distance, and the coverage at the site's middle.
+
+    A region has few peaks, so the join on the region is folded by ``min_by``; the coverage is an overlap join of points with reads.
+    """
+    number = F.substring("region_id", 4, 20).cast("long") % 3
+    peaks = v.regions(spark, sf).withColumn("parts", number + 2).withColumn("k", F.explode(F.sequence(F.lit(1), (number + 1).cast("int"))))
+    peaks = peaks.select("region_id", "chrom", F.col("start").alias("from"), F.col("k").cast("long").alias("k"), F.expr("(end - start) * k div parts").alias("mu"))
     keys = ["region_id", "l_linenumber", "wm", "s", "strand", "post"]
-    near = met.withColumn("d", F.col("mid") - F.col("mu"))
-    return near.select(*keys[:4], F.col("d").alias("distance"), F.round("post", 6).alias("post"))
+    met = v.sites(spark, sf).filter("post >= 0.0001").dropDuplicates(keys).join(peaks, "region_id").withColumn("distance", (F.col("s") + F.col("e")) / 2 - F.col("mu"))
+    best = F.min_by(F.struct("k", "distance", "chrom", (F.col("from") + F.expr("(s + e) div 2")).alias("at")), F.struct(F.abs("distance"), "k")).alias("b")
+    near = met.groupBy(*keys).agg(best).select(*keys, "b.*")
+    points = near.select("chrom", F.col("at").alias("start"), (F.col("at") + 1).alias("end")).distinct()
+    cov = iv.overlaps(points, v.reads(spark, sf).select("chrom", "start", "end", "weight")).groupBy("chrom", F.col("start").alias("at")).agg(F.sum("r_weight").alias("cov"))
+    out = near.join(cov, ["chrom", "at"], "left")
+    return out.select("region_id", "l_linenumber", "wm", "s", F.col("k").alias("peak"), "distance", F.round("post", 6).alias("post"), F.round(F.coalesce("cov", F.lit(0.0)), 6).alias("cov"))
 
 
 @query(
@@ -92,34 +107,55 @@ def joi12(spark, sf):
 CHUNK = 200
 
 
+_PLACED = """, d AS (SELECT doc_id, seq, row_number() OVER (ORDER BY doc_id) - 1 AS k, count(*) OVER () AS docs FROM sequences WHERE len(seq) > 0),
+  r AS (SELECT g.region_id, g.strand, d.seq, len(d.seq) AS len, g.start * 7919 % len(d.seq) AS a FROM regions g JOIN d ON d.k = CAST(substr(g.region_id, 4) AS BIGINT) % d.docs)"""
+
+
 @query(
     "joi13_region_sequences",
-    v.sql("regions sequences", """, r AS (SELECT region_id, CAST(substr(region_id, 4) AS BIGINT) % 200 AS doc_id, start % 300 AS a, start % 300 + 50 AS b FROM regions)
-  SELECT region_id, substr(seq, CAST(a + 1 AS INTEGER), 50) AS seq FROM r JOIN sequences s ON s.doc_id = r.doc_id WHERE len(replace(substr(seq, CAST(a + 1 AS INTEGER), 50), 'N', '')) > 0"""),
+    v.sql("regions sequences", _PLACED + """ SELECT region_id, substr(seq, CAST(a + 1 AS INTEGER), 50) AS seq FROM r WHERE len(replace(substr(seq, CAST(a + 1 AS INTEGER), 50), 'N', '')) > 0"""),
 )
 def joi13(spark, sf):
-    return cut_sequences(spark, sf).select("region_id", "seq")
+    spans = _placed(spark, sf).select("region_id", "doc_id", F.col("a").alias("from"), F.least(F.col("a") + 50, "len").alias("to"))
+    return cut_sequences(v.sequences(spark, sf), spans).select("region_id", "seq")
+
+
+def _placed(spark, sf):
+    """Regions on all sequences that have letters, dealt by their numbers, at places over the whole length."""
+    docs = v.sequences(spark, sf).select("doc_id", F.length("seq").cast("long").alias("len"), F.lit(1).alias("one")).filter("len > 0")
+    n = docs.count()
+    ranked = iv.running_total(docs, "one", [F.col("doc_id")], "rank").select("doc_id", "len", (F.col("rank") - 1).alias("k"))
+    regions = v.regions(spark, sf).withColumn("k", F.substring("region_id", 4, 20).cast("long") % max(n, 1))
+    return regions.join(ranked, "k").select("region_id", "strand", "doc_id", "len", (F.col("start") * 7919 % F.col("len")).alias("a"))
 
 
-def cut_sequences(spark, sf):
-    """Sequences of regions from chunks of fixed size, so that a region meets the few chunks it lies in and no whole sequence."""
-    chunks = v.sequences(spark, sf).select("doc_id", F.posexplode(F.expr(f"transform(sequence(0, (length(seq) - 1) div {CHUNK}), k -> substr(seq, k * {CHUNK} + 1, {CHUNK}))")).alias("k", "part"))
-    want = v.regions(spark, sf).selectExpr("region_id", "strand", "cast(substr(region_id, 4) as bigint) % 200 as doc_id", "start % 300 as a", "start % 300 + 50 as b")
-    want = want.withColumn("k", F.explode(F.expr(f"transform(sequence(a div {CHUNK}, (b - 1) div {CHUNK}), k -> int(k))")))
-    parts = want.join(chunks, ["doc_id", "k"]).withColumn("own", F.expr(f"substr(part, cast(greatest(a - k * {CHUNK}, 0) + 1 as int), cast(least(b - k * {CHUNK}, {CHUNK}) - greatest(a - k * {CHUNK}, 0) as int))"))
-    whole = parts.groupBy("region_id", "strand").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "own"))), lambda x: x["own"]), "").alias("seq"))
+def cut_sequences(sequences, spans):
+    """``region_id, seq`` of ``region_id, doc_id, from, to`` (0-based, half open), without those of N only.
+
+    Sequences lie in chunks of fixed size, so that a span meets the few chunks it touches and no whole sequence.
+    """
+    chunks = sequences.filter("seq <> ''").select("doc_id", F.posexplode(F.expr(f"transform(sequence(0, (length(seq) - 1) div {CHUNK}), k -> substr(seq, cast(k * {CHUNK} + 1 as int), {CHUNK}))")).alias("k", "part"))
+    want = spans.filter("from < to").withColumn("k", F.explode(F.expr(f"transform(sequence(from div {CHUNK}, (to - 1) div {CHUNK}), k -> int(k))")))
+    parts = want.join(chunks, ["doc_id", "k"]).withColumn("own", F.expr(f"substr(part, cast(greatest(from - k * {CHUNK}, 0) + 1 as int), cast(least(to - k * {CHUNK}, {CHUNK}) - greatest(from - k * {CHUNK}, 0) as int))"))
+    whole = parts.groupBy("region_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "own"))), lambda x: x["own"]), "").alias("seq"))
     return whole.filter(F.length(F.translate("seq", "N", "")) > 0)
 
 
 @query(
     "joi14_stranded_sequences",
-    v.sql("regions sequences", """, r AS (SELECT region_id, strand, CAST(substr(region_id, 4) AS BIGINT) % 200 AS doc_id, start % 300 AS a FROM regions),
-  c AS (SELECT region_id, strand, substr(seq, CAST(a + 1 AS INTEGER), 50) AS seq FROM r JOIN sequences s ON s.doc_id = r.doc_id)
+    v.sql("regions sequences", _PLACED + """, f AS (SELECT region_id, strand, seq, greatest(a - CASE WHEN strand = '-' THEN 20 ELSE 10 END, 0) AS lo, least(a + 50 + CASE WHEN strand = '-' THEN 10 ELSE 20 END, len) AS hi FROM r),
+  c AS (SELECT region_id, strand, substr(seq, CAST(lo + 1 AS INTEGER), CAST(hi - lo AS INTEGER)) AS seq FROM f)
   SELECT region_id, CASE WHEN strand = '-' THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq FROM c WHERE len(replace(seq, 'N', '')) > 0"""),
 )
 def joi14(spark, sf):
+    """Ten letters before and twenty behind each region as its strand reads, cut at the sequence's ends; the minus strand as its reverse complement."""
+    minus = F.col("strand") == "-"
+    placed = _placed(spark, sf)
+    low, high = F.col("a") - F.when(minus, 20).otherwise(10), F.col("a") + 50 + F.when(minus, 10).otherwise(20)
+    spans = placed.select("region_id", "doc_id", F.greatest(low, F.lit(0)).alias("from"), F.least(high, F.col("len")).alias("to"))
+    cut = cut_sequences(v.sequences(spark, sf), spans).join(v.regions(spark, sf).select("region_id", "strand"), "region_id")
     flipped = F.reverse(F.translate("seq", "ACGT", "TGCA"))
-    return cut_sequences(spark, sf).select("region_id", F.when(F.col("strand") == "-", flipped).otherwise(F.col("seq")).alias("seq"))
+    return cut.select("region_id", F.when(minus, flipped).otherwise(F.col("seq")).alias("seq"))
 
 
 @query(
@@ -289,11 +325,19 @@ def fun8(spark, sf):
 
 @query(
     "fil17_uniform_matrices",
-    v.sql("matrices", "SELECT wm, count(*) AS n FROM matrices GROUP BY 1 HAVING NOT bool_and(abs(a / (a + c + g + t) - 0.25) < 0.1)"),
+    v.sql("matrices", "SELECT wm, count(*) AS n FROM matrices GROUP BY 1 HAVING NOT bool_and(" + " AND ".join(f"{c} / (a + c + g + t) = 0.25" for c in "acgt") + ")"),
 )
 def fil17(spark, sf):
-    even = F.abs(F.col("a") / (F.col("a") + F.col("c") + F.col("g") + F.col("t")) - 0.25) < 0.1
-    return v.matrices(spark, sf).groupBy("wm").agg(F.count("*").alias("n"), F.bool_and(even).alias("even")).filter("not even").select("wm", "n")
+    """Matrices but those of which every cell is a quarter."""
+    return not_uniform(v.matrices(spark, sf))
+
+
+def not_uniform(matrices):
+    total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
+    even = F.lit(True)
+    for c in "acgt":
+        even &= F.col(c) / total == 0.25
+    return matrices.groupBy("wm").agg(F.count("*").alias("n"), F.bool_and(even).alias("even")).filter("not even").select("wm", "n")
 
 
 @query(
