@@ -42,26 +42,65 @@ def mismatches(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(letters(a), letters(b), lambda x, y: x != y), lambda d: d))
 
 
-def trim_at(seq: Column, adaptor: str, most: int) -> Column:
-    """The sequence before the leftmost place where the adaptor stands with at most ``most`` mismatches."""
-    n = len(adaptor)
-    places = F.filter(F.sequence(F.lit(1), F.length(seq) - n + 1), lambda p: mismatches(F.substr(seq, p, F.lit(n)), F.lit(adaptor)) <= most)
-    at = F.when(F.length(seq) >= n, F.array_min(places))
-    return F.when(at.isNull(), seq).otherwise(F.substr(seq, F.lit(1), at - 1))
-
-
-def trim_partial(seq: Column, adaptor: str, least: int, most: Callable[[int], int]) -> Column:
-    """The sequence without the longest proper prefix of the adaptor at its end, down to ``least`` letters, with at most ``most(k)`` mismatches."""
-    found = [
-        F.when((F.length(seq) >= k) & (mismatches(F.substr(seq, F.length(seq) - k + 1, F.lit(k)), F.lit(adaptor[:k])) <= most(k)), F.substr(seq, F.lit(1), F.length(seq) - k))
-        for k in range(len(adaptor) - 1, least - 1, -1)
-    ]
+def variants(adaptor: str, most: int, indels: bool = False, five: bool = False, beyond: str = "") -> list[str]:
+    """The adaptor and all texts within ``most`` changes of it, in order: letters replaced by A, C, G, T or N, and with ``indels`` a
+    letter left out or put in (not next to an end) with the length kept: a gap draws in ``beyond``, the letter past the adaptor (on the
+    left of a 5' adaptor, else on the right), an insertion pushes out the last letter."""
+    found = {adaptor: 0}
+    for round_ in range(most):
+        for text in list(found):
+            for p, own in enumerate(text):
+                new = [text[:p] + x + text[p + 1 :] for x in "ACGTN" if x != own]
+                if indels and 1 < p < len(text) - 2:
+                    rest = text[:p] + text[p + 1 :]
+                    new.append(beyond + rest if five else rest + beyond)
+                    new += [text[:p] + x + text[p : len(text) - 1] for x in "ACGTN"]
+                for other in new:
+                    found.setdefault(other, round_ + 1)
+    return sorted(found, key=lambda x: (found[x], x))
+
+
+def _full(seq: Column, adaptor: str, most: int, five: bool, indels: bool, beyond: str) -> Column:
+    """Null, or the place of the outermost full adaptor (from 1) and its length: leftmost for 3', rightmost for 5'; lengths L-1, L, L+1 in turn at each place."""
+    n, known = len(adaptor), variants(adaptor, most, indels, five, beyond)
+    at = F.sequence(F.lit(1), F.length(seq) - n + 2)
+    lengths = [k for k in (n - 1, n, n + 1) if any(len(x) == k for x in known)]
+    hit = lambda p, k: F.substr(seq, p, F.lit(k)).isin([x for x in known if len(x) == k])
+
+    def place(p: Column) -> Column:
+        found = F.lit(None).cast("int")
+        for k in reversed(lengths):
+            found = F.when(hit(p, k), F.lit(k)).otherwise(found)
+        return F.struct(p.alias("p"), found.alias("k"))
+
+    places = F.filter(F.transform(at, place), lambda x: x["k"].isNotNull())
+    return F.when(F.length(seq) >= n - 1, F.get(places, F.size(places) - 1 if five else F.lit(0)))
+
+
+def trim_full(seq: Column, adaptor: str, most: int, five: bool = False, indels: bool = False, beyond: str = "") -> Column:
+    """The sequence before the leftmost (3') or behind the rightmost (5') place of an adaptor with at most ``most`` changes."""
+    at = _full(seq, adaptor, most, five, indels, beyond)
+    rest = F.substr(seq, at["p"] + at["k"]) if five else F.substr(seq, F.lit(1), at["p"] - 1)
+    return F.when(at.isNull(), seq).otherwise(rest)
+
+
+def trim_partial(seq: Column, adaptor: str, least: int, most: Callable[[int], int], five: bool = False) -> Column:
+    """The sequence without the longest proper part of the adaptor at its end (a prefix; with ``five`` a suffix at its start), down to ``least`` letters, with at most ``most(k)`` replaced."""
+    found = []
+    for k in range(len(adaptor) - 1, least - 1, -1):
+        part = F.substr(seq, F.lit(1), F.lit(k)) if five else F.substr(seq, F.length(seq) - k + 1, F.lit(k))
+        rest = F.substr(seq, F.lit(k + 1)) if five else F.substr(seq, F.lit(1), F.length(seq) - k)
+        known = variants(adaptor[-k:] if five else adaptor[:k], most(k))
+        found.append(F.when((F.length(seq) >= k) & part.isin(known), rest))
     return F.coalesce(*found, seq)
 
 
-def trim_tail(seq: Column, adaptor: str, longest: int) -> Column:
-    """The sequence without the longest prefix of the adaptor, of ``longest`` letters or fewer, that it ends with."""
-    cut = [F.when(seq.endswith(adaptor[:k]), F.substr(seq, F.lit(1), F.length(seq) - k)) for k in range(longest, 0, -1)]
+def trim_tail(seq: Column, adaptor: str, longest: int, five: bool = False) -> Column:
+    """The sequence without the longest exact part of the adaptor, of ``longest`` letters or fewer: a prefix at its end, or a suffix at its start."""
+    cut = []
+    for k in range(longest, 0, -1):
+        met = seq.startswith(adaptor[-k:]) if five else seq.endswith(adaptor[:k])
+        cut.append(F.when(met, F.substr(seq, F.lit(k + 1)) if five else F.substr(seq, F.lit(1), F.length(seq) - k)))
     return F.coalesce(*cut, seq)
 
 
@@ -88,8 +127,11 @@ def normalise(seq: Column) -> Column:
 
 
 def describe(query: Column, target: Column) -> Column:
-    """The query as differences from a target of the same length: runs of matches as ``5M``, then each differing letter."""
-    marks = F.zip_with(letters(query), letters(target), lambda a, b: F.when(a == b, F.lit("=")).otherwise(a))
+    """An alignment as differences from its target: runs of matches as ``5M``, a differing letter itself, ``D`` and the target's letter where the query has a gap, ``I`` and the query's where the target has one.
+
+    ``query`` and ``target`` are rows of an alignment, of one length, with ``-`` for gaps.
+    """
+    marks = F.zip_with(letters(query), letters(target), lambda a, b: F.when(a == b, F.lit("=")).when(a == "-", F.concat(F.lit("D"), b)).when(b == "-", F.concat(F.lit("I"), a)).otherwise(a))
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("run"))
 
     def step(acc, m):
@@ -101,13 +143,17 @@ def describe(query: Column, target: Column) -> Column:
 
 
 def restore(target: Column, description: Column) -> Column:
-    """The query from its differences and the target."""
+    """The query without its gaps, from its differences and the target without its gaps."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
     def step(acc, part):
         run = F.try_to_number(F.regexp_extract(part, r"^(\d+)M$", 1), F.lit("99999999")).cast("int")
         copied = F.struct(F.concat(acc["out"], F.substr(target, acc["at"], run)).alias("out"), (acc["at"] + run).alias("at"))
-        return F.when(run.isNotNull(), copied).otherwise(F.struct(F.concat(acc["out"], part).alias("out"), (acc["at"] + 1).alias("at")))
+        lost = F.struct(acc["out"].alias("out"), (acc["at"] + 1).alias("at"))
+        put = F.struct(F.concat(acc["out"], F.substr(part, F.lit(2))).alias("out"), acc["at"].alias("at"))
+        other = F.struct(F.concat(acc["out"], part).alias("out"), (acc["at"] + 1).alias("at"))
+        two = F.length(part) == 2
+        return F.when(run.isNotNull(), copied).when(two & part.startswith("D"), lost).when(two & part.startswith("I"), put).otherwise(other)
 
     parts = F.filter(F.split(description, " "), lambda p: p != "")
     return F.aggregate(parts, start, step, lambda acc: acc["out"])

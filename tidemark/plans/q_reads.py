@@ -40,40 +40,73 @@ def fil3(spark, sf):
     return one.select("low", "high", kind.alias("encoding"), F.when(F.col("high") > 74, 64).otherwise(33).alias("base"))
 
 
-ADAPTOR = "GATCACTGATGC"
+ADAPTOR = v.ADAPTOR
 
-_HAM = "list_sum([CASE WHEN x[1] <> x[2] THEN 1 ELSE 0 END FOR x IN list_zip(string_split({a}, ''), string_split({b}, ''))])"
 
+def _values(texts) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in texts) + "]"
 
-@query(
-    "fil4_adaptor_full_length",
-    v.sql("fastq", f""", w AS (SELECT read_id, seq, unnest(range(1, len(seq) - 6 + 2)) AS p FROM fastq WHERE len(seq) >= 6),
-  h AS (SELECT read_id, seq, p, {_HAM.format(a="substr(seq, CAST(p AS INTEGER), 6)", b="'" + ADAPTOR[:6] + "'")} AS d FROM w),
-  f AS (SELECT read_id, min(p) AS p FROM h WHERE d <= 1 GROUP BY 1)
-  SELECT q.read_id, CASE WHEN f.p IS NULL THEN seq ELSE substr(seq, 1, CAST(f.p AS INTEGER) - 1) END AS trimmed FROM fastq q LEFT JOIN f ON f.read_id = q.read_id"""),
-)
+
+_FULL3, _FULL5 = sq.variants(ADAPTOR, 1, indels=True, beyond="A"), sq.variants(ADAPTOR, 1, indels=True, five=True, beyond="C")
+
+
+def _outermost(known: str, order: str, trimmed: str) -> str:
+    """SQL of a full-length match: each place with the lengths L-1, L, L+1 in turn."""
+    n = len(ADAPTOR)
+    return f""", w AS (SELECT read_id, seq, unnest(range(1, len(seq) - {n} + 3)) AS p FROM tailed WHERE len(seq) >= {n - 1}),
+  h AS (SELECT read_id, p, k FROM w, (SELECT unnest([{n - 1}, {n}, {n + 1}]) AS k) WHERE list_contains({known}, substr(seq, CAST(p AS INTEGER), CAST(k AS INTEGER)))),
+  f AS (SELECT read_id, arg_min(struct_pack(p := p, k := k), struct_pack(a := {order}, b := k)) AS b FROM h GROUP BY 1)
+  SELECT q.read_id, CASE WHEN b IS NULL THEN seq ELSE {trimmed} END AS trimmed FROM tailed q LEFT JOIN f ON f.read_id = q.read_id"""
+
+
+@query("fil4_adaptor_full_length", v.sql("fastq tailed", _outermost(_values(_FULL3), "p", "substr(seq, 1, CAST(b.p AS INTEGER) - 1)")))
 def fil4(spark, sf):
-    return v.fastq(spark, sf).select("read_id", sq.trim_at(F.col("seq"), ADAPTOR[:6], 1).alias("trimmed"))
+    """3' side: all before the leftmost adaptor within one change, gaps and insertions too."""
+    return v.tailed(spark, sf).select("read_id", sq.trim_full(F.col("seq"), ADAPTOR, 1, indels=True, beyond="A").alias("trimmed"))
 
 
-@query(
-    "fil5_adaptor_partial",
-    v.sql("fastq", f""", w AS (SELECT read_id, seq, unnest(range(7, 12)) AS k FROM fastq),
-  h AS (SELECT read_id, seq, k, {_HAM.format(a="right(seq, CAST(k AS INTEGER))", b=f"left('{ADAPTOR}', CAST(k AS INTEGER))")} AS d FROM w WHERE len(seq) >= k),
-  f AS (SELECT read_id, max(k) AS k FROM h WHERE d <= CASE WHEN k >= 10 THEN 6 ELSE 4 END GROUP BY 1)
-  SELECT q.read_id, CASE WHEN f.k IS NULL THEN seq ELSE left(seq, CAST(len(seq) - f.k AS INTEGER)) END AS trimmed FROM fastq q LEFT JOIN f ON f.read_id = q.read_id"""),
-)
+@query("fil4_adaptor_five_prime", v.sql("fastq tailed", _outermost(_values(_FULL5), "-p", "substr(seq, CAST(b.p + b.k AS INTEGER))")))
+def fil4_five(spark, sf):
+    """5' side: all behind the rightmost adaptor."""
+    return v.tailed(spark, sf).select("read_id", sq.trim_full(F.col("seq"), ADAPTOR, 1, five=True, indels=True, beyond="C").alias("trimmed"))
+
+
+def _most(k: int) -> int:
+    """Letters replaced in a part of k letters: one from 7 on, two from 10 on."""
+    return 2 if k >= 10 else 1
+
+
+_PARTS = range(len(ADAPTOR) - 1, 6, -1)
+_HAM = "list_sum([CASE WHEN x[1] <> x[2] THEN 1 ELSE 0 END FOR x IN list_zip(string_split({a}, ''), string_split({b}, ''))])"
+
+
+def _partial(end: bool) -> str:
+    a, b = ("right(seq, CAST(k AS INTEGER))", f"left('{ADAPTOR}', CAST(k AS INTEGER))") if end else ("left(seq, CAST(k AS INTEGER))", f"right('{ADAPTOR}', CAST(k AS INTEGER))")
+    rest = "left(seq, CAST(len(seq) - f.k AS INTEGER))" if end else "substr(seq, CAST(f.k + 1 AS INTEGER))"
+    return f""", w AS (SELECT read_id, seq, unnest(range(7, {len(ADAPTOR)})) AS k FROM tailed),
+  h AS (SELECT read_id, k, {_HAM.format(a=a, b=b)} AS d FROM w WHERE len(seq) >= k), f AS (SELECT read_id, max(k) AS k FROM h WHERE d <= CASE WHEN k >= 10 THEN 2 ELSE 1 END GROUP BY 1)
+  SELECT q.read_id, CASE WHEN f.k IS NULL THEN seq ELSE {rest} END AS trimmed FROM tailed q LEFT JOIN f ON f.read_id = q.read_id"""
+
+
+@query("fil5_adaptor_partial", v.sql("fastq tailed", _partial(True)))
 def fil5(spark, sf):
-    """Longest prefix of the adaptor at the read's end; four and six mismatches stand for one and two, as invented text rarely matches."""
-    return v.fastq(spark, sf).select("read_id", sq.trim_partial(F.col("seq"), ADAPTOR, 7, lambda k: 6 if k >= 10 else 4).alias("trimmed"))
+    """Longest prefix of the adaptor at the read's end, one letter replaced from 7 letters on, two from 10 on."""
+    return v.tailed(spark, sf).select("read_id", sq.trim_partial(F.col("seq"), ADAPTOR, 7, _most).alias("trimmed"))
 
 
-@query(
-    "fil6_adaptor_short_tail",
-    v.sql("fastq", "SELECT read_id, CASE " + " ".join(f"WHEN ends_with(seq, '{ADAPTOR[:k]}') THEN left(seq, len(seq) - {k})" for k in range(6, 0, -1)) + " ELSE seq END AS trimmed FROM fastq"),
-)
+@query("fil5_adaptor_partial_five_prime", v.sql("fastq tailed", _partial(False)))
+def fil5_five(spark, sf):
+    return v.tailed(spark, sf).select("read_id", sq.trim_partial(F.col("seq"), ADAPTOR, 7, _most, five=True).alias("trimmed"))
+
+
+_TAIL = "CASE " + " ".join(f"WHEN ends_with(seq, '{ADAPTOR[:k]}') THEN left(seq, len(seq) - {k})" for k in range(6, 0, -1)) + " ELSE seq END"
+_HEAD = "CASE " + " ".join(f"WHEN starts_with(seq, '{ADAPTOR[-k:]}') THEN substr(seq, {k + 1})" for k in range(6, 0, -1)) + " ELSE seq END"
+
+
+@query("fil6_adaptor_short_tail", v.sql("fastq tailed", f"SELECT read_id, {_TAIL} AS trimmed, {_HEAD} AS trimmed_five FROM tailed"))
 def fil6(spark, sf):
-    return v.fastq(spark, sf).select("read_id", sq.trim_tail(F.col("seq"), ADAPTOR, 6).alias("trimmed"))
+    seq = F.col("seq")
+    return v.tailed(spark, sf).select("read_id", sq.trim_tail(seq, ADAPTOR, 6).alias("trimmed"), sq.trim_tail(seq, ADAPTOR, 6, five=True).alias("trimmed_five"))
 
 
 @query(
@@ -104,10 +137,25 @@ def fil19(spark, sf):
     return v.hits(spark, sf).filter((F.col("strand") == "+") & F.col("target_id").isin(1, 3, 5, 7) & (F.col("start") > 500) & (F.col("start") < 2000)).select("seq_id", "target_id", "start")
 
 
-@query("fil21_down_sampling")
+TARGET = 3000
+
+
+@query(
+    "fil21_down_sampling",
+    v.sql("reads", f""", k AS (SELECT least(1.0, {TARGET}.0 / count(*)) AS share FROM reads),
+  d AS (SELECT event_id, chrom, start, list_reduce([instr('0123456789abcdef', c) - 1 FOR c IN string_split(substr(md5(CAST(event_id AS VARCHAR)), 1, 6), '')], lambda a, b: a * 16 + b) AS h FROM reads)
+  SELECT event_id, chrom, start FROM d, k WHERE share >= 0.9 OR h < share * 16777216"""),
+)
 def fil21(spark, sf):
-    """About 40 % of the reads by a seeded hash of the row's id: the same rows on any partitioning."""
-    return v.reads(spark, sf).filter(F.pmod(F.xxhash64("event_id", F.lit(42)), F.lit(1_000_000)) < 400_000).select("event_id", "chrom", "start")
+    """About ``TARGET`` reads by a hash of the row's id, the same on any partitioning; all of them if that is nine tenths or more."""
+    return down_sample(v.reads(spark, sf), TARGET, "event_id").select("event_id", "chrom", "start")
+
+
+def down_sample(df, target: int, id_col: str):
+    share = F.least(F.lit(1.0), F.lit(float(target)) / F.count("*")).alias("_share")
+    draw = F.conv(F.substring(F.md5(F.col(id_col).cast("string").cast("binary")), 1, 6), 16, 10).cast("long")
+    rows = df.withColumn("_draw", draw).join(F.broadcast(df.agg(share)))
+    return rows.filter((F.col("_share") >= 0.9) | (F.col("_draw") < F.col("_share") * 16777216)).drop("_draw", "_share")
 
 
 @query(
@@ -147,27 +195,43 @@ def _weighted(spark, sf):
 
 @query(
     "agg7_tag_target_matrix",
-    v.sql("hits tags", _MATRIX + """, t AS (SELECT unnest(range(60)) AS target_id)
-  SELECT t.target_id, """ + ", ".join(f"round(coalesce(sum(x) FILTER (sample = '{s}'), 0), 6) AS {s.lower()}" for s in "FOP") + " FROM t LEFT JOIN w ON w.target_id = t.target_id GROUP BY 1"),
+    v.sql("hits tags", _MATRIX + """, t AS (SELECT unnest(range(60)) AS target_id), l AS (SELECT target_id, 200 + target_id * 37 % 400 AS len, avg(200 + target_id * 37 % 400) OVER () AS mean FROM t)
+  SELECT l.target_id, """ + ", ".join(f"round(coalesce(sum(x) FILTER (sample = '{s}'), 0), 6) AS {s.lower()}" for s in "FOP") + ", "
+    + ", ".join(f"round(coalesce(sum(x) FILTER (sample = '{s}'), 0) * mean / len, 5) AS {s.lower()}_by_length" for s in "FOP") + " FROM l LEFT JOIN w ON w.target_id = l.target_id GROUP BY l.target_id, len, mean"),
 )
 def agg7(spark, sf):
-    """Sum of counts over hits for target and sample; targets without hits keep a zero row."""
+    """Sum of counts over hits for target and sample, as such and scaled to the mean target length; targets without hits keep a zero row."""
     wide = _weighted(spark, sf).groupBy("target_id").pivot("sample", ["F", "O", "P"]).agg(F.sum("x"))
-    every = spark.range(60).withColumnRenamed("id", "target_id")
-    return every.join(wide, "target_id", "left").select("target_id", *[F.round(F.coalesce(s, F.lit(0.0)), 6).alias(s.lower()) for s in "FOP"])
+    targets = spark.range(60).select(F.col("id").alias("target_id"), (200 + F.col("id") * 37 % 400).alias("len"))
+    every = targets.join(F.broadcast(targets.agg(F.avg("len").alias("mean")))).join(wide, "target_id", "left")
+    sums = [F.coalesce(s, F.lit(0.0)) for s in "FOP"]
+    plain = [F.round(x, 6).alias(s) for x, s in zip(sums, "fop", strict=True)]
+    return every.select("target_id", *plain, *[F.round(x * F.col("mean") / F.col("len"), 5).alias(f"{s}_by_length") for x, s in zip(sums, "fop", strict=True)])
 
 
-@query(
-    "agg8_region_sample_counts",
-    v.sql("reads regions", """, few AS (SELECT * FROM regions WHERE score > 45) SELECT g.region_id, round(coalesce(sum(r.weight) FILTER (role = 'fg'), 0), 6) AS fg, round(coalesce(sum(r.weight) FILTER (role = 'bg'), 0), 6) AS bg
-  FROM few g JOIN reads r ON r.chrom = g.chrom AND r.strand = g.strand AND r.start < g."end" AND g.start < r."end" GROUP BY 1"""),
-)
-def agg8(spark, sf):
+def _by_strand(stranded: bool) -> str:
+    return v.sql("reads regions", f"""SELECT g.region_id, round(coalesce(sum(r.weight) FILTER (role = 'fg'), 0), 6) AS fg, round(coalesce(sum(r.weight) FILTER (role = 'bg'), 0), 6) AS bg
+  FROM regions g LEFT JOIN reads r ON r.chrom = g.chrom {"AND r.strand = g.strand" if stranded else ""} AND r.start < g."end" AND g.start < r."end" GROUP BY 1""")
+
+
+def region_counts(reads, regions, stranded: bool):
+    """Weights of the reads of each role over each region, regions without any as zeros."""
     from ..operators.intervals import overlaps
 
-    found = overlaps(v.reads(spark, sf), v.regions(spark, sf).filter("score > 45"), stranded=True)
+    found = overlaps(reads.select("chrom", "start", "end", "strand", "role", "weight"), regions.select("region_id", "chrom", "start", "end", "strand"), stranded=stranded)
     wide = found.groupBy(F.col("r_region_id").alias("region_id")).pivot("role", ["fg", "bg"]).agg(F.sum("weight"))
-    return wide.select("region_id", *[F.round(F.coalesce(s, F.lit(0.0)), 6).alias(s) for s in ("fg", "bg")])
+    every = regions.select("region_id").join(wide, "region_id", "left")
+    return every.select("region_id", *[F.round(F.coalesce(s, F.lit(0.0)), 6).alias(s) for s in ("fg", "bg")])
+
+
+@query("agg8_region_sample_counts", _by_strand(True))
+def agg8(spark, sf):
+    return region_counts(v.reads(spark, sf), v.regions(spark, sf), stranded=True)
+
+
+@query("agg8_unstranded_counts", _by_strand(False))
+def agg8_unstranded(spark, sf):
+    return region_counts(v.reads(spark, sf), v.regions(spark, sf), stranded=False)
 
 
 @query(
@@ -188,15 +252,19 @@ def agg9(spark, sf):
 
 @query(
     "agg10_annotation_categories",
-    v.sql("hits tags", """, a AS (SELECT seq_id, min(struct_pack(e := err, p := CASE WHEN target_id < 10 THEN 0 WHEN target_id < 25 THEN 1 ELSE 2 END, m := CASE WHEN strand = '+' THEN 0 ELSE 1 END)) AS b FROM hits GROUP BY 1)
-  SELECT t.sample, CASE WHEN b IS NULL THEN 'unknown_unmapped' ELSE ['gene', 'repeat', 'intergenic'][b.p + 1] || CASE WHEN b.m = 0 THEN '+' ELSE '-' END END AS category, CAST(sum(t.n) AS BIGINT) AS n
-  FROM tags t LEFT JOIN a ON a.seq_id = t.seq_id GROUP BY ALL"""),
+    v.sql("hits tags", """, k AS (SELECT *, count(*) OVER (PARTITION BY seq_id) AS hits FROM hits),
+  a AS (SELECT seq_id, min(struct_pack(e := err, p := CASE WHEN target_id < 10 THEN 0 WHEN target_id < 25 THEN 1 ELSE 9 END, m := CASE WHEN strand = '+' THEN 0 ELSE 1 END)) AS b, max(hits) AS hits, bool_or(target_id >= 40) AS masked FROM k GROUP BY 1)
+  SELECT t.sample, CASE WHEN b IS NULL THEN 'unknown_unmapped' WHEN hits > 6 THEN 'unknown_overmapped' WHEN b.p < 9 THEN ['gene', 'repeat'][b.p + 1] || CASE WHEN b.m = 0 THEN '+' ELSE '-' END
+    WHEN masked THEN 'unknown_repeat' ELSE 'unknown_non-repeat' END AS category, CAST(sum(t.n) AS BIGINT) AS n FROM tags t LEFT JOIN a ON a.seq_id = t.seq_id GROUP BY ALL"""),
 )
 def agg10(spark, sf):
-    """Family of highest priority at a tag's best error, + before -, by sample; tags without a hit are unknown."""
-    family = F.when(F.col("target_id") < 10, 0).when(F.col("target_id") < 25, 1).otherwise(2)
-    best = v.hits(spark, sf).groupBy("seq_id").agg(F.min(F.struct("err", family.alias("p"), F.when(F.col("strand") == "+", 0).otherwise(1).alias("m"))).alias("b"))
-    name = F.concat(F.element_at(F.array(*map(F.lit, ("gene", "repeat", "intergenic"))), F.col("b.p") + 1), F.when(F.col("b.m") == 0, "+").otherwise("-"))
+    """Family of highest priority at a tag's best error, + before -, by sample; tags of no family are unknown: unmapped, with more than six hits, in a repeat (targets from 40 on), or else."""
+    family = F.when(F.col("target_id") < 10, 0).when(F.col("target_id") < 25, 1).otherwise(9)
+    best = v.hits(spark, sf).groupBy("seq_id").agg(
+        F.min(F.struct("err", family.alias("p"), F.when(F.col("strand") == "+", 0).otherwise(1).alias("m"))).alias("b"), F.count("*").alias("hits"), F.bool_or(F.col("target_id") >= 40).alias("masked")
+    )
+    named = F.concat(F.when(F.col("b.p") == 0, "gene").otherwise("repeat"), F.when(F.col("b.m") == 0, "+").otherwise("-"))
+    name = F.when(F.col("hits") > 6, "unknown_overmapped").when(F.col("b.p") < 9, named).when(F.col("masked"), "unknown_repeat").otherwise("unknown_non-repeat")
     joined = v.tags(spark, sf).join(best.select("seq_id", name.alias("name")), "seq_id", "left")
     return joined.groupBy("sample", F.coalesce("name", F.lit("unknown_unmapped")).alias("category")).agg(F.sum("n").alias("n"))
 
@@ -218,53 +286,85 @@ def agg16(spark, sf):
     return v.tags(spark, sf).join(counts, "seq_id", "left").groupBy("sample", label.alias("bin")).agg(F.sum("n").alias("n"))
 
 
-@query(
-    "agg17_error_profile",
-    v.sql("fastq", """, c AS (SELECT unnest(range(1, len(seq) + 1)) AS cycle, seq FROM fastq), p AS (SELECT cycle, count(*) AS total, sum(CASE WHEN substr(seq, CAST(cycle AS INTEGER), 1) = 'N' THEN 1 ELSE 0 END) AS bad FROM c GROUP BY 1)
-  SELECT cycle, total, CAST(bad AS BIGINT) AS bad, round(100.0 * bad / total, 6) AS percent FROM p"""),
-)
+_ALIGNED = """, al AS (SELECT read_id, read_id % 3 AS sample, seq AS q, CASE WHEN read_id % 4 = 0 THEN substr(seq, 1, 7) || 'A' || substr(seq, 9) WHEN read_id % 4 = 1 THEN replace(seq, 'N', 'C') ELSE seq END AS t,
+    CAST(1 + read_id % 5 AS DOUBLE) / (1 + read_id % 2) AS w FROM fastq),
+  p AS (SELECT read_id, sample, w, unnest(range(1, len(q) + 1)) AS cycle, q, t FROM al),
+  e AS (SELECT sample, read_id, w, cycle, CASE WHEN substr(q, CAST(cycle AS INTEGER), 1) <> substr(t, CAST(cycle AS INTEGER), 1) THEN 1 ELSE 0 END AS bad FROM p),
+  c AS (SELECT *, sum(bad) OVER (PARTITION BY read_id ORDER BY cycle) AS errors FROM e)"""
+
+
+def _cycles(spark, sf):
+    """A row for each read's cycle: its weight n/hits, whether it differs from the target, and the differences up to there (a fold within the read)."""
+    seq, k = F.col("seq"), F.col("read_id")
+    target = F.when(k % 4 == 0, F.concat(F.substring("seq", 1, 7), F.lit("A"), F.expr("substr(seq, 9)"))).when(k % 4 == 1, F.replace("seq", F.lit("N"), F.lit("C"))).otherwise(seq)
+    bad = F.zip_with(sq.letters(seq), sq.letters(target), lambda a, b: (a != b).cast("int"))
+    reads = v.fastq(spark, sf).select((k % 3).alias("sample"), ((1 + k % 5).cast("double") / (1 + k % 2)).alias("w"), bad.alias("bad"))
+    cumulated = F.transform("bad", lambda x, i: F.struct(x.alias("bad"), F.aggregate(F.slice("bad", 1, i + 1), F.lit(0), lambda a, y: a + F.coalesce(y, F.lit(0))).alias("errors")))
+    return reads.select("sample", "w", F.posexplode(cumulated).alias("p", "x")).select("sample", "w", (F.col("p") + 1).cast("long").alias("cycle"), "x.bad", "x.errors")
+
+
+@query("agg17_error_profile", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, round(sum(w), 6) AS total, round(100.0 * sum(w * bad) / sum(w), 6) AS percent FROM c GROUP BY ALL"))
 def agg17(spark, sf):
-    """Share of unreadable bases by cycle."""
-    at = v.fastq(spark, sf).select(F.posexplode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("p", "base"))
-    out = at.groupBy((F.col("p") + 1).cast("long").alias("cycle")).agg(F.count("*").alias("total"), F.count_if(F.col("base") == "N").alias("bad"))
-    return out.withColumn("percent", F.round(100.0 * F.col("bad") / F.col("total"), 6))
+    """Share of differing letters by sample and cycle, reads weighted by their count over their hits."""
+    out = _cycles(spark, sf).groupBy("sample", "cycle").agg(F.sum("w").alias("t"), F.sum(F.col("w") * F.col("bad")).alias("b"))
+    return out.select("sample", "cycle", F.round("t", 6).alias("total"), F.round(100.0 * F.col("b") / F.col("t"), 6).alias("percent"))
+
+
+@query("agg17_aligned_by_errors", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, errors, round(sum(w), 6) AS weight FROM c GROUP BY ALL"))
+def agg17_aligned(spark, sf):
+    """Weight of the reads that have had so many differences up to a cycle."""
+    return _cycles(spark, sf).groupBy("sample", "cycle", "errors").agg(F.round(F.sum("w"), 6).alias("weight"))
 
 
 @query(
     "agg18_length_histogram",
-    v.sql("fastq", """, h AS (SELECT len(rtrim(seq, 'N')) AS length, count(*) AS n FROM fastq GROUP BY 1) SELECT length, n, CAST(sum(n) OVER (ORDER BY length DESC) AS BIGINT) AS at_least FROM h"""),
-)
+    v.sql("fastq tailed", f""", c AS (SELECT 'before' AS stage, len(seq) AS length FROM tailed UNION ALL SELECT 'after', len({_TAIL}) FROM tailed), h AS (SELECT stage, length, count(*) AS n FROM c GROUP BY ALL)
+  SELECT stage, length, n, CAST(sum(n) OVER (PARTITION BY stage ORDER BY length DESC) AS BIGINT) AS at_least FROM h"""),
+)
 def agg18(spark, sf):
-    counts = v.fastq(spark, sf).groupBy(F.length(F.regexp_replace("seq", "N+$", "")).cast("long").alias("length")).agg(F.count("*").alias("n"))
-    return counts.withColumn("at_least", F.sum("n").over(Window.orderBy(F.desc("length"))))
+    """Read lengths before and after trimming, and how many are at least as long; the window runs over one row a length."""
+    reads = v.tailed(spark, sf)
+    both = reads.select(F.lit("before").alias("stage"), "seq").unionByName(reads.select(F.lit("after").alias("stage"), sq.trim_tail(F.col("seq"), ADAPTOR, 6).alias("seq")))
+    counts = both.groupBy("stage", F.length("seq").cast("long").alias("length")).agg(F.count("*").alias("n"))
+    return counts.withColumn("at_least", F.sum("n").over(Window.partitionBy("stage").orderBy(F.desc("length"))))
 
 
-CANDIDATES = {"one": "ACTGACTGACTGACTGACTG", "two": "TACGTTACGTTACGTTACGT", "three": "GATCACTGATGCATTGCACT"}
+CANDIDATES = {"one": "ACTGACTGACTGACTGACTG", "two": "TACGTTACGTTACGTTACGT", "three": ADAPTOR + "ACGT"}
+PREFIXES = (14, 16, 18, 20)
 
 
 @query(
     "agg19_adaptor_vote",
-    v.sql("fastq", ", a AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{x}')" for k, x in CANDIDATES.items()) + """) t(name, adaptor)),
-  m AS (SELECT name, k, count(*) FILTER (contains(seq, left(adaptor, CAST(k AS INTEGER)))) AS n FROM fastq, a, (SELECT unnest([3, 4, 5, 6]) AS k) GROUP BY ALL)
-  SELECT name, round(avg(n), 6) AS matches FROM m GROUP BY 1"""),
+    v.sql("fastq tailed", ", a AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{x}')" for k, x in CANDIDATES.items()) + """) t(name, adaptor)),
+  m AS (SELECT name, k, count(*) FILTER (contains(seq, left(adaptor, CAST(k AS INTEGER)))) AS n, count(*) AS reads FROM tailed, a, (SELECT unnest([14, 16, 18, 20]) AS k) GROUP BY ALL),
+  v AS (SELECT name, avg(n) AS matches, max(reads) AS reads FROM m GROUP BY 1), p AS (SELECT *, (round(matches) + 1.0) / (reads + 2) AS mean FROM v)
+  SELECT name, round(matches, 6) AS matches, row_number() OVER (ORDER BY matches DESC, name) = 1 AS chosen, round(mean - 1.96 * sqrt(mean * (1 - mean) / (reads + 3)), 6) AS low, round(mean + 1.96 * sqrt(mean * (1 - mean) / (reads + 3)), 6) AS high FROM p"""),
 )
 def agg19(spark, sf):
-    """Mean number of reads with a prefix of each candidate, over the prefix lengths: one pass, a counter a candidate and length."""
-    lengths = (3, 4, 5, 6)
-    counts = [F.count_if(F.col("seq").contains(x[:k])).alias(f"{name}_{k}") for name, x in CANDIDATES.items() for k in lengths]
-    one = v.fastq(spark, sf).agg(*counts)
-    means = [F.struct(F.lit(name).alias("name"), F.round(sum(F.col(f"{name}_{k}") for k in lengths) / len(lengths), 6).alias("matches")) for name in CANDIDATES]
-    return one.select(F.explode(F.array(*means)).alias("m")).select("m.name", "m.matches")
+    """Mean number of reads with a prefix of each candidate, over the prefix lengths, the best candidate, and the interval of its share.
+
+    One pass, a counter a candidate and length. The interval is that of the share's posterior after a uniform prior, Beta(m + 1, N - m + 1), by its mean and variance.
+    """
+    counts = [F.count_if(F.col("seq").contains(x[:k])).alias(f"{name}_{k}") for name, x in CANDIDATES.items() for k in PREFIXES]
+    one = v.tailed(spark, sf).agg(F.count("*").alias("reads"), *counts)
+    means = [F.struct(F.lit(name).alias("name"), (sum(F.col(f"{name}_{k}") for k in PREFIXES) / len(PREFIXES)).alias("matches")) for name in CANDIDATES]
+    rows = one.select("reads", F.array_max(F.transform(F.array(*means), lambda m: F.struct(m["matches"].alias("matches"), m["name"].alias("name")))).alias("top"), F.explode(F.array(*means)).alias("m"))
+    rows = rows.select("reads", "m.name", "m.matches", "top").withColumn("mean", (F.round("matches") + 1.0) / (F.col("reads") + 2))
+    width = 1.96 * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("reads") + 3))
+    first = Window.orderBy(F.desc("matches"), "name")
+    return rows.select("name", F.round("matches", 6).alias("matches"), (F.row_number().over(first) == 1).alias("chosen"), F.round(F.col("mean") - width, 6).alias("low"), F.round(F.col("mean") + width, 6).alias("high"))
 
 
 @query(
     "agg20_trimming_summary",
-    v.sql("fastq", """, c AS (SELECT CASE WHEN len(seq) < 36 THEN 'short' WHEN contains(seq, 'NNN') THEN 'unreadable' ELSE 'passed' END AS code FROM fastq)
-  SELECT coalesce(code, 'all') AS code, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM c), 6) AS percent FROM c GROUP BY ROLLUP (code)"""),
+    v.sql("fastq tailed", f""", c AS (SELECT n, CASE WHEN contains(seq, '{ADAPTOR}') THEN 'full' WHEN {_TAIL} <> seq THEN 'exact' ELSE 'none' END AS code FROM tailed)
+  SELECT coalesce(code, 'all') AS code, CAST(sum(n) AS BIGINT) AS n, round(100.0 * sum(n) / (SELECT sum(n) FROM c), 6) AS percent FROM c GROUP BY ROLLUP (code)"""),
 )
 def agg20(spark, sf):
-    code = F.when(F.length("seq") < 36, "short").when(F.col("seq").contains("NNN"), "unreadable").otherwise("passed")
-    counts = v.fastq(spark, sf).select(code.alias("code")).rollup("code").agg(F.count("*").alias("n"))
+    """Sums of counts by what was trimmed, with their total and percentages."""
+    seq = F.col("seq")
+    code = F.when(seq.contains(ADAPTOR), "full").when(sq.trim_tail(seq, ADAPTOR, 6) != seq, "exact").otherwise("none")
+    counts = v.tailed(spark, sf).select(code.alias("code"), "n").rollup("code").agg(F.sum("n").alias("n"))
     total = F.max("n").over(Window.partitionBy(F.lit(0)))
     return counts.select(F.coalesce("code", F.lit("all")).alias("code"), "n", F.round(100.0 * F.col("n") / total, 6).alias("percent"))
 
@@ -307,11 +407,23 @@ def win11(spark, sf):
     return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "seq")).cast("long"))
 
 
-@query("fun4_alignment_descriptor", v.sql("fastq", "SELECT read_id, seq FROM fastq"))
+@query(
+    "fun4_alignment_descriptor",
+    v.sql("fastq", """, r AS (SELECT read_id, seq, substr(seq, 1, 3) || '-' || substr(seq, 5) AS q, substr(translate(seq, 'N', 'A'), 1, 7) || '-' || substr(translate(seq, 'N', 'A'), 9) AS t FROM fastq WHERE len(seq) >= 9),
+  p AS (SELECT read_id, unnest(range(1, len(q) + 1)) AS i, q, t FROM r), m AS (SELECT read_id, i, substr(q, CAST(i AS INTEGER), 1) AS a, substr(t, CAST(i AS INTEGER), 1) AS b FROM p),
+  g AS (SELECT *, sum(CASE WHEN a = b THEN 0 ELSE 1 END) OVER (PARTITION BY read_id ORDER BY i) AS k FROM m),
+  s AS (SELECT read_id, k, max(CASE WHEN a <> b THEN CASE WHEN a = '-' THEN 'D' || b WHEN b = '-' THEN 'I' || a ELSE a END END) AS other, count(*) FILTER (a = b) AS run FROM g GROUP BY ALL),
+  d AS (SELECT read_id, string_agg(concat_ws(' ', other, CASE WHEN run > 0 THEN run || 'M' END), ' ' ORDER BY k) AS text FROM s GROUP BY 1)
+  SELECT r.read_id, d.text, replace(r.q, '-', '') AS query FROM r JOIN d ON d.read_id = r.read_id"""),
+)
 def fun4(spark, sf):
-    """A read's differences from itself with N as A, put back: the round trip gives the read."""
-    both = v.fastq(spark, sf).withColumn("other", F.translate("seq", "N", "A"))
-    return both.select("read_id", sq.restore(F.col("other"), sq.describe(F.col("seq"), F.col("other"))).alias("seq"))
+    """A read against its target with a gap in each: the description, and the read put back from it."""
+    target = F.translate("seq", "N", "A")
+    both = v.fastq(spark, sf).filter("length(seq) >= 9").select(
+        "read_id", F.concat(F.substring("seq", 1, 3), F.lit("-"), F.expr("substr(seq, 5)")).alias("q"), F.concat(F.substring(target, 1, 7), F.lit("-"), F.substr(target, F.lit(9))).alias("t")
+    )
+    text = both.withColumn("text", sq.describe(F.col("q"), F.col("t")))
+    return text.select("read_id", "text", sq.restore(F.replace("t", F.lit("-"), F.lit("")), F.col("text")).alias("query"))
 
 
 @query("fun5_solexa_scores", v.sql("fastq", "SELECT read_id, [CAST(ascii(x) - 64 AS INTEGER) FOR x IN string_split(qual, '') IF x <> ''] AS scores FROM fastq"))

@@ -45,6 +45,19 @@ def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").selectExpr("doc_id as read_id", f"substr({_acgt()}, 1, 36) as seq", f"substr({qual}, 1, 36) as qual")
 
 
+#: The adaptor of the ``tailed`` view, and what its reads carry by turns: the whole of it, with a letter replaced, one left out, one
+#: put in, a part with letters replaced, a short part, nothing.
+ADAPTOR = "GATCACTGATGCATTG"
+TAILS = (ADAPTOR, "GATCACTAATGCATTG", "GATCACGATGCATTGA", "GATCACTTGATGCATT", "GATCACTGATG", "GATCTCTGA", "GATCACTCATGC", "GATC", "")
+
+
+def tailed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads (14 letters of ``fastq``) with an adaptor's part behind them, in a third of them also more letters, and in another third the adaptor's end before them."""
+    tail = "element_at(array(" + ", ".join(f"'{x}'" for x in TAILS) + f"), cast(read_id % {len(TAILS)} as int) + 1)"
+    head = f"if(read_id % 3 = 1, '{ADAPTOR[-9:]}', '')"
+    return fastq(spark, sf_dir).selectExpr("read_id", f"concat({head}, substr(seq, 1, 14), {tail}, if(read_id % 3 = 2, substr(seq, 15, 12), '')) as seq", "1 + read_id % 5 as n")
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as seq_id", "l_partkey % 50 as target_id", "if(l_linestatus = 'O', '+', '-') as strand",
@@ -85,6 +98,8 @@ SQL = {
     "sequences": f"sequences AS (SELECT doc_id, {_ACGT_SQL} AS seq FROM documents)",
     "fastq": f"""fastq AS (SELECT doc_id AS read_id, substr({_ACGT_SQL}, 1, 36) AS seq,
   substr(regexp_replace(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '0123456789:;<=>?@ABCDEFGHI'), '[^0-J]', '#', 'g'), 1, 36) AS qual FROM documents)""",
+    "tailed": f"""tailed AS (SELECT read_id, CASE WHEN read_id % 3 = 1 THEN '{ADAPTOR[-9:]}' ELSE '' END || substr(seq, 1, 14)
+  || list_extract([{", ".join(f"'{x}'" for x in TAILS)}], CAST(read_id % {len(TAILS)} AS INTEGER) + 1) || CASE WHEN read_id % 3 = 2 THEN substr(seq, 15, 12) ELSE '' END AS seq, 1 + read_id % 5 AS n FROM fastq)""",
     "hits": """hits AS (SELECT l_orderkey AS seq_id, l_partkey % 50 AS target_id,
   CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_suppkey * 37 AS start, l_suppkey * 37 + 35 AS "end",
   CAST(l_linenumber % 3 AS INT) AS err FROM lineitem)""",
