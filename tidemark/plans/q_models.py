@@ -349,16 +349,41 @@ def _smooth(spark, sf):
     return sums.join(p.select("x"), "x", "left_semi")
 
 
-@query("win7_hanning_smoothing", v.sql("reads", _SERIES + " SELECT x, round(y, 6) AS y, round(lead(y) OVER (ORDER BY x) - y, 6) AS d FROM s"))
+_DIFFERENCES = _SERIES + ", d AS (SELECT x, y, lead(y) OVER (ORDER BY x) - y AS y1, lead(y, 2) OVER (ORDER BY x) - 2 * lead(y) OVER (ORDER BY x) + y AS y2 FROM s)"
+
+
+def differences(spark, sf):
+    """``x, y, y1, y2``: the smoothed series of 601 places with its first and second differences, in one small window."""
+    next_ = lambda k: F.lead("y", k).over(Window.orderBy("x"))
+    return _smooth(spark, sf).select("x", "y", (next_(1) - F.col("y")).alias("y1"), (next_(2) - 2 * next_(1) + F.col("y")).alias("y2"))
+
+
+@query("win7_hanning_smoothing", v.sql("reads", _DIFFERENCES + " SELECT x, round(y, 6) AS y, round(y1, 6) AS d, round(y2, 6) AS d2 FROM d"))
 def win7(spark, sf):
-    return _smooth(spark, sf).select("x", F.round("y", 6).alias("y"), F.round(F.lead("y").over(Window.orderBy("x")) - F.col("y"), 6).alias("d"))
+    return differences(spark, sf).select("x", F.round("y", 6).alias("y"), F.round("y1", 6).alias("d"), F.round("y2", 6).alias("d2"))
 
 
-@query("win8_mode", v.sql("reads", _SERIES + " SELECT arg_max(x, struct_pack(y := round(y, 9), b := -x)) AS mode, round((max(y) - avg(y)) / stddev_pop(y), 5) AS z FROM s WHERE x > 80"))
+_MODE = _DIFFERENCES + """, e AS (SELECT *, avg(y1) OVER (ORDER BY x ROWS BETWEEN 25 PRECEDING AND 1 PRECEDING) AS pre, avg(y1) OVER (ORDER BY x ROWS BETWEEN CURRENT ROW AND 24 FOLLOWING) AS post FROM d),
+  m AS (SELECT arg_max(x, struct_pack(y := round(y, 9), b := -x)) FILTER (x >= 80 AND x < 551) AS top, round((max(y) FILTER (x >= 80 AND x < 551) - avg(y) FILTER (x >= 80 AND x < 551)) / stddev_pop(y) FILTER (x >= 80 AND x < 551), 5) AS z,
+    arg_max(x, struct_pack(y := round(y, 9), b := -x)) FILTER (x >= 80 AND x < 550 AND y1 BETWEEN -1 AND 1 AND round(pre, 9) > 0 AND round(post, 9) < 0 AND y > 0) AS flat,
+    arg_min(x, struct_pack(y := round(y2, 9), b := x)) FILTER (x >= 80 AND x < 549) AS bend FROM e)"""
+
+
+@query("win8_mode", v.sql("reads", _MODE + " SELECT top, flat, bend, z, CASE WHEN abs(top - 80) > 10 THEN top WHEN flat > 0 THEN flat WHEN bend > 0 THEN bend ELSE -1 END AS chosen FROM m"))
 def win8(spark, sf):
-    """Largest value beyond the first 80 places of the smoothed series, and how far it stands out."""
-    late = _smooth(spark, sf).filter("x > 80")
-    return late.agg(F.max_by("x", F.struct(F.round("y", 9), -F.col("x"))).alias("mode"), F.round((F.max("y") - F.avg("y")) / F.stddev_pop("y"), 5).alias("z"))
+    """Mode of the smoothed series beyond the first 80 places: its maximum unless that is at the edge, else the highest place of no slope between a rise and a fall, else the sharpest bend, else -1."""
+    w = Window.orderBy("x")
+    d = differences(spark, sf).withColumn("pre", F.avg("y1").over(w.rowsBetween(-25, -1))).withColumn("post", F.avg("y1").over(w.rowsBetween(0, 24)))
+    within = lambda end: (F.col("x") >= 80) & (F.col("x") < end)
+    high = F.struct(F.round("y", 9), -F.col("x"))
+    flat = within(550) & F.col("y1").between(-1, 1) & (F.round("pre", 9) > 0) & (F.round("post", 9) < 0) & (F.col("y") > 0)
+    y = F.when(within(551), F.col("y"))
+    m = d.agg(
+        F.max_by("x", F.when(within(551), high)).alias("top"), F.round((F.max(y) - F.avg(y)) / F.stddev_pop(y), 5).alias("z"), F.max_by("x", F.when(flat, high)).alias("flat"),
+        F.min_by("x", F.when(within(549), F.struct(F.round("y2", 9), F.col("x")))).alias("bend"),
+    )
+    chosen = F.when(F.abs(F.col("top") - 80) > 10, F.col("top")).when(F.col("flat") > 0, F.col("flat")).when(F.col("bend") > 0, F.col("bend")).otherwise(-1)
+    return m.select("top", "flat", "bend", "z", chosen.alias("chosen"))
 
 
 @query(
@@ -378,18 +403,28 @@ def win13(spark, sf):
     return runs.withColumn("k", F.row_number().over(best)).filter("k = 1").drop("k")
 
 
-@query(
-    "joi15_clipped_alignments",
-    v.sql("fastq", """, b AS (SELECT read_id, replace(seq, 'N', '-') AS ref, 100 + read_id AS start FROM fastq), l AS (SELECT read_id, ref, start, [i FOR i IN range(1, len(ref) + 1) IF substr(ref, CAST(i AS INTEGER), 1) <> '-'] AS pos FROM b),
-  c AS (SELECT read_id, ref, pos, greatest(105 + read_id - start, 0) AS a, least(115 + read_id - start, len(pos)) AS z FROM l)
-  SELECT read_id, substr(ref, CAST(pos[CAST(a + 1 AS INTEGER)] AS INTEGER), CAST(pos[CAST(z AS INTEGER)] - pos[CAST(a + 1 AS INTEGER)] + 1 AS INTEGER)) AS part FROM c WHERE z > a"""),
-)
+_BLOCKS = """, b AS (SELECT read_id, ['click', 'error', 'purchase', 'signup', 'view'][1 + CAST(read_id % 5 AS INTEGER)] AS chrom, read_id * 37 % 42000 AS start, CASE WHEN read_id % 2 = 0 THEN '+' ELSE '-' END AS strand, replace(seq, 'N', '-') AS text FROM fastq),
+  f AS (SELECT read_id, chrom, start, CASE WHEN strand = '-' THEN reverse(translate(text, 'ACGT', 'TGCA')) ELSE text END AS text FROM b),
+  l AS (SELECT *, [i FOR i IN range(1, len(text) + 1) IF substr(text, CAST(i AS INTEGER), 1) <> '-'] AS pos FROM f),
+  c AS (SELECT g.region_id, l.read_id, l.text, l.pos, greatest(g.start - l.start, 0) AS a, least(g."end" - l.start, len(l.pos)) AS z FROM l JOIN regions g ON g.chrom = l.chrom AND l.start < g."end" AND g.start < l.start + len(l.pos))
+  SELECT region_id, read_id, substr(text, CAST(pos[CAST(a + 1 AS INTEGER)] AS INTEGER), CAST(pos[CAST(z AS INTEGER)] - pos[CAST(a + 1 AS INTEGER)] + 1 AS INTEGER)) AS part FROM c WHERE z > a"""
+
+
+@query("joi15_clipped_alignments", v.sql("fastq regions", _BLOCKS))
 def joi15(spark, sf):
-    """Alignment rows cut to a region: positions count letters, not gaps, so the letters' places in the row give the cut."""
-    b = v.fastq(spark, sf).select("read_id", F.translate("seq", "N", "-").alias("ref"), (100 + F.col("read_id")).alias("start"))
-    places = F.filter(F.sequence(F.lit(1), F.length("ref")), lambda i: F.substr(F.col("ref"), i, F.lit(1)) != "-")
-    at = b.filter("ref <> ''").withColumn("at", places)
-    a = F.greatest(105 + F.col("read_id") - F.col("start"), F.lit(0)).cast("int")
-    z = F.least(115 + F.col("read_id") - F.col("start"), F.size("at")).cast("int")
-    cut = at.withColumn("a", a).withColumn("z", z).filter("z > a")
-    return cut.select("read_id", F.expr("substr(ref, at[a], at[z - 1] - at[a] + 1)").alias("part"))
+    """Alignment blocks over regions, each row cut to the region.
+
+    A block covers as many positions as it has letters; a minus block is turned first. Positions count letters, not
+    gaps, so the letters' places in the row give the cut, which begins and ends with a letter.
+    """
+    chrom = F.expr("element_at(array('click', 'error', 'purchase', 'signup', 'view'), cast(read_id % 5 as int) + 1)")
+    text = F.translate("seq", "N", "-")
+    turned = F.when(F.col("read_id") % 2 == 0, text).otherwise(F.reverse(F.translate(text, "ACGT", "TGCA")))
+    blocks = v.fastq(spark, sf).filter("seq <> ''").select("read_id", chrom.alias("chrom"), (F.col("read_id") * 37 % 42000).alias("start"), turned.alias("text"))
+    places = F.filter(F.sequence(F.lit(1), F.length("text")), lambda i: F.substr(F.col("text"), i, F.lit(1)) != "-")
+    blocks = blocks.withColumn("at", places).withColumn("end", F.col("start") + F.size("at")).filter("end > start")
+    met = iv.overlaps(blocks, v.regions(spark, sf).select("region_id", "chrom", "start", "end"))
+    a = F.greatest(F.col("r_start") - F.col("start"), F.lit(0)).cast("int")
+    z = F.least(F.col("r_end") - F.col("start"), F.size("at")).cast("int")
+    cut = met.withColumn("a", a).withColumn("z", z).filter("z > a")
+    return cut.select(F.col("r_region_id").alias("region_id"), "read_id", F.expr("substr(text, at[a], at[z - 1] - at[a] + 1)").alias("part"))

@@ -93,15 +93,41 @@ def joi11(spark, sf):
     return a.join(reads.filter("role = 'bg'").groupBy("chrom", "win").agg(F.count("*").alias("score")), ["chrom", "win"])
 
 
+_RESIZED = """, k AS (SELECT region_id, score, concat_ws('_', chrom, (start + "end") // 2 - 250, (start + "end") // 2 + 250) AS key FROM regions),
+  b AS (SELECT concat_ws('_', chrom, m - 250, m + 250) AS key, avg(cov) + 1 AS cov FROM (SELECT chrom, (start + "end") // 2 AS m, "end" - start AS cov FROM regions WHERE strand = '+') GROUP BY 1),
+  h AS (SELECT k.region_id, k.score / coalesce(b.cov, 1) AS height, b.cov IS NULL AS missing FROM k LEFT JOIN b ON b.key = k.key)"""
+
+
+def normalised_heights(spark, sf):
+    """Heights over the mean coverage (plus one) of the resized region by its key; a missing key counts as 1."""
+    half = F.expr("(start + end) div 2")
+    keyed = v.regions(spark, sf).withColumn("key", F.concat_ws("_", "chrom", half - 250, half + 250))
+    cov = keyed.filter("strand = '+'").groupBy("key").agg((F.avg(F.col("end") - F.col("start")) + 1).alias("cov"))
+    out = keyed.join(cov, "key", "left")
+    return out.select("region_id", (F.col("score") / F.coalesce("cov", F.lit(1.0))).alias("height"), F.col("cov").isNull().alias("missing"))
+
+
+@query("joi12_normalised_heights", v.sql("regions", _RESIZED + " SELECT region_id, round(height, 6) AS height, missing FROM h"))
+def joi12(spark, sf):
+    return normalised_heights(spark, sf).select("region_id", F.round("height", 6).alias("height"), "missing")
+
+
+@query("joi12_not_found", v.sql("regions", _RESIZED + " SELECT count(*) AS n, count(*) FILTER (missing) AS not_found FROM h"))
+def joi12_missing(spark, sf):
+    return normalised_heights(spark, sf).agg(F.count("*").alias("n"), F.count_if("missing").alias("not_found"))
+
+
 @query(
-    "joi12_normalised_heights",
-    v.sql("regions sites", """, c AS (SELECT region_id, avg(post + 1) AS cov FROM sites WHERE wm < 3 GROUP BY 1)
-  SELECT g.region_id, round(score / coalesce(cov, 1), 3) AS height, cov IS NULL AS missing FROM regions g LEFT JOIN c ON c.region_id = g.region_id"""),
+    "joi12_nearest_centre",
+    v.sql("regions", """, a AS (SELECT region_id, chrom, (start + "end") // 2 AS m FROM regions WHERE strand = '+'), b AS (SELECT region_id AS other, chrom, (start + "end") // 2 AS m FROM regions WHERE strand = '-')
+  SELECT a.region_id, b.other, b.m - a.m AS delta FROM a JOIN b ON a.chrom = b.chrom AND abs(a.m - b.m) < 5"""),
 )
-def joi12(spark, sf):
-    cov = v.sites(spark, sf).filter("wm < 3").groupBy("region_id").agg(F.avg(F.col("post") + 1).alias("cov"))
-    out = v.regions(spark, sf).join(cov, "region_id", "left")
-    return out.select("region_id", F.round(F.col("score") / F.coalesce("cov", F.lit(1.0)), 3).alias("height"), F.col("cov").isNull().alias("missing"))
+def joi12_near(spark, sf):
+    """Pairs of regions of both strands whose middles are less than 5 apart: points widened by 4 in the overlap join."""
+    at = v.regions(spark, sf).select("region_id", "chrom", "strand", F.expr("(start + end) div 2").alias("m"))
+    a = at.filter("strand = '+'").select("region_id", "chrom", "m", (F.col("m") - 4).alias("start"), (F.col("m") + 5).alias("end"))
+    b = at.filter("strand = '-'").select(F.col("region_id").alias("other"), "chrom", "m", F.col("m").alias("start"), (F.col("m") + 1).alias("end"))
+    return iv.overlaps(a, b).select("region_id", F.col("r_other").alias("other"), (F.col("r_m") - F.col("m")).alias("delta"))
 
 
 CHUNK = 200
@@ -160,13 +186,14 @@ def joi14(spark, sf):
 
 @query(
     "joi19_packed_lookup",
-    v.sql("hits", """, m AS (SELECT seq_id, list_sort(list_distinct(list(target_id))) AS ids FROM hits GROUP BY 1)
-  SELECT seq_id, array_to_string(['g' || x || '|name ' || (x % 7) FOR x IN ids], ' ') AS genes FROM m"""),
+    v.sql("hits", """, i AS (SELECT p_partkey % 50 AS id, min(p_type) AS symbol, min(p_name) AS name FROM part GROUP BY 1), m AS (SELECT DISTINCT seq_id, target_id FROM hits)
+  SELECT seq_id, array_to_string(list_sort(list_distinct(list(symbol || '|' || name))), ' ') AS genes FROM m JOIN i ON i.id = m.target_id GROUP BY 1"""),
 )
 def joi19(spark, sf):
-    info = F.create_map(*[F.lit(x) for k in range(50) for x in (k, f"g{k}|name {k % 7}")])
-    ids = v.hits(spark, sf).groupBy("seq_id").agg(F.array_sort(F.collect_set(F.col("target_id").cast("int"))).alias("ids"))
-    return ids.select("seq_id", F.array_join(F.transform("ids", lambda x: F.element_at(info, x)), " ").alias("genes"))
+    """Members as ``symbol|name`` by a table of genes, distinct and joined: a member meets its row, and the few of a tag are gathered."""
+    genes = v.read(spark, sf, "part").groupBy((F.col("p_partkey") % 50).alias("target_id")).agg(F.min("p_type").alias("symbol"), F.min("p_name").alias("name"))
+    met = v.hits(spark, sf).select("seq_id", "target_id").distinct().join(genes, "target_id")
+    return met.groupBy("seq_id").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws("|", "symbol", "name"))), " ").alias("genes"))
 
 
 @query("agg22_posterior_sums", v.sql("regions sites", "SELECT g.region_id, round(coalesce(sum(post), 0), 6) AS post FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY 1"))
@@ -192,6 +219,20 @@ def agg23(spark, sf):
     )
 
 
+@query(
+    "agg23_binned_means",
+    v.sql("regions sites", """, t AS (SELECT g.region_id, g.score, coalesce(sum(post), 0) AS post FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY ALL),
+  e AS (SELECT min(score) AS lo, max(score) AS hi FROM t), b AS (SELECT least(CAST(floor((score - lo) / (hi - lo) * 20) AS BIGINT), 19) AS bin, score, post FROM t, e)
+  SELECT bin, count(*) AS n, round(avg(score), 6) AS score, round(avg(post), 6) AS post FROM b GROUP BY 1"""),
+)
+def agg23_binned(spark, sf):
+    """Mean score and posterior sum in twenty bins of equal width of the score."""
+    t = region_posteriors(spark, sf).select("region_id", "score", "post")
+    ends = t.agg(F.min("score").alias("lo"), F.max("score").alias("hi"))
+    bin_ = F.least(F.floor((F.col("score") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 20), F.lit(19)).cast("long")
+    return t.join(F.broadcast(ends)).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("score"), F.round(F.avg("post"), 6).alias("post"))
+
+
 @query(
     "agg24_site_centring",
     v.sql("regions sites", "SELECT round(sum(score * post) / (sum(post) * avg(score)), 6) AS centring FROM sites s JOIN regions g ON g.region_id = s.region_id"),
@@ -211,9 +252,18 @@ def _binned(spark, sf):
     return regions.join(F.broadcast(ends)).withColumn("bin", bin_.cast("long"))
 
 
-@query("agg25_weighted_histogram", v.sql("regions", _BINS + """ SELECT bin, count(*) AS n, CAST(sum("end" - start) AS BIGINT) AS weight FROM b GROUP BY 1"""))
+@query(
+    "agg25_weighted_histogram",
+    v.sql("sites", """, e AS (SELECT min(s) AS lo, max(s) AS hi, CAST(floor(sqrt(least(sum(post), count(*)))) AS BIGINT) AS bins FROM sites),
+  b AS (SELECT least((s - lo) * bins // (hi - lo), bins - 1) AS bin, post FROM sites, e) SELECT bin, count(*) AS n, round(sum(post), 4) AS weight FROM b GROUP BY 1"""),
+)
 def agg25(spark, sf):
-    return _binned(spark, sf).groupBy("bin").agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("weight"))
+    """Counts and weights in bins of equal width, as many as the root of the smaller of the weights' sum and the rows' number."""
+    sites = v.sites(spark, sf).select("s", "post")
+    bins = F.floor(F.sqrt(F.least(F.sum("post"), F.count("*").cast("double"))))
+    ends = sites.agg(F.min("s").alias("lo"), F.max("s").alias("hi"), bins.alias("bins"))
+    bin_ = F.least(F.expr("(s - lo) * bins div (hi - lo)"), F.col("bins") - 1)
+    return sites.join(F.broadcast(ends)).groupBy(bin_.alias("bin")).agg(F.count("*").alias("n"), F.round(F.sum("post"), 4).alias("weight"))
 
 
 @query(
@@ -248,13 +298,23 @@ def agg28(spark, sf):
 
 @query(
     "agg29_sample_summary",
-    v.sql("tags hits", """, a AS (SELECT sample, count(*) AS tags, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(CASE WHEN n < 2 THEN n ELSE 0 END) AS BIGINT) AS rare FROM tags GROUP BY 1),
-  m AS (SELECT sample, CAST(sum(n) AS BIGINT) AS mapped FROM tags WHERE seq_id IN (SELECT seq_id FROM hits) GROUP BY 1) SELECT a.*, m.mapped FROM a FULL JOIN m ON m.sample = a.sample"""),
+    v.sql("fastq tailed hits", """, q AS (SELECT read_id, read_id % 3 AS sample, n, seq FROM tailed), d AS (SELECT read_id, [substr(seq, CAST(i AS INTEGER), 2) FOR i IN range(1, len(seq))] AS di FROM q),
+  c AS (SELECT read_id, x, count(*) AS k FROM (SELECT read_id, unnest(di) AS x FROM d) GROUP BY ALL), e AS (SELECT read_id, -sum(k / t * ln(k / t) / ln(16)) / 0.9770337 AS h FROM (SELECT *, sum(k) OVER (PARTITION BY read_id) AS t FROM c) GROUP BY 1),
+  f AS (SELECT q.*, CASE WHEN len(seq) < 14 THEN 1 WHEN len(seq) - len(replace(seq, 'N', '')) > 2 THEN 2 WHEN round(coalesce(h, 0), 9) < 0.5 THEN 3 ELSE 0 END AS code FROM q LEFT JOIN e ON e.read_id = q.read_id),
+  a AS (SELECT sample, CAST(sum(n) AS BIGINT) AS reads, CAST(coalesce(sum(n) FILTER (code = 1), 0) AS BIGINT) AS too_short, CAST(coalesce(sum(n) FILTER (code = 2), 0) AS BIGINT) AS unreadable,
+    CAST(coalesce(sum(n) FILTER (code = 3), 0) AS BIGINT) AS low_entropy, CAST(coalesce(sum(n) FILTER (code = 0), 0) AS BIGINT) AS passed FROM f GROUP BY 1),
+  m AS (SELECT sample, CAST(sum(n) AS BIGINT) AS mapped FROM f WHERE code = 0 AND read_id IN (SELECT seq_id FROM hits) GROUP BY 1)
+  SELECT coalesce(a.sample, m.sample) AS sample, reads, too_short, unreadable, low_entropy, passed, mapped FROM a FULL JOIN m ON m.sample = a.sample"""),
 )
 def agg29(spark, sf):
-    tags = v.tags(spark, sf)
-    a = tags.groupBy("sample").agg(F.count("*").alias("tags"), F.sum("n").alias("reads"), F.sum(F.when(F.col("n") < 2, F.col("n")).otherwise(0)).alias("rare"))
-    m = tags.join(v.hits(spark, sf).select("seq_id"), "seq_id", "left_semi").groupBy("sample").agg(F.sum("n").alias("mapped"))
+    """Reads of each sample: how many came in, fell to each filter, passed, and of those were mapped."""
+    from ..functions import sequence as sq
+
+    f = v.tailed(spark, sf).select("read_id", (F.col("read_id") % 3).alias("sample"), "n", sq.tag_code(F.col("seq")).alias("code"))
+    counts = f.groupBy("sample", "code").agg(F.sum("n").alias("n"))  # the code is worked out once a read
+    of = lambda k: F.sum(F.when(F.col("code") == k, F.col("n")).otherwise(0))
+    a = counts.groupBy("sample").agg(F.sum("n").alias("reads"), of(1).alias("too_short"), of(2).alias("unreadable"), of(3).alias("low_entropy"), of(0).alias("passed"))
+    m = f.filter("code = 0").join(v.hits(spark, sf).select(F.col("seq_id").alias("read_id")), "read_id", "left_semi").groupBy("sample").agg(F.sum("n").alias("mapped"))
     return a.join(m, "sample", "outer")
 
 
@@ -265,7 +325,8 @@ def agg29(spark, sf):
   c AS (SELECT zc, wc, 1.0 + count(*) FILTER (score >= zc AND post >= wc) AS a, 1.0 + count(*) FILTER (score >= zc AND post < wc) AS b,
     1.0 + count(*) FILTER (score < zc AND post >= wc) AS c, 1.0 + count(*) FILTER (score < zc AND post < wc) AS d FROM t, z, w GROUP BY ALL),
   p AS (SELECT zc, wc, CAST(a AS DOUBLE) / (a+b+c+d) AS a, CAST(b AS DOUBLE) / (a+b+c+d) AS b, CAST(c AS DOUBLE) / (a+b+c+d) AS c, CAST(d AS DOUBLE) / (a+b+c+d) AS d FROM c)
-  SELECT CAST(zc AS DOUBLE) AS zc, CAST(wc AS DOUBLE) AS wc, round(a * ln(a / ((a+b) * (a+c))) + b * ln(b / ((a+b) * (b+d))) + c * ln(c / ((c+d) * (a+c))) + d * ln(d / ((c+d) * (b+d))), 8) AS mi FROM p"""),
+  SELECT CAST(zc AS DOUBLE) AS zc, CAST(wc AS DOUBLE) AS wc, round(a * ln(a / ((a+b) * (a+c))) + b * ln(b / ((a+b) * (b+d))) + c * ln(c / ((c+d) * (a+c))) + d * ln(d / ((c+d) * (b+d))), 8) AS mi,
+    round((a * ln(a / ((a+b) * (a+c))) + b * ln(b / ((a+b) * (b+d))) + c * ln(c / ((c+d) * (a+c))) + d * ln(d / ((c+d) * (b+d)))) / least(-(a+b) * ln(a+b) - (c+d) * ln(c+d), -(a+c) * ln(a+c) - (b+d) * ln(b+d)), 8) AS share FROM p"""),
 )
 def agg30(spark, sf):
     """Mutual information of two thresholded scores on a grid: rows fall into cells between thresholds once, then the few cells are summed."""
@@ -281,23 +342,48 @@ def agg30(spark, sf):
     p = table.select("zc", "wc", *[(F.col(x) / total).alias(x) for x in "abcd"])
     a, b, c, d = map(F.col, "abcd")
     mi = a * F.log(a / ((a + b) * (a + c))) + b * F.log(b / ((a + b) * (b + d))) + c * F.log(c / ((c + d) * (a + c))) + d * F.log(d / ((c + d) * (b + d)))
-    return p.select("zc", "wc", F.round(mi, 8).alias("mi"))
+    entropy = lambda x, y: -x * F.log(x) - y * F.log(y)
+    return p.select("zc", "wc", F.round(mi, 8).alias("mi"), F.round(mi / F.least(entropy(a + b, c + d), entropy(a + c, b + d)), 8).alias("share"))
+
+
+@query("agg30_best_cell", None)
+def agg30_best(spark, sf):
+    """The pair of thresholds with the most mutual information, the smaller ones on ties."""
+    return agg30(spark, sf).agg(F.max_by(F.struct("zc", "wc", "mi", "share"), F.struct("mi", -F.col("zc"), -F.col("wc"))).alias("b")).select("b.*")
+
+
+_SMOOTHED = """, h AS (SELECT CAST(floor(score) AS BIGINT) AS x, count(*) AS n FROM regions GROUP BY 1), r AS (SELECT x, sum(n) OVER (ORDER BY x DESC) AS y FROM h),
+  m AS (SELECT a.x, sum(b.y * exp(-abs(a.x - b.x) / 2.0)) / sum(exp(-abs(a.x - b.x) / 2.0)) AS smooth FROM r a JOIN r b ON abs(a.x - b.x) <= 40 GROUP BY 1)"""
+#: Whole scores within which the kernel of the smoothed curve is summed; beyond, its weight is below 1e-8.
+REACH = 40
+
+
+def smoothed_curve(spark, sf):
+    """Reverse cumulative counts by whole score, smoothed by an exponential kernel: each score goes to those within its reach."""
+    counts = v.regions(spark, sf).groupBy(F.floor("score").alias("x")).agg(F.count("*").alias("n"))
+    curve = iv.running_total(counts, "n", [F.desc("x")], "y")
+    sent = curve.select(F.explode(F.sequence(F.col("x") - REACH, F.col("x") + REACH)).alias("x"), F.col("x").alias("from"), "y")
+    weight = F.exp(-F.abs(F.col("x") - F.col("from")) / 2.0)
+    sums = sent.groupBy("x").agg((F.sum(F.col("y") * weight) / F.sum(weight)).alias("smooth"))
+    return sums.join(curve.select("x"), "x", "left_semi")
+
+
+@query("agg31_smoothed_reverse_cumulative", v.sql("regions", _SMOOTHED + " SELECT x, round(smooth, 5) AS smooth FROM m"))
+def agg31(spark, sf):
+    return smoothed_curve(spark, sf).select("x", F.round("smooth", 5).alias("smooth"))
 
 
 @query(
-    "agg31_smoothed_reverse_cumulative",
-    v.sql("regions", """, h AS (SELECT CAST(floor(score) AS BIGINT) AS x, count(*) AS n FROM regions GROUP BY 1), r AS (SELECT x, sum(n) OVER (ORDER BY x DESC) AS y FROM h)
-  SELECT a.x, round(sum(b.y * exp(-abs(a.x - b.x) / 2.0)) / sum(exp(-abs(a.x - b.x) / 2.0)), 5) AS smooth FROM r a CROSS JOIN r b GROUP BY 1"""),
+    "agg31_half_window_slopes",
+    v.sql("regions", _SMOOTHED + """, l AS (SELECT x, ln(smooth) AS y FROM m)
+  SELECT a.x, round((a.y - b.y) / 5, 6) AS before, round((c.y - a.y) / 5, 6) AS after FROM l a LEFT JOIN l b ON b.x = a.x - 5 LEFT JOIN l c ON c.x = a.x + 5"""),
 )
-def agg31(spark, sf):
-    """Reverse cumulative counts smoothed by an exponential kernel; Spark counts by whole score, whose number is bounded by the score's range."""
-    counts = v.regions(spark, sf).groupBy(F.floor("score").alias("x")).agg(F.count("*").alias("n"))
-    curve = counts.withColumn("y", F.sum("n").over(Window.orderBy(F.desc("x"))))
-    listed = curve.agg(F.collect_list(F.struct(F.col("x").alias("bx"), F.col("y").alias("by"))).alias("all"))
-    weight = lambda b: F.exp(-F.abs(F.col("x") - b["bx"]) / 2.0)
-    top = F.aggregate("all", F.lit(0.0), lambda acc, b: acc + b["by"] * weight(b))
-    below = F.aggregate("all", F.lit(0.0), lambda acc, b: acc + weight(b))
-    return curve.join(F.broadcast(listed)).select("x", F.round(top / below, 5).alias("smooth"))
+def agg31_slopes(spark, sf):
+    """Slopes of the logarithm of the curve over the five scores before and behind each."""
+    y = smoothed_curve(spark, sf).select("x", F.log("smooth").alias("y"))
+    before, after = y.select((F.col("x") + 5).alias("x"), F.col("y").alias("b")), y.select((F.col("x") - 5).alias("x"), F.col("y").alias("c"))
+    out = y.join(before, "x", "left").join(after, "x", "left")
+    return out.select("x", F.round((F.col("y") - F.col("b")) / 5, 6).alias("before"), F.round((F.col("c") - F.col("y")) / 5, 6).alias("after"))
 
 
 @query(
@@ -309,6 +395,17 @@ def agg32(spark, sf):
     return v.matrices(spark, sf).select("wm", "pos", *[F.round(F.col(c) / total, 6).alias(c) for c in "acgt"])
 
 
+@query(
+    "agg32_reverse_complement",
+    v.sql("matrices", "SELECT wm, 15 - pos AS pos, " + ", ".join(f"round({x} / (a + c + g + t), 6) AS {c}" for c, x in zip("acgt", "tgca", strict=True)) + " FROM matrices"),
+)
+def agg32_reversed(spark, sf):
+    """Each matrix, scaled, as its other strand: positions backwards, A with T and C with G exchanged."""
+    total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
+    size = F.max("pos").over(Window.partitionBy("wm"))
+    return v.matrices(spark, sf).select("wm", (size - F.col("pos")).alias("pos"), *[F.round(F.col(x) / total, 6).alias(c) for c, x in zip("acgt", "tgca", strict=True)])
+
+
 _IC = "(2 + " + " + ".join(f"(({c} + 0.001) / (a + c + g + t + 0.004)) * log2(({c} + 0.001) / (a + c + g + t + 0.004))" for c in "acgt") + ")"
 
 
@@ -548,13 +645,15 @@ def fun11(spark, sf):
 
 @query(
     "fun12_display_frame",
-    v.sql("regions", """SELECT region_id, CASE WHEN abs(start % 20000 - 9000) < 5000 THEN least(start, start - start % 20000 + 9000) ELSE start END - 500 AS lo,
-  CASE WHEN abs(start % 20000 - 9000) < 5000 THEN greatest("end", start - start % 20000 + 9000) ELSE "end" END + 500 AS hi FROM regions"""),
+    v.sql("regions", """, p AS (SELECT region_id, chrom, start, "end", (start + "end") // 2 AS m FROM regions), g AS (SELECT chrom, (start + "end") // 2 AS m FROM regions WHERE strand = '-' AND score > 45),
+  n AS (SELECT p.*, g.m AS near, row_number() OVER (PARTITION BY region_id ORDER BY abs(g.m - p.m), g.m) AS k FROM p JOIN g ON g.chrom = p.chrom)
+  SELECT region_id, CASE WHEN abs(near - m) < 10000 THEN least(start, near) ELSE start END - 500 AS lo, CASE WHEN abs(near - m) < 10000 THEN greatest("end", near) ELSE "end" END + 500 AS hi FROM n WHERE k = 1"""),
 )
 def fun12(spark, sf):
-    """A margin around a region, out to the nearest promoter if it is close."""
-    promoter = F.col("start") - F.col("start") % 20000 + 9000
-    close = F.abs(F.col("start") % 20000 - 9000) < 5000
-    return v.regions(spark, sf).select(
-        "region_id", (F.when(close, F.least("start", promoter)).otherwise(F.col("start")) - 500).alias("lo"), (F.when(close, F.greatest("end", promoter)).otherwise(F.col("end")) + 500).alias("hi")
-    )
+    """A margin around a region, out to the nearest promoter (a table of its own) if that is less than 10,000 away."""
+    peaks = v.regions(spark, sf).select("region_id", "chrom", "start", "end", F.expr("(start + end) div 2").alias("middle"))
+    promoters = v.regions(spark, sf).filter("strand = '-' and score > 45").selectExpr("chrom", "(start + end) div 2 as middle").distinct()
+    near = iv.nearest(peaks, promoters.withColumn("at", F.col("middle").cast("string")), "region_id", "at").select("region_id", F.col("near_id").cast("long").alias("near"))
+    met = peaks.join(near, "region_id")
+    close = F.abs(F.col("near") - F.col("middle")) < 10000
+    return met.select("region_id", (F.when(close, F.least("start", "near")).otherwise(F.col("start")) - 500).alias("lo"), (F.when(close, F.greatest("end", "near")).otherwise(F.col("end")) + 500).alias("hi"))
