@@ -1,5 +1,7 @@
 """Fits recover planted parameters, shuffles keep their strata, worked examples of the sequence functions."""
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -40,23 +42,110 @@ def test_beta_is_a_root(spark):
 
 
 def test_shuffles_keep_strata(spark):
-    cells = spark.createDataFrame([(k % 3, k, "ACGT"[k * k % 4]) for k in range(90)], "block long, place long, base string")
-    count = lambda df: sorted(tuple(r) for r in df.groupBy("block", "base").count().collect())
-    moved = m.shuffle_columns(cells, ["block"], "base", 5, replace=False)
-    assert count(moved) == count(cells) and moved.exceptAll(cells.select(moved.columns)).count() > 0
-    drawn = m.shuffle_columns(cells, ["block"], "base", 5, replace=True)
-    assert drawn.count() == 90 and drawn.select("block", "base").distinct().exceptAll(cells.select("block", "base").distinct()).count() == 0
+    """Columns move whole within their stratum; a permutation keeps each column's count, and neither is a no-op."""
+    import random
+
+    rng = random.Random(4)
+    rows = [(b, s, at, rng.choice("ACGT-")) for b in range(3) for at in range(40) for s in range(3)]
+    cells = spark.createDataFrame(rows, "block long, species long, at int, base string")
+
+    def columns(df, copy=1):
+        got = {}
+        for r in df.filter(f"copy = {copy}").collect() if "copy" in df.columns else df.collect():
+            got.setdefault((r["block"], r["at"]), {})[r["species"]] = r["base"]
+        return {k: "".join(c for _, c in sorted(x.items())) for k, x in got.items()}
+
+    pattern = lambda c: "".join("-" if x == "-" else "=" if x == c[0] else "+" for x in c)
+    old = columns(cells)
+    moved, drawn = m.shuffle_columns(cells, 5, replace=False), m.shuffle_columns(cells, 5, copies=2)
+    for new in (columns(moved), columns(drawn, 1), columns(drawn, 2)):
+        assert set(new) == set(old) and all(pattern(new[k]) == pattern(old[k]) for k in old)
+        assert all(new[k] in {old[j] for j in old if j[0] == k[0]} for k in old) and new != old
+    new = columns(moved)
+    for b in range(3):
+        assert sorted(c for k, c in new.items() if k[0] == b) == sorted(c for k, c in old.items() if k[0] == b)
+    assert columns(drawn, 1) != columns(drawn, 2)
 
 
 def test_scan_finds_a_planted_site(spark):
     matrix = np.array([[0.97, 0.01, 0.01, 0.01], [0.01, 0.97, 0.01, 0.01], [0.01, 0.01, 0.97, 0.01], [0.01, 0.01, 0.01, 0.97], [0.97, 0.01, 0.01, 0.01]])
     df = spark.createDataFrame([(1, "TTTTACGTATTTT"), (2, "GGTACGTGG"), (3, "NN"), (4, None)], "doc_id long, seq string")
-    got = {(r["doc_id"], r["pos"], r["strand"]) for r in m.scan_matrix(df, matrix, 8.0).collect()}
+    got = {(r["doc_id"], r["pos"], r["strand"]) for r in m.scan_matrices(df, {0: matrix}, 8.0).collect()}
     assert got == {(1, 3, "-"), (1, 4, "+"), (2, 2, "-")}
     gain = {r["doc_id"]: r["gain"] for r in m.log_likelihoods(df.limit(2), {0: matrix}, [0.05]).collect()}
     assert gain[1] > 0.5
 
 
+def test_likelihood_matches_a_plain_recursion(spark):
+    rng = np.random.default_rng(2)
+    mats = {k: rng.dirichlet(np.ones(4), 3) for k in range(2)}
+    seq = "".join(rng.choice(list("ACGTN"), 150))
+    got = {(r["wm"], r["prior"]): r["gain"] for r in m.log_likelihoods(spark.createDataFrame([(1, seq)], "doc_id long, seq string"), mats, [0.01, 0.2]).collect()}
+
+    def plain(x, odds, p):
+        f = [1.0]
+        for i in range(1, len(x) + 1):
+            f.append((1 - p) * f[-1] + (p * np.prod([odds[j, x[i - 3 + j]] for j in range(3)]) * f[i - 3] if i >= 3 else 0))
+        return math.log(f[-1])
+
+    x = ["ACGTN".index(c) for c in seq]
+    back = [3 - c if c < 4 else 4 for c in reversed(x)]
+    for (k, p), gain in got.items():
+        odds = np.hstack([mats[k] / 0.25, np.ones((3, 1))])
+        assert abs(gain - (plain(x, odds, p) + plain(back, odds, p)) / 2) < 1e-9
+    assert len(got) == 4
+
+
+def test_similarity_matches_brute_force(spark):
+    from tidemark.plans.q_scores import columns_of, similarity
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(7)
+    mats = [rng.dirichlet(np.ones(4), n) for n in (5, 3, 6)]
+    cells = spark.createDataFrame([(k, j, *map(float, w)) for k, x in enumerate(mats) for j, w in enumerate(x)], "wm long, pos int, a double, c double, g double, t double")
+    lib = columns_of(cells)
+    both = lib.join(lib.select(F.col("wm").alias("o"), F.col("cols").alias("b")), F.col("wm") < F.col("o"))
+
+    def best(x, y):
+        return max(sum(x[i] @ y[i - d] for i in range(len(x)) if 0 <= i - d < len(y)) for d in range(1 - len(y), len(x)))
+
+    for r in both.select("wm", "o", similarity(F.col("cols"), F.col("b")).alias("s")).collect():
+        x, y = mats[r["wm"]], mats[r["o"]]
+        assert abs(r["s"] - max(best(x, y), best(x, y[::-1, ::-1]))) < 1e-12
+
+
+def test_uniform_matrices_leave(spark):
+    from tidemark.plans.q_scores import not_uniform
+
+    rows = [(1, k, 2.0, 2.0, 2.0, 2.0) for k in range(3)] + [(2, 0, 1.0, 1.0, 1.0, 1.0), (2, 1, 1.0, 1.0, 1.0, 1.5)]
+    assert [tuple(r) for r in not_uniform(spark.createDataFrame(rows, "wm long, pos int, a double, c double, g double, t double")).collect()] == [(2, 2)]
+
+
+def test_adaptor_variants():
+    from tidemark.functions import sequence as sq
+
+    assert sq.variants("AC", 1) == ["AC", "AA", "AG", "AN", "AT", "CC", "GC", "NC", "TC"]
+    with_gaps = sq.variants("ACGTAC", 1, indels=True, beyond="T")
+    assert "ACTACT" in with_gaps and "ACNGTA" in with_gaps and "CGTACT" not in with_gaps
+    assert "TACTAC" in sq.variants("ACGTAC", 1, indels=True, five=True, beyond="T")
+
+
+def test_sweeps_do_not_depend_on_tiles(spark):
+    import random
+
+    from tidemark.operators import intervals as iv
+
+    rng = random.Random(9)
+    rows = [(rng.choice("xy"), a := rng.randint(0, 3000), a + rng.randint(1, 40), f"r{k}") for k in range(400)]
+    df = spark.createDataFrame(rows, "chrom string, start long, end long, id string")
+    same = lambda f: len({tuple(sorted(map(tuple, f(t).collect()), key=repr)) for t in (50, 700, 10**6)}) == 1
+    assert same(lambda t: iv.merged(df, ["chrom"], 1, t)) and same(lambda t: iv.gaps(df, tile=t)) and same(lambda t: iv.covered(df, ["chrom"], "id", t))
+    at = df.select("chrom", "id", ((df.start + df.end) / 2).cast("long").alias("middle"))
+    left, right = at.filter("id < 'r2'"), at.filter("id >= 'r2'")
+    assert same(lambda t: iv.nearest(left, right, "id", "id", tile=t))
+    assert same(lambda t: iv.nearest_sides(left.withColumnRenamed("id", "region_id"), right.withColumnRenamed("id", "gene"), 3, tile=t))
+
+
 def test_touching_and_overlapping(spark):
     a = spark.createDataFrame([("c", 0, 10), ("c", 10, 20), ("d", 0, 5000)], "chrom string, start long, end long")
     b = spark.createDataFrame([("c", 5, 10), ("c", 20, 30), ("d", 4999, 5001)], "chrom string, start long, end long")
@@ -78,7 +167,7 @@ def test_sequence_functions(spark):
     row = sq.quality_trim(df, lambda q: q.cast("double")).first()
     assert row["trimmed"] == seq and row["tq"] == qual
     one = df.select(
-        sq.reverse_complement(F.lit("AACGTN")).alias("rc"), sq.trim_at(F.lit("TTTGATCAXX"), "GATC", 1).alias("cut"), sq.trim_tail(F.lit("TTTGAT"), "GATCA", 4).alias("tail"),
+        sq.reverse_complement(F.lit("AACGTN")).alias("rc"), sq.trim_full(F.lit("TTTGATCAXX"), "GATC", 1).alias("cut"), sq.trim_tail(F.lit("TTTGAT"), "GATCA", 4).alias("tail"),
         sq.tag_code(F.lit("ACGT")).alias("short"), sq.tag_code(F.lit("A" * 20)).alias("poor"), sq.tag_code(F.lit("ACGTTGCAATCCGGATTACA")).alias("fine"),
         sq.restore(F.lit("ACGTACGT"), sq.describe(F.lit("ACGAACGG"), F.lit("ACGTACGT"))).alias("back"), sq.describe(F.lit("ACGAACGG"), F.lit("ACGTACGT")).alias("d"),
     ).first()
@@ -94,4 +183,5 @@ def test_elbow_of_a_kinked_curve():
 
 def test_alignment_prefers_itself():
     a = np.eye(4)[[0, 1, 2, 3, 0, 0]]
-    assert m.align_columns(a, a) == m.align_columns(a, a[::-1, ::-1]) == 12.0
+    assert m.align_columns(a, a) == (12.0, "+", 0, 6, 0, 6) and m.align_columns(a, a[::-1, ::-1]) == (12.0, "-", 0, 6, 0, 6)
+    assert m.align_columns(np.vstack([np.eye(4)[[1, 1]], a]), a) == (12.0, "+", 2, 8, 0, 6)

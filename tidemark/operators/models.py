@@ -215,95 +215,134 @@ def enrichment(regions: DataFrame, sums: DataFrame, beta: float, share: int = 11
     return one.select(F.exp(mean - F.col("d")).alias("mean"), F.exp(spread).alias("spread"), ((mean - F.col("d")) * F.col("all")).alias("total"))
 
 
-def shuffle_columns(cells: DataFrame, stratum: list[str], value: str, seed: int, replace: bool) -> DataFrame:
-    """``cells`` with ``value`` shuffled within strata: drawn with replacement, or permuted.
+def columns_with_pattern(cells: DataFrame) -> DataFrame:
+    """``block, at, cells, column, pattern``: alignment columns with their stratum, a letter a species: ``-`` absent, ``=`` as the first species, ``+`` else.
 
-    Each stratum is numbered once by place and once by a seeded hash; an equi-join on (stratum, number) brings the
-    values, so the draw doesn't depend on how rows are partitioned. ``place`` is the cell's key.
+    ``cells`` has ``block, species, at, base``. A column has as many cells as its block has species.
     """
-    w = Window.partitionBy(*stratum)
-    a = cells.withColumn("_k", F.row_number().over(w.orderBy("place"))).withColumn("_n", F.count("*").over(w))
-    b = cells.select(*stratum, F.col(value).alias("_v"), F.row_number().over(w.orderBy(F.xxhash64("place", F.lit(seed)), "place")).alias("_k"))
-    if replace:
-        a = a.withColumn("_k", (F.pmod(F.xxhash64("place", F.lit(seed + 1)), F.col("_n")) + 1).cast("int"))
-    return a.join(b, [*stratum, "_k"]).drop("_k", "_n", value).withColumnRenamed("_v", value)
+    listed = cells.groupBy("block", "at").agg(F.array_sort(F.collect_list(F.struct("species", "base"))).alias("cells"))
+    mark = lambda c: F.when(c["base"] == "-", "-").when(c["base"] == F.col("cells")[0]["base"], "=").otherwise("+")
+    pattern = F.array_join(F.transform("cells", mark), "")
+    return listed.select("block", "at", "cells", F.array_join(F.transform("cells", lambda c: c["base"]), "").alias("column"), pattern.alias("pattern"))
 
 
-def scan_matrix(sequences: DataFrame, matrix: np.ndarray, cutoff: float, background: float = 0.25) -> DataFrame:
-    """``doc_id, pos, strand, score``: places where the log-odds of a matrix (columns x ACGT) reaches the cutoff, on the better strand.
+def shuffle_columns(cells: DataFrame, seed: int, copies: int = 1, replace: bool = True) -> DataFrame:
+    """``block, copy, species, at, base``: each block ``copies`` times with its columns exchanged within strata (see ``columns_with_pattern``).
 
-    N counts as the mean of a column. One pass over the sequences with the matrix as a broadcast constant.
+    A block's columns of one stratum (bounded by the block's length) are numbered once by place and once by a seeded hash; an equi-join on
+    the number brings the columns, so the draw doesn't depend on how rows are partitioned. With ``replace`` the number
+    is drawn by hash; without, a permutation, in which a column that meets an equal one goes to the next number if both stay different then.
     """
-    odds = np.log2(matrix / background)
-    table = np.vstack([odds.T, odds.mean(1)]).T  # columns x (A, C, G, T, N)
-    code = np.full(256, 4, "i8")
-    for k, c in enumerate(b"ACGT"):
-        code[c] = k
-    shared = sequences.sparkSession.sparkContext.broadcast((table, table[::-1][:, [3, 2, 1, 0, 4]], code))
+    columns = columns_with_pattern(cells).select("*", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
+    keys = ["block", "copy", "pattern"]
+    w = Window.partitionBy(*keys)
+    draw = F.xxhash64("block", "at", "copy", F.lit(seed))
+    a = columns.withColumn("_k", F.row_number().over(w.orderBy("at"))).withColumn("_n", F.count("*").over(w))
+    b = columns.select(*keys, F.row_number().over(w.orderBy(draw, "at")).alias("_k"), F.col("cells").alias("_new"), F.col("column").alias("_text"))
+    if replace:
+        a = a.withColumn("_k", (F.pmod(F.xxhash64("block", "at", "copy", F.lit(seed + 1)), F.col("_n")) + 1).cast("int"))
+        out = a.join(b, [*keys, "_k"])
+    else:
+        met = a.join(b, [*keys, "_k"])
+        by_no = w.orderBy("_k")
+        ahead = lambda c: F.lead(c).over(by_no)
+        clash = (F.col("column") == F.col("_text")) & (F.col("column") != ahead("_text")) & (ahead("column") != F.col("_text"))
+        swaps = met.withColumn("_clash", F.coalesce(clash, F.lit(False)) & (F.col("_k") % 2 == 1))  # pairs (1, 2), (3, 4) ... don't overlap
+        taken, given = swaps.withColumn("_from", F.lag("_clash").over(by_no)), F.coalesce("_from", F.lit(False))
+        both = taken.withColumn("_up", F.lead("_new").over(by_no)).withColumn("_down", F.lag("_new").over(by_no))
+        out = both.withColumn("_new", F.when(F.col("_clash"), F.col("_up")).when(given, F.col("_down")).otherwise(F.col("_new")))
+    return out.select("block", "copy", "at", F.explode("_new").alias("c")).select("block", "copy", F.col("c.species").alias("species"), "at", F.col("c.base").alias("base"))
+
+
+def scan_matrices(sequences: DataFrame, matrices: dict[int, np.ndarray], cutoff: float, background: float = 0.25) -> DataFrame:
+    """``doc_id, wm, pos, strand, score``: places where the log-odds of a matrix (columns x ACGT) reaches the cutoff, on the better strand.
+
+    N counts as the mean of a column. One pass over the whole sequences with the library, whose size the caller bounds, as a broadcast constant.
+    """
+    tables = {}
+    for wm, matrix in matrices.items():
+        odds = np.log2(matrix / background)
+        table = np.vstack([odds.T, odds.mean(1)]).T  # columns x (A, C, G, T, N)
+        tables[wm] = (table, table[::-1][:, [3, 2, 1, 0, 4]])
+    shared = sequences.sparkSession.sparkContext.broadcast((tables, letter_codes()))
 
     def scan(batches):
-        fwd, rev, code = shared.value
-        width = len(fwd)
+        tables, code = shared.value
         for batch in batches:
             rows = []
             for doc, seq in zip(batch["doc_id"], batch["seq"], strict=True):
                 x = code[np.frombuffer((seq or "").encode("latin-1", "replace"), "u1")]
-                n = len(x) - width + 1
-                if n <= 0:
-                    continue
-                plus, minus = (sum(t[j, x[j : j + n]] for j in range(width)) for t in (fwd, rev))
-                top = np.maximum(plus, minus)
-                rows += [(doc, int(i), "+" if plus[i] >= minus[i] else "-", float(top[i])) for i in np.flatnonzero(top >= cutoff)]
-            yield pd.DataFrame(rows, columns=["doc_id", "pos", "strand", "score"]).astype({"strand": object})
-
-    return sequences.select("doc_id", "seq").mapInPandas(scan, "doc_id long, pos int, strand string, score double")
+                for wm, (fwd, rev) in tables.items():
+                    n = len(x) - len(fwd) + 1
+                    if n <= 0:
+                        continue
+                    plus, minus = (sum(t[j, x[j : j + n]] for j in range(len(fwd))) for t in (fwd, rev))
+                    top = np.maximum(plus, minus)
+                    rows += [(doc, wm, int(i), "+" if plus[i] >= minus[i] else "-", float(top[i])) for i in np.flatnonzero(top >= cutoff)]
+            yield pd.DataFrame(rows, columns=["doc_id", "wm", "pos", "strand", "score"]).astype({"strand": object})
 
+    return sequences.select("doc_id", "seq").mapInPandas(scan, "doc_id long, wm long, pos int, strand string, score double")
 
-def log_likelihoods(sequences: DataFrame, matrices: dict[int, np.ndarray], priors: list[float], background: float = 0.25) -> DataFrame:
-    """``doc_id, wm, prior, gain``: log-likelihood of each sequence under motif or background, over background alone, mean of both strands.
 
-    Forward recursion over positions: a sequence's prefix ends in a background letter or in a whole motif.
-    """
-    shared = sequences.sparkSession.sparkContext.broadcast((matrices, priors))
+def letter_codes() -> np.ndarray:
     code = np.full(256, 4, "i8")
     for k, c in enumerate(b"ACGT"):
         code[c] = k
+    return code
 
-    def forward(x: np.ndarray, odds: np.ndarray, prior: float) -> float:
-        width, n = len(odds), len(x)
-        f, scale = np.zeros(n + 1), 0.0
-        f[0] = 1.0
-        place = np.array([np.prod(odds[np.arange(width), x[i : i + width]]) for i in range(n - width + 1)])
+
+def log_likelihoods(sequences: DataFrame, matrices: dict[int, np.ndarray], priors: list[float], background: float = 0.25) -> DataFrame:
+    """``doc_id, wm, prior, gain``: log-likelihood of each whole sequence under motif or background, over background alone, mean of both strands.
+
+    Forward recursion over positions: a sequence's prefix ends in a background letter or in a whole motif. All pairs of a motif and a
+    prior move on together, a vector step a position. Motifs have equal widths; a shorter sequence gains nothing.
+    """
+    shared = sequences.sparkSession.sparkContext.broadcast((matrices, priors, letter_codes()))
+
+    def forward(x: np.ndarray, odds: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """``odds``: motifs x columns x letters; ``p``: motifs x priors, flat. The log of the last value of each."""
+        width, n = odds.shape[1], len(x)
+        place = np.ones((n - width + 1, len(odds)))
+        for j in range(width):
+            place *= odds[:, j, :].T[x[j : j + n - width + 1]]
+        place = np.repeat(place, len(p) // len(odds), axis=1) * p
+        stay, scale = 1 - p, np.zeros(len(p))
+        ring = np.zeros((width, len(p)))  # the last ``width`` values, scaled by each one's own factor
+        ring[0] = now = np.ones(len(p))
         for i in range(1, n + 1):
-            f[i] = (1 - prior) * f[i - 1]
+            now = stay * now
             if i >= width:
-                f[i] += prior * place[i - width] * f[i - width]
-            if f[i] > 1e100:
-                f /= 1e100
-                scale += math.log(1e100)
-            elif f[i] < 1e-100:
-                f *= 1e100
-                scale -= math.log(1e100)
-        return math.log(max(f[n], 1e-300)) + scale
+                now += place[i - width] * ring[i % width]
+            ring[i % width] = now
+            if i % 64 == 0:
+                scale += np.log(now)
+                ring /= now
+                now = np.ones(len(p))
+        return np.log(now) + scale
 
     def run(batches):
-        mats, grid = shared.value
-        odds = {k: np.hstack([m / background, np.ones((len(m), 1))]) for k, m in mats.items()}
+        mats, grid, code = shared.value
+        names = list(mats)
+        odds = np.array([np.hstack([mats[k] / background, np.ones((len(mats[k]), 1))]) for k in names])
+        p = np.tile(np.array(grid), len(names))
         for batch in batches:
-            rows = []
+            out = []
             for doc, seq in zip(batch["doc_id"], batch["seq"], strict=True):
                 x = code[np.frombuffer((seq or "").encode("latin-1", "replace"), "u1")]
-                back = np.where(x[::-1] < 4, 3 - x[::-1], 4)
-                for k, o in odds.items():
-                    for p in grid:
-                        rows.append((doc, k, p, (forward(x, o, p) + forward(back, o, p)) / 2 if len(x) >= len(o) else 0.0))
-            yield pd.DataFrame(rows, columns=["doc_id", "wm", "prior", "gain"])
+                gain = np.zeros(len(p))
+                if len(x) >= odds.shape[1]:
+                    gain = (forward(x, odds, p) + forward(np.where(x[::-1] < 4, 3 - x[::-1], 4), odds, p)) / 2
+                out.append(pd.DataFrame({"doc_id": doc, "wm": np.repeat(names, len(grid)), "prior": p, "gain": gain}))
+            yield pd.concat(out) if out else pd.DataFrame([], columns=["doc_id", "wm", "prior", "gain"])
 
     return sequences.select("doc_id", "seq").mapInPandas(run, "doc_id long, wm long, prior double, gain double")
 
 
-def align_columns(a: np.ndarray, b: np.ndarray, gap: float = 1.0) -> float:
-    """Best local alignment score of two matrices: 2 - squared difference of columns, gaps cost ``gap``, on the better strand."""
+def align_columns(a: np.ndarray, b: np.ndarray, gap: float = 1.0) -> tuple[float, str, int, int, int, int]:
+    """Best local alignment of two matrices: score (2 - squared difference of columns, gaps cost ``gap``), strand of ``b``, and the columns from, to (half open) on ``a`` and on that strand of ``b``.
+
+    The trace goes back from the best cell until the score is used up, so an alignment neither begins nor ends with a gap.
+    """
 
     def best(x, y):
         s = 2 - ((x[:, None] - y[None]) ** 2).sum(2)
@@ -311,9 +350,19 @@ def align_columns(a: np.ndarray, b: np.ndarray, gap: float = 1.0) -> float:
         for i in range(1, len(x) + 1):
             for j in range(1, len(y) + 1):
                 h[i, j] = max(0.0, h[i - 1, j - 1] + s[i - 1, j - 1], h[i - 1, j] - gap, h[i, j - 1] - gap)
-        return float(h.max())
-
-    return max(best(a, b), best(a, b[::-1, ::-1]))
+        i, j = end = tuple(int(k) for k in np.unravel_index(h.argmax(), h.shape))
+        while h[i, j] > 0:
+            if h[i, j] == h[i - 1, j - 1] + s[i - 1, j - 1]:
+                i, j = i - 1, j - 1
+            elif h[i, j] == h[i - 1, j] - gap:
+                i -= 1
+            else:
+                j -= 1
+        return float(h.max()), i, end[0], j, end[1]
+
+    plus, minus = best(a, b), best(a, b[::-1, ::-1])
+    score, *span = plus if plus[0] >= minus[0] else minus
+    return score, "+" if plus[0] >= minus[0] else "-", *span
 
 
 def elbow(x: np.ndarray, y: np.ndarray, default: float, drop: float = 2.0, away: float = -0.5) -> float:

@@ -13,7 +13,7 @@ from ..operators import intervals as iv
 from ..operators import models as m
 from . import views as v
 from .q_intervals import _WINDOWS, windows
-from .q_scores import distances, region_posteriors
+from .q_scores import QUERY_EVERY, distances, information, matrix_pairs, region_posteriors
 from .registry import query
 
 def both(side: str):
@@ -122,9 +122,9 @@ def mod7(spark, sf):
     return z.filter("z >= 3").orderBy(F.desc("z"), "region_id").limit(2000)
 
 
-def _matrices(spark, sf, most: int = 20) -> dict[int, np.ndarray]:
-    """The library of matrices (a few rows each) for a broadcast."""
-    rows = v.matrices(spark, sf).filter(F.col("wm") < most).toPandas().sort_values(["wm", "pos"])
+def _matrices(spark, sf) -> dict[int, np.ndarray]:
+    """The stated library of the scans (every hundredth matrix, whole) for a broadcast."""
+    rows = v.matrices(spark, sf).filter(F.col("wm") % QUERY_EVERY == 0).toPandas().sort_values(["wm", "pos"])
     out = {}
     for wm, g in rows.groupby("wm"):
         x = g[list("acgt")].to_numpy() + 0.05
@@ -134,16 +134,20 @@ def _matrices(spark, sf, most: int = 20) -> dict[int, np.ndarray]:
 
 @query("mod8_matrix_scan")
 def mod8(spark, sf):
-    return m.scan_matrix(v.sequences(spark, sf), _matrices(spark, sf, 1)[0][:8], cutoff=4.0)
+    """Places of each matrix of the library on either strand, at a log-odds score of at least 6."""
+    return m.scan_matrices(v.sequences(spark, sf), _matrices(spark, sf), cutoff=6.0)
+
+
+PRIORS = [0.001, 0.01, 0.05]
 
 
 @query("mod9_motif_likelihoods")
 def mod9(spark, sf):
-    """Best prior of each motif by the summed gain over the reads."""
-    regions = v.fastq(spark, sf).selectExpr("read_id as doc_id", "seq")
-    motifs = {k: x[:8] for k, x in _matrices(spark, sf, 3).items()}
-    gains = m.log_likelihoods(regions, motifs, [0.001, 0.01, 0.05]).groupBy("wm", "prior").agg(F.sum("gain").alias("gain"))
-    return gains.groupBy("wm").agg(F.max_by("prior", "gain").alias("prior"), F.round(F.max("gain"), 3).alias("gain"))
+    """Best prior of each motif by the summed gain over the training sequences (odd documents), and its gain on the test ones."""
+    gains = m.log_likelihoods(v.sequences(spark, sf), _matrices(spark, sf), PRIORS).withColumn("test", F.col("doc_id") % 2 == 0)
+    sums = gains.groupBy("wm", "prior").agg(F.sum(F.when(~F.col("test"), F.col("gain"))).alias("train"), F.sum(F.when(F.col("test"), F.col("gain"))).alias("gain"))
+    best = sums.groupBy("wm").agg(F.max_by(F.struct("prior", "train", "gain"), "train").alias("b"))
+    return best.select("wm", "b.prior", F.round("b.train", 3).alias("train"), F.round("b.gain", 3).alias("gain"))
 
 
 @query("mod10_beta_fit")
@@ -211,15 +215,26 @@ def mod13(spark, sf):
 
 @query("mod14_non_redundant_matrices")
 def mod14(spark, sf):
-    """Best matrix first, all within a distance of it dropped, and again; the pairs (square of the library's size) come to the driver."""
-    pairs = distances(spark, sf).toPandas()
-    score = v.matrices(spark, sf).groupBy("wm").agg(F.max("a").alias("score")).toPandas().set_index("wm")["score"]
-    left, kept = sorted(score.index, key=lambda k: (-score[k], k)), []
-    near = {(int(a), int(b)) for a, b, d in pairs.itertuples(index=False) if d <= 0.25}
-    while left:
-        kept.append((len(kept) + 1, int(left[0])))
-        left = [k for k in left if k != kept[-1][1] and (kept[-1][1], int(k)) not in near]
-    return spark.createDataFrame(kept, "rank int, wm int")
+    """Of the stated queries the best first, all within a distance of 0.25 of it dropped, and again, while the score is above the least.
+
+    The score of a matrix is its information; NaN scores leave. The distances of the queries among themselves (a hundredth of the library
+    squared) are a table; each round is one job that takes the best left and drops its neighbours.
+    """
+    score = v.matrices(spark, sf).filter(F.col("wm") % QUERY_EVERY == 0).groupBy("wm").agg(F.sum(information()).alias("score"))
+    left = score.filter(~F.isnan("score") & (F.col("score") > 0.5)).cache()
+    near = distances(spark, sf).filter((F.col("d") <= 0.25) & (F.col("wm_b") % QUERY_EVERY == 0)).select("wm_a", "wm_b").cache()
+    kept: list[int] = []
+    gone = F.lit(False)
+    while True:
+        best = left.filter(~gone).agg(F.max_by("wm", F.struct("score", -F.col("wm")))).first()[0]
+        if best is None:
+            break
+        kept.append(best)
+        dropped = [r[0] for r in near.filter(F.col("wm_a") == best).select("wm_b").collect()]
+        gone = gone | F.col("wm").isin([best, *dropped])
+    left.unpersist()
+    near.unpersist()
+    return spark.createDataFrame([(k + 1, wm) for k, wm in enumerate(kept)], "rank int, wm long")
 
 
 _CURVE = """, t AS (SELECT g.region_id, score > 15 AS fg, CAST(floor(coalesce(sum(post), 0) / 0.0001 + 1e-6) AS BIGINT) AS k FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY ALL),
@@ -271,20 +286,33 @@ def mod17(spark, sf):
     )
 
 
-def _cells(spark, sf):
-    letters = v.fastq(spark, sf).select(F.expr("read_id div 10").alias("block"), F.col("read_id").alias("species"), F.posexplode(F.filter(F.split("seq", ""), lambda c: c != "")).alias("at", "base"))
-    return letters.withColumn("place", F.col("species") * 100 + F.col("at"))
+def alignment_cells(spark, sf):
+    """Alignment rows as cells: ``block, species, at, base``; three reads of a block are its species, N is a gap."""
+    letters = v.fastq(spark, sf).select(F.expr("read_id div 3").alias("block"), (F.col("read_id") % 3).alias("species"), F.posexplode(F.filter(F.split(F.translate("seq", "N", "-"), ""), lambda c: c != "")).alias("at", "base"))
+    return letters
 
 
 @query("mod18_shuffle_with_replacement")
 def mod18(spark, sf):
-    return m.shuffle_columns(_cells(spark, sf), ["block"], "base", seed=11, replace=True).select("block", "species", "at", "base")
+    """Two shuffled copies of each alignment: columns drawn with replacement from those of the same pattern of present and of identical species."""
+    return m.shuffle_columns(alignment_cells(spark, sf), seed=11, copies=2, replace=True)
+
+
+@query(
+    "mod18_strata",
+    v.sql("fastq", """, c AS (SELECT read_id // 3 AS block, read_id % 3 AS species, unnest(range(0, len(seq))) AS p, translate(seq, 'N', '-') AS seq FROM fastq),
+  x AS (SELECT block, p, species, substr(seq, CAST(p + 1 AS INTEGER), 1) AS base FROM c), f AS (SELECT block, p, arg_min(base, species) AS first FROM x GROUP BY ALL)
+  SELECT x.block, x.p AS "at", string_agg(CASE WHEN x.base = '-' THEN '-' WHEN x.base = f.first THEN '=' ELSE '+' END, '' ORDER BY species) AS pattern FROM x JOIN f ON f.block = x.block AND f.p = x.p GROUP BY ALL"""),
+)
+def mod18_strata(spark, sf):
+    """The stratum of each column: for each species whether it is absent, as the first one, or another."""
+    return m.columns_with_pattern(alignment_cells(spark, sf)).select("block", F.col("at").cast("long").alias("at"), "pattern")
 
 
-@query("mod19_permute_columns", v.sql("fastq", ", c AS (SELECT read_id // 10 AS block, unnest([x FOR x IN string_split(seq, '') IF x <> '']) AS base FROM fastq) SELECT block, base, count(*) AS n FROM c GROUP BY ALL"))
+@query("mod19_permute_columns")
 def mod19(spark, sf):
-    """A permutation within each block keeps the count of every letter: the counts after it are those before it."""
-    return m.shuffle_columns(_cells(spark, sf), ["block"], "base", seed=13, replace=False).groupBy("block", "base").agg(F.count("*").alias("n"))
+    """Columns permuted within the same strata; a column that would meet an equal one at its new place moves on by one where that helps."""
+    return m.shuffle_columns(alignment_cells(spark, sf), seed=13, copies=1, replace=False)
 
 
 SHUFFLES = 1000
@@ -315,17 +343,16 @@ def mod20(spark, sf):
 
 @query("fun10_matrix_alignment")
 def fun10(spark, sf):
-    """Best local alignment score of every pair of matrices: the pair table is distributed, a pair is a small dynamic programme."""
-    lists = v.matrices(spark, sf).groupBy("wm").agg(F.array_sort(F.collect_list(F.struct("pos", F.array(*[F.col(c) / (F.col("a") + F.col("c") + F.col("g") + F.col("t")) for c in "acgt"]).alias("w")))).alias("x"))
-    flat = lists.select("wm", F.flatten(F.transform("x", lambda r: r["w"])).alias("w"))
-    every = flat.agg(F.collect_list(F.struct("wm", "w")).alias("all"))
-    pairs = flat.join(F.broadcast(every)).select(F.col("wm").alias("wm_a"), F.col("w").alias("a"), F.explode("all").alias("o")).select("wm_a", "a", F.col("o.wm").alias("wm_b"), F.col("o.w").alias("b")).filter("wm_a < wm_b")
+    """Best local alignment of each stated query and matrix: score, strand, and the columns it spans on both; a pair is a small dynamic programme."""
+    flat = matrix_pairs(spark, sf).filter("wm_a <> wm_b").select("wm_a", "wm_b", F.flatten("a").alias("a"), F.flatten("b").alias("b"))
 
-    @F.pandas_udf("double")
-    def score(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([m.align_columns(np.asarray(x).reshape(-1, 4), np.asarray(y).reshape(-1, 4)) for x, y in zip(a, b, strict=True)], dtype="f8")
+    @F.pandas_udf("score double, strand string, a_start int, a_end int, b_start int, b_end int")
+    def align(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        rows = [m.align_columns(np.asarray(x).reshape(-1, 4), np.asarray(y).reshape(-1, 4)) for x, y in zip(a, b, strict=True)]
+        return pd.DataFrame(rows, columns=["score", "strand", "a_start", "a_end", "b_start", "b_end"])
 
-    return pairs.repartition(8, "wm_a", "wm_b").select("wm_a", "wm_b", F.round(score("a", "b"), 6).alias("score"))
+    found = flat.withColumn("x", align("a", "b"))
+    return found.select("wm_a", "wm_b", F.round("x.score", 6).alias("score"), "x.strand", "x.a_start", "x.a_end", "x.b_start", "x.b_end")
 
 
 @query("win3_elbow_cutoff")

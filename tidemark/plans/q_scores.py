@@ -465,41 +465,60 @@ def fil20(spark, sf):
     return v.regions(spark, sf).select("region_id", F.when(F.col("score") > 30, "bad").otherwise("good").alias("how"))
 
 
-_SIM = """, p AS (SELECT wm, pos, a / (a+c+g+t) AS a, c / (a+c+g+t) AS c, g / (a+c+g+t) AS g, t / (a+c+g+t) AS t FROM matrices),
+#: The stated queries of the matrix comparisons: matrices whose number is divisible by this, against all matrices.
+QUERY_EVERY = 100
+
+_SIM = f""", p AS (SELECT wm, pos, a / (a+c+g+t) AS a, c / (a+c+g+t) AS c, g / (a+c+g+t) AS g, t / (a+c+g+t) AS t FROM matrices),
   b AS (SELECT wm, 0 AS rev, pos, a, c, g, t FROM p UNION ALL SELECT wm, 1, 15 - pos, t, g, c, a FROM p),
-  o AS (SELECT x.wm AS wm_a, y.wm AS wm_b, y.rev, x.pos - y.pos AS shift, sum(x.a*y.a + x.c*y.c + x.g*y.g + x.t*y.t) AS s FROM p x CROSS JOIN b y GROUP BY ALL),
+  o AS (SELECT x.wm AS wm_a, y.wm AS wm_b, y.rev, x.pos - y.pos AS shift, sum(x.a*y.a + x.c*y.c + x.g*y.g + x.t*y.t) AS s FROM p x JOIN b y ON x.wm % {QUERY_EVERY} = 0 OR x.wm = y.wm GROUP BY ALL),
   sim AS (SELECT wm_a, wm_b, max(s) AS s FROM o GROUP BY ALL)"""
 
 
-def similarities(spark, sf):
-    """Best sum of column products of each pair of matrices, over all shifts and both strands.
+def columns_of(matrices):
+    """``wm, cols``: each matrix, scaled, as one array of its columns in order."""
+    total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
+    p = matrices.select("wm", "pos", F.array(*[F.col(x) / total for x in "acgt"]).alias("w"))
+    return p.groupBy("wm").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]).alias("cols"))
+
+
+def _dot(u, x):
+    return F.aggregate(F.zip_with(u, x, lambda s, t: s * t), F.lit(0.0), lambda acc, z: acc + z)
+
 
-    A matrix has a row a column position; the pair table is (number of matrices)^2 x 2 x 31 sums, whatever the reads are.
+def similarity(a, b):
+    """Best sum of column products of two matrices over all shifts and both strands of ``b``."""
+    turned = F.reverse(F.transform(b, lambda w: F.reverse(w)))
+    rows = lambda other: F.transform(F.sequence(1 - F.size(other), F.size(a) - 1), lambda shift: F.aggregate(
+        F.sequence(F.greatest(F.lit(0), shift), F.least(F.size(a), shift + F.size(other)) - 1), F.lit(0.0), lambda acc, i: acc + _dot(F.get(a, i), F.get(other, i - shift))
+    ))
+    return F.greatest(F.array_max(rows(b)), F.array_max(rows(turned)))
+
+
+def matrix_pairs(spark, sf):
+    """The stated queries against all matrices: the library is dealt to tasks, the queries, a hundredth of it, go to each in blocks.
+
+    Each library row meets a block of queries by block number, so neither side is gathered in one place; the
+    pairs stay within the tasks that score them.
     """
-    total = F.col("a") + F.col("c") + F.col("g") + F.col("t")
-    p = v.matrices(spark, sf).select("wm", "pos", *[(F.col(x) / total).alias(x) for x in "acgt"])
-    listed = p.groupBy("wm").agg(F.array_sort(F.collect_list(F.struct("pos", F.array("a", "c", "g", "t").alias("w")))).alias("cols"))
-    first = p.select(F.lit(0).alias("k"), F.col("wm").alias("wm_a"), "pos", F.array("a", "c", "g", "t").alias("w"))
-    other = listed.agg(F.collect_list(F.struct("wm", "cols")).alias("all"))
-    both = first.join(F.broadcast(other)).select("wm_a", "pos", "w", F.explode("all").alias("m"))
-    dot = lambda u, x, rev: F.aggregate(F.zip_with(u, F.reverse(x) if rev else x, lambda s, t: s * t), F.lit(0.0), lambda acc, z: acc + z)
-    rows = both.select("wm_a", F.col("m.wm").alias("wm_b"), "pos", "w", F.explode("m.cols").alias("c"))
-    each = rows.select("wm_a", "wm_b", F.explode(F.array(
-        F.struct(F.lit(0).alias("rev"), (F.col("pos") - F.col("c.pos")).alias("shift"), dot(F.col("w"), F.col("c.w"), False).alias("s")),
-        F.struct(F.lit(1).alias("rev"), (F.col("pos") - 15 + F.col("c.pos")).alias("shift"), dot(F.col("w"), F.col("c.w"), True).alias("s")),
-    )).alias("x"))
-    sums = each.groupBy("wm_a", "wm_b", "x.rev", "x.shift").agg(F.sum("x.s").alias("s"))
-    return sums.groupBy("wm_a", "wm_b").agg(F.max("s").alias("s"))
+    lib = columns_of(v.matrices(spark, sf))
+    blocks = 8
+    block = F.pmod(F.xxhash64("wm"), F.lit(blocks))
+    asked = lib.filter(F.col("wm") % QUERY_EVERY == 0).select(F.col("wm").alias("wm_a"), F.col("cols").alias("a"), block.alias("block"))
+    every = lib.select(F.col("wm").alias("wm_b"), F.col("cols").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    return asked.join(every, "block").select("wm_a", "a", "wm_b", "b")
 
 
-_DIST = """, d AS (SELECT x.wm_a, x.wm_b, 1 - 2 * x.s / (a.s + b.s) AS d FROM sim x JOIN sim a ON a.wm_a = x.wm_a AND a.wm_b = x.wm_a JOIN sim b ON b.wm_a = x.wm_b AND b.wm_b = x.wm_b)"""
+_DIST = """, own AS (SELECT wm_a AS wm, s FROM sim WHERE wm_a = wm_b), d AS (SELECT x.wm_a, x.wm_b, 1 - 2 * x.s / (a.s + b.s) AS d FROM sim x JOIN own a ON a.wm = x.wm_a JOIN own b ON b.wm = x.wm_b WHERE x.wm_a % """ + str(QUERY_EVERY) + """ = 0)"""
 
 
 def distances(spark, sf):
-    s = similarities(spark, sf)
-    own = s.filter("wm_a = wm_b")
-    a, b = own.select("wm_a", F.col("s").alias("sa")), own.select("wm_b", F.col("s").alias("sb"))
-    return s.join(a, "wm_a").join(b, "wm_b").select("wm_a", "wm_b", (1 - 2 * F.col("s") / (F.col("sa") + F.col("sb"))).alias("d"))
+    """``wm_a, wm_b, d``: 1 - 2 s(ab) / (s(aa) + s(bb)) of each query and matrix."""
+    pairs = matrix_pairs(spark, sf)
+    s = similarity(F.col("a"), F.col("b"))
+    own = columns_of(v.matrices(spark, sf)).select("wm", similarity(F.col("cols"), F.col("cols")).alias("s"))
+    scored = pairs.select("wm_a", "wm_b", s.alias("s"))
+    out = scored.join(own.select(F.col("wm").alias("wm_a"), F.col("s").alias("sa")), "wm_a").join(own.select(F.col("wm").alias("wm_b"), F.col("s").alias("sb")), "wm_b")
+    return out.select("wm_a", "wm_b", (1 - 2 * F.col("s") / (F.col("sa") + F.col("sb"))).alias("d"))
 
 
 @query("fun9_matrix_similarity", v.sql("matrices", _SIM + _DIST + " SELECT wm_a, wm_b, round(d, 6) AS d FROM d"))

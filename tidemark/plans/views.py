@@ -78,7 +78,7 @@ def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = read(spark, sf_dir, "embeddings").filter("vec_id < 20").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("pos"))
+    base = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("pos"))
     cell = lambda k: F.abs(F.get("embedding", 4 * F.col("pos") + k)).cast("double")
     return base.select(F.col("vec_id").alias("wm"), "pos", cell(0).alias("a"), cell(1).alias("c"), cell(2).alias("g"), cell(3).alias("t"))
 
@@ -109,7 +109,7 @@ SQL = {
   CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, CAST(l_discount AS DOUBLE) * 10 AS post FROM lineitem)""",
     "matrices": """matrices AS (SELECT vec_id AS wm, CAST(p.i AS INT) AS pos, CAST(abs(embedding[4*p.i+1]) AS DOUBLE) AS a,
   CAST(abs(embedding[4*p.i+2]) AS DOUBLE) AS c, CAST(abs(embedding[4*p.i+3]) AS DOUBLE) AS g, CAST(abs(embedding[4*p.i+4]) AS DOUBLE) AS t
-  FROM embeddings CROSS JOIN (SELECT unnest(range(16)) AS i) p WHERE vec_id < 20)""",
+  FROM embeddings CROSS JOIN (SELECT unnest(range(16)) AS i) p)""",
 }
 
 
