@@ -230,6 +230,53 @@ def test_plan_finds_full_sequences():
     assert sum(t for t, _ in kinds) == 4 and all(sum(x * n for x, n in f.items()) <= 10 for _, f in kinds)
 
 
+def test_plan_beats_best_fit():
+    """Pieces that best fit pairs badly: the search shares them between two fillings."""
+    counts = {700: 3000, 690: 3000, 660: 3000}
+    assert sum(t for t, _ in packing.best_fit(counts, 2048)) == 3500
+    kinds = packing.plan(counts, 2048)
+    assert sum(t for t, _ in kinds) <= 3375 and all(sum(x * n for x, n in f.items()) <= 2048 for _, f in kinds)
+    assert all(sum(t * f.get(x, 0) for t, f in kinds) == n for x, n in counts.items())
+
+
+def test_plan_is_optimal_on_small_instances():
+    rng = random.Random(5)
+
+    def fewest(pieces, capacity):
+        """By trying every place of each piece."""
+        best = [len(pieces)]
+
+        def go(k, rooms):
+            if len(rooms) >= best[0]:
+                return
+            if k == len(pieces):
+                best[0] = len(rooms)
+                return
+            for i in {r: i for i, r in enumerate(rooms) if r >= pieces[k]}.values():
+                go(k + 1, [r - pieces[k] if j == i else r for j, r in enumerate(rooms)])
+            go(k + 1, [*rooms, capacity - pieces[k]])
+
+        go(0, [])
+        return best[0]
+
+    beaten = 0
+    for _ in range(150):
+        pieces = sorted((rng.randint(8, 60) for _ in range(rng.randint(5, 11))), reverse=True)
+        counts = {x: pieces.count(x) for x in pieces}
+        kinds = packing.plan(counts, 100)
+        assert sum(t for t, _ in kinds) == fewest(pieces, 100)
+        assert all(sum(x * n for x, n in f.items()) <= 100 for _, f in kinds)
+        assert all(sum(t * f.get(x, 0) for t, f in kinds) == n for x, n in counts.items())
+        beaten += sum(t for t, _ in packing.best_fit(counts, 100)) > sum(t for t, _ in kinds)
+    assert beaten > 0
+
+
+def test_fillings_are_undominated():
+    got = packing.fillings({50: 1, 40: 2, 30: 1, 20: 1}, [50, 40, 30, 20], 90, 12)
+    assert got[0][0] == 0 and {tuple(sorted(f.items())) for _, f in got} >= {((40, 1), (50, 1)), ((20, 1), (30, 1), (40, 1))}
+    assert all(w < 20 or all(x > w for x in (50, 40, 30, 20)) for w, _ in got)
+
+
 def test_language_mixture(spark):
     rng = random.Random(3)
     syllables = {"en": ["the", "ing", "and", "er"], "xx": ["ökö", "zzi", "ulu", "kra"]}

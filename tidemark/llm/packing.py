@@ -17,8 +17,8 @@ from .common import kept, map_rows, table
 
 #: Steps of the search beyond the incumbent; the incumbent stays when they are used up.
 SEARCH_STEPS = 4_000
-#: Fillings tried around one largest document.
-FILLINGS = 12
+#: Fillings tried around one largest document, and steps of their enumeration for each.
+FILLINGS, LOOKS = 12, 50
 #: Pieces of one length that are numbered together in a task.
 NUMBERED = 20_000
 
@@ -65,38 +65,75 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
 def fillings(counts: dict[int, int], lengths: list[int], room: int, most: int) -> list[tuple[int, dict[int, int]]]:
     """Undominated ``(waste, {length: pieces})`` of ``room``, least waste first, from ``lengths`` in descending order.
 
-    A piece that fits into the waste, or that could take the place of a smaller one, dominates; so every filling takes
-    at each step one of the few largest pieces that fit, and one that fills the room whole ends the step.
+    A filling is dominated if a further piece fits into its waste, or if a larger piece could take the place of one of
+    its own; a piece that fills the room whole dominates all smaller ones at that step. Fillings are enumerated from the largest pieces
+    down; ``most`` of them, and the fullest one of all (by the sums that can be reached), are enough for a branch.
     """
     down = [-x for x in lengths]
     found: dict[tuple[int, ...], int] = {}
-    steps = [4 * most]
-
-    def grow(room: int, chosen: tuple[int, ...]) -> None:
+    steps = [LOOKS * most]
+
+    def undominated(chosen: tuple[int, ...], waste: int) -> bool:
+        if any(counts[x] > chosen.count(x) for x in lengths[bisect_left(down, -waste) :]):
+            return False
+        for x in set(chosen):
+            larger = lengths[bisect_left(down, -(x + waste)) : bisect_left(down, -x)]
+            if any(counts[y] > chosen.count(y) for y in larger):
+                return False
+        return True
+
+    def grow(room: int, chosen: tuple[int, ...], k: int) -> None:
         steps[0] -= 1
-        k = bisect_left(down, -min(room, chosen[-1] if chosen else room))
-        tried = 0
-        while k < len(lengths) and tried < 3 and steps[0] > 0 and len(found) < most:
-            x = lengths[k]
-            k += 1
-            if chosen.count(x) < counts[x]:
-                tried += 1
-                grow(room - x, (*chosen, x))
-                if x == room:
-                    return
-        if not tried:
+        fits = False
+        for j in range(max(k, bisect_left(down, -room)), len(lengths)):
+            x = lengths[j]
+            if counts[x] > chosen.count(x):
+                fits = True
+                grow(room - x, (*chosen, x), j)
+                if x == room or steps[0] <= 0 or len(found) >= most:
+                    break
+        if not fits and undominated(chosen, room):
             found[chosen] = room
 
-    grow(room, ())
+    grow(room, (), 0)
+    fullest = _fullest(counts, lengths, room)
+    if fullest is not None:
+        found.setdefault(fullest, room - sum(fullest))
     return [(waste, dict(Counter(chosen))) for chosen, waste in sorted(found.items(), key=lambda f: (f[1], len(f[0])))]
 
 
+def _fullest(counts: dict[int, int], lengths: list[int], room: int) -> tuple[int, ...] | None:
+    """A choice of pieces with the largest sum within ``room``: sums as bits of a number, a step a length and power of two of its pieces."""
+    mask = (1 << (room + 1)) - 1
+    reached, trail = 1, []
+    for x in lengths:
+        left, size = min(counts[x], room // x), 1
+        while left > 0:
+            take = min(size, left)
+            new = reached | (reached << (take * x)) & mask
+            if new != reached:
+                trail.append((x, take, reached))
+                reached = new
+            left -= take
+            size *= 2
+        if reached >> room & 1:
+            break
+    total, chosen = reached.bit_length() - 1, []
+    for x, take, before in reversed(trail):
+        if not before >> total & 1:
+            chosen += [x] * take
+            total -= take * x
+    return tuple(sorted(chosen, reverse=True)) if chosen else None
+
+
 def plan(counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS) -> list[tuple[int, dict[int, int]]]:
     """Kinds of sequences ``(times, {length: pieces})`` that hold all pieces in as few sequences as the search finds.
 
     The incumbent comes from best fit. If it misses the volume bound, bin completion looks for better: it enumerates
-    the undominated fillings around the largest piece left, takes each as often as the histogram allows, and gives up a
-    branch when its waste would need as many sequences as the incumbent has.
+    the undominated fillings around the largest piece left, takes each as often as the histogram allows, then half, a quarter ... as
+    often, so that the pieces can be shared between fillings, and gives up a branch when its waste would need as many sequences as
+    the incumbent has. Branches with few departures from the first filling in full number come first (none, then one, two ...).
+    ``steps`` bounds the search; the incumbent stays when they are used up.
     """
     counts = {x: n for x, n in counts.items() if n > 0}
     if not counts:
@@ -104,13 +141,11 @@ def plan(counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS) -> li
     best = best_fit(counts, capacity)
     total = sum(x * n for x, n in counts.items())
     bound = -(-total // capacity)
-    state = {"best": best, "bins": sum(t for t, _ in best), "steps": 0}
+    state = {"best": best, "bins": sum(t for t, _ in best), "steps": 0, "cut": True}
 
-    def search(left: dict[int, int], lengths: list[int], made: list, bins: int, waste: int) -> None:
-        """``left`` pieces by length, ``lengths`` of them in descending order; both change and are put back."""
+    def search(left: dict[int, int], lengths: list[int], made: list, bins: int, waste: int, departures: int, again: int = 0) -> None:
+        """``left`` pieces by length, ``lengths`` of them in descending order; both change and are put back. ``again``: fillings already tried in greater number."""
         state["steps"] += 1
-        while lengths and not left[lengths[0]]:
-            lengths = lengths[1:]
         if not lengths:
             if bins < state["bins"]:
                 state["best"], state["bins"] = list(made), bins
@@ -120,26 +155,37 @@ def plan(counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS) -> li
         fit = [x for x in lengths if x <= capacity - largest and left[x]]
         choices = fillings(left, fit, capacity - largest, FILLINGS) or [(capacity - largest, {})]
         left[largest] += 1
-        for lost, filling in choices:
-            if state["steps"] > steps or state["bins"] == bound:
-                return
+        for k, (lost, filling) in enumerate(choices[again:], again):
             one = Counter(filling)
             one[largest] += 1
-            times = min(left[x] // n for x, n in one.items())
             allowed = (state["bins"] - 1) * capacity - total - waste
-            if lost > allowed:
-                continue
-            if lost * times > allowed:
-                times = max(1, allowed // lost)
-            for x, n in one.items():
-                left[x] -= times * n
-            search(left, [x for x in lengths if left[x]], [*made, (times, dict(one))], bins + times, waste + lost * times)
-            for x, n in one.items():
-                left[x] += times * n
+            times = min(left[x] // n for x, n in one.items())
+            if lost:
+                times = min(times, allowed // lost)
+            # Fewer of this filling leave its pieces to the fillings after it.
+            first = k == again
+            while times > 0 and state["steps"] <= steps and state["bins"] > bound:
+                if not first and not departures:
+                    state["cut"] = True
+                    return
+                for x, n in one.items():
+                    left[x] -= times * n
+                after = [x for x in lengths if left[x]]
+                same = after and after[0] == largest and all(left[x] for x in one)
+                search(left, after, [*made, (times, dict(one))], bins + times, waste + lost * times, departures - (not first), k + 1 if same and k + 1 < len(choices) else 0)
+                for x, n in one.items():
+                    left[x] += times * n
+                times, first = times // 2, False
+            if state["steps"] > steps or state["bins"] == bound:
+                return
 
     if state["bins"] > bound:
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * steps + 1000))
-        search(dict(counts), sorted(counts, reverse=True), [], 0, 0)
+        departures = 0
+        while state["cut"] and state["steps"] <= steps and state["bins"] > bound:
+            state["cut"] = False
+            search(dict(counts), sorted(counts, reverse=True), [], 0, 0, departures)
+            departures += 1
     return state["best"]
 
 
