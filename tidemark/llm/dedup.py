@@ -18,7 +18,7 @@ SKETCH = 64
 #: Probability with which a pair at exactly the threshold may share fewer retained values than are asked for.
 MISS = 1e-6
 #: Words whose hashes a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Lists up to this length pair all their members; longer ones go by hubs first.
 SHORT_LIST = 8
 #: Members of a long list, and shingles of theirs, that are compared with as many others in one group.
