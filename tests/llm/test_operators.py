@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from statistics import NormalDist
 
 import numpy as np
 import public_tokenizers as P
@@ -447,6 +448,30 @@ def test_vector_near_duplicates(spark):
         assert (r["n_links"], r["component_id"], r["kept"]) == (len(links.get(i, ())), min(seen), i == min(seen))
 
 
+@pytest.mark.parametrize("cells", [25, 256])
+def test_many_cells(spark, cells):
+    """Grids of many cells: recall against brute force, links at the threshold among them, and only a part of the cells visited."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(40, 64))
+    base = centres[rng.integers(0, 40, 700)] + 0.8 * rng.normal(size=(700, 64))
+    near = base[:500] / np.linalg.norm(base[:500], axis=1)[:, None]
+    cosine = rng.uniform(0.925, 0.995, 500)[:, None]
+    side = rng.normal(size=near.shape)
+    side -= (side * near).sum(1)[:, None] * near
+    copies = cosine * near + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1)[:, None]
+    x = np.concatenate([base, copies])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum(1) - 1
+    visit = vectors.multi_sequence
+    (a, walls_a), (b, walls_b) = (vectors.walls(h, vectors.fit_codebook(h, round(cells**0.5))) for h in (unit[:, :32], unit[:, 32:]))
+    reach = NormalDist().inv_cdf(0.9995) * math.sqrt(2 - 2 * 0.93) / 8
+    seen = [len(visit(p, q, reach)) for p, q in zip(walls_a, walls_b, strict=True)]
+    assert np.mean(seen) < 0.6 * cells
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df, rows_per_cell=len(x) / cells).collect()}
+    assert want.sum() > 500 and all(got[i] <= want[i] for i in range(len(x))) and sum(got.values()) >= 0.998 * want.sum()
+
+
 def test_top_k(spark):
     rows, df = _vectors(spark)
     got = {}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -158,15 +160,16 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, reach: float) -> list[
     return out
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample_rows: int = 20_000, deviations: float = 6.0, most_centres: int = 64, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample_rows: int = 20_000, target_recall: float = 0.9995, rows_per_cell: int = 2000, most_centres: int = 64, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``id_col, n_links, component_id, kept`` for every row: links are pairs of one label with cosine of at least ``threshold``.
 
     Exact copies (equal label and components) become one class first and are never paired; n_links counts them all
     the same. Two codebooks, fitted on at most ``sample_rows`` vectors, cut the halves of the unit vectors into a
-    product grid that holds every vector. A vector visits the cells in multi-sequence order of its distance to their
-    walls up to ``deviations * r / sqrt(dims)``, r being the distance of two unit vectors at the threshold: a link in a
-    random direction crosses a wall that far with a probability below 1e-8, and at ``sqrt(dims)`` deviations the
-    visit is complete. Every pair is met once, from the smaller cell, and verified in double precision. A task compares at most
+    product grid that holds every vector, about ``rows_per_cell`` a cell, of at most ``most_centres`` centres a half. A vector visits the
+    cells in multi-sequence order of its distance to their walls until the target recall: a link at the threshold, of length r
+    in a random direction, goes r / sqrt(dims) times a standard normal towards a wall, so cells farther than the normal's ``target_recall``
+    quantile hold it with a smaller probability than what is left; closer links need less, and at 1 the visit is complete.
+    Every pair is met once, from the smaller cell, and verified in double precision. A task compares at most
     CELL_ROWS members with CELL_ROWS probes and returns counts and one link to a root instead of pairs.
 
     Vectors that are null, zero, empty or hold null or non-finite components, and rows with a null label, link with
@@ -193,8 +196,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample_rows: in
     dims = pd.Series([len(v) for v in sample]).mode()
     dims = int(dims.iloc[0]) if len(dims) else 2
     unit = unit_rows(np.array([v for v in sample if len(v) == dims]).reshape(-1, dims))
-    size = int(min(most_centres, max(1, round((total / 2000) ** 0.5))))
+    size = int(min(most_centres, max(1, round((total / rows_per_cell) ** 0.5))))
     books = (fit_codebook(unit[:, : dims // 2], size), fit_codebook(unit[:, dims // 2 :], size))
+    deviations = NormalDist().inv_cdf(target_recall) if target_recall < 1 else math.inf
     reach = min(1.0, deviations / np.sqrt(dims)) * np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
     shared = spark.sparkContext.broadcast(books)
 
