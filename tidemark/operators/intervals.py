@@ -181,6 +181,28 @@ def window_counts(reads: DataFrame, lengths: Column, size: int, step: int, inner
     return listed.groupBy("chrom", "window", *groups).agg(F.sum(value).alias("total"))
 
 
+def stepped_coverage(reads: DataFrame, step: int, shift: int) -> DataFrame:
+    """``chrom, pos, mean``: mean coverage of the window of ``step`` positions around each 1, 1 + step, ... as far as they lie a step before the sequence's last covered position.
+
+    Reads (0-based, half open) move by ``shift`` along their strand, not before position 1. A read adds its share to each window it touches,
+    so there is no row a base; windows without coverage are left out, but for that at position 1.
+    """
+    by = F.when(F.col("strand") == "+", shift).otherwise(-shift)
+    a = F.greatest(F.col("start") + 1 + by, F.lit(1))
+    moved = reads.select("chrom", "weight", a.alias("a"), F.greatest(F.col("end") + by, a).alias("z"))
+    size = moved.groupBy("chrom").agg(F.max("z").alias("size"))
+    # The window of pos = 1 + k step holds pos - step div 2 ... pos - step div 2 + step - 1.
+    low = F.expr(f"(a - 2 + {step // 2}) div {step}")
+    listed = moved.withColumn("k", F.explode(F.sequence(F.greatest(low, F.lit(0)), F.expr(f"(z - 1 + {step // 2}) div {step}"))))
+    first = F.col("k") * step + 1 - step // 2
+    shared = F.least(F.col("z"), first + step - 1) - F.greatest(F.col("a"), first) + 1
+    sums = listed.filter(shared > 0).groupBy("chrom", "k").agg(F.sum(F.col("weight") * shared).alias("sum"))
+    every = sums.unionByName(size.select("chrom", F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("sum"))).groupBy("chrom", "k").agg(F.sum("sum").alias("sum"))
+    at = every.join(size, "chrom").withColumn("pos", F.col("k") * step + 1).filter((F.col("pos") == 1) | (F.col("pos") <= F.col("size") - step))
+    width = F.least(F.col("pos") - step // 2 + step - 1, F.col("size")) - F.greatest(F.col("pos") - step // 2, F.lit(1)) + 1
+    return at.select("chrom", "pos", (F.col("sum") / width).alias("mean")).filter("mean > 0 or pos = 1")
+
+
 def coverage(pairs: DataFrame, id_col: str, start: str, end: str, lo: str, hi: str, weight: str) -> DataFrame:
     """Weighted coverage of each region's positions 1..length, zeros included: ``id_col, bp, cov``.
 

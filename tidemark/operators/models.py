@@ -215,6 +215,36 @@ def enrichment(regions: DataFrame, sums: DataFrame, beta: float, share: int = 11
     return one.select(F.exp(mean - F.col("d")).alias("mean"), F.exp(spread).alias("spread"), ((mean - F.col("d")) * F.col("all")).alias("total"))
 
 
+def forward_selection(sums: DataFrame, regions: DataFrame, beta: float, least_gain: float, most: int) -> list[tuple[int, float]]:
+    """Motifs in the order in which they are taken, each with the score of the set.
+
+    ``sums`` has ``region_id, wm, n``, ``regions`` ``region_id, len, fg``. The score of a set is the log-likelihood ratio of its joint sites in the foreground:
+    the sum over foreground regions of ln(n + beta len) - (ln(N + beta L) - ln M), with n the region's sites of all motifs
+    of the set and N, L, M sums over all regions. A round joins the set's sums, once, to those of every candidate left: one job,
+    whose result has a row a candidate.
+    """
+    total = regions.agg(F.sum("len").alias("tl"), F.count("*").alias("m"), F.count_if("fg").alias("mf"), F.sum(F.when(F.col("fg"), F.log(beta * F.col("len")))).alias("empty")).first()
+    tl, m_all, m_fg, empty = float(total["tl"] or 0), total["m"], total["mf"], float(total["empty"] or 0)
+    rows = sums.join(regions, "region_id").cache()
+    chosen: list[tuple[int, float]] = []
+    taken = F.lit(False)
+    while len(chosen) < most:
+        base = rows.filter(taken).groupBy("region_id").agg(F.sum("n").alias("base"))
+        log = lambda n: F.when(F.col("fg"), F.log(n + beta * F.col("len"))).otherwise(0.0)
+        with_base = rows.filter(~taken).join(base, "region_id", "left").withColumn("base", F.coalesce("base", F.lit(0.0)))
+        gain = with_base.groupBy("wm").agg(F.sum(log(F.col("base") + F.col("n")) - log(F.col("base"))).alias("more"), F.sum("n").alias("n"))
+        own = rows.filter(taken).groupBy("region_id").agg(F.sum("n").alias("n"), F.first("len").alias("len"), F.first("fg").alias("fg"))
+        old = own.agg(F.coalesce(F.sum(log(F.col("n")) - log(F.lit(0.0))), F.lit(0.0)).alias("base"), F.coalesce(F.sum("n"), F.lit(0.0)).alias("nb"))
+        ll = F.lit(empty) + F.col("base") + F.col("more") - m_fg * (F.log(F.col("nb") + F.col("n") + beta * tl) - math.log(max(m_all, 1)))
+        best = gain.join(F.broadcast(old)).agg(F.max_by(F.struct("wm", ll.alias("ll")), F.struct(ll, -F.col("wm")))).first()[0]
+        if best is None or chosen and best["ll"] - chosen[-1][1] < least_gain:
+            break
+        chosen.append((best["wm"], best["ll"]))
+        taken = taken | (F.col("wm") == best["wm"])
+    rows.unpersist()
+    return chosen
+
+
 def columns_with_pattern(cells: DataFrame) -> DataFrame:
     """``block, at, cells, column, pattern``: alignment columns with their stratum, a letter a species: ``-`` absent, ``=`` as the first species, ``+`` else.
 
@@ -365,22 +395,36 @@ def align_columns(a: np.ndarray, b: np.ndarray, gap: float = 1.0) -> tuple[float
     return score, "+" if plus[0] >= minus[0] else "-", *span
 
 
-def elbow(x: np.ndarray, y: np.ndarray, default: float, drop: float = 2.0, away: float = -0.5) -> float:
-    """Cutoff where a falling curve leaves its steepest line: after the plateau (within ``drop`` of the maximum) the steepest
-    least-squares stretch is extended, and the first point ``away`` from the line is the cutoff; ``default`` without one."""
-    order = np.argsort(x)
-    x, y = np.asarray(x, "f8")[order], np.asarray(y, "f8")[order]
+def elbow(x: np.ndarray, y: np.ndarray, default: float | None = 3.0, drop: float = 2.0, away: float = -0.5, size: int = 100, log_x: bool = False, clamp: tuple[float, float] | None = None) -> float:
+    """Cutoff where a falling curve leaves its steepest line.
+
+    The curve is sampled at ``size`` places (of log x, if ``log_x``), each with its nearest point. From the first place more than ``drop`` below
+    the maximum on, least-squares lines through the next 2 ... a fifth of the places are fitted; the steepest one counts. Beyond
+    its end the first place ``away`` below the line is the cutoff. Without one it is ``default``, or if that is None the mean plus
+    three deviations of x. ``clamp`` bounds the result.
+    """
+    x, y = np.asarray(x, "f8"), np.asarray(y, "f8")
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    bound = (lambda c: float(min(max(c, clamp[0]), clamp[1]))) if clamp else float
+    other = bound(default if default is not None else (x.mean() + 3 * x.std() if len(x) else 0.0))
     if len(x) < 10:
-        return default
-    grid = np.linspace(x[0], x[-1], 100)
-    curve = np.interp(grid, x, y)
-    start = int(np.argmax(curve < curve.max() - drop)) if (curve < curve.max() - drop).any() else 0
-    size = len(grid) // 50
-    fits = [(np.polyfit(grid[i : i + 10], curve[i : i + 10], 1), i) for i in range(start, len(grid) - 10)]
-    if not fits:
-        return default
-    (slope, cut), at = min(fits, key=lambda f: f[0][0])
-    for i in range(at + size, len(grid)):
-        if slope * grid[i] + cut - curve[i] <= away:
-            return float(grid[i])
-    return default
+        return other
+    at = np.log(np.maximum(x, 1e-12)) if log_x else x
+    grid = np.linspace(at[0], at[-1], size)
+    right = np.clip(np.searchsorted(at, grid), 1, len(at) - 1)
+    nearest_ = np.where(grid - at[right - 1] <= at[right] - grid, right - 1, right)
+    curve = y[nearest_]
+    fallen = np.flatnonzero(curve.max() - curve > drop)
+    if not len(fallen):
+        return other
+    first = int(fallen[0])
+    lines = [(*np.polyfit(grid[first : first + n], curve[first : first + n], 1), n) for n in range(max(2, size // 50), size // 5) if first + n <= size]
+    if not lines:
+        return other
+    slope, cut, n = min(lines, key=lambda line: line[0])
+    beyond = np.flatnonzero(slope * grid[first + n :] + cut - curve[first + n :] <= away)
+    if not len(beyond):
+        return other
+    found = grid[first + n + int(beyond[0])]
+    return bound(np.exp(found) if log_x else found)

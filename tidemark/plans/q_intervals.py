@@ -291,17 +291,15 @@ def agg5(spark, sf):
 
 @query(
     "agg6_stepped_genome_coverage",
-    v.sql("reads", """, b AS (SELECT chrom, unnest(range(start, "end")) AS p, weight FROM reads),
-  c AS (SELECT chrom, p // 10 AS k, sum(weight) / 10 AS mean FROM b GROUP BY ALL)
-  SELECT chrom, k * 10 + 1 AS pos, round(log2(mean + 1), 5) AS level FROM c WHERE mean > 0"""),
+    v.sql("reads", """, m AS (SELECT chrom, greatest(start + 1 + CASE WHEN strand = '+' THEN 5 ELSE -5 END, 1) AS a, greatest("end" + CASE WHEN strand = '+' THEN 5 ELSE -5 END, greatest(start + 1 + CASE WHEN strand = '+' THEN 5 ELSE -5 END, 1)) AS z, weight FROM reads),
+  s AS (SELECT chrom, max(z) AS size FROM m GROUP BY 1), b AS (SELECT chrom, unnest(range(a, z + 1)) AS p, weight FROM m), c AS (SELECT chrom, p, sum(weight) AS cov FROM b GROUP BY ALL),
+  q AS (SELECT chrom, size, unnest(range(1, greatest(size - 10, 1) + 1, 10)) AS pos FROM s),
+  w AS (SELECT q.chrom, q.pos, coalesce(sum(c.cov), 0) / (least(q.pos - 5 + 9, q.size) - greatest(q.pos - 5, 1) + 1) AS mean FROM q LEFT JOIN c ON c.chrom = q.chrom AND c.p BETWEEN q.pos - 5 AND q.pos + 4 GROUP BY q.chrom, q.pos, q.size)
+  SELECT chrom, pos, round(log2(mean + 1), 5) AS level FROM w WHERE mean > 0 OR pos = 1"""),
 )
 def agg6(spark, sf):
-    """Mean coverage in steps of 10 from the share of each step that a read covers, without a row for each base."""
-    step = 10
-    reads = v.reads(spark, sf).withColumn("k", F.explode(F.sequence(F.expr(f"start div {step}"), F.expr(f"(end - 1) div {step}"))))
-    part = F.least(F.col("end"), (F.col("k") + 1) * step) - F.greatest(F.col("start"), F.col("k") * step)
-    mean = reads.groupBy("chrom", "k").agg((F.sum(F.col("weight") * part) / step).alias("mean")).filter("mean > 0")
-    return mean.select("chrom", (F.col("k") * step + 1).alias("pos"), F.round(F.log2(F.col("mean") + 1), 5).alias("level"))
+    """Mean coverage by shifted reads in windows of 10 around every tenth position, position 1 always."""
+    return iv.stepped_coverage(v.reads(spark, sf), 10, shift=5).select("chrom", "pos", F.round(F.log2(F.col("mean") + 1), 5).alias("level"))
 
 
 @query(
@@ -351,18 +349,22 @@ def agg14(spark, sf):
 
 @query(
     "agg15_promoter_regions",
-    v.sql("regions", _FEW + """, p AS (SELECT region_id, chrom, strand, CASE WHEN strand = '+' THEN greatest(0, start - 200) ELSE greatest(0, "end" - 50) END AS start,
-    CASE WHEN strand = '+' THEN start + 50 ELSE "end" + 200 END AS "end" FROM few),
-  o AS (SELECT *, max("end") OVER (PARTITION BY chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM p),
+    v.sql("regions", _FEW + """, p AS (SELECT region_id, chrom, strand, CASE WHEN strand = '+' THEN start ELSE "end" END AS tss FROM few),
+  g AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN greatest(0, tss - 200) ELSE greatest(0, tss - 50) END AS start, CASE WHEN strand = '+' THEN tss + 50 ELSE tss + 200 END AS "end",
+    count(*) AS n, list_sort(list(region_id)) AS ids FROM p GROUP BY chrom, strand, tss),
+  o AS (SELECT *, max("end") OVER (PARTITION BY chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM g),
   i AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM o)
-  SELECT chrom, strand, min(start) AS start, max("end") AS "end", count(*) AS n, array_to_string(list_sort(list(region_id)), ';') AS members FROM i GROUP BY chrom, strand, island"""),
+  SELECT chrom, strand, min(start) AS start, max("end") AS "end", count(*) AS starts, CAST(sum(n) AS BIGINT) AS n, array_to_string(list_sort(flatten(list(ids))), ';') AS members FROM i GROUP BY chrom, strand, island"""),
 )
 def agg15(spark, sf):
+    """Promoters of transcripts: those of one start first become one, then overlapping ones of a strand."""
     plus = F.col("strand") == "+"
-    start = F.greatest(F.lit(0), F.when(plus, F.col("start") - 200).otherwise(F.col("end") - 50))
-    end = F.when(plus, F.col("start") + 50).otherwise(F.col("end") + 200)
-    spans = _few(spark, sf).select("region_id", "chrom", "strand", start.alias("start"), end.alias("end"))
-    return iv.merged(spans, ["chrom", "strand"], members=F.array_join(F.array_sort(F.collect_list("region_id")), ";"))
+    tss = F.when(plus, F.col("start")).otherwise(F.col("end"))
+    starts = _few(spark, sf).groupBy("chrom", "strand", tss.alias("tss")).agg(F.count("*").alias("own"), F.collect_list("region_id").alias("ids"))
+    start = F.greatest(F.lit(0), F.when(plus, F.col("tss") - 200).otherwise(F.col("tss") - 50))
+    spans = starts.select("chrom", "strand", start.alias("start"), F.when(plus, F.col("tss") + 50).otherwise(F.col("tss") + 200).alias("end"), "own", "ids")
+    runs = iv.merged(spans, ["chrom", "strand"], copies=F.sum("own"), members=F.array_join(F.array_sort(F.flatten(F.collect_list("ids"))), ";"))
+    return runs.select("chrom", "strand", "start", "end", F.col("n").alias("starts"), F.col("copies").alias("n"), "members")
 
 
 @query(

@@ -195,22 +195,11 @@ def mod12(spark, sf):
 
 @query("mod13_forward_selection")
 def mod13(spark, sf):
-    """Greedy choice of motifs: each round one job scores all candidates next to those chosen, while the gain is above ln 10."""
-    wide = v.sites(spark, sf).groupBy("region_id").agg(*[F.coalesce(F.sum(F.when(F.col("wm") == k, F.col("post"))), F.lit(0.0)).alias(f"w{k}") for k in range(10)]).cache()
-    chosen, best, rows = [], 0.0, []
-    while len(chosen) < 8:
-        left = [k for k in range(10) if k not in chosen]
-        score = lambda ks: F.sum(F.log(0.5 + sum((F.col(f"w{k}") for k in ks), F.lit(0.0)))) - 0.05 * len(ks) * F.count("*")
-        got = wide.agg(*[score([*chosen, k]).alias(f"s{k}") for k in left], score([]).alias("none")).first()
-        best = best if chosen else got["none"]
-        k = max(left, key=lambda k: (got[f"s{k}"], -k))
-        if got[f"s{k}"] - best <= math.log(10):
-            break
-        best = got[f"s{k}"]
-        chosen.append(k)
-        rows.append((len(chosen), k, round(best, 3)))
-    wide.unpersist()
-    return spark.createDataFrame(rows, "round int, wm int, score double")
+    """Greedy choice of motifs: each round one job scores every candidate next to those chosen, by the enrichment of their joint sites, while the log-likelihood gains ln 10."""
+    lengths = v.regions(spark, sf).select("region_id", (F.col("end") - F.col("start")).alias("len"), (F.col("score") > 15).alias("fg"))
+    sums = v.sites(spark, sf).groupBy("region_id", "wm").agg(F.sum("post").alias("n"))
+    rows = m.forward_selection(sums, lengths, beta=0.01, least_gain=math.log(10), most=8)
+    return spark.createDataFrame([(k + 1, wm, round(score, 3)) for k, (wm, score) in enumerate(rows)], "round int, wm long, score double")
 
 
 @query("mod14_non_redundant_matrices")
@@ -357,10 +346,12 @@ def fun10(spark, sf):
 
 @query("win3_elbow_cutoff")
 def win3(spark, sf):
-    """Cutoff of the regions' scores from their reverse cumulative curve, which Spark reduces to one row a tenth."""
+    """Cutoffs of the regions' scores from their reverse cumulative curve, which Spark reduces to one row a tenth: 100 places with 3 as the way out, within 2 to 5, and 1000 places of log x with the mean plus three deviations."""
     counts = v.regions(spark, sf).groupBy(F.round("score", 1).alias("x")).agg(F.count("*").alias("n"))
     curve = iv.running_total(counts, "n", [F.desc("x")], "k").select("x", F.log("k").alias("y")).toPandas()
-    return spark.createDataFrame([(float(m.elbow(curve["x"].to_numpy(), curve["y"].to_numpy(), 3.0)),)], "cutoff double")
+    x, y = curve["x"].to_numpy(), curve["y"].to_numpy()
+    rows = [("z", m.elbow(x, y, 3.0, clamp=(2.0, 5.0))), ("plain", m.elbow(x, y, 3.0)), ("log", m.elbow(x, y, None, size=1000, log_x=True))]
+    return spark.createDataFrame(rows, "kind string, cutoff double")
 
 
 _SERIES = """, p AS (SELECT start % 601 AS x, count(*) AS y FROM reads GROUP BY 1), h AS (SELECT unnest(range(50)) AS k), w AS (SELECT k, 0.5 - 0.5 * cos(2 * pi() * k / 49) AS w FROM h),

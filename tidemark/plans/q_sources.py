@@ -31,6 +31,15 @@ def src2(spark, sf):
     return s.read_fasta(spark, _text(v.sequences(spark, sf), spark, "fasta", F.lit(">t"), F.col("doc_id").cast("string"), F.lit(" "), (1 + F.col("doc_id") % 9).cast("string"), F.lit("\n"), two))
 
 
+@query("src2_tag_table", v.sql("sequences", "SELECT CASE WHEN doc_id % 3 = 0 THEN seq ELSE 't' || doc_id END AS tag_id, CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 1 + doc_id % 9 END AS n, seq FROM sequences WHERE seq IS NOT NULL"))
+def src2_tab(spark, sf):
+    """Counted sequences, named sequences, and named counted ones, in one file."""
+    k, n = F.col("doc_id") % 3, (1 + F.col("doc_id") % 9).cast("string")
+    id_ = F.concat(F.lit("t"), F.col("doc_id").cast("string"))
+    line = F.when(k == 0, F.concat_ws("\t", "seq", n)).when(k == 1, F.concat_ws("\t", id_, "seq")).otherwise(F.concat_ws("\t", id_, "seq", n))
+    return s.read_tag_table(spark, _text(v.sequences(spark, sf).filter("seq is not null"), spark, "tags", line))
+
+
 @query(
     "src3_tag_import",
     v.sql("fastq", """, t AS (SELECT replace(seq, 'N', 'A') AS seq, 1 + read_id % 5 AS n FROM fastq WHERE seq <> ''), o AS (SELECT seq, CAST(sum(n) AS BIGINT) AS n FROM t GROUP BY 1 HAVING count(*) = 1)
@@ -93,20 +102,56 @@ def src10(spark, sf):
     return rows.select(F.col("fields")[0].cast("long").alias("seq_id"), F.col("fields")[1].alias("sample"))
 
 
-@query("src11_sample_sheet", v.sql("tags", "SELECT '/data/' || sample || '/s' || seq_id || '.bed.gz' AS path, sample AS factor, 's' || seq_id AS sample_id FROM tags"))
-def src11(spark, sf):
+@query("src10_table_round_trip", v.sql("tags", "SELECT CAST(seq_id AS VARCHAR) AS seq_id, sample FROM tags"))
+def src10_save(spark, sf):
+    path = s.scratch(spark, "table")
+    s.write_table(v.tags(spark, sf).select("seq_id", "sample"), path)
+    return s.read_lines(spark, path, "").select(F.col("fields")[0].alias("seq_id"), F.col("fields")[1].alias("sample"))
+
+
+def _sheet(spark, sf):
     rows = v.tags(spark, sf).groupBy("sample", (F.col("seq_id") % 300).alias("k")).agg(F.array_join(F.collect_list(F.format_string("/data/%s/s%d.bed.gz", "sample", "seq_id")), ",").alias("paths"))
-    return s.read_samples(spark, _text(rows, spark, "sheet", "sample", F.lit(";"), "paths"))
+    return _text(rows, spark, "sheet", "sample", F.lit(";"), "paths")
+
+
+@query("src11_sample_sheet", v.sql("tags", "SELECT '/data/' || sample || '/s' || seq_id || '.bed.gz' AS path, sample AS factor, 'run1_s' || seq_id AS sample_id FROM tags"))
+def src11(spark, sf):
+    return s.read_samples(spark, _sheet(spark, sf), rename="run1")
+
+
+@query("src11_new_and_processed", v.sql("tags hits", "SELECT 's' || seq_id AS sample_id, CASE WHEN seq_id IN (SELECT seq_id FROM hits) THEN 'h' || seq_id END AS result FROM tags"))
+def src11_split(spark, sf):
+    """Samples with hits are processed already and carry their result; the others are new."""
+    done = v.hits(spark, sf).select(F.concat(F.lit("s"), "seq_id").alias("sample_id"), F.concat(F.lit("h"), "seq_id").alias("result"))
+    new, old = s.split_samples(s.read_samples(spark, _sheet(spark, sf)), done)
+    return new.select("sample_id", F.lit(None).cast("string").alias("result")).unionByName(old.select("sample_id", "result"))
 
 
 @query("src12_wig_sink", v.sql("reads", "SELECT chrom, start AS pos, CAST(count(*) AS DOUBLE) AS level FROM reads GROUP BY ALL"))
 def src12(spark, sf):
     path = s.scratch(spark, "wig")
     s.write_wig(v.reads(spark, sf).groupBy("chrom", F.col("start").alias("pos")).agg(F.count("*").cast("double").alias("level")), path, 1)
-    body = spark.read.text(path).filter("value not like 'variableStep%'")
+    body = spark.read.text(path).filter("value not like 'variableStep%' and value not like 'track%'")
     return body.select("chrom", F.split("value", " ")[0].cast("long").alias("pos"), F.split("value", " ")[1].cast("double").alias("level"))
 
 
+@query(
+    "src12_fixed_step",
+    v.sql("reads", """, g AS (SELECT chrom, start // 1000 AS k, count(*) AS n FROM reads GROUP BY ALL), e AS (SELECT DISTINCT chrom, unnest(range(44)) AS k FROM reads),
+  l AS (SELECT e.chrom, e.k, coalesce(g.n, 0) AS n FROM e LEFT JOIN g ON g.chrom = e.chrom AND g.k = e.k), t AS (SELECT chrom, CAST(n AS DOUBLE) AS level FROM l)
+  SELECT chrom, level, count(*) AS times FROM t GROUP BY ALL UNION ALL SELECT DISTINCT chrom, -1.0, 2 FROM e"""),
+)
+def src12_fixed(spark, sf):
+    """Levels of every step of each sequence, and its two header lines."""
+    counts = v.reads(spark, sf).groupBy("chrom", F.expr("start div 1000").alias("k")).agg(F.count("*").alias("n"))
+    every = v.reads(spark, sf).select("chrom").distinct().select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(43).cast("long"))).alias("k")).join(counts, ["chrom", "k"], "left")
+    path = s.scratch(spark, "wig")
+    s.write_wig(every.select("chrom", (F.col("k") * 1000 + 1).alias("pos"), F.coalesce("n", F.lit(0)).cast("double").alias("level")), path, 1000, fixed=True)
+    lines = spark.read.text(path)
+    level = F.when(F.col("value").rlike("^(track|fixedStep)"), F.lit(-1.0)).otherwise(F.expr("try_cast(value as double)"))
+    return lines.groupBy("chrom", level.alias("level")).agg(F.count("*").alias("times"))
+
+
 @query("src13_output_per_group", v.sql("reads", "SELECT chrom, count(*) AS n FROM reads GROUP BY 1"))
 def src13(spark, sf):
     path = s.scratch(spark, "groups")

@@ -55,6 +55,16 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(name.alias("tag_id"), F.coalesce(count, F.lit(1)).alias("n"), sq.normalise(F.replace(body, F.lit("\n"), F.lit(""))).alias("seq"))
 
 
+def read_tag_table(spark: SparkSession, path: str) -> DataFrame:
+    """``tag_id, n, seq`` of a table by tabs: ``seq``, ``id seq``, ``id seq n`` or ``seq n`` (the second field a number); letters but ACGT become N."""
+    f = spark.read.text(path).filter("trim(value) <> ''").select(F.split("value", "\t").alias("f"))
+    get = lambda k: F.get("f", F.lit(k))
+    counted = (F.size("f") == 2) & get(1).rlike(r"^\d+$")
+    seq = F.when((F.size("f") == 1) | counted, get(0)).otherwise(get(1))
+    n = F.when(counted, get(1)).when(F.size("f") >= 3, get(2)).cast("long")
+    return f.select(F.when((F.size("f") == 1) | counted, seq).otherwise(get(0)).alias("tag_id"), F.coalesce(n, F.lit(1)).alias("n"), sq.normalise(seq).alias("seq"))
+
+
 def import_tags(spark: SparkSession, path: str) -> DataFrame:
     """``tag_id, seq, n`` of a table ``seq<tab>n``: upper case, U as T; sequences with other than letters, and repeated ones, are refused; ids sq1 ... in order of sequence."""
     rows = spark.read.text(path).select(F.split("value", "\t").alias("f")).select(F.replace(F.upper(F.col("f")[0]), F.lit("U"), F.lit("T")).alias("seq"), F.col("f")[1].cast("long").alias("n"))
@@ -98,6 +108,12 @@ def read_matrices(spark: SparkSession, path: str) -> DataFrame:
     return cells.select("wm", "pos", *[((F.col(c) + pseudo) / (total + 4 * pseudo)).alias(c) for c in "acgt"])
 
 
+def reversed_matrices(matrices: DataFrame) -> DataFrame:
+    """The matrices of the other strand: positions backwards, A with T and C with G exchanged."""
+    size = F.max("pos").over(Window.partitionBy("wm"))
+    return matrices.select("wm", (size - F.col("pos")).alias("pos"), *[F.col(x).alias(c) for c, x in zip("acgt", "tgca", strict=True)])
+
+
 def read_sites(spark: SparkSession, path: str) -> DataFrame:
     """Site lines ``s-e strand posterior motif key``; the region's id is the third from last part of the key."""
     f = F.split("value", r"\s+")
@@ -119,23 +135,41 @@ def read_lines(spark: SparkSession, path: str, pattern: str, sep: str = "\t") ->
     return spark.read.text(path).filter(F.col("value").rlike(pattern)).select(F.split("value", sep).alias("fields"))
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """``path, factor, sample_id``: a sheet ``factor;path,path...`` as one row a file; ids are file names without their endings."""
+def write_table(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """Rows as delimited lines, null as an empty field."""
+    df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("value")).write.text(path)
+
+
+def read_samples(spark: SparkSession, path: str, rename: str | None = None) -> DataFrame:
+    """``path, factor, sample_id``: a sheet ``factor;path,path...`` as one row a file; ids are file names without their endings, with ``rename_`` before them if given."""
     f = F.split("value", ";")
     rows = spark.read.text(path).select(f[0].alias("factor"), F.explode(F.split(f[1], ",")).alias("path"))
-    return rows.select("path", "factor", F.regexp_replace(F.substring_index("path", "/", -1), r"(\.(gz|bed|fastq|fq))+$", "").alias("sample_id"))
+    stem = F.regexp_replace(F.substring_index("path", "/", -1), r"(\.(gz|bedweight|bed|fastq|fq|fasta|fa))+$", "")
+    return rows.select("path", "factor", (F.concat(F.lit(f"{rename}_"), stem) if rename else stem).alias("sample_id"))
+
+
+def split_samples(samples: DataFrame, processed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The samples that are still to be processed, and those whose ``sample_id`` is in ``processed`` with its ``result``."""
+    done = processed.select("sample_id", "result").dropDuplicates(["sample_id"])
+    return samples.join(done, "sample_id", "left_anti"), samples.join(done, "sample_id")
 
 
-def write_wig(df: DataFrame, path: str, step: int) -> None:
-    """A variableStep track of ``chrom, pos, level`` for each sequence, one file a sequence, its header first."""
-    head = df.select("chrom").distinct().select("chrom", F.lit(-1).cast("long").alias("pos"), F.format_string("variableStep chrom=%s span=" + str(step), "chrom").alias("value"))
-    body = df.select("chrom", "pos", F.concat_ws(" ", "pos", "level").alias("value"))
-    head.unionByName(body).repartition("chrom").sortWithinPartitions("chrom", "pos").select("chrom", "value").write.partitionBy("chrom").text(path)
+def write_wig(df: DataFrame, path: str, step: int, name: str = "track", description: str = "", fixed: bool = False) -> None:
+    """A wig track of ``chrom, pos, level``, a folder a sequence: the track's header, then variableStep lines ``pos level``, or with ``fixed`` levels
+    alone, in which case every ``step`` from 1 on must be there. Levels have two digits. A sequence is range-partitioned by position and
+    written in as many parts as it has tiles; parts are in order by name, the headers in the first."""
+    kind = "fixedStep chrom=%s start=1 step=" + f"{step} span={step}" if fixed else f"variableStep chrom=%s span={step}"
+    track = f'track type=wiggle_0 name="{name}" description="{description}"'
+    head = df.select("chrom").distinct().select("chrom", F.lit(-1).cast("long").alias("pos"), F.concat(F.lit(track + "\n"), F.format_string(kind, "chrom")).alias("value"))
+    level = F.format_string("%.2f", F.col("level").cast("double"))
+    body = df.select("chrom", F.col("pos").cast("long").alias("pos"), (level if fixed else F.concat_ws(" ", "pos", level)).alias("value"))
+    parts = head.unionByName(body).repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
+    parts.select("chrom", "value").write.partitionBy("chrom").text(path)
 
 
 def write_by_group(df: DataFrame, path: str, key: str) -> None:
-    """One folder a group."""
-    df.repartition(key).write.partitionBy(key).parquet(path)
+    """One folder a group; a large group is written by several tasks, of some of its rows each."""
+    df.repartitionByRange(F.col(key), F.xxhash64(*df.columns)).write.partitionBy(key).parquet(path)
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
