@@ -177,6 +177,21 @@ def test_shards_are_even_and_keep_groups(spark):
     assert all(len(set(s)) == 1 for s in where.values() if 1 < len(s) < 100)
 
 
+def test_links_of_the_caller_are_kept_together(spark):
+    """Planted communities: far fewer links are cut than by the hash that everything starts from, at even sizes."""
+    rng = random.Random(17)
+    texts = [f"text number {k} of some length" for k in range(800)]
+    links = [(c * 20 + a, c * 20 + b) for c in range(30) for a in range(20) for b in rng.sample(range(20), 4) if a != b]
+    links += [(rng.randrange(600), rng.randrange(600)) for _ in range(60)]
+    df = spark.createDataFrame(links, "a long, b long").filter("a <> b")
+    placed = sharding.shard(documents(spark, texts), shards=5, links=df).select("doc_id", "shard", "size").cache()
+    n, cut = sharding.cut_edges(placed, df).first()
+    start = documents(spark, texts).select("doc_id", common.F.pmod(common.F.xxhash64(common.F.col("doc_id").cast("string")), common.F.lit(5)).cast("int").alias("shard"))
+    loads = [r["sum(size)"] for r in placed.groupBy("shard").sum("size").collect()]
+    assert n == df.count() and cut < 0.5 * sharding.cut_edges(start, df).first()["cut"]
+    assert len(loads) == 5 and max(loads) - min(loads) <= 0.02 * sum(loads)
+
+
 def test_bpe_round_trip_and_tiktoken(spark):
     import tiktoken
 

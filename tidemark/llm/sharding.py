@@ -16,18 +16,31 @@ LEVELS = (float("inf"), 4.0, 1.0, 0.25)
 
 
 def text_links(docs: DataFrame, capacity: int) -> DataFrame:
-    """``id, hub``: a link from each document with copies to the first one of its block of copies.
+    """``id, hub, size, group, block, blocks``: a link from each document with copies to the first one of its block of copies.
 
-    ``docs`` has ``id, size, group``. Copies that together exceed ``capacity`` are dealt into blocks of about an eighth
-    of it, so no document has more neighbours than fit near it; the blocks are then filled shard after shard.
+    ``docs`` has ``id, size, group``. Copies that together exceed nine tenths of ``capacity`` are dealt into blocks of about an eighth
+    of it, so no document has more neighbours than fit near it; the blocks are then filled shard after shard. There are no more such
+    groups than ten ninths of the shards, and ten times as many blocks, so both are broadcast and no task sees a whole large group;
+    the copies of a smaller group, which one shard can hold, meet in a shuffle.
     """
     groups = docs.groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("mass")).filter("n > 1")
-    share = F.lit(max(1, capacity // 8))
-    blocks = F.when(F.col("mass") > F.lit(int(capacity * 0.9)), F.ceil(F.col("mass") / share)).otherwise(1)
-    dealt = docs.join(groups.select("group", blocks.cast("long").alias("blocks")), "group")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")))
+    groups = table(groups.withColumn("large", F.col("mass") > F.lit(int(capacity * 0.9))), "groups")
+    large = groups.filter("large").select("group", F.ceil(F.col("mass") / F.lit(max(1, capacity // 8))).cast("long").alias("blocks"))
+    dealt = docs.join(F.broadcast(large), "group").withColumn("block", F.pmod(F.xxhash64("id", F.lit(3)), F.col("blocks")))
     hubs = dealt.groupBy("group", "block").agg(F.min("id").alias("hub"))
-    return dealt.join(hubs, ["group", "block"]).select("id", "hub", "size", "group", "block", "blocks")
+    columns = ["id", "hub", "size", "group", "block", "blocks"]
+    of_large = dealt.join(F.broadcast(hubs), ["group", "block"]).select(*columns)
+    rest = docs.join(F.broadcast(large), "group", "left_anti").join(groups.filter("not large").select("group"), "group")
+    first = rest.groupBy("group").agg(F.min("id").alias("hub"))
+    of_small = rest.join(first, "group").withColumn("block", F.lit(0).cast("long")).withColumn("blocks", F.lit(1).cast("long")).select(*columns)
+    return of_large.unionByName(of_small)
+
+
+def cut_edges(placed: DataFrame, links: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row ``links, cut``: how many of the ``links`` (a, b: ids) join documents of different shards in ``placed`` (``id_col, shard``)."""
+    at = lambda end: placed.select(F.col(id_col).alias(end), F.col("shard").alias(f"at_{end}"))
+    both = links.select("a", "b").join(at("a"), "a").join(at("b"), "b")
+    return both.agg(F.count("*").alias("links"), F.count_if(F.col("at_a") != F.col("at_b")).alias("cut"))
 
 
 def admitted(moves: DataFrame, room: DataFrame) -> DataFrame:
@@ -43,8 +56,10 @@ def admitted(moves: DataFrame, room: DataFrame) -> DataFrame:
     return keyed.join(F.broadcast(ahead.select("shard", "rung", "bucket")), ["shard", "rung", "bucket"], "left_semi")
 
 
-def propagate(nodes: DataFrame, links: DataFrame, shards: int, quota: int, rounds: int = 3) -> DataFrame:
-    """``id, size, shard`` of linked nodes after ``rounds`` of label propagation; no move takes a shard over ``quota``.
+def propagate(nodes: DataFrame, links: DataFrame, shards: int, quota: int, rounds: int = 12) -> DataFrame:
+    """``id, size, shard`` of linked nodes after label propagation; no move takes a shard over ``quota``.
+
+    It ends when a round of either kind has moved nothing, or after ``rounds``.
 
     ``nodes`` has ``id, size, shard`` (where it lies), ``links`` has ``a, b``. In odd rounds a node looks at its links to
     smaller ids only, so that neighbours never swap; in even rounds it looks at all, and half of the nodes may move.
@@ -53,7 +68,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, quota: int, round
     both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("other")))
     both = both.filter("id <> other").distinct()
     every = nodes.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    at = nodes
+    at, quiet = nodes, 0
     for k in range(rounds):
         look = both if k % 2 else both.filter("other < id")
         where = at.select(F.col("id").alias("other"), F.col("shard").alias("there"))
@@ -69,10 +84,15 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, quota: int, round
         loads = at.groupBy("shard").agg(F.sum("size").alias("load"))
         room = every.join(F.broadcast(loads), "shard", "left").select("shard", (F.lit(quota) - F.coalesce("load", F.lit(0))).alias("room"))
         moved = admitted(want, F.broadcast(room)).select("id", F.col("shard").alias("to"))
-        new = table(at.join(moved, "id", "left").select("id", "size", F.coalesce("to", "shard").alias("shard")), "labels")
+        label = F.coalesce("to", "shard").alias("shard")
+        new = table(at.join(moved, "id", "left").select("id", "size", label, F.col("to").isNotNull().alias("moved")), "labels")
         if k:
             forget(at)
-        at = new
+        at = new.select("id", "size", "shard")
+        at._tidemark_path = new._tidemark_path
+        quiet = 0 if new.filter("moved").head(1) else quiet + 1
+        if quiet == 2:
+            break
     return at
 
 
@@ -120,7 +140,7 @@ def level(nodes: DataFrame, shards: int, most_size: float) -> DataFrame:
     return stay.unionByName(placed.select("id", "size", moved.alias("shard"), "free"))
 
 
-def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rounds: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, size, text_crc32, law, shard, slot, grown_shard`` of every document; law ``bytes``: the sizes are near equal.
 
     A document's size is its UTF-8 bytes plus 8. ``links`` (a, b: pairs of ids) are edges that shall not be cut; without them, equal texts
