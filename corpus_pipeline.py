@@ -21,14 +21,22 @@ LEAST_QUALITY = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without letters, and those of which no language has half of the words, go."""
+    """Documents in a language: those without letters, and those of which no language has half of the words, go.
+
+    So null and empty texts go, and without any ``lang`` to learn from all do. Rows are judged each for itself: repeated rows and null ids
+    fare as their texts do. Columns beside those of ``documents`` are dropped; an empty table stays empty.
+    """
     found = langid.identifier(spark, langid.train(docs, F.lit(True)))(F.col("text"))
     rows = docs.select(*COLUMNS, found.alias("_found"))
     return rows.filter("_found.lang_pred <> 'und'").filter(F.col("_found.score") >= LEAST_SHARE).select(*COLUMNS)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is not below the threshold, learned from the labels of those that are here."""
+    """Documents whose quality score is not below the threshold, learned from the labels of those that are here.
+
+    Null and empty texts have the score of the empty n-gram; without labels of both kinds every score is 0.5 and all stay. Repeated rows
+    and null ids fare as their texts do. Columns beside those of ``documents`` are dropped; an empty table stays empty.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = docs.select(*COLUMNS, quality.scorer(spark, model)(F.col("text")).alias("_score"))
     return rows.filter(F.col("_score") >= LEAST_QUALITY).select(*COLUMNS)
@@ -39,7 +47,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by their own key (id, then digest of the row), not by doc_id: rows with a null id are documents like
     others, and rows of one id with different texts are decided each for itself. Of rows that are equal throughout one stays;
-    rows without words are no near-duplicates, so all of them stay.
+    rows without words are no near-duplicates, so all of them stay. Columns beside those of ``documents`` are dropped; an
+    empty table stays empty.
     """
     number = F.col("doc_id").cast("long")
     # Hexadecimal digits of the id in the order of the ids; "G" comes behind all digits.
@@ -54,7 +63,10 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of at most 2048 tokens."""
+    """The pieces of all documents in sequences of at most 2048 tokens.
+
+    A null or empty text is its separator alone; repeated rows and null ids are documents of their own; an empty table gives no rows.
+    """
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, separator=0, keep_ids=False)
 
 

@@ -28,9 +28,11 @@ def kept(key, build: Callable):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only in local mode (tests) may it be unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -145,7 +145,7 @@ def select(shares: np.ndarray, likelihoods: np.ndarray) -> np.ndarray:
     """True for the languages of one document: the largest is kept, and a smaller one while its words gain more likelihood than the penalty of ln(n)."""
     keep = shares > 0.01
     keep[shares.argmax()] = True
-    for k in np.argsort(shares):
+    for k in np.lexsort((-np.arange(len(shares)), shares)):  # of equal ones the later first
         if keep[k] and keep.sum() > 1:
             less = keep.copy()
             less[k] = False

@@ -8,17 +8,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept, map_rows
+from .common import kept, map_rows, table
 
 #: Places of the hashed n-gram space.
 PLACES = 1 << 18
 #: Labelled documents that are learned from, at most; they are the first by hash of doc_id.
 TRAINING_ROWS = 20_000
+#: Places of theirs that are learned from, at most (4 bytes each on the driver).
+TRAINING_VALUES = 40_000_000
 #: Words that a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 
 
 class _Kinds(dict):
@@ -39,7 +41,7 @@ SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalpha())
 
 def shape(word: str) -> str:
     """The kinds of characters in a word, runs as one, of a sign as two: ``Abc12.`` is ``Aa0.``, ``of%%%`` is ``a%%``."""
-    return _AGAIN.sub(lambda m: m[1] or m[2] * 2, word.translate(_KINDS))[:12]
+    return _AGAIN.sub(lambda m: m[1] or m[2] * 2, word.translate(_KINDS))
 
 
 class WordCodes:
@@ -157,10 +159,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, cost: float = 1.0, rounds: i
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS, training_values: int = TRAINING_VALUES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
     """The model of at most ``training_rows`` labelled documents, the first by hash; None if both labels aren't there.
 
-    Only the chosen documents' places (bounded by ``training_rows``) come to the driver.
+    Only the chosen documents' places come to the driver: of one row an id (of several the smallest places), and together
+    no more than ``training_values``, again the first by hash.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -176,7 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS
         return function
 
     kind = rows.schema["id"].dataType.simpleString()
-    got = map_rows(rows, f"id {kind}, label int, x binary", make).toPandas()
+    got = map_rows(rows, f"id {kind}, label int, x binary", make).groupBy("id", "label").agg(F.min("x").alias("x"))
+    got = table(got, "places")
+    upto = F.sum(F.octet_length("x") / 4).over(Window.orderBy(F.xxhash64("id"), "id"))  # one row a chosen document
+    few = got.select("id", upto.alias("upto")).filter(F.col("upto") <= training_values).select("id")
+    got = got.join(F.broadcast(few), "id").toPandas()
     got = got.assign(h=[zlib.crc32(str(i).encode()) for i in got["id"]]).sort_values(["h", "id", "x"])
     if got["label"].nunique() < 2:
         return None
