@@ -185,3 +185,37 @@ def test_alignment_prefers_itself():
     a = np.eye(4)[[0, 1, 2, 3, 0, 0]]
     assert m.align_columns(a, a) == (12.0, "+", 0, 6, 0, 6) and m.align_columns(a, a[::-1, ::-1]) == (12.0, "-", 0, 6, 0, 6)
     assert m.align_columns(np.vstack([np.eye(4)[[1, 1]], a]), a) == (12.0, "+", 2, 8, 0, 6)
+
+
+def test_forward_selection_matches_brute_force(spark):
+    rng = np.random.default_rng(12)
+    n, beta = 60, 0.05
+    size, fg = rng.integers(20, 200, n), rng.random(n) < 0.4
+    sites = {(i, w): float(rng.random()) for i in range(n) for w in range(5) if rng.random() < (0.6 if fg[i] and w < 2 else 0.1)}
+    regions = spark.createDataFrame([(f"r{i}", int(size[i]), bool(fg[i])) for i in range(n)], "region_id string, len long, fg boolean")
+    sums = spark.createDataFrame([(f"r{i}", w, x) for (i, w), x in sites.items()], "region_id string, wm long, n double")
+
+    def score(motifs):
+        own = np.array([sum(sites.get((i, w), 0.0) for w in motifs) for i in range(n)])
+        return float((np.log(own + beta * size)[fg] - np.log(own.sum() + beta * size.sum()) + np.log(n)).sum())
+
+    want, left = [], list(range(5))
+    while left:
+        best = max(left, key=lambda w: (score([*(x for x, _ in want), w]), -w))
+        value = score([*(x for x, _ in want), best])
+        if want and value - want[-1][1] < 0.5:
+            break
+        want.append((best, value))
+        left.remove(best)
+    got = m.forward_selection(sums, regions, beta, 0.5, 8)
+    assert len(want) > 1 and [w for w, _ in got] == [w for w, _ in want] and np.allclose([x for _, x in got], [x for _, x in want])
+
+
+def test_elbow_falls_back():
+    x = np.linspace(0, 10, 200)
+    flat = np.zeros(200)
+    assert m.elbow(x, flat, 3.0) == 3.0 and m.elbow(x, flat, 9.0, clamp=(2.0, 5.0)) == 5.0
+    assert abs(m.elbow(x, flat, None) - (x.mean() + 3 * x.std())) < 1e-12
+    at = np.linspace(0, 3, 400)
+    y = np.where(at < 1.5, 9 - 4 * at, 3 - 0.02 * (at - 1.5))
+    assert math.exp(1.4) < m.elbow(np.exp(at), y, 3.0, size=1000, log_x=True) < math.exp(2.1)
