@@ -43,8 +43,8 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100) -> di
     """Mixture of a uniform share ``rho`` and a normal ``mu, q + s`` of the rows ``x, s``.
 
     Equal rows are counted first. The outer search halves the interval of q by the sign of the likelihood's derivative
-    until its width is ``width`` of its middle; inside, from the mean on, expectation-maximisation steps of rho and mu, each one pass
-    that sums four columns, run until the sum of their relative changes is within ``width``.
+    until its width is ``width`` of its middle; inside, from where the last q left them, expectation-maximisation steps of rho and mu, each one
+    pass that sums four columns, run until the sum of their relative changes is within ``width``.
     """
     rows = df.groupBy("x", "s").agg(F.count("*").alias("n")).cache()
     try:
@@ -64,7 +64,7 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100) -> di
             return [float(g or 0) for g in got]
 
         while 2 * (hi - lo) / (hi + lo) > width:
-            q, mu, slope = (lo + hi) / 2, mean, 0.0
+            q = (lo + hi) / 2
             if not 1e-6 < rho < 1:
                 rho = 0.005
             for _ in range(most_steps):
