@@ -310,7 +310,7 @@ def agg17(spark, sf):
     return out.select("sample", "cycle", F.round("t", 6).alias("total"), F.round(100.0 * F.col("b") / F.col("t"), 6).alias("percent"))
 
 
-@query("agg17_aligned_by_errors", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, errors, round(sum(w), 6) AS weight FROM c GROUP BY ALL"))
+@query("agg17_aligned_by_errors", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, CAST(errors AS INTEGER) AS errors, round(sum(w), 6) AS weight FROM c GROUP BY ALL"))
 def agg17_aligned(spark, sf):
     """Weight of the reads that have had so many differences up to a cycle."""
     return _cycles(spark, sf).groupBy("sample", "cycle", "errors").agg(F.round(F.sum("w"), 6).alias("weight"))
