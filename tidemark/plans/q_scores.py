@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import intervals as iv
 from . import views as v
-from .registry import query
+from .registry import ORACLE_SQL, query
 
 
 def _peaks(spark, sf):
@@ -346,7 +346,7 @@ def agg30(spark, sf):
     return p.select("zc", "wc", F.round(mi, 8).alias("mi"), F.round(mi / F.least(entropy(a + b, c + d), entropy(a + c, b + d)), 8).alias("share"))
 
 
-@query("agg30_best_cell", None)
+@query("agg30_best_cell", f"SELECT * FROM ({ORACLE_SQL['agg30_mutual_information']}) ORDER BY mi DESC, zc, wc LIMIT 1")
 def agg30_best(spark, sf):
     """The pair of thresholds with the most mutual information, the smaller ones on ties."""
     return agg30(spark, sf).agg(F.max_by(F.struct("zc", "wc", "mi", "share"), F.struct("mi", -F.col("zc"), -F.col("wc"))).alias("b")).select("b.*")
