@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, htmltext, langid, licenses, packing, quality, sharding, vectors
+from . import bpe, dedup, fingerprints, htmltext, langid, licenses, packing, periods, quality, sharding, vectors
 from .common import held_out
 
 
@@ -69,6 +69,45 @@ def op10_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def _periodic(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by hash of its id) with a periodic end: its words from one place on repeat their first ones."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("w"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = (g % n).cast("int")
+    cut = words.select("doc_id", "text", "w", n.alias("n"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).cast("int").alias("p"))
+    unit, rest = F.slice("w", F.col("a") + 1, F.col("p")), F.col("n") - F.col("a")
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest)
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(_periodic(_read(spark, sf_dir, "documents")), least_length=6, least_exponent=4)
+    longer = lambda a, b: (a["length"] * b["period"] > b["length"] * a["period"]) | a.isNull()
+    best = F.reduce("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(longer(r, b), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "best.*", F.expr("(1000 * best.length) div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op12_one_permutation_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    rows = fingerprints.with_next(docs, {"fingerprint": fingerprints.fingerprint(F.col("text"))})
+    rows = rows.withColumn("edited", fingerprints.replaced_end(F.col("text"), F.col("next_text")))
+    rows = rows.withColumn("edited_fingerprint", fingerprints.fingerprint(F.col("edited")))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -82,6 +121,8 @@ QUERIES = {
         op8_license_compression,
         op9_bin_completion_packing,
         op10_inverted_multi_index,
+        op11_lyndon_runs,
+        op12_one_permutation_fingerprint,
     )
 }
 
@@ -118,6 +159,26 @@ scores AS (
   FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op11_lyndon_runs": r"""
+WITH hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         xor(4294967295, list_reduce(list_concat([4294967295], flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+           lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS h FROM documents),
+cut AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS made, (h // 10) % greatest(len(w), 1) AS a, h // 10 AS g FROM hashed),
+texts AS (
+  SELECT doc_id, n, CASE WHEN made THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE w END AS w FROM cut),
+words AS (SELECT doc_id, n, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM texts),
+pairs AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.x = b.x AND a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+marked AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS isle FROM pairs),
+isles AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM marked GROUP BY doc_id, q, isle HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM isles r WHERE NOT EXISTS (SELECT 1 FROM isles o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.s <= r.s AND o.s + o.l >= r.s + r.l)),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(l AS DOUBLE) / q DESC, s, q) AS k, count(*) OVER (PARTITION BY doc_id) AS n_runs FROM runs),
+lines AS (SELECT doc_id, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (SELECT w.doc_id, string_agg(x, ' ' ORDER BY w.i) AS t FROM words w ANTI JOIN dropped d ON d.doc_id = w.doc_id AND d.i = w.i GROUP BY w.doc_id)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(s AS BIGINT) AS start, CAST(l AS BIGINT) AS length, CAST(q AS BIGINT) AS period, CAST(1000 * l // q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN best ON best.doc_id = t.doc_id AND k = 1 LEFT JOIN lines ON lines.doc_id = t.doc_id LEFT JOIN kept ON kept.doc_id = t.doc_id""",
     "op10_inverted_multi_index": f"""
 WITH RECURSIVE {_VECTORS.strip()},
 fit AS (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM usable
