@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dedup, fingerprints, htmltext, langid, licenses, packing, periods, quality, sharding, vectors
+from . import bpe, dedup, fingerprints, htmltext, langid, licenses, negatives, packing, periods, quality, sharding, vectors
 from .common import held_out
 
 
@@ -108,6 +108,12 @@ def op12_one_permutation_fingerprint(spark: SparkSession, sf_dir: str) -> DataFr
     )
 
 
+def op13_anchor_shared_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _read(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, percent=(80, 100), scale=256)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -123,6 +129,7 @@ QUERIES = {
         op10_inverted_multi_index,
         op11_lyndon_runs,
         op12_one_permutation_fingerprint,
+        op13_anchor_shared_lists,
     )
 }
 
@@ -194,4 +201,16 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(lowest.b, e.vec_id)) AS component_id,
        e.vec_id = least(e.vec_id, coalesce(lowest.b, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN lowest ON lowest.a = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id""",
+    "op13_anchor_shared_lists": f"""
+WITH {_VECTORS.strip()},
+whole AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(v, lambda x: floor(256 * x)) AS v
+          FROM usable WHERE vec_id IS NOT NULL AND label IS NOT NULL),
+scores AS (
+  SELECT a.vec_id AS anchor, c.vec_id AS other, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor, other, score FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other) <= 5)
+SELECT p.anchor AS anchor_id, p.other AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+       n.other AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scores n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other) <= 5""",
 }
