@@ -129,7 +129,10 @@ def hard_negatives(rows: DataFrame, anchor: Column, positives: int = 5, negative
     radius = {c: r["radius"] for c, r in clusters.items()}
     blocks = {c: -(-r["n"] // max(64, BLOCK_VALUES // r["dims"])) for c, r in sizes.items()}
     packs = [(c, p) for c in sorted(clusters) for p in range(-(-clusters[c]["n"] // PACK_ROWS))]
-    bundle = {pack: k // PACKS_AT_ONCE for k, pack in enumerate(packs)}
+    bundle: dict[tuple[int, int], int] = {}
+    for other in sorted({min(c, 0) for c, _ in packs}):  # packs of one length of vectors only share a task
+        at = 1 + max(bundle.values(), default=-1)
+        bundle |= {pack: at + k // PACKS_AT_ONCE for k, pack in enumerate(x for x in packs if min(x[0], 0) == other)}
     home = {(c, c) for c in clusters}
     away = _reachable(placed.filter(F.col("dims") == dims), centres, radius)
 
