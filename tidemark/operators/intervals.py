@@ -226,10 +226,25 @@ def running_total(df: DataFrame, value: str, order: list[Column], name: str, par
     every partition runs its own sum. ``order`` must be a total order. The ranged rows are written once, as their bounds come
     from a sample and must be the same for the totals and the sums, also after a lost executor.
     """
-    path = scratch(df.sparkSession, "ranged")
-    df.repartitionByRange(*([parts] if parts else []), *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
-    ranged = df.sparkSession.read.parquet(path)
+    ranged = written(df.repartitionByRange(*([parts] if parts else []), *order).withColumn("_part", F.spark_partition_id()), "ranged")
     inside = ranged.withColumn("_sum", F.sum(value).over(Window.partitionBy("_part").orderBy(*order)))
     totals = ranged.groupBy("_part").agg(F.sum(value).alias("_total"))
     ahead = totals.withColumn("_ahead", F.sum("_total").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)))
     return inside.join(F.broadcast(ahead.select("_part", "_ahead")), "_part").withColumn(name, F.col("_sum") + F.coalesce("_ahead", F.lit(0))).drop("_part", "_sum", "_ahead")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: what several later steps read isn't computed again for each."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def ranked(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """Rows with their rank from 1 in ``order`` (a total order) within ``group``, without one task that sees a whole group.
+
+    One running number over all rows by group and order (:func:`running_total`); a group's own begins behind the rows of the groups before.
+    """
+    rows = running_total(df.withColumn("_one", F.lit(1)), "_one", [F.col(group), *order], "_no").drop("_one")
+    first = rows.groupBy(group).agg(F.min("_no").alias("_first"))
+    return rows.join(first, group).withColumn(name, F.col("_no") - F.col("_first") + 1).drop("_no", "_first")

@@ -245,45 +245,6 @@ def forward_selection(sums: DataFrame, regions: DataFrame, beta: float, least_ga
     return chosen
 
 
-def columns_with_pattern(cells: DataFrame) -> DataFrame:
-    """``block, at, cells, column, pattern``: alignment columns with their stratum, a letter a species: ``-`` absent, ``=`` as the first species, ``+`` else.
-
-    ``cells`` has ``block, species, at, base``. A column has as many cells as its block has species.
-    """
-    listed = cells.groupBy("block", "at").agg(F.array_sort(F.collect_list(F.struct("species", "base"))).alias("cells"))
-    mark = lambda c: F.when(c["base"] == "-", "-").when(c["base"] == F.col("cells")[0]["base"], "=").otherwise("+")
-    pattern = F.array_join(F.transform("cells", mark), "")
-    return listed.select("block", "at", "cells", F.array_join(F.transform("cells", lambda c: c["base"]), "").alias("column"), pattern.alias("pattern"))
-
-
-def shuffle_columns(cells: DataFrame, seed: int, copies: int = 1, replace: bool = True) -> DataFrame:
-    """``block, copy, species, at, base``: each block ``copies`` times with its columns exchanged within strata (see ``columns_with_pattern``).
-
-    A block's columns of one stratum (bounded by the block's length) are numbered once by place and once by a seeded hash; an equi-join on
-    the number brings the columns, so the draw doesn't depend on how rows are partitioned. With ``replace`` the number
-    is drawn by hash; without, a permutation, in which a column that meets an equal one goes to the next number if both stay different then.
-    """
-    columns = columns_with_pattern(cells).select("*", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
-    keys = ["block", "copy", "pattern"]
-    w = Window.partitionBy(*keys)
-    draw = F.xxhash64("block", "at", "copy", F.lit(seed))
-    a = columns.withColumn("_k", F.row_number().over(w.orderBy("at"))).withColumn("_n", F.count("*").over(w))
-    b = columns.select(*keys, F.row_number().over(w.orderBy(draw, "at")).alias("_k"), F.col("cells").alias("_new"), F.col("column").alias("_text"))
-    if replace:
-        a = a.withColumn("_k", (F.pmod(F.xxhash64("block", "at", "copy", F.lit(seed + 1)), F.col("_n")) + 1).cast("int"))
-        out = a.join(b, [*keys, "_k"])
-    else:
-        met = a.join(b, [*keys, "_k"])
-        by_no = w.orderBy("_k")
-        ahead = lambda c: F.lead(c).over(by_no)
-        clash = (F.col("column") == F.col("_text")) & (F.col("column") != ahead("_text")) & (ahead("column") != F.col("_text"))
-        swaps = met.withColumn("_clash", F.coalesce(clash, F.lit(False)) & (F.col("_k") % 2 == 1))  # pairs (1, 2), (3, 4) ... don't overlap
-        taken, given = swaps.withColumn("_from", F.lag("_clash").over(by_no)), F.coalesce("_from", F.lit(False))
-        both = taken.withColumn("_up", F.lead("_new").over(by_no)).withColumn("_down", F.lag("_new").over(by_no))
-        out = both.withColumn("_new", F.when(F.col("_clash"), F.col("_up")).when(given, F.col("_down")).otherwise(F.col("_new")))
-    return out.select("block", "copy", "at", F.explode("_new").alias("c")).select("block", "copy", F.col("c.species").alias("species"), "at", F.col("c.base").alias("base"))
-
-
 def scan_matrices(sequences: DataFrame, matrices: dict[int, np.ndarray], cutoff: float, background: float = 0.25) -> DataFrame:
     """``doc_id, wm, pos, strand, score``: places where the log-odds of a matrix (columns x ACGT) reaches the cutoff, on the better strand.
 

@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import alignments as al
 from ..operators import intervals as iv
 from ..operators import models as m
+from ..operators.synteny import best_runs
 from . import views as v
 from .q_intervals import _WINDOWS, windows
 from .q_scores import QUERY_EVERY, distances, information, matrix_pairs, region_posteriors
@@ -275,59 +277,102 @@ def mod17(spark, sf):
     )
 
 
-def alignment_cells(spark, sf):
-    """Alignment rows as cells: ``block, species, at, base``; three reads of a block are its species, N is a gap."""
-    letters = v.fastq(spark, sf).select(F.expr("read_id div 3").alias("block"), (F.col("read_id") % 3).alias("species"), F.posexplode(F.filter(F.split(F.translate("seq", "N", "-"), ""), lambda c: c != "")).alias("at", "base"))
-    return letters
+SPECIES = [0, 1, 2]
+_DRAW = "({keys} + {seed}) % 2147483647 * 48271 % 2147483647 * 48271 % 2147483647"
+_COLUMNS = """, b AS (SELECT block, max(text) FILTER (species = 0) AS t0, coalesce(max(text) FILTER (species = 1), '') AS t1, coalesce(max(text) FILTER (species = 2), '') AS t2 FROM aligned GROUP BY 1),
+  u AS (SELECT *, unnest(range(len(t0))) AS ps FROM b WHERE t0 <> ''),
+  l AS (SELECT block, ps, substr(t0, ps + 1, 1) AS a, coalesce(nullif(substr(t1, ps + 1, 1), ''), '-') AS b, coalesce(nullif(substr(t2, ps + 1, 1), ''), '-') AS c FROM u),
+  cols AS (SELECT block, ps, a || b || c AS old, CASE a WHEN '-' THEN '0' ELSE '1' END || CASE b WHEN '-' THEN '0' ELSE '1' END || CASE c WHEN '-' THEN '0' ELSE '1' END
+    || ':' || CASE WHEN a = b THEN '1' ELSE '0' END || CASE WHEN a = c THEN '1' ELSE '0' END AS stratum FROM l)"""
 
 
-@query("mod18_shuffle_with_replacement")
-def mod18(spark, sf):
-    """Two shuffled copies of each alignment: columns drawn with replacement from those of the same pattern of present and of identical species."""
-    return m.shuffle_columns(alignment_cells(spark, sf), seed=11, copies=2, replace=True)
+@query("mod18_strata", v.sql("fastq aligned", _COLUMNS + " SELECT stratum, old AS \"column\", count(*) AS n FROM cols GROUP BY ALL"))
+def mod18_strata(spark, sf):
+    """How often each column occurs in each stratum, over all alignments: the frequencies that the draws follow."""
+    return al.columns(v.aligned(spark, sf), SPECIES).groupBy("stratum", "column").agg(F.count("*").alias("n"))
 
 
 @query(
-    "mod18_strata",
-    v.sql("fastq", """, c AS (SELECT read_id // 3 AS block, read_id % 3 AS species, unnest(range(0, len(seq))) AS p, translate(seq, 'N', '-') AS seq FROM fastq),
-  x AS (SELECT block, p, species, substr(seq, CAST(p + 1 AS INTEGER), 1) AS base FROM c), f AS (SELECT block, p, arg_min(base, species) AS first FROM x GROUP BY ALL)
-  SELECT x.block, x.p AS "at", string_agg(CASE WHEN x.base = '-' THEN '-' WHEN x.base = f.first THEN '=' ELSE '+' END, '' ORDER BY species) AS pattern FROM x JOIN f ON f.block = x.block AND f.p = x.p GROUP BY ALL"""),
+    "mod18_shuffle_with_replacement",
+    v.sql("fastq aligned", _COLUMNS + f""", f AS (SELECT stratum, old, count(*) AS n FROM cols GROUP BY ALL), g AS (SELECT *, sum(n) OVER (PARTITION BY stratum ORDER BY old) AS high, sum(n) OVER (PARTITION BY stratum) AS size FROM f),
+  d AS (SELECT c.block, k.copy, c.ps, c.stratum, ({_DRAW.format(keys="c.block % 2147483647 * 7919 + c.ps * 104729 + k.copy * 15485863", seed=11)}) AS draw FROM cols c, (SELECT unnest([1, 2]) AS copy) k),
+  p AS (SELECT d.*, draw % size AS place FROM d JOIN (SELECT DISTINCT stratum, size FROM g) z ON z.stratum = d.stratum), m AS (SELECT p.block, p.copy, p.ps, g.old AS new FROM p JOIN g ON g.stratum = p.stratum AND p.place < g.high AND p.place >= g.high - g.n),
+  r AS (SELECT block, copy, s.species, string_agg(substr(new, s.species + 1, 1), '' ORDER BY ps) AS text FROM m, (SELECT unnest([0, 1, 2]) AS species) s GROUP BY ALL)
+  SELECT block, copy, species, text FROM r WHERE replace(text, '-', '') <> ''"""),
 )
-def mod18_strata(spark, sf):
-    """The stratum of each column: for each species whether it is absent, as the first one, or another."""
-    return m.columns_with_pattern(alignment_cells(spark, sf)).select("block", F.col("at").cast("long").alias("at"), "pattern")
+def mod18(spark, sf):
+    """Two shuffled copies of each alignment: columns drawn with replacement from those of all alignments with the same species present and the same ones as the reference."""
+    drawn = al.draw_columns(al.columns(v.aligned(spark, sf), SPECIES), copies=2, seed=11)
+    return al.texts(drawn, SPECIES, ["block", "copy"])
 
 
-@query("mod19_permute_columns")
+def _rank(order: str, of: str, name: str = "k") -> str:
+    return f"(SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY {order}) AS {name} FROM {of})"
+
+
+@query(
+    "mod19_permute_columns",
+    v.sql("fastq aligned", _COLUMNS + f""", d AS (SELECT *, {_DRAW.format(keys="block % 2147483647 * 7919 + ps * 104729", seed=13)} AS draw, count(*) OVER (PARTITION BY stratum) AS size FROM cols),
+  f AS {_rank("draw, block, ps", "d")}, m AS (SELECT f.stratum, f.block, f.ps, f.draw, f.old, g.old AS new FROM f JOIN f g ON g.stratum = f.stratum AND g.k = f.k % f.size + 1),
+  x AS {_rank("old, draw, block, ps", "(SELECT * FROM m WHERE old = new)")}, h AS (SELECT stratum, max(n) AS shift, sum(n) AS size FROM (SELECT stratum, old, count(*) AS n FROM x GROUP BY ALL) GROUP BY 1),
+  y AS (SELECT x.stratum, x.block, x.ps, z.old AS turned FROM x JOIN h ON h.stratum = x.stratum JOIN x z ON z.stratum = x.stratum AND z.k = (x.k - 1 + h.shift) % h.size + 1),
+  w AS (SELECT m.stratum, m.block, m.ps, m.draw, m.old, coalesce(turned, new) AS new FROM m LEFT JOIN y ON y.block = m.block AND y.ps = m.ps),
+  e AS {_rank("draw, block, ps", "(SELECT * FROM w WHERE old = new)")}, v AS (SELECT stratum, max(old) AS worst FROM e GROUP BY 1),
+  i AS {_rank("draw, block, ps", "(SELECT w.* FROM w JOIN v ON v.stratum = w.stratum WHERE old <> worst AND new <> worst)")},
+  p AS (SELECT e.block AS b1, e.ps AS a1, i.new AS n1, i.block AS b2, i.ps AS a2, e.new AS n2 FROM e JOIN i ON i.stratum = e.stratum AND i.k = e.k), s AS (SELECT b1 AS block, a1 AS ps, n1 AS swapped FROM p UNION ALL SELECT b2, a2, n2 FROM p),
+  o AS (SELECT w.block, w.ps, coalesce(swapped, new) AS new FROM w LEFT JOIN s ON s.block = w.block AND s.ps = w.ps),
+  r AS (SELECT block, t.species, string_agg(substr(new, t.species + 1, 1), '' ORDER BY ps) AS text FROM o, (SELECT unnest([0, 1, 2]) AS species) t GROUP BY ALL)
+  SELECT block, species, text FROM r WHERE replace(text, '-', '') <> ''"""),
+)
 def mod19(spark, sf):
-    """Columns permuted within the same strata; a column that would meet an equal one at its new place moves on by one where that helps."""
-    return m.shuffle_columns(alignment_cells(spark, sf), seed=13, copies=1, replace=False)
+    """Columns of all alignments in another order within the same strata; none meets an equal one where that can be helped."""
+    return al.texts(al.permute_columns(al.columns(v.aligned(spark, sf), SPECIES), seed=13), SPECIES, ["block"])
 
 
 SHUFFLES = 1000
+#: Sites of a region that one task shuffles together.
+SITES = 10_000
+
+
+def nearest_offsets(sites, peaks, shuffles: int = SHUFFLES, most: int = SITES):
+    """``region_id, copy, off, post``: of each region's sites (``region_id, key, at, post``) the nearest to its peak (``lo, hi, mu``), as it lies (copy 0) and after each shuffle.
+
+    In a shuffle each site of a region goes to a random place of it; ``off`` is the distance of the nearest with its sign, ``post`` that one's posterior, ties go to
+    the smaller ``key``. Sites travel once, to a task for each region, and their draws stay there; a region of more than ``most`` sites
+    is split by hash, and only its parts' nearest ones meet again.
+    """
+    met = sites.join(peaks, "region_id")
+    n = met.groupBy("region_id").agg(F.expr(f"1 + count(*) div {most}").alias("parts"))
+    dealt = met.join(n, "region_id").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).repartition("region_id", "part")
+    copies = dealt.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(shuffles))))
+    place = F.col("lo") + F.pmod(al.draw(17, F.col("key"), F.col("at"), F.col("copy")), F.col("hi") - F.col("lo"))
+    off = F.when(F.col("copy") == 0, F.col("at")).otherwise(place) - F.col("mu")
+    least = F.min(F.struct(F.abs(off).alias("d"), "key", off.alias("off"), "post")).alias("b")
+    near = copies.groupBy("region_id", "part", "parts", "copy").agg(least)
+    whole, cut = near.filter("parts = 1"), near.filter("parts > 1").groupBy("region_id", "copy").agg(F.min("b").alias("b"))
+    return whole.select("region_id", "copy", "b.off", "b.post").unionByName(cut.select("region_id", "copy", "b.off", "b.post"))
 
 
 @query(
     "mod20_shuffled_site_distances",
-    v.sql("regions sites", f""", p AS (SELECT region_id, "end" - start AS len, ("end" - start) // 2 AS mu FROM regions),
-  t AS (SELECT s.*, p.len, p.mu FROM sites s JOIN p ON p.region_id = s.region_id WHERE s.post >= 0.0001), c AS (SELECT *, unnest(range(1, {SHUFFLES + 1})) AS copy FROM t),
-  m AS (SELECT FALSE AS shuffled, abs((s + e) // 2 - mu) AS d, post, 1 AS w FROM t UNION ALL
-    SELECT TRUE, abs((((l_orderkey * 7919 + l_linenumber * 104729 + copy * 15485863 + s) % 2147483647 * 48271 % 2147483647 * 48271 % 2147483647) % len) - mu), post, {SHUFFLES} FROM c)
-  SELECT shuffled, d // 50 AS bin, round(sum(post) / max(w), 4) AS weight FROM m GROUP BY ALL"""),
+    v.sql("regions sites", f""", p AS (SELECT region_id, start AS lo, "end" AS hi, (start + "end") // 2 AS mu FROM regions),
+  t AS (SELECT s.region_id, l_orderkey * 8 + l_linenumber AS key, p.lo + (s.s + s.e) // 2 AS ps, post, lo, hi, mu FROM sites s JOIN p ON p.region_id = s.region_id WHERE post >= 0.0001),
+  c AS (SELECT *, unnest(range({SHUFFLES + 1})) AS copy FROM t),
+  m AS (SELECT region_id, copy, key, post, CASE WHEN copy = 0 THEN ps ELSE lo + ({_DRAW.format(keys="key % 2147483647 * 7919 + ps % 2147483647 * 104729 + copy * 15485863", seed=17)}) % (hi - lo) END - mu AS off FROM c),
+  n AS (SELECT copy > 0 AS shuffled, arg_min(struct_pack(off := off, post := post), struct_pack(d := abs(off), k := key)) AS b FROM m GROUP BY region_id, copy),
+  e AS (SELECT greatest(2, CAST(floor(sqrt(least(sum(b.post), count(*)))) AS BIGINT)) - 1 AS bins, (SELECT count(*) FROM p) AS peaks FROM n WHERE NOT shuffled)
+  SELECT shuffled, least((b.off + 100) * bins // 200, bins - 1) AS bin, round(sum(b.post) / max(peaks) / max(CASE WHEN shuffled THEN {SHUFFLES} ELSE 1 END), 8) AS weight FROM n, e WHERE b.off BETWEEN -100 AND 100 GROUP BY ALL"""),
 )
 def mod20(spark, sf):
-    """Distances of sites to their region's peak, real and in 1000 shuffles to a place in the region, by bins of 50, weighted by the posterior.
-
-    A shuffle's place is a step of a multiplicative generator seeded by the site and the shuffle's number, so it doesn't depend on
-    partitions. The copies exist only within the tasks that count them.
-    """
-    peaks = v.regions(spark, sf).selectExpr("region_id", "end - start as len", "(end - start) div 2 as mu")
-    t = v.sites(spark, sf).filter("post >= 0.0001").join(peaks, "region_id")
-    real = t.groupBy(F.expr("abs((s + e) div 2 - mu) div 50").alias("bin")).agg(F.round(F.sum("post"), 4).alias("weight")).withColumn("shuffled", F.lit(False))
-    copies = t.select("l_orderkey", "l_linenumber", "s", "len", "mu", "post", F.explode(F.sequence(F.lit(1), F.lit(SHUFFLES))).alias("copy"))
-    place = "((l_orderkey * 7919 + l_linenumber * 104729 + copy * 15485863L + s) % 2147483647L * 48271L % 2147483647L * 48271L % 2147483647L) % len"
-    moved = copies.groupBy(F.expr(f"abs({place} - mu) div 50").alias("bin")).agg(F.round(F.sum("post") / SHUFFLES, 4).alias("weight")).withColumn("shuffled", F.lit(True))
-    return real.unionByName(moved).select("shuffled", "bin", "weight")
+    """Offsets of the nearest site from each region's peak within 100, real and nearest of 1000 shuffles, as posterior mass a peak in as many bins as the root of that mass says."""
+    peaks = v.regions(spark, sf).selectExpr("region_id", "start as lo", "end as hi", "(start + end) div 2 as mu")
+    t = v.sites(spark, sf).filter("post >= 0.0001").join(peaks.select("region_id", "lo"), "region_id")
+    near = nearest_offsets(t.selectExpr("region_id", "l_orderkey * 8 + l_linenumber as key", "lo + (s + e) div 2 as at", "post"), peaks)
+    near = near.groupBy((F.col("copy") > 0).alias("shuffled"), "off").agg(F.sum("post").alias("post"), F.count("*").alias("n")).cache()
+    real = near.filter(~F.col("shuffled")).agg(F.greatest(F.lit(1), F.floor(F.sqrt(F.least(F.sum("post"), F.sum("n")))) - 1).alias("bins"))
+    all_ = near.join(F.broadcast(real)).join(F.broadcast(peaks.agg(F.count("*").alias("peaks")))).filter("off between -100 and 100")
+    out = all_.groupBy("shuffled", F.expr("least((off + 100) * bins div 200, bins - 1)").alias("bin")).agg(F.sum("post").alias("post"), F.first("peaks").alias("peaks"))
+    return out.select("shuffled", "bin", F.round(F.col("post") / F.col("peaks") / F.when(F.col("shuffled"), SHUFFLES).otherwise(1), 8).alias("weight"))
 
 
 @query("fun10_matrix_alignment")
@@ -406,31 +451,35 @@ def win8(spark, sf):
 
 @query(
     "win13_best_run",
-    v.sql("hits", """, b AS (SELECT seq_id, strand, start, "end" AS stop, target_id, sum("end" - start) OVER (PARTITION BY seq_id, strand ORDER BY start, target_id ROWS UNBOUNDED PRECEDING) AS acc FROM hits),
-  r AS (SELECT a.seq_id, a.strand, a.start, b.stop, b.acc - a.acc + (a.stop - a.start) AS covered FROM b a JOIN b ON a.seq_id = b.seq_id AND a.strand = b.strand AND (b.start, b.target_id) >= (a.start, a.target_id) AND b.stop - a.start <= 1500),
-  k AS (SELECT *, row_number() OVER (PARTITION BY seq_id ORDER BY covered DESC, strand, start, stop) AS k FROM r) SELECT seq_id, strand, start, stop, CAST(covered AS BIGINT) AS covered FROM k WHERE k = 1"""),
+    """WITH b AS (SELECT DISTINCT l_orderkey AS name, 1000 AS s0, 1599 + l_orderkey % 5 * 400 AS s1, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS ss, l_partkey % 2 AS chrom, CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand,
+    l_suppkey * 37 % 2500 AS start, l_suppkey * 37 % 2500 + 40 + CAST(l_quantity AS BIGINT) AS stop, CASE WHEN l_partkey % 11 = 0 THEN 990 ELSE 953 + l_linenumber * 67 END AS r0 FROM lineitem),
+  n AS (SELECT *, r0 + stop - start AS r1, (s1 - s0 + 1) * 3 // 2 AS lim, row_number() OVER w AS k, count(*) OVER (PARTITION BY name, chrom, strand) AS n FROM b WINDOW w AS (PARTITION BY name, chrom, strand ORDER BY start, stop, r0)),
+  p AS (SELECT x.*, y.k AS kz, y.stop AS zstop, y.r0 AS z0, y.r1 AS z1 FROM n x JOIN n y ON y.name = x.name AND y.chrom = x.chrom AND y.strand = x.strand AND y.k >= x.k AND (greatest(x.stop, y.stop) - x.start + 1 <= x.lim OR (x.n = 1))),
+  u AS (SELECT name, chrom, strand, k, unnest(range(start, stop + 1)) AS x FROM n),
+  c AS (SELECT p.name, p.chrom, p.strand, p.k, p.kz, count(DISTINCT u.x) AS covered FROM p JOIN u ON u.name = p.name AND u.chrom = p.chrom AND u.strand = p.strand AND u.k BETWEEN p.k AND p.kz GROUP BY ALL),
+  o AS (SELECT p.*, covered, row_number() OVER (PARTITION BY p.name ORDER BY covered DESC, p.chrom, p.strand, p.start, p.stop, p.k, p.kz) AS best FROM p JOIN c ON c.name = p.name AND c.chrom = p.chrom AND c.strand = p.strand AND c.k = p.k AND c.kz = p.kz),
+  e AS (SELECT *, least(r0, CASE WHEN stop > zstop THEN r0 ELSE z0 END) AS f, greatest(r1, CASE WHEN stop > zstop THEN r1 ELSE z1 END) AS t FROM o WHERE best = 1)
+  SELECT name, chrom, strand, greatest(0, start - CASE WHEN strand = ss THEN f - s0 ELSE s1 - t END) AS start, greatest(stop, zstop) + CASE WHEN strand = ss THEN s1 - t ELSE f - s0 END AS stop, covered FROM e WHERE s0 <= f AND s1 >= t""",
 )
 def win13(spark, sf):
-    """Run of blocks of a query on one strand, within a span, that covers most: prefix sums, and a self join within the query's own blocks."""
-    order = Window.partitionBy("seq_id", "strand").orderBy("start", "target_id").rowsBetween(Window.unboundedPreceding, 0)
-    b = v.hits(spark, sf).select("seq_id", "strand", "start", F.col("end").alias("stop"), "target_id").withColumn("acc", F.sum(F.col("stop") - F.col("start")).over(order))
-    later = b.select("seq_id", "strand", F.struct("start", "target_id").alias("key"), F.col("stop").alias("stop_b"), F.col("acc").alias("acc_b"))
-    met = b.join(later, ["seq_id", "strand"]).filter((F.col("key") >= F.struct("start", "target_id")) & (F.col("stop_b") - F.col("start") <= 1500))
-    runs = met.select("seq_id", "strand", "start", F.col("stop_b").alias("stop"), (F.col("acc_b") - F.col("acc") + F.col("stop") - F.col("start")).alias("covered"))
-    best = Window.partitionBy("seq_id").orderBy(F.desc("covered"), "strand", "start", "stop")
-    return runs.withColumn("k", F.row_number().over(best)).filter("k = 1").drop("k")
+    """Where each segment lies in the other genome: the run of blocks on one sequence and strand that covers most within one and a half times the segment, its ends moved out to the segment's."""
+    blocks = v.read(spark, sf, "lineitem").selectExpr(
+        "l_orderkey as name", "1000L as seg_start", "1599 + l_orderkey % 5 * 400 as seg_end", "if(l_orderkey % 2 = 0, '+', '-') as seg_strand", "l_partkey % 2 as chrom", "if(l_linestatus = 'O', '+', '-') as strand",
+        "l_suppkey * 37 % 2500 as start", "l_suppkey * 37 % 2500 + 40 + cast(l_quantity as bigint) as stop", "if(l_partkey % 11 = 0, 990L, 953L + l_linenumber * 67) as ref_start",
+    ).withColumn("ref_stop", F.col("ref_start") + F.col("stop") - F.col("start"))
+    return best_runs(blocks)
 
 
-_BLOCKS = """, b AS (SELECT read_id, ['click', 'error', 'purchase', 'signup', 'view'][1 + CAST(read_id % 5 AS INTEGER)] AS chrom, read_id * 37 % 42000 AS start, CASE WHEN read_id % 2 = 0 THEN '+' ELSE '-' END AS strand, replace(seq, 'N', '-') AS text FROM fastq),
+_BLOCKS = """, b AS (SELECT doc_id AS read_id, ['click', 'error', 'purchase', 'signup', 'view'][1 + CAST(doc_id % 5 AS INTEGER)] AS chrom, doc_id * 37 % 42000 AS start, CASE WHEN doc_id % 2 = 0 THEN '+' ELSE '-' END AS strand, replace(seq, 'N', '-') AS text FROM sequences),
   f AS (SELECT read_id, chrom, start, CASE WHEN strand = '-' THEN reverse(translate(text, 'ACGT', 'TGCA')) ELSE text END AS text FROM b),
   l AS (SELECT *, [i FOR i IN range(1, len(text) + 1) IF substr(text, CAST(i AS INTEGER), 1) <> '-'] AS pos FROM f),
   c AS (SELECT g.region_id, l.read_id, l.text, l.pos, greatest(g.start - l.start, 0) AS a, least(g."end" - l.start, len(l.pos)) AS z FROM l JOIN regions g ON g.chrom = l.chrom AND l.start < g."end" AND g.start < l.start + len(l.pos))
   SELECT region_id, read_id, substr(text, CAST(pos[CAST(a + 1 AS INTEGER)] AS INTEGER), CAST(pos[CAST(z AS INTEGER)] - pos[CAST(a + 1 AS INTEGER)] + 1 AS INTEGER)) AS part FROM c WHERE z > a"""
 
 
-@query("joi15_clipped_alignments", v.sql("fastq regions", _BLOCKS))
+@query("joi15_clipped_alignments", v.sql("sequences regions", _BLOCKS))
 def joi15(spark, sf):
-    """Alignment blocks over regions, each row cut to the region.
+    """Alignment blocks (whole texts) over regions, each row cut to the region.
 
     A block covers as many positions as it has letters; a minus block is turned first. Positions count letters, not
     gaps, so the letters' places in the row give the cut, which begins and ends with a letter.
@@ -438,11 +487,13 @@ def joi15(spark, sf):
     chrom = F.expr("element_at(array('click', 'error', 'purchase', 'signup', 'view'), cast(read_id % 5 as int) + 1)")
     text = F.translate("seq", "N", "-")
     turned = F.when(F.col("read_id") % 2 == 0, text).otherwise(F.reverse(F.translate(text, "ACGT", "TGCA")))
-    blocks = v.fastq(spark, sf).filter("seq <> ''").select("read_id", chrom.alias("chrom"), (F.col("read_id") * 37 % 42000).alias("start"), turned.alias("text"))
-    places = F.filter(F.sequence(F.lit(1), F.length("text")), lambda i: F.substr(F.col("text"), i, F.lit(1)) != "-")
-    blocks = blocks.withColumn("at", places).withColumn("end", F.col("start") + F.size("at")).filter("end > start")
-    met = iv.overlaps(blocks, v.regions(spark, sf).select("region_id", "chrom", "start", "end"))
+    blocks = v.sequences(spark, sf).withColumnRenamed("doc_id", "read_id").filter("seq <> ''").select("read_id", chrom.alias("chrom"), (F.col("read_id") * 37 % 42000).alias("start"), turned.alias("text"))
+    letters = blocks.withColumn("c", F.split("text", ""))
+    places = F.filter(F.transform("c", lambda x, i: F.when((x != "-") & (x != ""), i + 1)), lambda i: i.isNotNull())
+    blocks = letters.select("read_id", "chrom", "start", "text", places.alias("at")).withColumn("end", F.col("start") + F.size("at")).filter("end > start")
+    # Blocks meet regions without their letters; each row of letters joins its pairs afterwards.
+    met = iv.overlaps(blocks.select("read_id", "chrom", "start", "end"), v.regions(spark, sf).select("region_id", "chrom", "start", "end"))
     a = F.greatest(F.col("r_start") - F.col("start"), F.lit(0)).cast("int")
-    z = F.least(F.col("r_end") - F.col("start"), F.size("at")).cast("int")
-    cut = met.withColumn("a", a).withColumn("z", z).filter("z > a")
-    return cut.select(F.col("r_region_id").alias("region_id"), "read_id", F.expr("substr(text, at[a], at[z - 1] - at[a] + 1)").alias("part"))
+    z = F.least(F.col("r_end") - F.col("start"), F.col("end") - F.col("start")).cast("int")
+    pairs = met.select("read_id", F.col("r_region_id").alias("region_id"), a.alias("a"), z.alias("z")).filter("z > a")
+    return pairs.join(blocks.select("read_id", "text", "at"), "read_id").select("region_id", "read_id", F.expr("substr(text, at[a], at[z - 1] - at[a] + 1)").alias("part"))

@@ -13,17 +13,17 @@ _QUAL = """, q AS (SELECT *, [ascii(x) - 33 FOR x IN string_split(qual, '') IF x
   s AS (SELECT *, {score} AS sc FROM q),
   m AS (SELECT *, coalesce(list_max([i FOR i IN range(1, len(sc) + 1) IF list_sum(sc[1:i]) >= 20.0 * i]), 0) AS keep FROM s),
   t AS (SELECT read_id, keep, substr(seq, 1, CAST(keep AS INTEGER)) AS trimmed, substr(qual, 1, CAST(keep AS INTEGER)) AS tq FROM m)
-  SELECT read_id, trimmed, tq FROM t WHERE keep >= 25 AND len(trimmed) - len(replace(trimmed, 'N', '')) <= 10"""
+  SELECT read_id, trimmed, tq FROM t WHERE keep >= 25 AND len(trimmed) - len(replace(trimmed, 'N', '')) <= 2"""
 
 
 @query("fil1_quality_trim", v.sql("fastq", _QUAL.format(score="qs")))
 def fil1(spark, sf):
-    return sq.quality_trim(v.fastq(spark, sf), lambda q: q.cast("double"), most_n=10).select("read_id", "trimmed", "tq")
+    return sq.quality_trim(v.fastq(spark, sf), lambda q: q.cast("double")).select("read_id", "trimmed", "tq")
 
 
 @query("fil2_quality_trim_solexa", v.sql("fastq", _QUAL.format(score="[round(10 * log10(pow(10, x / 10.0) + 1), 9) FOR x IN qs]")))
 def fil2(spark, sf):
-    return sq.quality_trim(v.fastq(spark, sf), sq.solexa_to_phred, most_n=10).select("read_id", "trimmed", "tq")
+    return sq.quality_trim(v.fastq(spark, sf), sq.solexa_to_phred).select("read_id", "trimmed", "tq")
 
 
 @query(

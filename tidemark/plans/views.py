@@ -40,9 +40,23 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").selectExpr("doc_id", f"{_acgt()} as seq")
 
 
+#: Letters of a read of the ``fastq`` view, and reads that one text may have (read ids are text ids times this plus the read's number).
+READ, READS = 36, 10_000_000
+_QUAL = "translate(lower({text}), 'abcdefghijklmnopqrstuvwxyz', '0123456789:;<=>?@ABCDEFGHI'), '[^0-J]', '#'"
+
+
 def fastq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    qual = "regexp_replace(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '0123456789:;<=>?@ABCDEFGHI'), '[^0-J]', '#')"
-    return read(spark, sf_dir, "documents").selectExpr("doc_id as read_id", f"substr({_acgt()}, 1, 36) as seq", f"substr({qual}, 1, 36) as qual")
+    """Every text, cut into reads."""
+    parts = lambda x: f"regexp_extract_all({x}, '.{{1,{READ}}}', 0)"
+    qual = f"regexp_replace({_QUAL.format(text='text')})"
+    cut = read(spark, sf_dir, "documents").selectExpr("doc_id", f"{parts(_acgt())} as seq", f"{parts(qual)} as qual")
+    return cut.selectExpr("doc_id", "posexplode(arrays_zip(seq, qual)) as (k, r)").selectExpr(f"doc_id * {READS} + k as read_id", "r.seq", "r.qual")
+
+
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments: three reads of a text after one another are the rows of a block's species 0, 1 and 2; N is a gap."""
+    k = f"read_id % {READS}"
+    return fastq(spark, sf_dir).selectExpr(f"read_id div {READS} * {READS} + {k} div 3 as block", f"cast({k} % 3 as int) as species", "translate(seq, 'N', '-') as text")
 
 
 #: The adaptor of the ``tailed`` view, and what its reads carry by turns: the whole of it, with a letter replaced, one left out, one
@@ -96,8 +110,9 @@ SQL = {
   CAST((o_orderkey * 7919) % 42000 AS BIGINT) AS start, CAST((o_orderkey * 7919) % 42000 + 100 + o_orderkey % 900 AS BIGINT) AS "end",
   CAST(o_totalprice AS DOUBLE) / 10000 AS score, CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM orders)""",
     "sequences": f"sequences AS (SELECT doc_id, {_ACGT_SQL} AS seq FROM documents)",
-    "fastq": f"""fastq AS (SELECT doc_id AS read_id, substr({_ACGT_SQL}, 1, 36) AS seq,
-  substr(regexp_replace(translate(lower(text), 'abcdefghijklmnopqrstuvwxyz', '0123456789:;<=>?@ABCDEFGHI'), '[^0-J]', '#', 'g'), 1, 36) AS qual FROM documents)""",
+    "fastq": f"""fastq_cut AS (SELECT doc_id, regexp_extract_all({_ACGT_SQL}, '.{{1,{READ}}}') AS seqs, regexp_extract_all(regexp_replace({_QUAL.format(text="text")}, 'g'), '.{{1,{READ}}}') AS quals FROM documents),
+  fastq AS (SELECT doc_id * {READS} + k AS read_id, seqs[k + 1] AS seq, quals[k + 1] AS qual FROM (SELECT *, unnest(range(len(seqs))) AS k FROM fastq_cut))""",
+    "aligned": f"aligned AS (SELECT read_id // {READS} * {READS} + read_id % {READS} // 3 AS block, read_id % {READS} % 3 AS species, translate(seq, 'N', '-') AS text FROM fastq)",
     "tailed": f"""tailed AS (SELECT read_id, CASE WHEN read_id % 3 = 1 THEN '{ADAPTOR[-9:]}' ELSE '' END || substr(seq, 1, 14)
   || list_extract([{", ".join(f"'{x}'" for x in TAILS)}], CAST(read_id % {len(TAILS)} AS INTEGER) + 1) || CASE WHEN read_id % 3 = 2 THEN substr(seq, 15, 12) ELSE '' END AS seq, 1 + read_id % 5 AS n FROM fastq)""",
     "hits": """hits AS (SELECT l_orderkey AS seq_id, l_partkey % 50 AS target_id,
