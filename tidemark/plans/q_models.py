@@ -338,7 +338,7 @@ def nearest_offsets(sites, peaks, shuffles: int = SHUFFLES, most: int = SITES):
     """``region_id, copy, off, post``: of each region's sites (``region_id, key, at, post``) the nearest to its peak (``lo, hi, mu``), as it lies (copy 0) and after each shuffle.
 
     In a shuffle each site of a region goes to a random place of it; ``off`` is the distance of the nearest with its sign, ``post`` that one's posterior, ties go to
-    the smaller ``key``. Sites travel once, to a task for each region, and their draws stay there; a region of more than ``most`` sites
+    the smaller ``key``, then offset, then posterior. Sites travel once, to a task for each region, and their draws stay there; a region of more than ``most`` sites
     is split by hash, and only its parts' nearest ones meet again.
     """
     met = sites.join(peaks, "region_id")
@@ -359,7 +359,7 @@ def nearest_offsets(sites, peaks, shuffles: int = SHUFFLES, most: int = SITES):
   t AS (SELECT s.region_id, l_orderkey * 8 + l_linenumber AS key, p.lo + (s.s + s.e) // 2 AS ps, post, lo, hi, mu FROM sites s JOIN p ON p.region_id = s.region_id WHERE post >= 0.0001),
   c AS (SELECT *, unnest(range({SHUFFLES + 1})) AS copy FROM t),
   m AS (SELECT region_id, copy, key, post, CASE WHEN copy = 0 THEN ps ELSE lo + ({_DRAW.format(keys="key % 2147483647 * 7919 + ps % 2147483647 * 104729 + copy * 15485863", seed=17)}) % (hi - lo) END - mu AS off FROM c),
-  n AS (SELECT copy > 0 AS shuffled, arg_min(struct_pack(off := off, post := post), struct_pack(d := abs(off), k := key)) AS b FROM m GROUP BY region_id, copy),
+  n AS (SELECT copy > 0 AS shuffled, arg_min(struct_pack(off := off, post := post), struct_pack(d := abs(off), k := key, o := off, p := post)) AS b FROM m GROUP BY region_id, copy),
   e AS (SELECT greatest(2, CAST(floor(sqrt(least(sum(b.post), count(*)))) AS BIGINT)) - 1 AS bins, (SELECT count(*) FROM p) AS peaks FROM n WHERE NOT shuffled)
   SELECT shuffled, least((b.off + 100) * bins // 200, bins - 1) AS bin, round(sum(b.post) / max(peaks) / max(CASE WHEN shuffled THEN {SHUFFLES} ELSE 1 END), 8) AS weight FROM n, e WHERE b.off BETWEEN -100 AND 100 GROUP BY ALL"""),
 )
