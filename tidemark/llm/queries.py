@@ -94,7 +94,9 @@ def op11_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_one_permutation_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    rows = fingerprints.with_next(docs, {"fingerprint": fingerprints.fingerprint(F.col("text"))})
+    rows = fingerprints.with_next(docs, {"packed": F.unhex(fingerprints.fingerprint(F.col("text")))})  # half the bytes to move
+    digits = lambda c: F.lower(F.hex(c))
+    rows = rows.withColumn("fingerprint", digits("packed")).withColumn("next_fingerprint", digits("next_packed"))
     rows = rows.withColumn("edited", fingerprints.replaced_end(F.col("text"), F.col("next_text")))
     rows = rows.withColumn("edited_fingerprint", fingerprints.fingerprint(F.col("edited")))
     return rows.select(
