@@ -7,9 +7,11 @@ lies, once. Rows of one busy sequence so spread over its bins, and no plan has a
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,73 @@ def merge(df: DataFrame, keys: list[str], slack: int = 0, tile: int = TILE) -> D
     return rows.withColumn("island", F.greatest(F.max(first).over(order), "_run")).drop("_opens", "_before", "_run", "_tile")
 
 
+def clusters(df: DataFrame, keys: list[str], id_col: str, joins: Callable[[int, int, int, int], bool], tile: int = TILE) -> DataFrame:
+    """Members of clusters: ``keys, id_col, start, end, cluster, cluster_start``; a cluster has the id and start of the row that opens it.
+
+    Rows of ``keys`` go in order of (start, end, id). A row goes to the cluster before it if ``joins(start, end, span_start, span_end)`` of that one's
+    span so far, which then grows by the row; else it opens the next. Ids must be unique within ``keys``.
+
+    That is a fold with a state of one row (the open cluster), for any predicate. Each tile of positions folds its own rows, at first from nothing; the state in which the tile before it ended is
+    passed on, and tiles whose incoming state is another one now fold again, until none is: twice for most, once more for every further tile
+    that a cluster reaches into. No task holds more than a tile, the driver sees the number of tiles to fold again.
+    """
+    at, state = [*keys, "_tile"], ["_first", "_from", "_to"]
+    kinds = {k: df.schema[k].dataType.simpleString() for k in (*keys, id_col)}
+    text = kinds[id_col]
+    types, states = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", _tile long", f"_first {text}, _from long, _to long"
+    rows = written(df.select(*keys, F.floor(F.col("start") / tile).cast("long").alias("_tile"), F.col(id_col).alias("_id"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")), "rows")
+
+    def fold(whole: bool):
+        """A pass over sorted rows: of each a row with its cluster (``whole``), or of each tile the state at its end."""
+
+        def run(frames):
+            key, now, wide = None, (None, None, None), len(at)
+            for frame in frames:
+                found = []
+                for row in zip(*(frame[c].tolist() for c in (*at, "_id", "start", "end")), *(frame[c].astype(object).where(frame[c].notna(), None) for c in state), strict=True):
+                    own, start, end = row[wide : wide + 3]
+                    if row[:wide] != key:
+                        if key is not None and not whole:
+                            found.append((*key, *now))
+                        key, now = row[:wide], row[wide + 3 :]
+                    first, low, high = now
+                    joined = first is not None and joins(start, end, int(low), int(high))
+                    now = (first, min(int(low), start), max(int(high), end)) if joined else (own, start, end)
+                    if whole:
+                        found.append((*key[:-1], own, start, end, *now[:2]))
+                yield pd.DataFrame(found, columns=out_names)
+            if key is not None and not whole:
+                yield pd.DataFrame([(*key, *now)], columns=out_names)
+
+        out_names = [*keys, id_col, "start", "end", "cluster", "cluster_start"] if whole else [*at, *state]
+        return run
+
+    def passed_over(some: DataFrame, given: DataFrame, whole: bool) -> DataFrame:
+        """``some`` rows (all, or those of the given tiles) after the states in which their tiles begin."""
+        g = given.select(*[F.col(c).alias(f"_{k}_at") for k, c in enumerate(at)], *state)
+        on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{k}_at")) for k, c in enumerate(at)])
+        joined = some.join(g, on, "left" if whole else "inner").select(*some.columns, *state)
+        ordered = joined.repartition(*at).sortWithinPartitions(*at, "start", "end", "_id")
+        members = ", ".join(f"{k} {kinds[k]}" for k in (*keys, id_col)) + f", start long, end long, cluster {text}, cluster_start long"
+        return ordered.mapInPandas(fold(whole), members if whole else f"{types}, {states}")
+
+    unknown = [F.lit(None).cast(k).alias(c) for c, k in zip(state, (text, "long", "long"), strict=True)]
+    taken = rows.select(*at).distinct().select(*at, *unknown)
+    out = written(passed_over(rows, taken, False), "states")
+    before = Window.partitionBy(*keys).orderBy("_tile")
+    while True:
+        passed = written(out.select(*at, *[F.lag(c).over(before).alias(c) for c in state]), "passed")
+        old = taken.select(*[F.col(c).alias(f"{c}_old") for c in (*at, *state)])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_old")) for c in at])
+        differs = reduce(or_, [~F.col(c).eqNullSafe(F.col(f"{c}_old")) for c in state])
+        again = written(passed.join(old, same, "left").filter(differs).select(*at, *state), "again")
+        taken = passed
+        if not again.count():
+            return passed_over(rows, taken, True)
+        stay = reduce(and_, [out[c].eqNullSafe(again[c]) for c in at])
+        out = written(out.join(again, stay, "left_anti").unionByName(passed_over(rows, again, False)), "states")
+
+
 def covered(df: DataFrame, keys: list[str], id_col: str, tile: int = TILE) -> DataFrame:
     """Rows with ``contained``: whether an interval that sorts before (smaller start, or equal start and larger end, then smaller id) reaches as far."""
     rows = _tiled(df, keys, "start", tile, {"_carried": F.max("end")})

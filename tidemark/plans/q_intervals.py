@@ -256,37 +256,44 @@ def fil14(spark, sf):
     return cut.selectExpr("chrom", "start", "fg_0 + fg_1 as score").orderBy(F.desc("score"), "chrom", "start")
 
 
-_PILE = """, pairs AS (SELECT g.region_id, g.start AS gs, g."end" AS ge, r.start AS rs, r."end" AS re, r.weight, r.replicate FROM few g
+_PILE = """, pairs AS (SELECT g.region_id, g.start AS gs, g."end" AS ge, r.start AS rs, r."end" AS re, r.weight, r.replicate FROM regions g
     JOIN reads r ON r.chrom = g.chrom AND r.start < g."end" AND g.start < r."end"),
-  bases AS (SELECT region_id, replicate, gs, ge, unnest(range(gs, ge)) AS p FROM (SELECT DISTINCT region_id, gs, ge, replicate FROM pairs))"""
+  pile AS (SELECT region_id, replicate, unnest(range(greatest(rs, gs), least(re, ge))) AS p, weight FROM pairs)"""
 
 
 def _pairs(spark, sf):
-    found = iv.overlaps(v.reads(spark, sf), _few(spark, sf))
+    found = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf))
     return found.select(F.col("r_region_id").alias("region_id"), F.col("r_start").alias("gs"), F.col("r_end").alias("ge"), F.col("start").alias("rs"), F.col("end").alias("re"), "weight", "replicate")
 
 
+def profiles(cov):
+    """``region_id, cov``: a region's coverage in ten-thousandths from its first position to its last, an array as long as the region."""
+    listed = cov.groupBy("region_id").agg(F.array_sort(F.collect_list(F.struct("bp", F.round(F.col("cov") * 10_000).cast("long").alias("cov")))).alias("c"))
+    return listed.select("region_id", F.col("c.cov").alias("cov"))
+
+
 @query(
     "agg4_region_coverage",
-    v.sql("reads regions", _FEW + _PILE + """ SELECT b.region_id, b.p - b.gs + 1 AS bp, round(coalesce(sum(q.weight), 0), 4) AS cov
-  FROM (SELECT DISTINCT region_id, gs, p FROM bases) b LEFT JOIN pairs q ON q.region_id = b.region_id AND b.p >= q.rs AND b.p < q.re GROUP BY ALL"""),
+    v.sql("reads regions", _PILE + """, c AS (SELECT region_id, p, sum(weight) AS cov FROM pile GROUP BY ALL), b AS (SELECT region_id, unnest(range(gs, ge)) AS p FROM (SELECT DISTINCT region_id, gs, ge FROM pairs))
+  SELECT b.region_id, list(CAST(round(coalesce(cov, 0) * 10000) AS BIGINT) ORDER BY b.p) AS cov FROM b LEFT JOIN c ON c.region_id = b.region_id AND c.p = b.p GROUP BY 1"""),
 )
 def agg4(spark, sf):
-    cov = iv.coverage(_pairs(spark, sf), "region_id", "gs", "ge", "rs", "re", "weight")
-    return cov.select("region_id", "bp", F.abs(F.round("cov", 4)).alias("cov"))
+    """Coverage of every position of every region that has reads, zeros included."""
+    return profiles(iv.coverage(_pairs(spark, sf), "region_id", "gs", "ge", "rs", "re", "weight"))
 
 
 @query(
     "agg5_replicate_mean_coverage",
-    v.sql("reads regions", _FEW + _PILE + """, one AS (SELECT b.region_id, b.replicate, b.p - b.gs + 1 AS bp, coalesce(sum(q.weight), 0) AS cov FROM bases b
-    LEFT JOIN pairs q ON q.region_id = b.region_id AND q.replicate = b.replicate AND b.p >= q.rs AND b.p < q.re GROUP BY ALL)
-  SELECT region_id, bp, round(avg(cov), 4) AS cov FROM one GROUP BY ALL"""),
+    v.sql("reads regions", _PILE + """, c AS (SELECT region_id, replicate, p, sum(weight) AS cov FROM pile GROUP BY ALL), b AS (SELECT region_id, replicate, unnest(range(gs, ge)) AS p FROM (SELECT DISTINCT region_id, replicate, gs, ge FROM pairs)),
+  o AS (SELECT b.region_id, b.p, avg(coalesce(cov, 0)) AS cov FROM b LEFT JOIN c ON c.region_id = b.region_id AND c.replicate = b.replicate AND c.p = b.p GROUP BY ALL)
+  SELECT region_id, list(CAST(round(cov * 10000) AS BIGINT) ORDER BY p) AS cov FROM o GROUP BY 1"""),
 )
 def agg5(spark, sf):
-    """Mean over the replicates that have the region."""
+    """Mean over the replicates that have the region: each adds its coverage over their number, so all replicates are one pass."""
     pairs = _pairs(spark, sf)
-    one = [iv.coverage(pairs.filter(F.col("replicate") == k), "region_id", "gs", "ge", "rs", "re", "weight") for k in (0, 1)]
-    return one[0].unionByName(one[1]).groupBy("region_id", "bp").agg(F.abs(F.round(F.avg("cov"), 4)).alias("cov"))
+    n = pairs.groupBy("region_id").agg(F.count_distinct("replicate").alias("n"))
+    shared = pairs.join(n, "region_id").withColumn("weight", F.col("weight") / F.col("n"))
+    return profiles(iv.coverage(shared, "region_id", "gs", "ge", "rs", "re", "weight"))
 
 
 @query(
@@ -320,51 +327,71 @@ def top_regions(runs, k: int):
 
 @query(
     "agg13_clusters_with_slack",
-    v.sql("regions", _FEW + _ISLANDS.format(t="few", slack=2) + """ SELECT chrom, min(start) AS start, max("end") AS "end", count(*) AS n,
-  array_to_string(list_sort(list(region_id)), ';') AS members FROM i GROUP BY chrom, island"""),
+    v.sql("regions scattered", _ISLANDS.format(t="scattered", slack=2) + """ SELECT chrom, min(start) AS start, max("end") AS "end", count(*) AS n FROM i GROUP BY chrom, island"""),
 )
 def agg13(spark, sf):
-    members = F.array_join(F.array_sort(F.collect_list("region_id")), ";")
-    return iv.merged(_few(spark, sf), ["chrom"], slack=2, members=members)
+    return iv.merged(v.scattered(spark, sf), ["chrom"], slack=2)
 
 
-@query(
-    "agg13_contained_clusters",
-    v.sql("regions", """, o AS (SELECT *, max("end") OVER (PARTITION BY chrom ORDER BY start, "end" DESC, region_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM regions)
-  SELECT o.region_id, o.before IS NOT NULL AND o.before >= o."end" AS contained FROM o"""),
-)
+def _fold(view: str, joins: str) -> str:
+    """SQL of a fold over each sequence, row by row; ``joins`` says whether a row ``r`` joins the cluster with span ``f.s`` to ``f.e``."""
+    return v.sql("regions scattered", f""", r AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY start, "end", region_id) AS k FROM {view})""").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+  f AS (SELECT chrom, k, region_id, start, "end", start AS s, "end" AS e, region_id AS c FROM r WHERE k = 1
+    UNION ALL SELECT r.chrom, r.k, r.region_id, r.start, r."end", CASE WHEN {joins} THEN least(f.s, r.start) ELSE r.start END, CASE WHEN {joins} THEN greatest(f.e, r."end") ELSE r."end" END, CASE WHEN {joins} THEN f.c ELSE r.region_id END
+    FROM f JOIN r ON r.chrom = f.chrom AND r.k = f.k + 1)
+  SELECT chrom, region_id, start, "end", c AS cluster, s AS cluster_start FROM f"""
+
+
+def apart_by(slack: int):
+    """Predicate of clusters: at most ``slack`` positions between a row and the span."""
+    return lambda start, end, low, high: start <= high + slack and low <= end + slack
+
+
+def contains(start: int, end: int, low: int, high: int) -> bool:
+    """Predicate of clusters: a row lies wholly in the span, or the span in the row."""
+    return low <= start and end <= high or start <= low and high <= end
+
+
+@query("agg13_cluster_members", _fold("scattered", 'r.start <= f.e + 2 AND f.s <= r."end" + 2'))
+def agg13_members(spark, sf):
+    """A row for each region with its cluster, by a caller's predicate on the span so far: here overlap with two positions of slack."""
+    return iv.clusters(v.scattered(spark, sf), ["chrom"], "region_id", apart_by(2))
+
+
+@query("agg13_contained_clusters", _fold("regions", '(f.s <= r.start AND r."end" <= f.e OR r.start <= f.s AND f.e <= r."end")'))
 def agg13_contained(spark, sf):
-    """Regions that lie wholly in an earlier one: the cluster predicate is the caller's, here containment instead of overlap."""
-    return iv.covered(v.regions(spark, sf), ["chrom"], "region_id").select("region_id", "contained")
+    """The same with containment, either way, instead of overlap, on the busy sequences."""
+    return iv.clusters(v.regions(spark, sf), ["chrom"], "region_id", contains)
 
 
 @query(
     "agg14_complement",
-    v.sql("regions", _FEW + _ISLANDS.format(t="few", slack=0) + """, m AS (SELECT chrom, min(start) AS s, max("end") AS e FROM i GROUP BY chrom, island),
+    v.sql("regions scattered", _ISLANDS.format(t="scattered", slack=0) + """, m AS (SELECT chrom, min(start) AS s, max("end") AS e FROM i GROUP BY chrom, island),
   g AS (SELECT chrom, lag(e) OVER (PARTITION BY chrom ORDER BY s) AS start, s AS "end" FROM m) SELECT * FROM g WHERE start < "end" """),
 )
 def agg14(spark, sf):
-    return iv.gaps(_few(spark, sf))
+    return iv.gaps(v.scattered(spark, sf))
 
 
 @query(
     "agg15_promoter_regions",
-    v.sql("regions", _FEW + """, p AS (SELECT region_id, chrom, strand, CASE WHEN strand = '+' THEN start ELSE "end" END AS tss FROM few),
-  g AS (SELECT chrom, strand, CASE WHEN strand = '+' THEN greatest(0, tss - 200) ELSE greatest(0, tss - 50) END AS start, CASE WHEN strand = '+' THEN tss + 50 ELSE tss + 200 END AS "end",
-    count(*) AS n, list_sort(list(region_id)) AS ids FROM p GROUP BY chrom, strand, tss),
+    v.sql("regions scattered", """, p AS (SELECT region_id, chrom, strand, CASE WHEN strand = '+' THEN start ELSE "end" END AS tss FROM scattered),
+  g AS (SELECT chrom, strand, tss, CASE WHEN strand = '+' THEN greatest(0, tss - 200) ELSE greatest(0, tss - 50) END AS start, CASE WHEN strand = '+' THEN tss + 50 ELSE tss + 200 END AS "end", count(*) AS own FROM p GROUP BY chrom, strand, tss),
   o AS (SELECT *, max("end") OVER (PARTITION BY chrom, strand ORDER BY start, "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM g),
-  i AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM o)
-  SELECT chrom, strand, min(start) AS start, max("end") AS "end", count(*) AS starts, CAST(sum(n) AS BIGINT) AS n, array_to_string(list_sort(flatten(list(ids))), ';') AS members FROM i GROUP BY chrom, strand, island"""),
+  i AS (SELECT *, sum(CASE WHEN before IS NULL OR start > before THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY start, "end" ROWS UNBOUNDED PRECEDING) AS island FROM o),
+  m AS (SELECT chrom, strand, island, min(start) AS start, max("end") AS "end", count(*) AS starts, CAST(sum(own) AS BIGINT) AS n FROM i GROUP BY chrom, strand, island)
+  SELECT m.chrom, m.strand, m.start, m."end", m.starts, m.n, p.region_id FROM m JOIN i ON i.chrom = m.chrom AND i.strand = m.strand AND i.island = m.island JOIN p ON p.chrom = i.chrom AND p.strand = i.strand AND p.tss = i.tss"""),
 )
 def agg15(spark, sf):
-    """Promoters of transcripts: those of one start first become one, then overlapping ones of a strand."""
-    plus = F.col("strand") == "+"
-    tss = F.when(plus, F.col("start")).otherwise(F.col("end"))
-    starts = _few(spark, sf).groupBy("chrom", "strand", tss.alias("tss")).agg(F.count("*").alias("own"), F.collect_list("region_id").alias("ids"))
+    """Promoters of transcripts: those of one start first become one, then overlapping ones of a strand; a row a transcript with its promoter region, so no list grows with a region."""
+    plus, at = F.col("strand") == "+", ["chrom", "strand"]
+    genes = v.scattered(spark, sf).select(*at, F.when(plus, F.col("start")).otherwise(F.col("end")).alias("tss"), "region_id")
+    starts = genes.groupBy(*at, "tss").agg(F.count("*").alias("own"))
     start = F.greatest(F.lit(0), F.when(plus, F.col("tss") - 200).otherwise(F.col("tss") - 50))
-    spans = starts.select("chrom", "strand", start.alias("start"), F.when(plus, F.col("tss") + 50).otherwise(F.col("tss") + 200).alias("end"), "own", "ids")
-    runs = iv.merged(spans, ["chrom", "strand"], copies=F.sum("own"), members=F.array_join(F.array_sort(F.flatten(F.collect_list("ids"))), ";"))
-    return runs.select("chrom", "strand", "start", "end", F.col("n").alias("starts"), F.col("copies").alias("n"), "members")
+    spans = starts.select(*at, "tss", start.alias("start"), F.when(plus, F.col("tss") + 50).otherwise(F.col("tss") + 200).alias("end"), "own")
+    runs = iv.written(iv.merge(spans, at), "promoters")
+    whole = runs.groupBy(*at, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("starts"), F.sum("own").alias("n"))
+    return runs.select(*at, "island", "tss").join(whole, [*at, "island"]).join(genes, [*at, "tss"]).select(*at, "start", "end", "starts", "n", "region_id")
 
 
 @query(
@@ -386,12 +413,12 @@ def fun2(spark, sf):
 
 @query(
     "fun3_relative_interval",
-    v.sql("reads regions", _FEW + """ SELECT r.event_id, g.region_id, CASE WHEN r.strand = g.strand THEN '+' ELSE '-' END AS strand,
+    v.sql("reads regions", """ SELECT r.event_id, g.region_id, CASE WHEN r.strand = g.strand THEN '+' ELSE '-' END AS strand,
   CASE WHEN g.strand = '+' THEN r.start - g.start ELSE g."end" - r."end" END AS start, CASE WHEN g.strand = '+' THEN r."end" - g.start ELSE g."end" - r.start END AS "end"
-  FROM reads r JOIN few g ON r.chrom = g.chrom AND r.start < g."end" AND g.start < r."end" """),
+  FROM reads r JOIN regions g ON r.chrom = g.chrom AND r.start < g."end" AND g.start < r."end" """),
 )
 def fun3(spark, sf):
-    found, plus = iv.overlaps(v.reads(spark, sf), _few(spark, sf)), F.col("r_strand") == "+"
+    found, plus = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf)), F.col("r_strand") == "+"
     return found.select(
         "event_id", F.col("r_region_id").alias("region_id"), F.when(F.col("strand") == F.col("r_strand"), "+").otherwise("-").alias("strand"),
         F.when(plus, F.col("start") - F.col("r_start")).otherwise(F.col("r_end") - F.col("end")).alias("start"),

@@ -32,6 +32,16 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Further sequences that the ``scattered`` view deals each sequence's regions to.
+SPREAD = 211
+
+
+def scattered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All regions, dealt over many more sequences, so that most lie apart."""
+    part = read(spark, sf_dir, "orders").selectExpr("concat('reg', 1000000 + o_orderkey) as region_id", f"o_custkey % {SPREAD} as part")
+    return regions(spark, sf_dir).join(part, "region_id").withColumn("chrom", F.concat_ws("_", "chrom", "part")).drop("part")
+
+
 def _acgt(text: str = "text") -> str:
     return f"regexp_replace(translate(lower({text}), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC'), '[^ACGT]', 'N')"
 
@@ -109,6 +119,7 @@ SQL = {
   ['click', 'error', 'purchase', 'signup', 'view'][1 + CAST(o_orderkey % 5 AS INTEGER)] AS chrom,
   CAST((o_orderkey * 7919) % 42000 AS BIGINT) AS start, CAST((o_orderkey * 7919) % 42000 + 100 + o_orderkey % 900 AS BIGINT) AS "end",
   CAST(o_totalprice AS DOUBLE) / 10000 AS score, CASE WHEN o_custkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM orders)""",
+    "scattered": f"scattered AS (SELECT region_id, chrom || '_' || o_custkey % {SPREAD} AS chrom, start, \"end\", score, strand FROM regions JOIN orders ON region_id = 'reg' || CAST(1000000 + o_orderkey AS VARCHAR))",
     "sequences": f"sequences AS (SELECT doc_id, {_ACGT_SQL} AS seq FROM documents)",
     "fastq": f"""fastq_cut AS (SELECT doc_id, regexp_extract_all({_ACGT_SQL}, '.{{1,{READ}}}') AS seqs, regexp_extract_all(regexp_replace({_QUAL.format(text="text")}, 'g'), '.{{1,{READ}}}') AS quals FROM documents),
   fastq AS (SELECT doc_id * {READS} + k AS read_id, seqs[k + 1] AS seq, quals[k + 1] AS qual FROM (SELECT *, unnest(range(len(seqs))) AS k FROM fastq_cut))""",
