@@ -42,8 +42,8 @@ def mismatches(a: Column, b: Column) -> Column:
     return F.size(F.filter(F.zip_with(letters(a), letters(b), lambda x, y: x != y), lambda d: d))
 
 
-def variants(adaptor: str, most: int, indels: bool = False, five: bool = False, beyond: str = "") -> list[str]:
-    """The adaptor and all texts within ``most`` changes of it, in order: letters replaced by A, C, G, T or N, and with ``indels`` a
+def changes(adaptor: str, most: int, indels: bool = False, five: bool = False, beyond: str = "") -> dict[str, int]:
+    """The adaptor and all texts within ``most`` changes of it, with the number of changes: letters replaced by A, C, G, T or N, and with ``indels`` a
     letter left out or put in (not next to an end) with the length kept: a gap draws in ``beyond``, the letter past the adaptor (on the
     left of a 5' adaptor, else on the right), an insertion pushes out the last letter."""
     found = {adaptor: 0}
@@ -57,6 +57,12 @@ def variants(adaptor: str, most: int, indels: bool = False, five: bool = False,
                     new += [text[:p] + x + text[p : len(text) - 1] for x in "ACGTN"]
                 for other in new:
                     found.setdefault(other, round_ + 1)
+    return found
+
+
+def variants(adaptor: str, most: int, indels: bool = False, five: bool = False, beyond: str = "") -> list[str]:
+    """The texts of :func:`changes` in order of changes, then letters."""
+    found = changes(adaptor, most, indels, five, beyond)
     return sorted(found, key=lambda x: (found[x], x))
 
 

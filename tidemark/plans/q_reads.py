@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as sq
+from ..functions import trimming as tr
 from . import views as v
 from .registry import query
 
@@ -355,18 +356,74 @@ def agg19(spark, sf):
     return rows.select("name", F.round("matches", 6).alias("matches"), (F.row_number().over(first) == 1).alias("chosen"), F.round(F.col("mean") - width, 6).alias("low"), F.round(F.col("mean") + width, 6).alias("high"))
 
 
+CHAIN = tr.Chain(five=v.FIVE, three=ADAPTOR)
+
+
+def _known(side: int) -> str:
+    """SQL rows of the full-length variants of an adaptor, and of those of its parts by length."""
+    full = ", ".join(f"('{x}', {d})" for x, d in CHAIN.full[side].items())
+    part = ", ".join(f"({k}, '{x}', {d})" for k, known in CHAIN.part[side].items() for x, d in known.items())
+    return f"full{side}(x, d) AS (VALUES {full}), part{side}(k, x, d) AS (VALUES {part})"
+
+
+def _steps(side: int, source: str) -> str:
+    """SQL of the inexact and the exact step of a side: ``e{side}`` has the part's length, kind and changes for the tags that need it."""
+    adaptor = CHAIN.five if side == 5 else CHAIN.three
+    own = "left(z, k)" if side == 5 else "right(z, k)"
+    exact = f"right('{adaptor}', k)" if side == 5 else f"left('{adaptor}', k)"
+    return f""", i{side} AS (SELECT seq, max(struct_pack(k := p.k, d := p.d)) AS i FROM (SELECT seq, z, unnest(range({CHAIN.one}, {len(adaptor)}))::INTEGER AS k FROM {source} WHERE f{side} IS NULL) JOIN part{side} p USING (k) WHERE len(z) >= k AND {own} = p.x GROUP BY 1),
+  x{side} AS (SELECT seq, max(k) AS k FROM (SELECT seq, z, unnest(range(1, {CHAIN.one}))::INTEGER AS k FROM {source} WHERE f{side} IS NULL AND seq NOT IN (SELECT seq FROM i{side})) WHERE len(z) >= k AND {own} = {exact} GROUP BY 1)"""
+
+
+_L5, _L3 = len(CHAIN.five), len(CHAIN.three)
+_CHAIN = f""", {_known(5)}, {_known(3)}, u AS (SELECT seq, min(id) AS id, CAST(sum(n) AS BIGINT) AS n FROM tagged GROUP BY 1),
+  a5 AS (SELECT seq, arg_min(struct_pack(i := i, k := k, d := d), struct_pack(i := -i, k := k)) AS f FROM (SELECT seq, i, k::INTEGER AS k, substr(seq, i::INTEGER + 1, k::INTEGER) AS t FROM (SELECT seq, unnest(range(0, len(seq) - {_L5} + 2)) AS i FROM u WHERE len(seq) >= {_L5 - 1}), (SELECT unnest([{_L5 - 1}, {_L5}, {_L5 + 1}]) AS k)) JOIN full5 ON t = x WHERE len(t) = k GROUP BY 1),
+  s1 AS (SELECT u.*, f AS f5, CASE WHEN f IS NULL THEN seq ELSE substr(seq, CAST(f.i + f.k + 1 AS INTEGER)) END AS y FROM u LEFT JOIN a5 USING (seq)),
+  a3 AS (SELECT seq, arg_min(struct_pack(i := i, k := k, d := d), struct_pack(i := i, k := k)) AS f FROM (SELECT seq, i, k::INTEGER AS k, substr(y, i::INTEGER + 1, k::INTEGER) AS t FROM (SELECT seq, y, unnest(range(0, len(y) - {_L3} + 2)) AS i FROM s1 WHERE len(y) >= {_L3 - 1}), (SELECT unnest([{_L3 - 1}, {_L3}, {_L3 + 1}]) AS k)) JOIN full3 ON t = x WHERE len(t) = k GROUP BY 1),
+  s2 AS (SELECT s1.*, f AS f3, CASE WHEN f IS NULL THEN y ELSE left(y, CAST(f.i AS INTEGER)) END AS z FROM s1 LEFT JOIN a3 USING (seq)){_steps(5, "s2")},
+  s3 AS (SELECT s2.* REPLACE (substr(z, CAST(coalesce(i.k, k, 0) + 1 AS INTEGER)) AS z), CASE WHEN f5 IS NOT NULL THEN struct_pack(a := CAST(f5.i + 1 AS BIGINT), b := CAST(f5.i + f5.k AS BIGINT), kind := 'full', d := CAST(f5.d AS INTEGER)) WHEN i IS NOT NULL THEN struct_pack(a := 1, b := i.k, kind := 'inexact', d := i.d)
+    WHEN k IS NOT NULL THEN struct_pack(a := 1, b := k, kind := 'exact', d := 0) END AS r5 FROM s2 LEFT JOIN i5 USING (seq) LEFT JOIN x5 USING (seq)){_steps(3, "s3")},
+  s4 AS (SELECT s3.* REPLACE (left(z, CAST(len(z) - coalesce(i.k, k, 0) AS INTEGER)) AS z), CASE WHEN f3 IS NOT NULL THEN struct_pack(a := CAST(len(seq) - len(y) + f3.i + 1 AS BIGINT), b := CAST(len(seq) - len(y) + f3.i + f3.k AS BIGINT), kind := 'full', d := CAST(f3.d AS INTEGER))
+    WHEN i IS NOT NULL THEN struct_pack(a := len(seq) - i.k + 1, b := len(seq), kind := 'inexact', d := i.d) WHEN k IS NOT NULL THEN struct_pack(a := len(seq) - k + 1, b := len(seq), kind := 'exact', d := 0) END AS r3 FROM s3 LEFT JOIN i3 USING (seq) LEFT JOIN x3 USING (seq)),
+  c AS (SELECT seq, id, n, z AS trimmed, CAST(r5.a AS INTEGER) AS five_from, CAST(r5.b AS INTEGER) AS five_to, r5.kind AS five_kind, r5.d AS five_changes, CAST(r3.a AS INTEGER) AS three_from, CAST(r3.b AS INTEGER) AS three_to, r3.kind AS three_kind, r3.d AS three_changes,
+    CASE WHEN coalesce(r5.b - r5.a + 1, 0) < 1 THEN 'five_short' WHEN coalesce(r3.b - r3.a + 1, 0) < 3 THEN 'three_short' ELSE 'cleaned' END AS fate FROM s4)"""
+_SUMS = [("input", "sum(n)"), ("unique_input", "count(*)")] + [(f"{s}_{k}", f"sum(n) FILTER ({s}_kind = '{k}')") for s in ("five", "three") for k in ("full", "inexact", "exact")]
+_SUMS += [(f"{s}_any", f"sum(n) FILTER ({s}_kind IS NOT NULL)") for s in ("five", "three")] + [(f, f"sum(n) FILTER (fate = '{f}')") for f in ("five_short", "three_short")]
+
+
+def _trimmed(spark, sf):
+    return tr.trimmed_tags(v.tagged(spark, sf), CHAIN, least_five=1, least_three=3)
+
+
+@query("fil6_adaptor_chain", v.sql("fastq tagged", _CHAIN + " SELECT * FROM c"))
+def fil6_chain(spark, sf):
+    """Every distinct tag through all steps on both sides: full, else inexact, else exact, with places, kinds and changes."""
+    return _trimmed(spark, sf)
+
+
+@query(
+    "agg20_cleaned_tags",
+    v.sql("fastq tagged", _CHAIN + """, m AS (SELECT trimmed AS seq, min(id) AS id, CAST(sum(n) AS BIGINT) AS n FROM c WHERE fate = 'cleaned' GROUP BY 1), d AS (SELECT seq, [substr(seq, CAST(i AS INTEGER), 2) FOR i IN range(1, len(seq))] AS di FROM m),
+  w AS (SELECT seq, x, count(*) AS n FROM (SELECT seq, unnest(di) AS x FROM d) GROUP BY ALL), e AS (SELECT seq, -sum(n / t * ln(n / t) / ln(16)) / 0.9770337 AS h FROM (SELECT *, sum(n) OVER (PARTITION BY seq) AS t FROM w) GROUP BY 1)
+  SELECT m.*, CASE WHEN len(m.seq) < 14 THEN 1 WHEN len(m.seq) - len(replace(m.seq, 'N', '')) > 2 THEN 2 WHEN round(coalesce(h, 0), 9) < 0.5 THEN 3 ELSE 0 END AS code FROM m LEFT JOIN e ON e.seq = m.seq"""),
+)
+def agg20_cleaned(spark, sf):
+    """What is left of the tags, equal ones as one, with the filter that each meets."""
+    return tr.cleaned_tags(_trimmed(spark, sf))
+
+
 @query(
     "agg20_trimming_summary",
-    v.sql("fastq tailed", f""", c AS (SELECT n, CASE WHEN contains(seq, '{ADAPTOR}') THEN 'full' WHEN {_TAIL} <> seq THEN 'exact' ELSE 'none' END AS code FROM tailed)
-  SELECT coalesce(code, 'all') AS code, CAST(sum(n) AS BIGINT) AS n, round(100.0 * sum(n) / (SELECT sum(n) FROM c), 6) AS percent FROM c GROUP BY ROLLUP (code)"""),
+    v.sql("fastq tagged", _CHAIN + """, m AS (SELECT trimmed AS seq, sum(n) AS n FROM c WHERE fate = 'cleaned' GROUP BY 1), d AS (SELECT seq, [substr(seq, CAST(i AS INTEGER), 2) FOR i IN range(1, len(seq))] AS di FROM m),
+  w AS (SELECT seq, x, count(*) AS n FROM (SELECT seq, unnest(di) AS x FROM d) GROUP BY ALL), e AS (SELECT seq, -sum(n / t * ln(n / t) / ln(16)) / 0.9770337 AS h FROM (SELECT *, sum(n) OVER (PARTITION BY seq) AS t FROM w) GROUP BY 1),
+  k AS (SELECT m.n, CASE WHEN len(m.seq) < 14 THEN 1 WHEN len(m.seq) - len(replace(m.seq, 'N', '')) > 2 THEN 2 WHEN round(coalesce(h, 0), 9) < 0.5 THEN 3 ELSE 0 END AS code FROM m LEFT JOIN e ON e.seq = m.seq),
+  r AS (""" + " UNION ALL ".join(f"SELECT '{name}' AS counter, {sum_} AS n FROM c" for name, sum_ in _SUMS) + " UNION ALL SELECT 'unique_output', (SELECT count(*) FROM m) + (SELECT count(*) FROM c WHERE fate <> 'cleaned')"
+    + "".join(f" UNION ALL SELECT '{name}', sum(n) FROM k WHERE code = {code}" for name, code in (("too_short", 1), ("too_many_n", 2), ("low_entropy", 3), ("passed", 0)))
+    + ") SELECT counter, CAST(coalesce(n, 0) AS BIGINT) AS n, round(100.0 * coalesce(n, 0) / (SELECT sum(n) FROM u), 6) AS percent FROM r"),
 )
 def agg20(spark, sf):
-    """Sums of counts by what was trimmed, with their total and percentages."""
-    seq = F.col("seq")
-    code = F.when(seq.contains(ADAPTOR), "full").when(sq.trim_tail(seq, ADAPTOR, 6) != seq, "exact").otherwise("none")
-    counts = v.tailed(spark, sf).select(code.alias("code"), "n").rollup("code").agg(F.sum("n").alias("n"))
-    total = F.max("n").over(Window.partitionBy(F.lit(0)))
-    return counts.select(F.coalesce("code", F.lit("all")).alias("code"), "n", F.round(100.0 * F.col("n") / total, 6).alias("percent"))
+    """The chain's report: counters of both sides, of alignments that are too short, of filters and of what passed."""
+    return tr.trimming_report(_trimmed(spark, sf))
 
 
 @query(

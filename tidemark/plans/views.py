@@ -82,6 +82,20 @@ def tailed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fastq(spark, sf_dir).selectExpr("read_id", f"concat({head}, substr(seq, 1, 14), {tail}, if(read_id % 3 = 2, substr(seq, 15, 12), '')) as seq", "1 + read_id % 5 as n")
 
 
+#: The 5' adaptor of the ``tagged`` view, and what stands before its tags by turns: all of it, with a letter replaced, left out, put in,
+#: a part with letters replaced, a part with a letter left out, a short part, nothing.
+FIVE = "TCTACAGTCCGAGC"
+HEADS = (FIVE, "TCTACAGTACGAGC", "TCTACATCCGAGC", "TCTACAGGTCCGAG", "ACTGTACGAGC", "CAGTCGAGC", "GAGC", "")
+
+
+def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags of 14 to 20 letters of the reads between parts of both adaptors, in all combinations; every ninth ends in more letters."""
+    pick = lambda x, k: f"element_at(array({', '.join(repr(t) for t in x)}), cast({k} % {len(x)} as int) + 1)"
+    more = "if(read_id % 81 < 9, 'ACGA', '')"
+    seq = f"concat({pick(HEADS, 'read_id div 9')}, substr(seq, 1, cast(14 + read_id % 7 as int)), {pick(TAILS, 'read_id')}, {more})"
+    return fastq(spark, sf_dir).selectExpr(f"{seq} as seq", "read_id as id", "1 + read_id % 5 as n")
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as seq_id", "l_partkey % 50 as target_id", "if(l_linestatus = 'O', '+', '-') as strand",
@@ -126,6 +140,8 @@ SQL = {
     "aligned": f"aligned AS (SELECT read_id // {READS} * {READS} + read_id % {READS} // 3 AS block, read_id % {READS} % 3 AS species, translate(seq, 'N', '-') AS text FROM fastq)",
     "tailed": f"""tailed AS (SELECT read_id, CASE WHEN read_id % 3 = 1 THEN '{ADAPTOR[-9:]}' ELSE '' END || substr(seq, 1, 14)
   || list_extract([{", ".join(f"'{x}'" for x in TAILS)}], CAST(read_id % {len(TAILS)} AS INTEGER) + 1) || CASE WHEN read_id % 3 = 2 THEN substr(seq, 15, 12) ELSE '' END AS seq, 1 + read_id % 5 AS n FROM fastq)""",
+    "tagged": f"""tagged AS (SELECT list_extract([{", ".join(f"'{x}'" for x in HEADS)}], CAST(read_id // 9 % {len(HEADS)} AS INTEGER) + 1) || substr(seq, 1, CAST(14 + read_id % 7 AS INTEGER))
+  || list_extract([{", ".join(f"'{x}'" for x in TAILS)}], CAST(read_id % {len(TAILS)} AS INTEGER) + 1) || CASE WHEN read_id % 81 < 9 THEN 'ACGA' ELSE '' END AS seq, read_id AS id, 1 + read_id % 5 AS n FROM fastq)""",
     "hits": """hits AS (SELECT l_orderkey AS seq_id, l_partkey % 50 AS target_id,
   CASE WHEN l_linestatus = 'O' THEN '+' ELSE '-' END AS strand, l_suppkey * 37 AS start, l_suppkey * 37 + 35 AS "end",
   CAST(l_linenumber % 3 AS INT) AS err FROM lineitem)""",
