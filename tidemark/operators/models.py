@@ -109,15 +109,18 @@ def peak_z(peaks: DataFrame, windows: DataFrame, fg: list[str], bg: list[str], f
 
 
 def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_000, seed: int = 3) -> pd.DataFrame:
-    """Normal components and a uniform background of one coverage profile (``bp, cov``): ``rho, mu, sigma, height, rmsd``.
+    """Normal components and a uniform background of one coverage profile (``bp, cov``): ``rho, mu, sigma, height, rmsd, uniform``.
 
     As many components as fragments fit four times into the profile, 2 to 30; several starts, the likeliest fit wins;
-    overlapping components become one.
+    overlapping components become one. The curve of the mixture stays that of all components: its value at a peak's middle without the uniform part is the
+    height, in units of the profile, ``uniform`` that part's; ``rmsd`` is the mean deviation of the profile, smoothed over five positions, from the curve within a sigma of
+    the middle, both scaled by the curve's greatest value.
     """
     x, w = profile["bp"].to_numpy("f8"), profile["cov"].to_numpy("f8").clip(min=0)
-    columns = ["rho", "mu", "sigma", "height", "rmsd"]
+    columns = ["rho", "mu", "sigma", "height", "rmsd", "uniform"]
     if w.sum() <= 0:
         return pd.DataFrame([], columns=columns)
+    whole = float(w.sum())
     w = w * min(1.0, most_total / w.sum())
     size, lo_s, hi_s = float(x.max()), max(1.0, 0.414 * fragment - 11.5), 0.414 * fragment + 45.5
     k = int(min(max(size // (4 * fragment), 2), 30))
@@ -140,7 +143,6 @@ def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_0
         if best is None or like > best[0]:
             best = (like, mu, sigma, rho)
     _, mu, sigma, rho = best
-    smooth = np.convolve(w, np.ones(5) / 5, "same")
     parts = sorted((m, s, p) for m, s, p in zip(mu, sigma, rho[:k], strict=True) if p > 1e-3)
     joined: list[list[float]] = []
     for m, s, p in parts:
@@ -150,25 +152,31 @@ def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_0
             joined[-1] = [(a[0] * a[2] + m * p) / t, (a[1] * a[2] + s * p) / t, t]
         else:
             joined.append([m, s, p])
+    return pd.DataFrame(peaks_of(x, w / w.sum(), whole, mu, sigma, rho, [(p, m, s) for m, s, p in joined]), columns=columns)
+
+
+def peaks_of(x: np.ndarray, shares: np.ndarray, whole: float, mu: np.ndarray, sigma: np.ndarray, rho: np.ndarray, joined: list[tuple[float, float, float]]) -> list[tuple]:
+    """Heights and deviations of joined components ``share, mu, sigma`` of a fitted curve (see ``fit_profile``)."""
+    flat = rho[-1] / float(x.max())
+    curve = (rho[:-1] * np.exp(-((x[:, None] - mu) ** 2) / (2 * sigma**2)) / (np.sqrt(2 * np.pi) * sigma)).sum(1) + flat
+    top, smooth = curve.max(), np.convolve(shares, np.ones(5) / 5, "same")
     out = []
-    for m, s, p in joined:
-        at = np.abs(x - m) <= s
-        height = p * w.sum() / (np.sqrt(2 * np.pi) * s)
-        model = height * np.exp(-((x[at] - m) ** 2) / (2 * s * s)) + rho[k] * w.sum() / size
-        rmsd = float(np.mean(np.abs(model - smooth[at])) / w.sum()) if at.any() else 10.0  # on the profile scaled to sum 1
-        out.append((p, m, s, height, rmsd))
-    return pd.DataFrame(out, columns=columns)
+    for p, m, s in joined:
+        at = slice(max(int(m - s), 0), min(int(m + s), len(x) - 1))
+        off = np.abs(smooth[at] - curve[at]) / top
+        out.append((p, m, s, (curve[min(max(int(m) - 1, 0), len(x) - 1)] - flat) * whole, float(off.mean()) if len(off) else 10.0, flat * whole))
+    return out
 
 
 def fit_profiles(profiles: DataFrame, fragment: float) -> DataFrame:
-    """``region_id, rho, mu, sigma, height, rmsd`` of every region's profile; a profile has a row a position of its region, so a group is bounded by the region's length."""
+    """``region_id, rho, mu, sigma, height, rmsd, uniform`` of every region's profile; a profile has a row a position of its region, so a group is bounded by the region's length."""
 
     def one(key: tuple, profile: pd.DataFrame) -> pd.DataFrame:
         found = fit_profile(profile, fragment)
         found.insert(0, "region_id", pd.Series([key[0]] * len(found), dtype=object))
         return found
 
-    return profiles.groupBy("region_id").applyInPandas(one, "region_id string, rho double, mu double, sigma double, height double, rmsd double")
+    return profiles.groupBy("region_id").applyInPandas(one, "region_id string, rho double, mu double, sigma double, height double, rmsd double, uniform double")
 
 
 def fit_beta(counts: DataFrame, passes: int = 10, points: int = 15) -> DataFrame:
@@ -283,9 +291,9 @@ def letter_codes() -> np.ndarray:
 
 
 def log_likelihoods(sequences: DataFrame, matrices: dict[int, np.ndarray], priors: list[float], background: float = 0.25) -> DataFrame:
-    """``doc_id, wm, prior, gain``: log-likelihood of each whole sequence under motif or background, over background alone, mean of both strands.
+    """``doc_id, wm, prior, gain``: log-likelihood of each whole sequence under motif or background, over background alone.
 
-    Forward recursion over positions: a sequence's prefix ends in a background letter or in a whole motif. All pairs of a motif and a
+    Forward recursion over positions: a sequence's prefix ends in a background letter or in a whole motif, on either strand with half the prior each. All pairs of a motif and a
     prior move on together, a vector step a position. Motifs have equal widths; a shorter sequence gains nothing.
     """
     shared = sequences.sparkSession.sparkContext.broadcast((matrices, priors, letter_codes()))
@@ -293,9 +301,12 @@ def log_likelihoods(sequences: DataFrame, matrices: dict[int, np.ndarray], prior
     def forward(x: np.ndarray, odds: np.ndarray, p: np.ndarray) -> np.ndarray:
         """``odds``: motifs x columns x letters; ``p``: motifs x priors, flat. The log of the last value of each."""
         width, n = odds.shape[1], len(x)
-        place = np.ones((n - width + 1, len(odds)))
-        for j in range(width):
-            place *= odds[:, j, :].T[x[j : j + n - width + 1]]
+        place = 0
+        for strand in (odds, odds[:, ::-1][:, :, [3, 2, 1, 0, 4]]):
+            one = np.ones((n - width + 1, len(odds)))
+            for j in range(width):
+                one *= strand[:, j, :].T[x[j : j + n - width + 1]]
+            place = place + one / 2
         place = np.repeat(place, len(p) // len(odds), axis=1) * p
         stay, scale = 1 - p, np.zeros(len(p))
         ring = np.zeros((width, len(p)))  # the last ``width`` values, scaled by each one's own factor
@@ -322,40 +333,13 @@ def log_likelihoods(sequences: DataFrame, matrices: dict[int, np.ndarray], prior
                 x = code[np.frombuffer((seq or "").encode("latin-1", "replace"), "u1")]
                 gain = np.zeros(len(p))
                 if len(x) >= odds.shape[1]:
-                    gain = (forward(x, odds, p) + forward(np.where(x[::-1] < 4, 3 - x[::-1], 4), odds, p)) / 2
+                    gain = forward(x, odds, p)
                 out.append(pd.DataFrame({"doc_id": doc, "wm": np.repeat(names, len(grid)), "prior": p, "gain": gain}))
             yield pd.concat(out) if out else pd.DataFrame([], columns=["doc_id", "wm", "prior", "gain"])
 
     return sequences.select("doc_id", "seq").mapInPandas(run, "doc_id long, wm long, prior double, gain double")
 
 
-def align_columns(a: np.ndarray, b: np.ndarray, gap: float = 1.0) -> tuple[float, str, int, int, int, int]:
-    """Best local alignment of two matrices: score (2 - squared difference of columns, gaps cost ``gap``), strand of ``b``, and the columns from, to (half open) on ``a`` and on that strand of ``b``.
-
-    The trace goes back from the best cell until the score is used up, so an alignment neither begins nor ends with a gap.
-    """
-
-    def best(x, y):
-        s = 2 - ((x[:, None] - y[None]) ** 2).sum(2)
-        h = np.zeros((len(x) + 1, len(y) + 1))
-        for i in range(1, len(x) + 1):
-            for j in range(1, len(y) + 1):
-                h[i, j] = max(0.0, h[i - 1, j - 1] + s[i - 1, j - 1], h[i - 1, j] - gap, h[i, j - 1] - gap)
-        i, j = end = tuple(int(k) for k in np.unravel_index(h.argmax(), h.shape))
-        while h[i, j] > 0:
-            if h[i, j] == h[i - 1, j - 1] + s[i - 1, j - 1]:
-                i, j = i - 1, j - 1
-            elif h[i, j] == h[i - 1, j] - gap:
-                i -= 1
-            else:
-                j -= 1
-        return float(h.max()), i, end[0], j, end[1]
-
-    plus, minus = best(a, b), best(a, b[::-1, ::-1])
-    score, *span = plus if plus[0] >= minus[0] else minus
-    return score, "+" if plus[0] >= minus[0] else "-", *span
-
-
 def elbow(x: np.ndarray, y: np.ndarray, default: float | None = 3.0, drop: float = 2.0, away: float = -0.5, size: int = 100, log_x: bool = False, clamp: tuple[float, float] | None = None) -> float:
     """Cutoff where a falling curve leaves its steepest line.
 

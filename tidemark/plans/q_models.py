@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ..operators import alignments as al
 from ..operators import intervals as iv
 from ..operators import models as m
+from ..operators import motifs as mt
 from ..operators.synteny import best_runs
 from . import views as v
 from .q_intervals import _WINDOWS, windows
-from .q_scores import QUERY_EVERY, distances, information, matrix_pairs, region_posteriors
+from .q_scores import _DIST, _IC, _SIM, QUERY_EVERY, columns_of, information, region_posteriors
 from .registry import query
 
 def both(side: str):
@@ -125,7 +126,7 @@ def mod7(spark, sf):
 
 
 def _matrices(spark, sf) -> dict[int, np.ndarray]:
-    """The stated library of the scans (every hundredth matrix, whole) for a broadcast."""
+    """The stated library of the scans (every twentieth matrix, whole) for a broadcast."""
     rows = v.matrices(spark, sf).filter(F.col("wm") % QUERY_EVERY == 0).toPandas().sort_values(["wm", "pos"])
     out = {}
     for wm, g in rows.groupby("wm"):
@@ -204,28 +205,23 @@ def mod13(spark, sf):
     return spark.createDataFrame([(k + 1, wm, round(score, 3)) for k, (wm, score) in enumerate(rows)], "round int, wm long, score double")
 
 
-@query("mod14_non_redundant_matrices")
-def mod14(spark, sf):
-    """Of the stated queries the best first, all within a distance of 0.25 of it dropped, and again, while the score is above the least.
+_ALL_PAIRS = (_SIM + _DIST).replace(f"x.wm % {QUERY_EVERY} = 0 OR x.wm = y.wm", "x.wm <= y.wm").replace(f"WHERE x.wm_a % {QUERY_EVERY} = 0", "")
 
-    The score of a matrix is its information; NaN scores leave. The distances of the queries among themselves (a hundredth of the library
-    squared) are a table; each round is one job that takes the best left and drops its neighbours.
-    """
-    score = v.matrices(spark, sf).filter(F.col("wm") % QUERY_EVERY == 0).groupBy("wm").agg(F.sum(information()).alias("score"))
-    left = score.filter(~F.isnan("score") & (F.col("score") > 0.5)).cache()
-    near = distances(spark, sf).filter((F.col("d") <= 0.25) & (F.col("wm_b") % QUERY_EVERY == 0)).select("wm_a", "wm_b").cache()
-    kept: list[int] = []
-    gone = F.lit(False)
-    while True:
-        best = left.filter(~gone).agg(F.max_by("wm", F.struct("score", -F.col("wm")))).first()[0]
-        if best is None:
-            break
-        kept.append(best)
-        dropped = [r[0] for r in near.filter(F.col("wm_a") == best).select("wm_b").collect()]
-        gone = gone | F.col("wm").isin([best, *dropped])
-    left.unpersist()
-    near.unpersist()
-    return spark.createDataFrame([(k + 1, wm) for k, wm in enumerate(kept)], "rank int, wm long")
+
+@query(
+    "mod14_non_redundant_matrices",
+    v.sql("matrices", _ALL_PAIRS + """, i AS (SELECT wm, sum(""" + _IC + """) AS score FROM matrices GROUP BY 1),
+  n AS (SELECT wm_a AS wm, list(wm_b) AS l FROM (SELECT wm_a, wm_b, d FROM d UNION ALL SELECT wm_b, wm_a, d FROM d) WHERE wm_a <> wm_b AND d <= 0.25 GROUP BY 1),
+  r AS (SELECT i.wm, coalesce(l, []) AS l, row_number() OVER (ORDER BY score DESC, i.wm) AS k FROM i LEFT JOIN n ON n.wm = i.wm WHERE score > 0.5),
+  f AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS chosen UNION ALL SELECT r.k, CASE WHEN list_has_any(chosen, l) THEN chosen ELSE list_append(chosen, wm) END FROM f JOIN r ON r.k = f.k + 1),
+  e AS (SELECT chosen FROM f ORDER BY k DESC LIMIT 1)
+  SELECT generate_subscripts(chosen, 1) AS rank, unnest(chosen) AS wm FROM e""").replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def mod14(spark, sf):
+    """Of the whole library the matrix with most information first, all within a distance of 0.25 of it dropped, and again, while the information is above the least."""
+    matrices = v.matrices(spark, sf)
+    score = matrices.groupBy("wm").agg(F.sum(information()).alias("score")).filter("score > 0.5")
+    return mt.non_redundant(score, mt.distances(columns_of(matrices), F.lit(True), within=0.25))
 
 
 _CURVE = """, t AS (SELECT g.region_id, score > 15 AS fg, CAST(floor(coalesce(sum(post), 0) / 0.0001 + 1e-6) AS BIGINT) AS k FROM regions g LEFT JOIN sites s ON s.region_id = g.region_id GROUP BY ALL),
@@ -377,16 +373,9 @@ def mod20(spark, sf):
 
 @query("fun10_matrix_alignment")
 def fun10(spark, sf):
-    """Best local alignment of each stated query and matrix: score, strand, and the columns it spans on both; a pair is a small dynamic programme."""
-    flat = matrix_pairs(spark, sf).filter("wm_a <> wm_b").select("wm_a", "wm_b", F.flatten("a").alias("a"), F.flatten("b").alias("b"))
-
-    @F.pandas_udf("score double, strand string, a_start int, a_end int, b_start int, b_end int")
-    def align(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = [m.align_columns(np.asarray(x).reshape(-1, 4), np.asarray(y).reshape(-1, 4)) for x, y in zip(a, b, strict=True)]
-        return pd.DataFrame(rows, columns=["score", "strand", "a_start", "a_end", "b_start", "b_end"])
-
-    found = flat.withColumn("x", align("a", "b"))
-    return found.select("wm_a", "wm_b", F.round("x.score", 6).alias("score"), "x.strand", "x.a_start", "x.a_end", "x.b_start", "x.b_end")
+    """Best local alignment of each stated query and matrix: score, strand, and the columns it spans on both; all pairs of a block go through the dynamic programme together."""
+    found = mt.alignments(columns_of(v.matrices(spark, sf)), F.col("wm") % QUERY_EVERY == 0)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @query("win3_elbow_cutoff")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import intervals as iv
+from ..operators import motifs as mt
 from . import views as v
 from .registry import ORACLE_SQL, query
 
@@ -119,15 +120,24 @@ def joi12_missing(spark, sf):
 
 @query(
     "joi12_nearest_centre",
-    v.sql("regions", """, a AS (SELECT region_id, chrom, (start + "end") // 2 AS m FROM regions WHERE strand = '+'), b AS (SELECT region_id AS other, chrom, (start + "end") // 2 AS m FROM regions WHERE strand = '-')
-  SELECT a.region_id, b.other, b.m - a.m AS delta FROM a JOIN b ON a.chrom = b.chrom AND abs(a.m - b.m) < 5"""),
+    v.sql("regions", """, c AS (SELECT chrom, (start + "end") AS m, min(region_id) AS other, avg("end" - start) + 1 AS cov FROM regions WHERE strand = '+' GROUP BY ALL),
+  p AS (SELECT region_id, chrom, (start + "end") AS m, score FROM regions WHERE strand = '-'),
+  j AS (SELECT p.region_id, arg_min(struct_pack(o := c.other, cov := cov), struct_pack(d := abs(c.m - p.m), o := c.other)) AS b FROM p JOIN c ON c.chrom = p.chrom AND abs(c.m - p.m) < 5 GROUP BY 1)
+  SELECT p.region_id, b.o AS other, round(score / coalesce(b.cov, 1), 6) AS height FROM p LEFT JOIN j ON j.region_id = p.region_id"""),
 )
 def joi12_near(spark, sf):
-    """Pairs of regions of both strands whose middles are less than 5 apart: points widened by 4 in the overlap join."""
-    at = v.regions(spark, sf).select("region_id", "chrom", "strand", F.expr("(start + end) div 2").alias("m"))
-    a = at.filter("strand = '+'").select("region_id", "chrom", "m", (F.col("m") - 4).alias("start"), (F.col("m") + 5).alias("end"))
-    b = at.filter("strand = '-'").select(F.col("region_id").alias("other"), "chrom", "m", F.col("m").alias("start"), (F.col("m") + 1).alias("end"))
-    return iv.overlaps(a, b).select("region_id", F.col("r_other").alias("other"), (F.col("r_m") - F.col("m")).alias("delta"))
+    """Heights over the mean coverage (plus one) of the coverage region whose middle is nearest, if it is less than five half positions away; else as they are.
+
+    Coverage regions of one middle are one row first, so a peak meets at most nine.
+    """
+    at = v.regions(spark, sf).withColumn("m", F.col("start") + F.col("end"))
+    cov = at.filter("strand = '+'").groupBy("chrom", "m").agg(F.min("region_id").alias("other"), (F.avg(F.col("end") - F.col("start")) + 1).alias("cov"))
+    peaks = at.filter("strand = '-'").select("region_id", "chrom", "m", "score", (F.col("m") - 4).alias("start"), (F.col("m") + 5).alias("end"))
+    points = cov.select("chrom", "other", "cov", "m", F.col("m").alias("start"), (F.col("m") + 1).alias("end"))
+    met = iv.overlaps(peaks.select("region_id", "chrom", "m", "start", "end"), points)
+    best = met.groupBy("region_id").agg(F.min_by(F.struct("r_other", "r_cov"), F.struct(F.abs(F.col("r_m") - F.col("m")), F.col("r_other"))).alias("b"))
+    out = peaks.join(best, "region_id", "left")
+    return out.select("region_id", F.col("b.r_other").alias("other"), F.round(F.col("score") / F.coalesce("b.r_cov", F.lit(1.0)), 6).alias("height"))
 
 
 CHUNK = 200
@@ -373,17 +383,57 @@ def agg31(spark, sf):
     return smoothed_curve(spark, sf).select("x", F.round("smooth", 5).alias("smooth"))
 
 
+#: Scores in half a window, scale and reach of the kernel, scores around the turning point, and times the mean deviation that the curve leaves its tangent by.
+HALF, SCALE, KERNEL, AROUND, LEAVE = 25, 5.0, 120, 50, 10
+
+_TURN = f""", h AS (SELECT CAST(floor(score * 10) AS BIGINT) AS x, count(*) AS n FROM regions GROUP BY 1), e AS (SELECT unnest(range((SELECT max(x) FROM h) + 1)) AS x), u AS (SELECT e.x, coalesce(n, 0) AS n FROM e LEFT JOIN h ON h.x = e.x),
+  c AS (SELECT x, sum(n) OVER (ORDER BY x DESC) AS cum FROM u), m AS (SELECT a.x, ln(sum(b.cum * exp(-abs(a.x - b.x) / {SCALE}))) AS y, max(a.cum) AS cum FROM c a JOIN c b ON abs(a.x - b.x) <= {KERNEL} GROUP BY 1),
+  w AS (SELECT x, avg(y) OVER (ORDER BY x ROWS BETWEEN {HALF} PRECEDING AND 1 PRECEDING) AS l, avg(y) OVER (ORDER BY x ROWS BETWEEN CURRENT ROW AND {HALF - 1} FOLLOWING) AS r FROM m),
+  s AS (SELECT x, l, r, (r - l) / {HALF} AS slope, (l + r) / 2 - (r - l) / {HALF} * x AS cut FROM w WHERE x >= {HALF} AND x < (SELECT max(x) + 1 FROM m) - {HALF})"""
+
+
+def half_windows(spark, sf):
+    """``x, cum, y, before, behind, slope, cut``: by whole tenth of a score the regions that have as much, the logarithm of the smoothed curve, its means in the two half windows, and the line through both.
+
+    The curve has a row a tenth, whatever the number of regions, so its windows are small.
+    """
+    h = v.regions(spark, sf).groupBy(F.floor(F.col("score") * 10).alias("x")).agg(F.count("*").alias("n"))
+    every = h.agg(F.max("x").alias("top")).select(F.explode(F.sequence(F.lit(0).cast("long"), "top")).alias("x")).join(h, "x", "left")
+    c = every.select("x", F.sum(F.coalesce("n", F.lit(0))).over(Window.orderBy(F.desc("x"))).alias("cum"))
+    sent = c.select(F.explode(F.sequence(F.col("x") - KERNEL, F.col("x") + KERNEL)).alias("at"), "x", "cum")
+    smooth = sent.groupBy(F.col("at").alias("x")).agg(F.log(F.sum(F.col("cum") * F.exp(-F.abs(F.col("at") - F.col("x")) / SCALE))).alias("y"))
+    w = Window.orderBy("x")
+    means = c.join(smooth, "x").withColumn("before", F.avg("y").over(w.rowsBetween(-HALF, -1))).withColumn("behind", F.avg("y").over(w.rowsBetween(0, HALF - 1)))
+    inside = (F.col("x") >= HALF) & (F.col("x") < F.max("x").over(Window.partitionBy(F.lit(0))) + 1 - HALF)
+    slope = F.when(inside, (F.col("behind") - F.col("before")) / HALF)
+    return means.withColumn("slope", slope).withColumn("cut", (F.col("before") + F.col("behind")) / 2 - F.col("slope") * F.col("x"))
+
+
+@query("agg31_half_window_slopes", v.sql("regions", _TURN + ' SELECT x, round(l, 6) AS before, round(r, 6) AS behind, round(slope, 8) AS slope, round(cut, 6) AS cut FROM s'))
+def agg31_slopes(spark, sf):
+    """Means of the logarithm of the smoothed curve in the half windows before and behind each score, and the line through them."""
+    rows = half_windows(spark, sf).filter("slope is not null")
+    return rows.select("x", F.round("before", 6).alias("before"), F.round("behind", 6).alias("behind"), F.round("slope", 8).alias("slope"), F.round("cut", 6).alias("cut"))
+
+
 @query(
-    "agg31_half_window_slopes",
-    v.sql("regions", _SMOOTHED + """, l AS (SELECT x, ln(smooth) AS y FROM m)
-  SELECT a.x, round((a.y - b.y) / 5, 6) AS before, round((c.y - a.y) / 5, 6) AS after FROM l a LEFT JOIN l b ON b.x = a.x - 5 LEFT JOIN l c ON c.x = a.x + 5"""),
+    "agg31_background_cutoff",
+    v.sql("regions", _TURN + f""", n AS (SELECT *, slope < coalesce(lead(slope) OVER (ORDER BY x), 0) AS turns FROM s), t AS (SELECT x AS turn, slope, cut FROM n WHERE turns ORDER BY x LIMIT 1),
+  d AS (SELECT m.x, m.cum, abs(y - (slope * m.x + cut)) AS off, t.* FROM m, t), a AS (SELECT avg(off) AS mean FROM d WHERE x >= turn - least({AROUND}, turn - 1) AND x < turn + least({AROUND}, turn - 1)),
+  f AS (SELECT min(x) + 5 AS cutoff FROM d, a WHERE x >= turn AND off > {LEAVE} * mean)
+  SELECT turn, round(slope, 8) AS slope, round(cut, 6) AS cut, round(mean, 6) AS deviation, cutoff, round(100.0 * (SELECT cum FROM c WHERE x = cutoff) / (SELECT max(cum) FROM c), 6) AS removed FROM t, a, f"""),
 )
-def agg31_slopes(spark, sf):
-    """Slopes of the logarithm of the curve over the five scores before and behind each."""
-    y = smoothed_curve(spark, sf).select("x", F.log("smooth").alias("y"))
-    before, after = y.select((F.col("x") + 5).alias("x"), F.col("y").alias("b")), y.select((F.col("x") - 5).alias("x"), F.col("y").alias("c"))
-    out = y.join(before, "x", "left").join(after, "x", "left")
-    return out.select("x", F.round((F.col("y") - F.col("b")) / 5, 6).alias("before"), F.round((F.col("c") - F.col("y")) / 5, 6).alias("after"))
+def agg31_cutoff(spark, sf):
+    """Cutoff of the scores: where the slope stops to fall, its line is the tangent; five behind the first score at which the curve is off by more than ten times its mean deviation around there; and the percentage beyond."""
+    rows = half_windows(spark, sf).withColumn("next", F.lead("slope").over(Window.orderBy("x")))
+    turn = rows.filter(F.col("slope") < F.coalesce("next", F.lit(0.0))).agg(F.min(F.struct("x", "slope", "cut")).alias("t")).select(F.col("t.x").alias("turn"), F.col("t.slope").alias("m"), F.col("t.cut").alias("b"))
+    off = rows.select("x", "cum", "y").join(F.broadcast(turn)).withColumn("off", F.abs(F.col("y") - (F.col("m") * F.col("x") + F.col("b"))))
+    near = F.least(F.lit(AROUND), F.col("turn") - 1)
+    mean = off.filter((F.col("x") >= F.col("turn") - near) & (F.col("x") < F.col("turn") + near)).agg(F.avg("off").alias("mean"))
+    with_mean = off.join(F.broadcast(mean))
+    first = with_mean.agg(F.min(F.when((F.col("x") >= F.col("turn")) & (F.col("off") > LEAVE * F.col("mean")), F.col("x") + 5)).alias("cutoff"))
+    out = with_mean.join(F.broadcast(first)).groupBy("turn", "m", "b", "mean", "cutoff").agg(F.max(F.when(F.col("x") == F.col("cutoff"), F.col("cum"))).alias("left"), F.max("cum").alias("all"))
+    return out.select("turn", F.round("m", 8).alias("slope"), F.round("b", 6).alias("cut"), F.round("mean", 6).alias("deviation"), "cutoff", F.round(100.0 * F.col("left") / F.col("all"), 6).alias("removed"))
 
 
 @query(
@@ -466,7 +516,7 @@ def fil20(spark, sf):
 
 
 #: The stated queries of the matrix comparisons: matrices whose number is divisible by this, against all matrices.
-QUERY_EVERY = 100
+QUERY_EVERY = 20
 
 _SIM = f""", p AS (SELECT wm, pos, a / (a+c+g+t) AS a, c / (a+c+g+t) AS c, g / (a+c+g+t) AS g, t / (a+c+g+t) AS t FROM matrices),
   b AS (SELECT wm, 0 AS rev, pos, a, c, g, t FROM p UNION ALL SELECT wm, 1, 15 - pos, t, g, c, a FROM p),
@@ -481,49 +531,17 @@ def columns_of(matrices):
     return p.groupBy("wm").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "w"))), lambda x: x["w"]).alias("cols"))
 
 
-def _dot(u, x):
-    return F.aggregate(F.zip_with(u, x, lambda s, t: s * t), F.lit(0.0), lambda acc, z: acc + z)
-
-
-def similarity(a, b):
-    """Best sum of column products of two matrices over all shifts and both strands of ``b``."""
-    turned = F.reverse(F.transform(b, lambda w: F.reverse(w)))
-    rows = lambda other: F.transform(F.sequence(1 - F.size(other), F.size(a) - 1), lambda shift: F.aggregate(
-        F.sequence(F.greatest(F.lit(0), shift), F.least(F.size(a), shift + F.size(other)) - 1), F.lit(0.0), lambda acc, i: acc + _dot(F.get(a, i), F.get(other, i - shift))
-    ))
-    return F.greatest(F.array_max(rows(b)), F.array_max(rows(turned)))
-
-
-def matrix_pairs(spark, sf):
-    """The stated queries against all matrices: the library is dealt to tasks, the queries, a hundredth of it, go to each in blocks.
-
-    Each library row meets a block of queries by block number, so neither side is gathered in one place; the
-    pairs stay within the tasks that score them.
-    """
-    lib = columns_of(v.matrices(spark, sf))
-    blocks = 8
-    block = F.pmod(F.xxhash64("wm"), F.lit(blocks))
-    asked = lib.filter(F.col("wm") % QUERY_EVERY == 0).select(F.col("wm").alias("wm_a"), F.col("cols").alias("a"), block.alias("block"))
-    every = lib.select(F.col("wm").alias("wm_b"), F.col("cols").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
-    return asked.join(every, "block").select("wm_a", "a", "wm_b", "b")
-
-
 _DIST = """, own AS (SELECT wm_a AS wm, s FROM sim WHERE wm_a = wm_b), d AS (SELECT x.wm_a, x.wm_b, 1 - 2 * x.s / (a.s + b.s) AS d FROM sim x JOIN own a ON a.wm = x.wm_a JOIN own b ON b.wm = x.wm_b WHERE x.wm_a % """ + str(QUERY_EVERY) + """ = 0)"""
 
 
-def distances(spark, sf):
-    """``wm_a, wm_b, d``: 1 - 2 s(ab) / (s(aa) + s(bb)) of each query and matrix."""
-    pairs = matrix_pairs(spark, sf)
-    s = similarity(F.col("a"), F.col("b"))
-    own = columns_of(v.matrices(spark, sf)).select("wm", similarity(F.col("cols"), F.col("cols")).alias("s"))
-    scored = pairs.select("wm_a", "wm_b", s.alias("s"))
-    out = scored.join(own.select(F.col("wm").alias("wm_a"), F.col("s").alias("sa")), "wm_a").join(own.select(F.col("wm").alias("wm_b"), F.col("s").alias("sb")), "wm_b")
-    return out.select("wm_a", "wm_b", (1 - 2 * F.col("s") / (F.col("sa") + F.col("sb"))).alias("d"))
+def _asked():
+    return F.col("wm") % QUERY_EVERY == 0
 
 
 @query("fun9_matrix_similarity", v.sql("matrices", _SIM + _DIST + " SELECT wm_a, wm_b, round(d, 6) AS d FROM d"))
 def fun9(spark, sf):
-    return distances(spark, sf).select("wm_a", "wm_b", F.round("d", 6).alias("d"))
+    """Distance of each query to each matrix."""
+    return mt.distances(columns_of(v.matrices(spark, sf)), _asked()).select("wm_a", "wm_b", F.round("d", 6).alias("d"))
 
 
 @query(
@@ -531,8 +549,9 @@ def fun9(spark, sf):
     v.sql("matrices", _SIM + _DIST + ", r AS (SELECT *, row_number() OVER (PARTITION BY wm_a ORDER BY round(d, 9), wm_b) AS rank FROM d WHERE wm_a <> wm_b) SELECT wm_a, wm_b, rank, round(d, 6) AS d FROM r WHERE rank <= 3"),
 )
 def mod15(spark, sf):
+    """The three matrices nearest to each query; a block of pairs returns three a query, so the ranking sees no more."""
     rank = F.row_number().over(Window.partitionBy("wm_a").orderBy(F.round("d", 9), "wm_b"))
-    near = distances(spark, sf).filter("wm_a <> wm_b").withColumn("rank", rank.cast("long")).filter("rank <= 3")
+    near = mt.distances(columns_of(v.matrices(spark, sf)), _asked(), nearest=3).withColumn("rank", rank.cast("long")).filter("rank <= 3")
     return near.select("wm_a", "wm_b", "rank", F.round("d", 6).alias("d"))
 
 
