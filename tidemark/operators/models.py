@@ -130,7 +130,7 @@ def fit_profile(profile: pd.DataFrame, fragment: float, most_total: float = 50_0
         mu, sigma, rho = rng.uniform(x.min(), x.max(), k), np.full(k, (lo_s + hi_s) / 2), np.full(k + 1, 1 / (k + 1))
         for _ in range(60):
             dens = rho[:k] * np.exp(-((x[:, None] - mu) ** 2) / (2 * sigma**2)) / (np.sqrt(2 * np.pi) * sigma)
-            total = dens.sum(1) + rho[k] / size
+            total = np.maximum(dens.sum(1) + rho[k] / size, 1e-300)
             r = dens / total[:, None] * w[:, None]
             mass = np.maximum(r.sum(0), 1e-12)
             mu = np.clip((r * x[:, None]).sum(0) / mass, x.min(), x.max())

@@ -98,11 +98,16 @@ def mod5(spark, sf):
     return m.fit_profiles(_profiles(spark, sf), fragment=60.0)
 
 
+#: Deviation from the curve, on its own scale, beyond which a peak is bad.
+BAD = 0.25
+
+
 @query("mod6_peak_quality")
 def mod6(spark, sf):
-    """Peaks with their deviation from the smoothed profile, split into good and bad."""
+    """Peaks with height, uniform background, and deviation from the smoothed profile, split into good and bad."""
     peaks = m.fit_profiles(_profiles(spark, sf), fragment=60.0)
-    return peaks.select("region_id", F.round("mu", 2).alias("mu"), F.round("sigma", 2).alias("sigma"), F.round("rmsd", 4).alias("rmsd"), (F.col("rmsd") > 1.0).alias("bad"))
+    rounded = [F.round(c, k).alias(c) for c, k in (("mu", 2), ("sigma", 2), ("height", 4), ("uniform", 4), ("rmsd", 4))]
+    return peaks.select("region_id", *rounded, (F.col("rmsd") > BAD).alias("bad"))
 
 
 NOISE = {"fragment": 150.0, "width": 500.0, "sigma": 0.2, "mu": 0.05}
@@ -125,6 +130,24 @@ def mod7(spark, sf):
     return z.filter("z >= 3").orderBy(F.desc("z"), "region_id").limit(2000)
 
 
+@query("mod7_refit_peaks")
+def mod7_refit(spark, sf):
+    """The same from the fits themselves: peaks of the profiles' mixtures that are good, each with height, sigma and uniform background, against the noise of the windows' mixture.
+
+    The mixture's q is twice the noise's variance, so the noise's sigma is the root of its half.
+    """
+    noise = m.fit_mixture(_ratios(spark, sf))
+    fits = m.fit_profiles(_profiles(spark, sf), fragment=60.0).filter(F.col("rmsd") <= BAD)
+    place = v.regions(spark, sf).select("region_id", "chrom", F.col("start").alias("origin"))
+    number = F.row_number().over(Window.partitionBy("region_id").orderBy("mu", "sigma"))  # at most 30 a region
+    peaks = fits.withColumn("k", number).join(place, "region_id").select(
+        F.concat("region_id", F.lit(".p"), "k").alias("peak_id"), "chrom", (F.col("origin") + F.floor(F.col("mu") - F.col("sigma"))).alias("start"), (F.col("origin") + F.floor(F.col("mu") + F.col("sigma"))).alias("end"),
+        "height", F.col("sigma").alias("sd"), F.col("uniform").alias("back"),
+    )
+    z = m.peak_z(peaks, windows(spark, sf), ["fg_0", "fg_1"], ["bg_0", "bg_1"], fragment=60.0, width=500.0, sigma=math.sqrt(noise["q"] / 2), mu=noise["mu"])
+    return z.select("peak_id", "chrom", "start", "end", F.round("height", 4).alias("height"), F.round("z", 3).alias("z")).orderBy(F.desc("z"), "peak_id").limit(2000)
+
+
 def _matrices(spark, sf) -> dict[int, np.ndarray]:
     """The stated library of the scans (every twentieth matrix, whole) for a broadcast."""
     rows = v.matrices(spark, sf).filter(F.col("wm") % QUERY_EVERY == 0).toPandas().sort_values(["wm", "pos"])

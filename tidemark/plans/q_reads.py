@@ -255,17 +255,17 @@ def agg9(spark, sf):
     "agg10_annotation_categories",
     v.sql("hits tags", """, k AS (SELECT *, count(*) OVER (PARTITION BY seq_id) AS hits FROM hits),
   a AS (SELECT seq_id, min(struct_pack(e := err, p := CASE WHEN target_id < 10 THEN 0 WHEN target_id < 25 THEN 1 ELSE 9 END, m := CASE WHEN strand = '+' THEN 0 ELSE 1 END)) AS b, max(hits) AS hits, bool_or(target_id >= 40) AS masked FROM k GROUP BY 1)
-  SELECT t.sample, CASE WHEN b IS NULL THEN 'unknown_unmapped' WHEN hits > 6 THEN 'unknown_overmapped' WHEN b.p < 9 THEN ['gene', 'repeat'][b.p + 1] || CASE WHEN b.m = 0 THEN '+' ELSE '-' END
+  SELECT t.sample, CASE WHEN b IS NULL THEN 'unknown_unmapped' WHEN b.p < 9 THEN ['gene', 'repeat'][b.p + 1] || CASE WHEN b.m = 0 THEN '+' ELSE '-' END WHEN hits > 6 THEN 'unknown_overmapped'
     WHEN masked THEN 'unknown_repeat' ELSE 'unknown_non-repeat' END AS category, CAST(sum(t.n) AS BIGINT) AS n FROM tags t LEFT JOIN a ON a.seq_id = t.seq_id GROUP BY ALL"""),
 )
 def agg10(spark, sf):
-    """Family of highest priority at a tag's best error, + before -, by sample; tags of no family are unknown: unmapped, with more than six hits, in a repeat (targets from 40 on), or else."""
+    """Family of highest priority at a tag's best error, + before -, by sample; only tags of no family are unknown: unmapped, with more than six hits, in a repeat (targets from 40 on), or else."""
     family = F.when(F.col("target_id") < 10, 0).when(F.col("target_id") < 25, 1).otherwise(9)
     best = v.hits(spark, sf).groupBy("seq_id").agg(
         F.min(F.struct("err", family.alias("p"), F.when(F.col("strand") == "+", 0).otherwise(1).alias("m"))).alias("b"), F.count("*").alias("hits"), F.bool_or(F.col("target_id") >= 40).alias("masked")
     )
     named = F.concat(F.when(F.col("b.p") == 0, "gene").otherwise("repeat"), F.when(F.col("b.m") == 0, "+").otherwise("-"))
-    name = F.when(F.col("hits") > 6, "unknown_overmapped").when(F.col("b.p") < 9, named).when(F.col("masked"), "unknown_repeat").otherwise("unknown_non-repeat")
+    name = F.when(F.col("b.p") < 9, named).when(F.col("hits") > 6, "unknown_overmapped").when(F.col("masked"), "unknown_repeat").otherwise("unknown_non-repeat")
     joined = v.tags(spark, sf).join(best.select("seq_id", name.alias("name")), "seq_id", "left")
     return joined.groupBy("sample", F.coalesce("name", F.lit("unknown_unmapped")).alias("category")).agg(F.sum("n").alias("n"))
 
@@ -287,34 +287,62 @@ def agg16(spark, sf):
     return v.tags(spark, sf).join(counts, "seq_id", "left").groupBy("sample", label.alias("bin")).agg(F.sum("n").alias("n"))
 
 
-_ALIGNED = """, al AS (SELECT read_id, read_id % 3 AS sample, seq AS q, CASE WHEN read_id % 4 = 0 THEN substr(seq, 1, 7) || 'A' || substr(seq, 9) WHEN read_id % 4 = 1 THEN replace(seq, 'N', 'C') ELSE seq END AS t,
-    CAST(1 + read_id % 5 AS DOUBLE) / (1 + read_id % 2) AS w FROM fastq),
-  p AS (SELECT read_id, sample, w, unnest(range(1, len(q) + 1)) AS cycle, q, t FROM al),
-  e AS (SELECT sample, read_id, w, cycle, CASE WHEN substr(q, CAST(cycle AS INTEGER), 1) <> substr(t, CAST(cycle AS INTEGER), 1) THEN 1 ELSE 0 END AS bad FROM p),
-  c AS (SELECT *, sum(bad) OVER (PARTITION BY read_id ORDER BY cycle) AS errors FROM e)"""
+#: Letters replaced in the alignments of ``aligned_reads``, by number of the hit.
+_ALIGNED = """, m AS (SELECT read_id, read_id % 3 AS sample, 1 + read_id % 5 AS n, read_id % 7 AS k, seq AS q FROM fastq),
+  al AS (SELECT *, CAST(n AS DOUBLE) / k AS w, CASE (read_id + j) % 4 WHEN 0 THEN substr(q, 1, 7) || 'A' || substr(q, 9) WHEN 1 THEN replace(q, 'N', 'C') WHEN 2 THEN substr(q, 1, 2) || translate(substr(q, 3, 9), 'AC', 'CA') || substr(q, 12) ELSE q END AS t
+    FROM (SELECT *, unnest(range(k)) AS j FROM m WHERE k BETWEEN 1 AND 5)),
+  p AS (SELECT read_id, j, sample, w, unnest(range(1, len(q) + 1)) AS cycle, q, t FROM al),
+  e AS (SELECT sample, read_id, j, w, cycle, CASE WHEN substr(q, CAST(cycle AS INTEGER), 1) <> substr(t, CAST(cycle AS INTEGER), 1) THEN 1 ELSE 0 END AS bad FROM p),
+  c AS (SELECT *, sum(bad) OVER (PARTITION BY read_id, j ORDER BY cycle) AS errors FROM e), s AS (SELECT sample, sum(n) AS total, sum(n) FILTER (k = 6) AS many, sum(n) FILTER (k = 0) AS none FROM m GROUP BY 1)"""
 
 
-def _cycles(spark, sf):
-    """A row for each read's cycle: its weight n/hits, whether it differs from the target, and the differences up to there (a fold within the read)."""
-    seq, k = F.col("seq"), F.col("read_id")
-    target = F.when(k % 4 == 0, F.concat(F.substring("seq", 1, 7), F.lit("A"), F.expr("substr(seq, 9)"))).when(k % 4 == 1, F.replace("seq", F.lit("N"), F.lit("C"))).otherwise(seq)
-    bad = F.zip_with(sq.letters(seq), sq.letters(target), lambda a, b: (a != b).cast("int"))
-    reads = v.fastq(spark, sf).select((k % 3).alias("sample"), ((1 + k % 5).cast("double") / (1 + k % 2)).alias("w"), bad.alias("bad"))
-    cumulated = F.transform("bad", lambda x, i: F.struct(x.alias("bad"), F.aggregate(F.slice("bad", 1, i + 1), F.lit(0), lambda a, y: a + F.coalesce(y, F.lit(0))).alias("errors")))
-    return reads.select("sample", "w", F.posexplode(cumulated).alias("p", "x")).select("sample", "w", (F.col("p") + 1).cast("long").alias("cycle"), "x.bad", "x.errors")
+def aligned_reads(spark, sf):
+    """``read_id, sample, n, k, q``: reads with their counts and numbers of hits: none for every seventh, too many (6) for another seventh, else one to five, which ``_hits`` lists with their targets."""
+    k = F.col("read_id")
+    return v.fastq(spark, sf).select("read_id", (k % 3).alias("sample"), (1 + k % 5).alias("n"), (k % 7).alias("k"), F.col("seq").alias("q"))
+
+
+def _cycles(reads):
+    """A row for each hit's cycle: its weight n/hits, whether it differs from the target, and the differences up to there (a fold within the hit)."""
+    hits = reads.filter("k between 1 and 5").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+    q, kind = F.col("q"), (F.col("read_id") + F.col("j")) % 4
+    target = F.when(kind == 0, F.concat(F.substring(q, 1, 7), F.lit("A"), F.expr("substr(q, 9)"))).when(kind == 1, F.replace(q, F.lit("N"), F.lit("C")))
+    target = target.when(kind == 2, F.concat(F.substring(q, 1, 2), F.translate(F.substring(q, 3, 9), "AC", "CA"), F.expr("substr(q, 12)"))).otherwise(q)
+    bad = F.zip_with(sq.letters(q), sq.letters(F.substring(target, 1, v.READ)), lambda a, b: (a != b).cast("int"))
+    rows = hits.select("sample", (F.col("n").cast("double") / F.col("k")).alias("w"), F.slice(bad, F.lit(1), F.length(q)).alias("bad"))
+    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<bad:int,errors:int>>").alias("out"))
+
+    def step(acc, x):
+        x = F.coalesce(x, F.lit(1))  # a target that ends before the read differs there
+        n = acc["n"] + x
+        return F.struct(n.alias("n"), F.concat(acc["out"], F.array(F.struct(x.alias("bad"), n.alias("errors")))).alias("out"))
+
+    done = rows.select("sample", "w", F.aggregate("bad", start, step, lambda acc: acc["out"]).alias("x"))
+    return done.select("sample", "w", F.posexplode("x").alias("p", "x")).select("sample", "w", (F.col("p") + 1).cast("long").alias("cycle"), "x.bad", "x.errors")
 
 
 @query("agg17_error_profile", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, round(sum(w), 6) AS total, round(100.0 * sum(w * bad) / sum(w), 6) AS percent FROM c GROUP BY ALL"))
 def agg17(spark, sf):
-    """Share of differing letters by sample and cycle, reads weighted by their count over their hits."""
-    out = _cycles(spark, sf).groupBy("sample", "cycle").agg(F.sum("w").alias("t"), F.sum(F.col("w") * F.col("bad")).alias("b"))
+    """Share of differing letters by sample and cycle, hits weighted by their read's count over its hits."""
+    out = _cycles(aligned_reads(spark, sf)).groupBy("sample", "cycle").agg(F.sum("w").alias("t"), F.sum(F.col("w") * F.col("bad")).alias("b"))
     return out.select("sample", "cycle", F.round("t", 6).alias("total"), F.round(100.0 * F.col("b") / F.col("t"), 6).alias("percent"))
 
 
-@query("agg17_aligned_by_errors", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, CAST(errors AS INTEGER) AS errors, round(sum(w), 6) AS weight FROM c GROUP BY ALL"))
+@query(
+    "agg17_aligned_by_errors",
+    v.sql("fastq", _ALIGNED + f""", r AS (SELECT sample, cycle, CAST(errors AS VARCHAR) AS errors, sum(w) AS w FROM c GROUP BY ALL UNION ALL SELECT sample, cycle, 'ambiguous', coalesce(many, 0) FROM s, (SELECT unnest(range(1, {v.READ + 1})) AS cycle)
+    UNION ALL SELECT sample, cycle, 'unmapped', coalesce(none, 0) FROM s, (SELECT unnest(range(1, {v.READ + 1})) AS cycle))
+  SELECT r.sample, cycle, errors, round(100.0 * w / total, 9) AS percent FROM r JOIN s ON s.sample = r.sample"""),
+)
 def agg17_aligned(spark, sf):
-    """Weight of the reads that have had so many differences up to a cycle."""
-    return _cycles(spark, sf).groupBy("sample", "cycle", "errors").agg(F.round(F.sum("w"), 6).alias("weight"))
+    """By sample and cycle the percentage of all its reads that have had so many differences up to there, that have too many hits, and that have none; the last two are the same for every cycle."""
+    reads = aligned_reads(spark, sf)
+    n = lambda k: F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).cast("double")
+    totals = reads.groupBy("sample").agg(F.sum("n").alias("total"), n(6).alias("many"), n(0).alias("none"))
+    known = _cycles(reads).groupBy("sample", "cycle", F.col("errors").cast("string").alias("errors")).agg(F.sum("w").alias("w"))
+    rest = totals.select("sample", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(v.READ).cast("long"))).alias("cycle"), F.explode(F.expr("map('ambiguous', many, 'unmapped', none)")).alias("errors", "w"))
+    every = known.unionByName(rest).join(totals.select("sample", "total"), "sample")
+    return every.select("sample", "cycle", "errors", F.round(100.0 * F.col("w") / F.col("total"), 9).alias("percent"))
 
 
 @query(
@@ -334,26 +362,59 @@ CANDIDATES = {"one": "ACTGACTGACTGACTGACTG", "two": "TACGTTACGTTACGTTACGT", "thr
 PREFIXES = (14, 16, 18, 20)
 
 
+#: Reads that the vote samples, and the step of the grid of totals.
+VOTE, STEP = 3000, 100
+
+
 @query(
     "agg19_adaptor_vote",
-    v.sql("fastq tailed", ", a AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{x}')" for k, x in CANDIDATES.items()) + """) t(name, adaptor)),
-  m AS (SELECT name, k, count(*) FILTER (contains(seq, left(adaptor, CAST(k AS INTEGER)))) AS n, count(*) AS reads FROM tailed, a, (SELECT unnest([14, 16, 18, 20]) AS k) GROUP BY ALL),
-  v AS (SELECT name, avg(n) AS matches, max(reads) AS reads FROM m GROUP BY 1), p AS (SELECT *, (round(matches) + 1.0) / (reads + 2) AS mean FROM v)
-  SELECT name, round(matches, 6) AS matches, row_number() OVER (ORDER BY matches DESC, name) = 1 AS chosen, round(mean - 1.96 * sqrt(mean * (1 - mean) / (reads + 3)), 6) AS low, round(mean + 1.96 * sqrt(mean * (1 - mean) / (reads + 3)), 6) AS high FROM p"""),
+    v.sql("fastq tailed", f""", z AS (SELECT count(*) AS all_reads, least(1.0, {VOTE}.0 / count(*)) AS share FROM tailed),
+  s AS (SELECT seq FROM (SELECT seq, list_reduce([instr('0123456789abcdef', c) - 1 FOR c IN string_split(substr(md5(CAST(read_id AS VARCHAR)), 1, 6), '')], lambda a, b: a * 16 + b) AS h FROM tailed), z WHERE share >= 0.9 OR h < share * 16777216),
+  a AS (SELECT * FROM (VALUES """ + ", ".join(f"('{k}', '{x}')" for k, x in CANDIDATES.items()) + f""") t(name, adaptor)),
+  m AS (SELECT name, k, count(*) FILTER (contains(seq, left(adaptor, CAST(k AS INTEGER)))) AS n FROM s, a, (SELECT unnest([14, 16, 18, 20]) AS k) GROUP BY ALL),
+  v AS (SELECT name, avg(n) AS matches, max(n) AS top, max(k) FILTER (TRUE) AS longest FROM m GROUP BY 1), w AS (SELECT * FROM v ORDER BY matches DESC, name LIMIT 1),
+  l AS (SELECT w.name, greatest(14, coalesce(min(m.k) - 2, max(longest))) AS k FROM w LEFT JOIN m ON m.name = w.name AND m.n < 0.8 * w.top GROUP BY w.name),
+  b AS (SELECT l.name, l.k, m.n AS m, (SELECT count(*) FROM s) AS n, (SELECT all_reads FROM z) AS total FROM l JOIN m ON m.name = l.name AND m.k = l.k),
+  g AS (SELECT b.*, unnest(range(m, total - n + m, {STEP})) AS x FROM b), p AS (SELECT x, CASE WHEN m > 0 THEN m * ln(x / total) ELSE 0 END + CASE WHEN n > m THEN (n - m) * ln(1 - x / total) ELSE 0 END AS ll FROM g),
+  q AS (SELECT x, exp(ll - (SELECT max(ll) FROM p)) AS f FROM p), c AS (SELECT x, sum(f) OVER (ORDER BY x) / sum(f) OVER () AS cum FROM q),
+  e AS (SELECT min(x) FILTER (cum >= 0.025) AS low, min(x) FILTER (cum >= 0.975) AS high FROM c)
+  SELECT v.name, round(matches, 6) AS matches, b.name IS NOT NULL AS chosen, left(a.adaptor, CAST(b.k AS INTEGER)) AS subword, b.m, CASE WHEN b.name IS NOT NULL THEN low END AS low, CASE WHEN b.name IS NOT NULL THEN high END AS high
+  FROM v JOIN a ON a.name = v.name LEFT JOIN b ON b.name = v.name, e"""),
 )
 def agg19(spark, sf):
-    """Mean number of reads with a prefix of each candidate, over the prefix lengths, the best candidate, and the interval of its share.
+    """Vote of a sample of reads for an adaptor: mean number of reads with a prefix of each candidate, over the prefix lengths.
 
-    One pass, a counter a candidate and length. The interval is that of the share's posterior after a uniform prior, Beta(m + 1, N - m + 1), by its mean and variance.
+    The best candidate's subword is the longest prefix before the matches fall below four fifths of the most; of its matches in all reads, given those in the sample, the row
+    has the bounds of the middle 95 % of the posterior, a binomial likelihood on a grid of totals. The grid is a table, and its sums run in two phases.
     """
+    tailed = v.tailed(spark, sf)
+    total = tailed.count()
     counts = [F.count_if(F.col("seq").contains(x[:k])).alias(f"{name}_{k}") for name, x in CANDIDATES.items() for k in PREFIXES]
-    one = v.tailed(spark, sf).agg(F.count("*").alias("reads"), *counts)
-    means = [F.struct(F.lit(name).alias("name"), (sum(F.col(f"{name}_{k}") for k in PREFIXES) / len(PREFIXES)).alias("matches")) for name in CANDIDATES]
-    rows = one.select("reads", F.array_max(F.transform(F.array(*means), lambda m: F.struct(m["matches"].alias("matches"), m["name"].alias("name")))).alias("top"), F.explode(F.array(*means)).alias("m"))
-    rows = rows.select("reads", "m.name", "m.matches", "top").withColumn("mean", (F.round("matches") + 1.0) / (F.col("reads") + 2))
-    width = 1.96 * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("reads") + 3))
-    first = Window.orderBy(F.desc("matches"), "name")
-    return rows.select("name", F.round("matches", 6).alias("matches"), (F.row_number().over(first) == 1).alias("chosen"), F.round(F.col("mean") - width, 6).alias("low"), F.round(F.col("mean") + width, 6).alias("high"))
+    one = down_sample(tailed, VOTE, "read_id").agg(F.count("*").alias("reads"), *counts).first()
+    found = {name: [one[f"{name}_{k}"] for k in PREFIXES] for name in CANDIDATES}
+    best = min(found, key=lambda name: (-sum(found[name]), name))
+    fallen = [k for k, n in enumerate(found[best]) if n < 0.8 * max(found[best])]
+    at = max(0, fallen[0] - 1) if fallen else len(PREFIXES) - 1
+    low, high = posterior_bounds(spark, total, one["reads"], found[best][at])
+    rows = [(name, round(sum(n) / len(n), 6), name == best, *((CANDIDATES[name][: PREFIXES[at]], n[at], low, high) if name == best else (None,) * 4)) for name, n in found.items()]
+    return spark.createDataFrame(rows, "name string, matches double, chosen boolean, subword string, m long, low long, high long")
+
+
+def posterior_bounds(spark, total: int, n: int, m: int, step: int = STEP, within: float = 0.95) -> tuple[int | None, int | None]:
+    """Bounds of the middle ``within`` of the posterior of the matches in ``total`` reads when ``m`` of ``n`` sampled ones match, on a grid of ``step`` from m to what the rest allows."""
+    from ..operators.intervals import running_total
+
+    if total - n <= 0:
+        return None, None
+    x = F.col("id")
+    ll = (m * F.log(x / total) if m else F.lit(0.0)) + ((n - m) * F.log(1 - x / total) if n > m else F.lit(0.0))
+    grid = spark.range(m, total - n + m, step).select(x.alias("x"), ll.alias("ll"))
+    top = grid.agg(F.max("ll")).first()[0]
+    sums = running_total(grid.select("x", F.exp(F.col("ll") - top).alias("f")), "f", [F.col("x")], "cum")
+    whole = sums.agg(F.max("cum").alias("whole"))
+    edge = (1 - within) / 2
+    ends = [F.min(F.when(F.col("cum") >= share * F.col("whole"), F.col("x"))) for share in (edge, 1 - edge)]
+    return tuple(sums.join(F.broadcast(whole)).agg(*ends).first())
 
 
 CHAIN = tr.Chain(five=v.FIVE, three=ADAPTOR)
