@@ -5,7 +5,6 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -22,6 +21,8 @@ PACKS_AT_ONCE = 8
 DIM_BLOCK = 16
 #: Vectors of one cell, and probes into it, that one task compares.
 CELL_ROWS = 1024
+#: Vectors whose links are measured against all rows to set the reach, steps of that measure, and links below which the visit is complete.
+MEASURED, STEPS, LEAST_LINKS = 1000, 400, 50
 
 
 def usable(df: DataFrame, vec: str) -> F.Column:
@@ -160,15 +161,65 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, reach: float) -> list[
     return out
 
 
+def measured_reach(classes: DataFrame, total: int, books: tuple[np.ndarray, np.ndarray], dims: int, threshold: float, target_recall: float) -> float:
+    """Distance to walls within which ``target_recall`` of the links of up to MEASURED vectors (by hash) lie, rounded up to a step; the full length of a link if they have too few.
+
+    The vectors go to every task, which scores its rows against them and returns how many links need which distance, from the vector in the smaller cell to the other's own cell: STEPS
+    numbers, however many links there are.
+    """
+    full = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+    chosen = F.pmod(F.xxhash64("class", F.lit(3)), F.lit(1_000_000_000)) < int(min(1.0, 0.9 * MEASURED / max(1, total)) * 1_000_000_000)
+    asked = classes.filter(chosen & (F.size("v") == dims)).select("class", "label", "v").limit(MEASURED).toPandas()
+    if not len(asked):
+        return full
+    q = unit_rows(np.stack(asked["v"].to_list()))
+    shared = classes.sparkSession.sparkContext.broadcast((q, asked["class"].to_numpy(), asked["label"].to_numpy(), books))
+
+    def crossed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        first, second = shared.value[3]
+        (a, wall_a), (b, wall_b) = walls(x[:, : dims // 2], first), walls(x[:, dims // 2 :], second)
+        return a, b, a * len(second) + b, wall_a, wall_b
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q, names, labels, _ = shared.value
+        qa, qb, q_own, q_wall_a, q_wall_b = crossed(q)
+        found = np.zeros(STEPS + 1, "i8")
+        for frame in frames:
+            frame = frame[frame["v"].map(len) == dims]
+            for at in range(0, len(frame), CELL_ROWS):
+                part = frame.iloc[at : at + CELL_ROWS]
+                x = unit_rows(np.stack(part["v"].to_list()))
+                near = (x @ q.T >= threshold) & (part["label"].to_numpy()[:, None] == labels[None]) & (part["class"].to_numpy()[:, None] != names[None])
+                i, j = np.nonzero(near)
+                if len(i):
+                    a, b, own, wall_a, wall_b = crossed(x)
+                    from_x = np.hypot(wall_a[i, qa[j]], wall_b[i, qb[j]])
+                    from_q = np.hypot(q_wall_a[j, a[i]], q_wall_b[j, b[i]])
+                    need = np.where(own[i] < q_own[j], from_x, np.where(own[i] > q_own[j], from_q, 0))
+                    found += np.bincount(np.minimum(np.ceil(need / full * STEPS).astype("i8"), STEPS), minlength=STEPS + 1)
+        yield pd.DataFrame({"step": np.flatnonzero(found), "n": found[found > 0]})
+
+    rows = classes.select("class", "label", "v").mapInPandas(count, "step int, n long").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    links = sum(r["n"] for r in rows)
+    if links < LEAST_LINKS:
+        return full
+    upto = 0
+    for r in sorted(rows, key=lambda r: r["step"]):
+        upto += r["n"]
+        if upto >= target_recall * links:
+            return min(full, (r["step"] + 1) / STEPS * full)
+    return full
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample_rows: int = 20_000, target_recall: float = 0.9995, rows_per_cell: int = 2000, most_centres: int = 64, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """``id_col, n_links, component_id, kept`` for every row: links are pairs of one label with cosine of at least ``threshold``.
 
     Exact copies (equal label and components) become one class first and are never paired; n_links counts them all
     the same. Two codebooks, fitted on at most ``sample_rows`` vectors, cut the halves of the unit vectors into a
     product grid that holds every vector, about ``rows_per_cell`` a cell, of at most ``most_centres`` centres a half. A vector visits the
-    cells in multi-sequence order of its distance to their walls until the target recall: a link at the threshold, of length r
-    in a random direction, goes r / sqrt(dims) times a standard normal towards a wall, so cells farther than the normal's ``target_recall``
-    quantile hold it with a smaller probability than what is left; closer links need less, and at 1 the visit is complete.
+    cells in multi-sequence order of its distance to their walls until the target recall. How far that is gets measured (:func:`measured_reach`): all links
+    of up to MEASURED vectors, found among all rows, tell which distances to walls links cross in these data, and the reach is that within which ``target_recall`` of them lie. With fewer than LEAST_LINKS such links, or at a target of 1, it
+    is the length of a link at the threshold, within which the visit is complete whatever the directions.
     Every pair is met once, from the smaller cell, and verified in double precision. A task compares at most
     CELL_ROWS members with CELL_ROWS probes and returns counts and one link to a root instead of pairs.
 
@@ -198,8 +249,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, sample_rows: in
     unit = unit_rows(np.array([v for v in sample if len(v) == dims]).reshape(-1, dims))
     size = int(min(most_centres, max(1, round((total / rows_per_cell) ** 0.5))))
     books = (fit_codebook(unit[:, : dims // 2], size), fit_codebook(unit[:, dims // 2 :], size))
-    deviations = NormalDist().inv_cdf(target_recall) if target_recall < 1 else math.inf
-    reach = min(1.0, deviations / np.sqrt(dims)) * np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+    full = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
+    reach = measured_reach(classes, total, books, dims, threshold, target_recall) if target_recall < 1 and len(books[0]) * len(books[1]) > 1 else full
     shared = spark.sparkContext.broadcast(books)
 
     def make():
