@@ -73,6 +73,8 @@ def test_scan_finds_a_planted_site(spark):
     df = spark.createDataFrame([(1, "TTTTACGTATTTT"), (2, "GGTACGTGG"), (3, "NN"), (4, None)], "doc_id long, seq string")
     got = {(r["doc_id"], r["pos"], r["strand"]) for r in m.scan_matrices(df, {0: matrix}, 8.0).collect()}
     assert got == {(1, 3, "-"), (1, 4, "+"), (2, 2, "-")}
+    cut = {(r["doc_id"], r["pos"], r["strand"]) for r in m.scan_matrices(df, {0: matrix}, 8.0, size=3).collect()}
+    assert cut == got  # chunks shorter than the matrix change nothing
     gain = {r["doc_id"]: r["gain"] for r in m.log_likelihoods(df.limit(2), {0: matrix}, [0.05]).collect()}
     assert gain[1] > 0.5
 
@@ -196,3 +198,25 @@ def test_elbow_falls_back():
     at = np.linspace(0, 3, 400)
     y = np.where(at < 1.5, 9 - 4 * at, 3 - 0.02 * (at - 1.5))
     assert math.exp(1.4) < m.elbow(np.exp(at), y, 3.0, size=1000, log_x=True) < math.exp(2.1)
+
+
+def test_fasta_over_scan_blocks(spark, tmp_path):
+    """Records over many scan blocks: headers and offsets are carried on, whatever the blocks' bounds are."""
+    from tidemark import sources
+
+    rng = np.random.default_rng(3)
+    records = [(f"r{k}", k % 3 + 1, "".join(rng.choice(list("ACGT"), n))) for k, n in enumerate((5000, 1, 0, 37, 900, 60, 61))]
+    text = "".join(f">{name} {n}\n" + "".join(seq[i : i + 60] + "\n" for i in range(0, len(seq), 60)) for name, n, seq in records)
+    (tmp_path / "a.fa").write_text("ACGT\n" + text)
+    (tmp_path / "b.fa").write_text(">other\nacgtx\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        for size in ("700", "100000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            got = sorted((r["tag_id"], r["n"], r["chunk"], r["origin"], r["seq"]) for r in sources.read_fasta_chunks(spark, str(tmp_path), 100, 7).collect())
+            want = [(name, n, k, 100 * k, seq[100 * k : 100 * k + 107]) for name, n, seq in records for k in range(-(-len(seq) // 100))] + [("other", 1, 0, 0, "ACGTN")]
+            assert got == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])

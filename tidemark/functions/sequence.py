@@ -163,3 +163,10 @@ def restore(target: Column, description: Column) -> Column:
 
     parts = F.filter(F.split(description, " "), lambda p: p != "")
     return F.aggregate(parts, start, step, lambda acc: acc["out"])
+
+
+def chunks(sequences: DataFrame, size: int, halo: int, id_col: str = "doc_id", seq_col: str = "seq") -> DataFrame:
+    """``id_col, origin, seq_col``: sequences in chunks of ``size`` letters, each with up to ``halo`` letters of the next; those without letters have no row."""
+    n = F.length(seq_col)
+    rows = sequences.filter(n > 0).select(id_col, seq_col, F.explode(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))).alias("_k"))
+    return rows.select(id_col, (F.col("_k") * size).alias("origin"), F.substr(seq_col, F.col("_k") * size + 1, F.lit(size + halo)).alias(seq_col))

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequence import chunks
 from .intervals import nearest
 
 def log_ratios(windows: DataFrame, fg: Column, bg: Column, least: float = 2.0) -> DataFrame:
@@ -253,10 +254,10 @@ def forward_selection(sums: DataFrame, regions: DataFrame, beta: float, least_ga
     return chosen
 
 
-def scan_matrices(sequences: DataFrame, matrices: dict[int, np.ndarray], cutoff: float, background: float = 0.25) -> DataFrame:
+def scan_matrices(sequences: DataFrame, matrices: dict[int, np.ndarray], cutoff: float, background: float = 0.25, size: int = 65_536) -> DataFrame:
     """``doc_id, wm, pos, strand, score``: places where the log-odds of a matrix (columns x ACGT) reaches the cutoff, on the better strand.
 
-    N counts as the mean of a column. One pass over the whole sequences with the library, whose size the caller bounds, as a broadcast constant.
+    N counts as the mean of a column. Sequences go in chunks of ``size`` letters, each with as many of the next as the widest matrix reaches over its end, so a task never holds a long one. One pass with the library, whose size the caller bounds, as a broadcast constant.
     """
     tables = {}
     for wm, matrix in matrices.items():
@@ -264,12 +265,13 @@ def scan_matrices(sequences: DataFrame, matrices: dict[int, np.ndarray], cutoff:
         table = np.vstack([odds.T, odds.mean(1)]).T  # columns x (A, C, G, T, N)
         tables[wm] = (table, table[::-1][:, [3, 2, 1, 0, 4]])
     shared = sequences.sparkSession.sparkContext.broadcast((tables, letter_codes()))
+    halo = max((len(x) for x in matrices.values()), default=1) - 1
 
     def scan(batches):
         tables, code = shared.value
         for batch in batches:
             rows = []
-            for doc, seq in zip(batch["doc_id"], batch["seq"], strict=True):
+            for doc, origin, seq in zip(batch["doc_id"], batch["origin"], batch["seq"], strict=True):
                 x = code[np.frombuffer((seq or "").encode("latin-1", "replace"), "u1")]
                 for wm, (fwd, rev) in tables.items():
                     n = len(x) - len(fwd) + 1
@@ -277,10 +279,10 @@ def scan_matrices(sequences: DataFrame, matrices: dict[int, np.ndarray], cutoff:
                         continue
                     plus, minus = (sum(t[j, x[j : j + n]] for j in range(len(fwd))) for t in (fwd, rev))
                     top = np.maximum(plus, minus)
-                    rows += [(doc, wm, int(i), "+" if plus[i] >= minus[i] else "-", float(top[i])) for i in np.flatnonzero(top >= cutoff)]
+                    rows += [(doc, wm, origin + int(i), "+" if plus[i] >= minus[i] else "-", float(top[i])) for i in np.flatnonzero(top[:size] >= cutoff)]
             yield pd.DataFrame(rows, columns=["doc_id", "wm", "pos", "strand", "score"]).astype({"strand": object})
 
-    return sequences.select("doc_id", "seq").mapInPandas(scan, "doc_id long, wm long, pos int, strand string, score double")
+    return chunks(sequences, size, halo).mapInPandas(scan, "doc_id long, wm long, pos long, strand string, score double")
 
 
 def letter_codes() -> np.ndarray:

@@ -161,7 +161,7 @@ def _matrices(spark, sf) -> dict[int, np.ndarray]:
 @query("mod8_matrix_scan")
 def mod8(spark, sf):
     """Places of each matrix of the library on either strand, at a log-odds score of at least 6."""
-    return m.scan_matrices(v.sequences(spark, sf), _matrices(spark, sf), cutoff=6.0)
+    return m.scan_matrices(v.sequences(spark, sf), _matrices(spark, sf), cutoff=6.0, size=4096)
 
 
 PRIORS = [0.001, 0.01, 0.05]
@@ -357,28 +357,31 @@ def nearest_offsets(sites, peaks, shuffles: int = SHUFFLES, most: int = SITES):
     """``region_id, copy, off, post``: of each region's sites (``region_id, key, at, post``) the nearest to its peak (``lo, hi, mu``), as it lies (copy 0) and after each shuffle.
 
     In a shuffle each site of a region goes to a random place of it; ``off`` is the distance of the nearest with its sign, ``post`` that one's posterior, ties go to
-    the smaller ``key``, then offset, then posterior. Sites travel once, to a task for each region, and their draws stay there; a region of more than ``most`` sites
-    is split by hash, and only its parts' nearest ones meet again.
+    the smaller ``key``, which is unique in a region and below 2^40 (offsets below 2^21: distance, key and sign are one number, whose minimum needs no sorting). Sites travel once, to a task for each
+    region, and their draws stay there; a region of more than ``most`` sites is split by hash, and only its parts' nearest ones meet again.
     """
     met = sites.join(peaks, "region_id")
     n = met.groupBy("region_id").agg(F.expr(f"1 + count(*) div {most}").alias("parts"))
     dealt = met.join(n, "region_id").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")).repartition("region_id", "part")
     copies = dealt.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(shuffles))))
     place = F.col("lo") + F.pmod(al.draw(17, F.col("key"), F.col("at"), F.col("copy")), F.col("hi") - F.col("lo"))
-    off = F.when(F.col("copy") == 0, F.col("at")).otherwise(place) - F.col("mu")
-    least = F.min(F.struct(F.abs(off).alias("d"), "key", off.alias("off"), "post")).alias("b")
-    near = copies.groupBy("region_id", "part", "parts", "copy").agg(least)
-    whole, cut = near.filter("parts = 1"), near.filter("parts > 1").groupBy("region_id", "copy").agg(F.min("b").alias("b"))
-    return whole.select("region_id", "copy", "b.off", "b.post").unionByName(cut.select("region_id", "copy", "b.off", "b.post"))
+    copies = copies.withColumn("off", F.when(F.col("copy") == 0, F.col("at")).otherwise(place) - F.col("mu"))
+    rank = F.abs("off") * F.lit(2**41) + F.col("key") * 2 + (F.col("off") > 0).cast("long")
+    copies = copies.select("region_id", "part", "parts", "copy", "post", rank.alias("rank"))
+    near = copies.groupBy("region_id", "part", "parts", "copy").agg(F.min("rank").alias("rank"), F.min_by("post", "rank").alias("post"))
+    whole, cut = near.filter("parts = 1"), near.filter("parts > 1").groupBy("region_id", "copy").agg(F.min("rank").alias("rank"), F.min_by("post", "rank").alias("post"))
+    every = whole.select("region_id", "copy", "rank", "post").unionByName(cut)
+    off = F.expr(f"(rank div {2**41}) * if(rank % 2 = 1, 1, -1)")
+    return every.select("region_id", "copy", off.alias("off"), "post")
 
 
 @query(
     "mod20_shuffled_site_distances",
     v.sql("regions sites", f""", p AS (SELECT region_id, start AS lo, "end" AS hi, (start + "end") // 2 AS mu FROM regions),
-  t AS (SELECT s.region_id, l_orderkey * 8 + l_linenumber AS key, p.lo + (s.s + s.e) // 2 AS ps, post, lo, hi, mu FROM sites s JOIN p ON p.region_id = s.region_id WHERE post >= 0.0001),
+  t AS (SELECT s.region_id, (l_orderkey * 8 + l_linenumber) * 16 + row_number() OVER (PARTITION BY s.region_id, l_orderkey, l_linenumber ORDER BY s.s, s.post) AS key, p.lo + (s.s + s.e) // 2 AS ps, post, lo, hi, mu FROM sites s JOIN p ON p.region_id = s.region_id WHERE post >= 0.0001),
   c AS (SELECT *, unnest(range({SHUFFLES + 1})) AS copy FROM t),
   m AS (SELECT region_id, copy, key, post, CASE WHEN copy = 0 THEN ps ELSE lo + ({_DRAW.format(keys="key % 2147483647 * 7919 + ps % 2147483647 * 104729 + copy * 15485863", seed=17)}) % (hi - lo) END - mu AS off FROM c),
-  n AS (SELECT copy > 0 AS shuffled, arg_min(struct_pack(off := off, post := post), struct_pack(d := abs(off), k := key, o := off, p := post)) AS b FROM m GROUP BY region_id, copy),
+  n AS (SELECT copy > 0 AS shuffled, arg_min(struct_pack(off := off, post := post), struct_pack(d := abs(off), k := key)) AS b FROM m GROUP BY region_id, copy),
   e AS (SELECT greatest(2, CAST(floor(sqrt(least(sum(b.post), count(*)))) AS BIGINT)) - 1 AS bins, (SELECT count(*) FROM p) AS peaks FROM n WHERE NOT shuffled)
   SELECT shuffled, least((b.off + 100) * bins // 200, bins - 1) AS bin, round(sum(b.post) / max(peaks) / max(CASE WHEN shuffled THEN {SHUFFLES} ELSE 1 END), 8) AS weight FROM n, e WHERE b.off BETWEEN -100 AND 100 GROUP BY ALL"""),
 )
@@ -386,7 +389,9 @@ def mod20(spark, sf):
     """Offsets of the nearest site from each region's peak within 100, real and nearest of 1000 shuffles, as posterior mass a peak in as many bins as the root of that mass says."""
     peaks = v.regions(spark, sf).selectExpr("region_id", "start as lo", "end as hi", "(start + end) div 2 as mu")
     t = v.sites(spark, sf).filter("post >= 0.0001").join(peaks.select("region_id", "lo"), "region_id")
-    near = nearest_offsets(t.selectExpr("region_id", "l_orderkey * 8 + l_linenumber as key", "lo + (s + e) div 2 as at", "post"), peaks)
+    same = F.row_number().over(Window.partitionBy("region_id", "l_orderkey", "l_linenumber").orderBy("s", "post"))  # sites with one line's number
+    t = t.withColumn("key", (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 16 + same)
+    near = nearest_offsets(t.selectExpr("region_id", "key", "lo + (s + e) div 2 as at", "post"), peaks)
     near = near.groupBy((F.col("copy") > 0).alias("shuffled"), "off").agg(F.sum("post").alias("post"), F.count("*").alias("n")).cache()
     real = near.filter(~F.col("shuffled")).agg(F.greatest(F.lit(1), F.floor(F.sqrt(F.least(F.sum("post"), F.sum("n")))) - 1).alias("bins"))
     all_ = near.join(F.broadcast(real)).join(F.broadcast(peaks.agg(F.count("*").alias("peaks")))).filter("off between -100 and 100")

@@ -31,6 +31,21 @@ def src2(spark, sf):
     return s.read_fasta(spark, _text(v.sequences(spark, sf), spark, "fasta", F.lit(">t"), F.col("doc_id").cast("string"), F.lit(" "), (1 + F.col("doc_id") % 9).cast("string"), F.lit("\n"), two))
 
 
+#: Letters of a chunk, and of the next one's beginning that it has as well.
+CHUNK, HALO = 1000, 15
+
+
+@query(
+    "src2_fasta_chunks",
+    v.sql("sequences", f", c AS (SELECT doc_id, seq, unnest(range((len(seq) - 1) // {CHUNK} + 1)) AS chunk FROM sequences WHERE len(seq) > 0) SELECT 't' || doc_id AS tag_id, 1 + doc_id % 9 AS n, chunk, chunk * {CHUNK} AS origin, substr(seq, CAST(chunk * {CHUNK} + 1 AS INTEGER), {CHUNK + HALO}) AS seq FROM c"),
+)
+def src2_chunks(spark, sf):
+    """Records of many lines, read line by line and put together in chunks, so that a chromosome is never one row."""
+    lines = F.regexp_replace("seq", "(.{60})", "$1\n")
+    path = _text(v.sequences(spark, sf), spark, "fasta", F.lit(">t"), F.col("doc_id").cast("string"), F.lit(" "), (1 + F.col("doc_id") % 9).cast("string"), F.lit("\n"), lines)
+    return s.read_fasta_chunks(spark, path, CHUNK, HALO)
+
+
 @query("src2_tag_table", v.sql("sequences", "SELECT CASE WHEN doc_id % 3 = 0 THEN seq ELSE 't' || doc_id END AS tag_id, CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 1 + doc_id % 9 END AS n, seq FROM sequences WHERE seq IS NOT NULL"))
 def src2_tab(spark, sf):
     """Counted sequences, named sequences, and named counted ones, in one file."""

@@ -55,6 +55,37 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(name.alias("tag_id"), F.coalesce(count, F.lit(1)).alias("n"), sq.normalise(F.replace(body, F.lit("\n"), F.lit(""))).alias("seq"))
 
 
+def read_fasta_chunks(spark: SparkSession, path: str, size: int, halo: int = 0) -> DataFrame:
+    """``tag_id, n, chunk, origin, seq``: each record in chunks of ``size`` letters, each with up to ``halo`` letters of the next, so that no sequence is one row.
+
+    Lines stay lines: each finds the last header before it within its scan block, and blocks (one row each) pass on the header and the letters since then to those behind them. A line then knows its place
+    in its record and goes to the chunks it touches, whose pieces are put together. Records without letters have no chunk. Letters but ACGT become N.
+    """
+    at, block = F.monotonically_increasing_id(), F.col("_metadata.file_block_start")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), block.alias("block"), at.alias("at"), F.regexp_replace("value", r"\s+$", "").alias("value"))
+    head = F.col("value").startswith(">")
+    lines = lines.withColumn("size", F.when(head, 0).otherwise(F.length("value")).cast("long")).withColumn("head", F.when(head, F.struct("at", F.substring("value", 2, 1_000_000).alias("name"))))
+    own = Window.partitionBy("file", "block").orderBy("at")
+    lines = lines.withColumn("sum", F.sum("size").over(own)).withColumn("own", F.last(F.when(head, F.struct("head", "sum")), ignorenulls=True).over(own))
+    blocks = lines.groupBy("file", "block").agg(F.sum("size").alias("all"), F.max_by("own", "at").alias("last"))
+    order = Window.partitionBy("file").orderBy("block")
+    sums = blocks.withColumn("upto", F.sum("all").over(order))
+    since = F.when(F.col("last").isNotNull(), F.struct(F.col("last.head").alias("head"), (F.col("upto") - F.col("all") + F.col("last.sum")).alias("begin")))
+    ahead = sums.select("file", "block", F.last(since, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("past"), (F.col("upto") - F.col("all")).alias("before"))
+    placed = lines.filter(F.col("head").isNull() & (F.col("size") > 0)).join(ahead, ["file", "block"])
+    begin = F.when(F.col("own").isNotNull(), F.col("sum") - F.col("own.sum")).otherwise(F.col("before") + F.col("sum") - F.col("past.begin")) - F.col("size")
+    rows = placed.select("file", F.coalesce("own.head", "past.head").alias("head"), begin.alias("begin"), "value").filter("head is not null")
+    low = F.greatest(F.lit(0).cast("long"), F.floor((F.col("begin") - halo) / size))
+    rows = rows.withColumn("chunk", F.explode(F.sequence(low, F.floor((F.col("begin") + F.length("value") - 1) / size))))
+    first = F.greatest(F.col("begin"), F.col("chunk") * size)
+    last = F.least(F.col("begin") + F.length("value"), (F.col("chunk") + 1) * size + halo)
+    pieces = rows.select("file", "head", "chunk", first.alias("first"), F.substr("value", (first - F.col("begin") + 1).cast("int"), (last - first).cast("int")).alias("part")).filter("part <> ''")
+    whole = pieces.groupBy("file", "head", "chunk").agg(F.array_sort(F.collect_list(F.struct("first", "part"))).alias("p"))
+    name = F.col("head.name")
+    count = F.try_to_number(F.regexp_extract(name, r"\s(\d+)\s*$", 1), F.lit("999999999999")).cast("long")
+    return whole.select(F.split(name, r"\s+")[0].alias("tag_id"), F.coalesce(count, F.lit(1)).alias("n"), "chunk", (F.col("chunk") * size).alias("origin"), sq.normalise(F.array_join("p.part", "")).alias("seq"))
+
+
 def read_tag_table(spark: SparkSession, path: str) -> DataFrame:
     """``tag_id, n, seq`` of a table by tabs: ``seq``, ``id seq``, ``id seq n`` or ``seq n`` (the second field a number); letters but ACGT become N."""
     f = spark.read.text(path).filter("trim(value) <> ''").select(F.split("value", "\t").alias("f"))
