@@ -220,3 +220,40 @@ def test_fasta_over_scan_blocks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
         spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_z_histogram_matches_its_rows(spark):
+    """The histogram of z against the rows it counts, and the elbow against the curve it is read from."""
+    from tidemark.plans import q_models as q
+
+    sf = "/root/testdata/sf0.001"
+    rows = q._scored(spark, sf).select("z", "post").toPandas()
+    at = np.clip(np.floor((rows["z"] + 10) * 10), 0, 200).astype(int)
+    got = {r["bin"]: r for r in q.mod4(spark, sf).collect()}
+    assert len(got) == 201
+    for k in range(201):
+        own = rows["post"][at == k]
+        assert abs(got[k]["share"] - len(own) / len(rows)) < 1e-6 and abs(got[k]["enriched"] - own.sum() / len(rows)) < 1e-6 and abs(got[k]["background"] - (len(own) - own.sum()) / len(rows)) < 2e-6
+    scores = np.round(np.array([r["score"] for r in q.v.regions(spark, sf).select("score").collect()]), 1)
+    x = np.unique(scores)
+    y = np.log([(scores >= v).sum() for v in x])
+    cut = {r["kind"]: r["cutoff"] for r in q.win3(spark, sf).collect()}
+    assert abs(cut["plain"] - m.elbow(x, y, 3.0)) < 1e-9 and abs(cut["log"] - m.elbow(x, y, None, size=1000, log_x=True)) < 1e-9 and 2 <= cut["z"] <= 5
+
+
+def test_beta_matches_bisection(spark):
+    """The query's beta of each motif against a plain bisection on the same counts."""
+    from tidemark.plans import q_models as q
+
+    sf = "/root/testdata/sf0.001"
+    sums = q.v.sites(spark, sf).groupBy("region_id", "wm").agg(F.sum("post").alias("n"))
+    counts = sums.join(q.v.regions(spark, sf).select("region_id", (F.col("end") - F.col("start")).alias("len")), "region_id").toPandas()
+    for r in q.mod10(spark, sf).collect():
+        own = counts[counts["wm"] == r["wm"]]
+        n, size = own["n"].to_numpy(), own["len"].to_numpy("f8")
+        slope = lambda b: (size / (n + b * size)).sum() - len(n) * size.sum() / (n.sum() + b * size.sum())  # noqa: B023, E731
+        lo, hi = 1e-12, 1000.0
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if slope(mid) > 0 else (lo, mid)
+        assert abs(r["beta"] - hi) < 1e-5 + 1e-6 * hi
