@@ -144,6 +144,7 @@ def mod7_refit(spark, sf):
         F.concat("region_id", F.lit(".p"), "k").alias("peak_id"), "chrom", (F.col("origin") + F.floor(F.col("mu") - F.col("sigma"))).alias("start"), (F.col("origin") + F.floor(F.col("mu") + F.col("sigma"))).alias("end"),
         "height", F.col("sigma").alias("sd"), F.col("uniform").alias("back"),
     )
+    peaks = iv.written(peaks, "peaks")  # the fits are read several times
     z = m.peak_z(peaks, windows(spark, sf), ["fg_0", "fg_1"], ["bg_0", "bg_1"], fragment=60.0, width=500.0, sigma=math.sqrt(noise["q"] / 2), mu=noise["mu"])
     return z.select("peak_id", "chrom", "start", "end", F.round("height", 4).alias("height"), F.round("z", 3).alias("z")).orderBy(F.desc("z"), "peak_id").limit(2000)
 
