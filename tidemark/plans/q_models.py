@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
