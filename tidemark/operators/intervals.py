@@ -7,6 +7,7 @@ lies, once. Rows of one busy sequence so spread over its bins, and no plan has a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 from operator import and_, or_
@@ -19,6 +20,8 @@ from ..sources import scratch
 
 #: Positions in a bin of the overlap joins, unless the caller says how long its intervals are.
 BIN = 1000
+#: What listing a row under a bin costs, in tested pairs.
+LISTING = 16
 #: Positions that one task sweeps in order.
 TILE = 10_000
 
@@ -27,10 +30,29 @@ def _binned(df: DataFrame, start: Column, end: Column, width: int, name: str) ->
     return df.withColumn(name, F.explode(F.sequence(F.floor(start / width), F.floor((F.greatest(end, start + 1) - 1) / width))))
 
 
+def bin_width(left: DataFrame, right: DataFrame, key: str = "chrom") -> int:
+    """Positions in a bin that suit how long and how dense the intervals of both sides lie, from one pass over each (the driver gets a row a side).
+
+    A row is listed about 1 + length / width times, and bins propose about 2 width / (both mean lengths) more pairs than there are. Listing a row
+    costs ``LISTING`` times what testing a pair does; the width is where the sum of both is least: wide bins for sparse intervals, narrow ones for dense. It
+    isn't below an eighth of the longer mean, so no more than nine copies of a side move on average.
+    """
+
+    def measured(df: DataFrame):
+        span = df.groupBy(key).agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("long"), (F.max("end") - F.min("start")).alias("span"))
+        return span.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("long"), F.lit(0)).alias("long"), F.coalesce(F.sum("span"), F.lit(0)).alias("span")).first()
+
+    a, b = measured(left), measured(right)
+    if not a["n"] or not b["n"]:
+        return BIN
+    best = math.sqrt(LISTING * (a["long"] + b["long"]) * max(a["span"], b["span"]) / (2 * a["n"] * b["n"]))
+    return max(1, math.ceil(max(best, a["long"] / a["n"] / 8, b["long"] / b["n"] / 8)))
+
+
 def overlaps(left: DataFrame, right: DataFrame, key: str = "chrom", width: int = BIN, least: int = 1, stranded: bool = False) -> DataFrame:
     """All pairs of a left and a right row that share at least ``least`` positions (and the strand, if ``stranded``).
 
-    The right columns are prefixed with ``r_``.
+    The right columns are prefixed with ``r_``. ``width``: positions in a bin; :func:`bin_width` measures one.
     """
     r = right.select([F.col(c).alias(f"r_{c}") for c in right.columns])
     a = _binned(left, F.col("start"), F.col("end"), width, "_bin")
@@ -70,12 +92,24 @@ def _opened(df: DataFrame, keys: list[str], slack: int, tile: int) -> DataFrame:
 def merge(df: DataFrame, keys: list[str], slack: int = 0, tile: int = TILE) -> DataFrame:
     """Rows with ``island``: the start of the merged run, within ``keys``, of intervals that touch or are at most ``slack`` apart.
 
-    A busy sequence is swept in tiles of ``tile`` positions; each takes up the largest end and the open run of the tiles before.
+    A busy sequence is swept in tiles of ``tile`` positions; each takes up the largest end and the open run of the tiles before, both
+    from one summary of a row a tile.
     """
-    first = F.when(F.col("_opens"), F.col("start"))
-    rows = _tiled(_opened(df, keys, slack, tile), keys, "start", tile, {"_run": F.max(first)})
-    order = Window.partitionBy(*keys, "_tile").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("island", F.greatest(F.max(first).over(order), "_run")).drop("_opens", "_before", "_run", "_tile")
+    at = [*keys, "_tile"]
+    rows = df.withColumn("_tile", F.floor(F.col("start") / tile).cast("long"))
+    order = Window.partitionBy(*at).orderBy("start", "end")
+    own = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # What opens a run in its tile opens one of the sequence if it lies behind the largest end of the tiles before, too.
+    rows = rows.withColumn("_local", F.when(own.isNull() | (F.col("start") > own + slack), F.col("start")))
+    tiles = rows.groupBy(*at).agg(F.max("end").alias("_end"), F.max("_local").alias("_last"))
+    ahead = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    tiles = tiles.withColumn("_carried", F.max("_end").over(ahead))
+    opener = F.when(F.col("_carried").isNull() | (F.col("_last") > F.col("_carried") + slack), F.col("_last"))
+    carried = tiles.select(*[F.col(k).alias(f"_{i}_key") for i, k in enumerate(at)], "_carried", F.max(opener).over(ahead).alias("_run"))
+    rows = rows.join(carried, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}_key")) for i, k in enumerate(at)]))
+    opens = F.when(F.col("_carried").isNull() | (F.col("_local") > F.col("_carried") + slack), F.col("_local"))
+    island = F.greatest(F.max(opens).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_run")
+    return rows.select(*df.columns, island.alias("island"))
 
 
 def clusters(df: DataFrame, keys: list[str], id_col: str, joins: Callable[[int, int, int, int], bool], tile: int = TILE) -> DataFrame:

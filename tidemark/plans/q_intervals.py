@@ -66,12 +66,18 @@ def fil12(spark, sf):
     return v.regions(spark, sf).select("region_id", "chrom", F.greatest(F.lit(0), mid - 250).alias("start"), (mid + 250).alias("end"))
 
 
+def read_regions(spark, sf, **how):
+    """All reads with the regions they overlap, by bins as wide as suits both."""
+    reads, regions = v.reads(spark, sf), v.regions(spark, sf)
+    return iv.overlaps(reads, regions, width=iv.bin_width(reads, regions), **how)
+
+
 @query(
     "joi1_overlap_join",
     v.sql("reads regions", """SELECT r.event_id, g.region_id FROM reads r JOIN regions g ON r.chrom = g.chrom AND r.start < g."end" AND g.start < r."end" """),
 )
 def joi1(spark, sf):
-    return iv.overlaps(v.reads(spark, sf), v.regions(spark, sf)).select("event_id", F.col("r_region_id").alias("region_id"))
+    return read_regions(spark, sf).select("event_id", F.col("r_region_id").alias("region_id"))
 
 
 @query(
@@ -80,7 +86,7 @@ def joi1(spark, sf):
   JOIN regions g ON r.chrom = g.chrom AND r.strand = g.strand AND least(r."end", g."end") - greatest(r.start, g.start) >= 20"""),
 )
 def joi2(spark, sf):
-    found = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf), least=20, stranded=True)
+    found = read_regions(spark, sf, least=20, stranded=True)
     return found.select("event_id", F.col("r_region_id").alias("region_id"), (F.least("end", "r_end") - F.greatest("start", "r_start")).alias("shared"))
 
 
@@ -262,7 +268,7 @@ _PILE = """, pairs AS (SELECT g.region_id, g.start AS gs, g."end" AS ge, r.start
 
 
 def _pairs(spark, sf):
-    found = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf))
+    found = read_regions(spark, sf)
     return found.select(F.col("r_region_id").alias("region_id"), F.col("r_start").alias("gs"), F.col("r_end").alias("ge"), F.col("start").alias("rs"), F.col("end").alias("re"), "weight", "replicate")
 
 
@@ -418,7 +424,7 @@ def fun2(spark, sf):
   FROM reads r JOIN regions g ON r.chrom = g.chrom AND r.start < g."end" AND g.start < r."end" """),
 )
 def fun3(spark, sf):
-    found, plus = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf)), F.col("r_strand") == "+"
+    found, plus = read_regions(spark, sf), F.col("r_strand") == "+"
     return found.select(
         "event_id", F.col("r_region_id").alias("region_id"), F.when(F.col("strand") == F.col("r_strand"), "+").otherwise("-").alias("strand"),
         F.when(plus, F.col("start") - F.col("r_start")).otherwise(F.col("r_end") - F.col("end")).alias("start"),

@@ -14,7 +14,7 @@ from ..operators import models as m
 from ..operators import motifs as mt
 from ..operators.synteny import best_runs
 from . import views as v
-from .q_intervals import _WINDOWS, windows
+from .q_intervals import _WINDOWS, read_regions, windows
 from .q_scores import _DIST, _IC, _SIM, QUERY_EVERY, columns_of, information, region_posteriors
 from .registry import query
 
@@ -86,7 +86,7 @@ def mod4(spark, sf):
 
 
 def _profiles(spark, sf):
-    found = iv.overlaps(v.reads(spark, sf), v.regions(spark, sf))
+    found = read_regions(spark, sf)
     pairs = found.select(F.col("r_region_id").alias("region_id"), F.col("r_start").alias("gs"), F.col("r_end").alias("ge"), F.col("start").alias("rs"), F.col("end").alias("re"), "weight")
     return iv.coverage(pairs, "region_id", "gs", "ge", "rs", "re", "weight")
 
