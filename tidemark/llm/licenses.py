@@ -33,10 +33,10 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
-#: Stems of which each template has one; a text without any has no candidate block.
-STEMS = ("licens", "permission", "redistribut", "public domain", "waived all copyright")
 #: Words of a template that may be missing, added or replaced in a match, as a share of its words.
 TOLERANCE = 0.25
+#: Places that are judged together: a block without a match is not judged again for the places this close behind.
+STRIDE = 16
 
 WORD = re.compile(r"[\w.+:/-]*\w")
 
@@ -70,112 +70,154 @@ def window(block: list[str], template: list[str]) -> tuple[int, int, list[tuple[
     return start, end, differences
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, stems: tuple[str, ...] = STEMS, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+class Seeds:
+    """Where a text can begin to match a template, told by the templates' own runs of two words.
+
+    A match with k changed words of a template's m leaves at least m - 1 - 2k of its runs of two words (a stretch of c changed words breaks at most
+    c + 1 of them, an insertion one) within m + k words. If that bound says nothing, m - k of its words are left. So a place begins a stretch
+    that holds as many runs (words) of one template as any match leaves it; no match is without one.
+    """
+
+    def __init__(self, worded: dict[str, list[str]], tolerance: float) -> None:
+        self.pairs: dict[tuple[str, str], list[int]] = {}
+        self.single: dict[str, list[int]] = {}
+        self.need: list[tuple[int, int]] = []
+        for k, own in enumerate(worded.values()):
+            changes = math.floor(tolerance * len(own))
+            left = len(own) - 1 - 2 * changes
+            if left > 0:
+                for pair in set(zip(own, own[1:])):
+                    self.pairs.setdefault(pair, []).append(k)
+            else:
+                left = max(1, len(own) - changes)
+                for word in set(own):
+                    self.single.setdefault(word, []).append(k)
+            self.need.append((left, len(own) + changes))
+
+    def places(self, own: list[str]) -> list[int]:
+        """Word numbers, ascending, of all places in ``own``."""
+        hits: list[list[int]] = [[] for _ in self.need]
+        for table, items in ((self.pairs, zip(own, own[1:])), (self.single, own)):
+            if table:
+                for i, item in enumerate(items):
+                    if item in table:
+                        for k in table[item]:
+                            hits[k].append(i)
+        found = set()
+        for (need, reach), at in zip(self.need, hits, strict=True):
+            found.update(first for first, last in zip(at, at[need - 1 :]) if last - first < reach)
+        return sorted(found)
+
+
+def finder(chosen: dict[str, str], tolerance: float):
+    """A function from a text to its notices, for one task: ``block, license, reduction, n_changed, differences, matched`` in the text's order (see :func:`scan`)."""
+    import zstandard as z
+
+    raw = {name: z.ZstdCompressionDict(text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT) for name, text in chosen.items()}
+    options = {"level": 19, "write_checksum": False, "write_content_size": False, "write_dict_id": False}
+    plain = z.ZstdCompressor(**options)
+    by_name = {name: z.ZstdCompressor(dict_data=d, **options) for name, d in raw.items()}
+    worded = {name: words(text) for name, text in chosen.items()}
+    counted = {name: Counter(own) for name, own in worded.items()}
+    reach = math.ceil((1 + tolerance) * max(map(len, worded.values()), default=0))
+    seeds = Seeds(worded, tolerance)
+    known: dict[tuple, tuple | None] = {}
+
+    def saving(block: str, names: list[str]) -> dict[str, float]:
+        data = block.encode()
+        alone = len(plain.compress(data))
+        return {name: (alone - len(by_name[name].compress(data))) / alone for name in names}
+
+    def judge(block: str, own: list[str]) -> tuple | None:
+        there = Counter(own)
+        # A template of which more words than the tolerance are nowhere in the block can't win.
+        able = [name for name, c in counted.items() if c.total() - (c & there).total() <= tolerance * c.total()]
+        saved = saving(block, able) if able else {}
+        for name in sorted(saved, key=lambda name: (-saved[name], name)):
+            start, end, differences = window(own, worded[name])
+            changed = sum(max(len(a.split()), len(b.split())) for a, b in differences)
+            if changed <= tolerance * len(worded[name]):
+                return name, start, end, changed, [f"{a} -> {b}" for a, b in differences]
+        return None
+
+    def notices(text: str) -> list[tuple]:
+        lower = text.lower()
+        # Some letters become two in lower case, which may part a word.
+        own = WORD.findall(lower) if len(lower) == len(text) else [w.lower() for w in WORD.findall(text)]
+        places = seeds.places(own)
+        if not places:
+            return []
+        spans = [m.span() for m in WORD.finditer(text)]
+        lines = text.split("\n")
+        begins = [0]
+        for line in lines:
+            begins.append(begins[-1] + len(line) + 1)
+        found = []
+
+        def best(a: int, b: int) -> tuple | None:
+            block = text[spans[a][0] : spans[b - 1][1]]
+            if block not in known:
+                if len(known) > 10_000:
+                    known.clear()
+                known[block] = judge(block, own[a:b])
+            if won := known[block]:
+                return won[0], a + won[1], a + won[2], *won[3:]
+            return None
+
+        def search(low: int, high: int, places: list[int]) -> None:
+            ahead = low
+            for place in places:
+                if place < max(low, ahead):
+                    continue
+                while low <= place:
+                    a, b = max(low, place - reach), min(high, place + STRIDE + reach)
+                    if not (won := best(a, b)):
+                        ahead = place + STRIDE
+                        break
+                    if low < a or b < high:  # what the block cut off may belong to the match
+                        won = best(max(low, won[1] - reach), min(high, won[2] + reach)) or won
+                    won = best(won[1], won[2]) or won  # templates that differ in a word rank by the match alone
+                    name, start, end, changed, differences = won
+                    if low < start:
+                        search(low, start, places[bisect.bisect_left(places, low) : bisect.bisect_left(places, start)])
+                    first, last = (bisect.bisect_right(begins, spans[p][0]) - 1 for p in (start, end - 1))
+                    lines_ = "\n".join(lines[first : last + 1]).strip()
+                    found.append((first, name, saving(lines_, [name])[name], changed, differences, " ".join(own[start:end])))
+                    low = end
+
+        search(0, len(own), places)
+        return found
+
+    return notices
+
+
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, block, license, reduction, n_changed, differences, matched`` for each notice that words a license.
 
-    Around each of the ``stems`` the words of consecutive lines, as far as the longest template reaches on either side, are
-    a candidate. zstandard compresses it plain and
+    Candidates begin where the text holds as many of a template's own runs of two words as any match leaves (:class:`Seeds`), and hold the
+    words as far as the longest template reaches on either side. zstandard compresses a candidate plain and
     with each template as a raw dictionary; the templates are ranked by the share of bytes saved. From the best on, the
     exact differences in words decide: the first template within ``tolerance`` wins. What lies before and behind the
     match is judged again, so several notices in a line or a wrapped one amid text each have a row. ``block`` is
     the line (numbered from 0, empty ones too) in which the match begins, ``reduction`` the share of bytes saved on the lines it
     spans, ``matched`` its wording; ``differences`` pairs what is missing with what stands there instead.
 
-    ``stems`` must cover ``templates``: a template without any of them is refused. Null and empty texts have no rows;
-    repeated rows and null ids are scanned each for itself; other columns are not carried. Whole texts.
+    A template without words is refused, and a tolerance outside 0 to below 1. Null and empty texts have no rows; repeated rows and null ids are scanned each for itself; other columns are not carried. Whole texts.
     """
     chosen = TEMPLATES if templates is None else templates
+    if not 0 <= tolerance < 1:
+        raise ValueError(f"tolerance {tolerance} is not from 0 to below 1")
     for name, text in chosen.items():
-        if not any(stem in text.lower() for stem in stems):
-            raise ValueError(f"no stem finds the template {name!r}")
+        if not words(text):
+            raise ValueError(f"the template {name!r} has no words")
 
     def make():
-        import zstandard as z
-
-        raw = {name: z.ZstdCompressionDict(text.encode(), dict_type=z.DICT_TYPE_RAWCONTENT) for name, text in chosen.items()}
-        options = {"level": 19, "write_checksum": False, "write_content_size": False, "write_dict_id": False}
-        plain = z.ZstdCompressor(**options)
-        by_name = {name: z.ZstdCompressor(dict_data=d, **options) for name, d in raw.items()}
-        worded = {name: words(text) for name, text in chosen.items()}
-        counted = {name: Counter(own) for name, own in worded.items()}
-        reach = math.ceil((1 + tolerance) * max(map(len, worded.values()), default=0))
-        known: dict[tuple, tuple | None] = {}
-
-        def saving(block: str, names: list[str]) -> dict[str, float]:
-            data = block.encode()
-            alone = len(plain.compress(data))
-            return {name: (alone - len(by_name[name].compress(data))) / alone for name in names}
-
-        def judge(block: str, own: list[str]) -> tuple | None:
-            there = Counter(own)
-            # A template of which more words than the tolerance are nowhere in the block can't win.
-            able = [name for name, c in counted.items() if c.total() - (c & there).total() <= tolerance * c.total()]
-            saved = saving(block, able) if able else {}
-            for name in sorted(saved, key=lambda name: (-saved[name], name)):
-                start, end, differences = window(own, worded[name])
-                changed = sum(max(len(a.split()), len(b.split())) for a, b in differences)
-                if changed <= tolerance * len(worded[name]):
-                    return name, start, end, changed, [f"{a} -> {b}" for a, b in differences]
-            return None
-
-        def notices(text: str) -> list[tuple]:
-            """``block, license, reduction, n_changed, differences, matched`` in the text's order."""
-            spans = [m.span() for m in WORD.finditer(text)]
-            own = [text[a:b].lower() for a, b in spans]
-            offsets = [0]
-            for w in own:
-                offsets.append(offsets[-1] + len(w) + 1)
-            joined, at = " ".join(own), set()
-            for stem in stems:
-                k = joined.find(stem)
-                while k >= 0:
-                    at.add(bisect.bisect_right(offsets, k) - 1)
-                    k = joined.find(stem, k + 1)
-            lines = text.split("\n")
-            begins = [0]
-            for line in lines:
-                begins.append(begins[-1] + len(line) + 1)
-            found = []
-
-            def best(a: int, b: int) -> tuple | None:
-                block = text[spans[a][0] : spans[b - 1][1]]
-                if block not in known:
-                    if len(known) > 10_000:
-                        known.clear()
-                    known[block] = judge(block, own[a:b])
-                if won := known[block]:
-                    return won[0], a + won[1], a + won[2], *won[3:]
-                return None
-
-            def search(low: int, high: int, places: list[int]) -> None:
-                for place in places:
-                    if place < low:
-                        continue
-                    while low <= place:
-                        a, b = max(low, place - reach), min(high, place + reach)
-                        if not (won := best(a, b)):
-                            break
-                        if low < a or b < high:  # what the block cut off may belong to the match
-                            won = best(max(low, won[1] - reach), min(high, won[2] + reach)) or won
-                        won = best(won[1], won[2]) or won  # templates that differ in a word rank by the match alone
-                        name, start, end, changed, differences = won
-                        if low < start:
-                            search(low, start, [p for p in places if low <= p < start])
-                        first, last = (bisect.bisect_right(begins, spans[p][0]) - 1 for p in (start, end - 1))
-                        lines_ = "\n".join(lines[first : last + 1]).strip()
-                        found.append((first, name, saving(lines_, [name])[name], changed, differences, " ".join(own[start:end])))
-                        low = end
-
-            search(0, len(own), sorted(at))
-            return found
+        notices = finder(chosen, tolerance)
 
         def function(columns):
             out = {k: [] for k in ("id", "block", "license", "reduction", "n_changed", "differences", "matched")}
             for doc, text in zip(columns["id"], columns["text"], strict=True):
-                lower = text.lower() if text else ""
-                if not any(all(part in lower for part in stem.split()) for stem in stems):
-                    continue
-                for row in notices(text):
+                for row in notices(text or ""):
                     for name, value in zip(out, (doc, *row), strict=True):
                         out[name].append(value)
             return out
