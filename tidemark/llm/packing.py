@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import os
 import sys
 import zlib
@@ -62,13 +63,14 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int,
     return [kind for kinds in open_by_room.values() for kind in kinds]
 
 
-def fillings(counts: dict[int, int], lengths: list[int], room: int, most: int) -> list[tuple[int, dict[int, int]]]:
+def fillings(counts: dict[int, int], lengths: list[int], room: int, most: int | None) -> list[tuple[int, dict[int, int]]]:
     """Undominated ``(waste, {length: pieces})`` of ``room``, least waste first, from ``lengths`` in descending order.
 
     A filling is dominated if a further piece fits into its waste, or if a larger piece could take the place of one of
     its own; a piece that fills the room whole dominates all smaller ones at that step. Fillings are enumerated from the largest pieces
-    down; ``most`` of them, and the fullest one of all (by the sums that can be reached), are enough for a branch.
+    down; ``most`` of them, and the fullest one of all (by the sums that can be reached), are enough for a branch. None: all of them.
     """
+    most = math.inf if most is None else most
     down = [-x for x in lengths]
     found: dict[tuple[int, ...], int] = {}
     steps = [LOOKS * most]
@@ -126,15 +128,60 @@ def _fullest(counts: dict[int, int], lengths: list[int], room: int) -> tuple[int
     return tuple(sorted(chosen, reverse=True)) if chosen else None
 
 
-def plan(counts: dict[int, int], capacity: int, steps: int = SEARCH_STEPS) -> list[tuple[int, dict[int, int]]]:
+def fewest(counts: dict[int, int], capacity: int, kinds: list[tuple[int, dict[int, int]]]) -> list[tuple[int, dict[int, int]]]:
+    """Kinds of sequences for all pieces of which there can't be fewer: ``kinds`` if they are as few, else better ones.
+
+    Bin completion without bounds: every undominated filling around the largest piece left, one sequence at a time. Branches end where the volume left needs
+    as many sequences as the incumbent has, or where the same pieces were left before after as few sequences. Time and memory may grow
+    exponentially with the pieces, where the volume bound isn't met; it is for small or easy histograms.
+    """
+    total = sum(x * n for x, n in counts.items())
+    bound, best, found = -(-total // capacity), sum(t for t, _ in kinds), None
+    seen: dict[tuple, int] = {}
+
+    def choices(left: tuple) -> list[tuple[int, dict[int, int]]]:
+        """Undominated fillings with the largest piece in them, those that waste most first: the last is taken first."""
+        largest, counts = left[0][0], dict(left)
+        counts[largest] -= 1
+        fit = [x for x, n in counts.items() if n and x <= capacity - largest]
+        around = fillings(counts, fit, capacity - largest, None) or [(capacity - largest, {})]
+        return [(waste, Counter({largest: 1}) + Counter(filling)) for waste, filling in reversed(around)]
+
+    # Open branches: pieces left, their volume, sequences so far and the last one of them with those before it.
+    branches = [(tuple(sorted(((x, n) for x, n in counts.items() if n), reverse=True)), total, 0, None)]
+    while branches and best > bound:
+        left, volume, bins, made = branches.pop()
+        if not left:
+            if bins < best:
+                best, found = bins, made
+            continue
+        if bins - (-volume // capacity) >= best or seen.get(left, math.inf) <= bins:
+            continue
+        seen[left] = bins
+        for waste, filling in choices(left):
+            after = tuple((x, n - filling[x]) for x, n in left if n > filling[x])
+            branches.append((after, volume - capacity + waste, bins + 1, (filling, made)))
+    if found is None:
+        return kinds
+    times: Counter = Counter()
+    while found:
+        times[tuple(sorted(found[0].items()))] += 1
+        found = found[1]
+    return [(n, dict(filling)) for filling, n in times.items()]
+
+
+def plan(counts: dict[int, int], capacity: int, steps: int | None = SEARCH_STEPS) -> list[tuple[int, dict[int, int]]]:
     """Kinds of sequences ``(times, {length: pieces})`` that hold all pieces in as few sequences as the search finds.
 
     The incumbent comes from best fit. If it misses the volume bound, bin completion looks for better: it enumerates
     the undominated fillings around the largest piece left, takes each as often as the histogram allows, then half, a quarter ... as
     often, so that the pieces can be shared between fillings, and gives up a branch when its waste would need as many sequences as
     the incumbent has. Branches with few departures from the first filling in full number come first (none, then one, two ...).
-    ``steps`` bounds the search; the incumbent stays when they are used up.
+    ``steps`` bounds the search; the incumbent stays when they are used up. None: after as many steps as by default it goes on without bounds
+    until no plan can be shorter (:func:`fewest`).
     """
+    if steps is None:
+        return fewest(counts, capacity, plan(counts, capacity))
     counts = {x: n for x, n in counts.items() if n > 0}
     if not counts:
         return []
@@ -280,13 +327,13 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, separator: int = 0,
     return map_rows(rows, schema, make).withColumnRenamed("id", id_col)
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, separator: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, separator: int = 0, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True, steps: int | None = SEARCH_STEPS) -> DataFrame:
     """Every piece of ``pieces`` with ``sequence_id`` and ``offset``: all documents in as few sequences as can be found.
 
     Texts are tokenised once and only the pieces go to a table. The driver gets the histogram of lengths, of at most
     ``capacity`` rows at any size of input, and plans how often each kind of sequence occurs; pieces of one length then
     take the planned places by their rank, which is counted in hash buckets, so that a length that very many pieces
-    share is numbered by many tasks. With ``keep_ids`` false the ids themselves cross no shuffle.
+    share is numbered by many tasks. ``steps`` bounds the planning (None: until no fewer sequences are possible). With ``keep_ids`` false the ids themselves cross no shuffle.
 
     Null texts are empty; repeated rows, ties and null ids are separate documents; other columns are not carried; an
     empty table gives no rows.
@@ -295,7 +342,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, separator: int
     made = table(pieces(docs, vocabulary, capacity, separator, id_col, text_col, keep_ids), "pieces")
     counts = {row["length"]: row["count"] for row in made.groupBy("length").count().collect()}
     buckets = max(1, sum(counts.values()) // NUMBERED)
-    laid = spark.sparkContext.broadcast(places(plan(counts, capacity)))
+    laid = spark.sparkContext.broadcast(places(plan(counts, capacity, steps)))
 
     own = made.withColumn("_bucket", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     sizes = own.groupBy("length", "_bucket").count()
