@@ -517,6 +517,36 @@ def test_top_k_deals_packs(spark, monkeypatch):
     assert max(r["count"] for r in groups.collect()) <= 3 < packed.select("pack").distinct().count()
 
 
+def test_top_k_floors(spark, monkeypatch):
+    """Waves of small blocks, with floors from those before: the answers of brute force, ties, short lengths and few candidates included."""
+    rng = np.random.default_rng(17)
+    rows = [(i, rng.integers(-3, 4, 40).astype("f8").tolist()) for i in range(700)]  # whole numbers: many equal scores
+    rows += [(700 + i, rows[i % 5][1]) for i in range(60)] + [(800 + i, rng.normal(size=3).tolist()) for i in range(7)]
+    rows += [(900, [1.0, 2.0]), (901, [3.0, 4.0]), (902, [5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: np.floor(256 * np.array(v)).astype("i8") for i, v in rows}
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 50)
+    monkeypatch.setattr(vectors, "WAVE", 3)
+    got = {}
+    for r in vectors.top_k(df, df, k=6).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q, x in whole.items():
+        want = sorted((-int(x @ y), i) for i, y in whole.items() if i != q and len(y) == len(x))[:6]
+        assert sorted(got.get(q, [])) == [(n + 1, i, -s) for n, (s, i) in enumerate(want)]
+
+
+def test_floors_drop_rows():
+    """Rows below a floor leave before the last dimensions, those that reach it stay."""
+    rows = np.eye(64, dtype="i8") * 10
+    asked = np.full((1, 64), 3, "i8")
+    asked[0, 0] = 5
+    every = list(vectors.search_block(asked, np.array([99]), rows, np.arange(64), 2, np.array([vectors.NO_FLOOR])))
+    assert every == [(99, 0, 50), (99, 1, 30)]
+    assert list(vectors.search_block(asked, np.array([99]), rows, np.arange(64), 2, np.array([50]))) == [(99, 0, 50)]
+    assert not list(vectors.search_block(asked, np.array([99]), rows, np.arange(64), 2, np.array([51])))
+
+
 def test_queries_match_sql(spark):
     import duckdb
 

@@ -17,6 +17,10 @@ from .common import components, map_rows, table
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
 #: Packs of queries that one task takes to a block.
 PACKS_AT_ONCE = 8
+#: The floor of a query that has fewer than k answers so far.
+NO_FLOOR = -(2**63)
+#: Blocks that a wave of the search takes up, as a multiple of those before it: what a wave finds bounds the next one.
+WAVE = 16
 #: Dimensions that are accumulated between two prunings.
 DIM_BLOCK = 16
 #: Vectors of one cell, and probes into it, that one task compares.
@@ -36,11 +40,12 @@ def _matrix(column: pd.Series, dims: int) -> np.ndarray:
     return np.stack(column.to_list()) if len(column) else np.zeros((0, dims), "i8")
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int) -> Iterator[tuple[int, int, int]]:
-    """``query, row, score`` of the k best rows of this block for each query; ties go to the smaller id.
+def search_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray, k: int, floors: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """``query, row, score`` of the k best rows of this block for each query, as far as they reach its floor; ties go to the smaller id.
 
     Rows lie column by column. After each block of dimensions a row's score lies within its partial sum plus or minus
-    the product of what is left of both norms; rows whose upper end is below the k-th best lower end leave.
+    the product of what is left of both norms; rows whose upper end is below the k-th best lower end, or below the ``floors`` (the k-th best
+    scores of other blocks, NO_FLOOR if there are fewer), leave.
     """
     n, dims = rows.shape
     peak = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * dims
@@ -58,24 +63,29 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, r
             part = columns[cuts[step] : cut]
             part = part if len(alive) == n else part[:, alive]
             partial = partial + q[cuts[step] : cut] @ part
-            if cut < dims and len(alive) > k:
+            if cut < dims and len(alive) > 0:
                 slack = np.sqrt(np.square(q[cut:].astype("f8")).sum()) * left[step][alive] * (1 + 1e-9) + 1
-                worst = np.partition(partial - slack, len(alive) - k)[len(alive) - k]
+                worst = float(floors[i])
+                if len(alive) > k:
+                    worst = max(worst, np.partition(partial - slack, len(alive) - k)[len(alive) - k])
                 stay = partial + slack >= worst
                 alive, partial = alive[stay], partial[stay]
         scores = partial.astype("i8")
+        stay = scores >= floors[i]
+        alive, scores = alive[stay], scores[stay]
         for j in np.lexsort((row_ids[alive], -scores))[:k]:
             yield int(query_ids[i]), int(row_ids[alive[j]]), int(scores[j])
 
 
-def deal(rows: DataFrame, n_rows: int, asked: DataFrame, n_asked: int) -> tuple[DataFrame, DataFrame]:
-    """Packs of queries and rows with the groups (block, dims, some) in which they meet: each pack and block in one of them."""
-    blocks, packs = max(1, -(-n_rows // BLOCK_ROWS)), max(1, -(-n_asked // QUERY_ROWS))
+def deal(rows: DataFrame, asked: DataFrame, blocks: int, packs: int, first: int, last: int) -> tuple[DataFrame, DataFrame]:
+    """Packs of queries and rows of the blocks ``first`` to ``last`` with the groups (block, dims, some) in which they meet: each pack and block in one of them."""
     groups = -(-packs // PACKS_AT_ONCE)
     asked = asked.withColumn("pack", F.pmod(F.xxhash64("id"), F.lit(packs)).cast("int"))
-    packed = asked.groupBy("pack", "dims").agg(F.collect_list("id").alias("ids"), F.flatten(F.collect_list("v")).alias("vs"))
-    packed = packed.withColumn("some", F.pmod("pack", F.lit(groups))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    # One list of structs keeps a query's id, floor and vector in one place.
+    lists = F.collect_list(F.struct("id", "floor", "v"))
+    packed = asked.groupBy("pack", "dims").agg(lists.alias("l")).select("pack", "dims", F.col("l.id").alias("ids"), F.col("l.floor").alias("floors"), F.flatten("l.v").alias("vs"))
+    packed = packed.withColumn("some", F.pmod("pack", F.lit(groups))).withColumn("block", F.explode(F.sequence(F.lit(first), F.lit(last))))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).filter(F.col("block").between(first, last))
     return packed, rows.withColumn("some", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
 
 
@@ -87,8 +97,9 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
     part, nor do candidates of another length than the query's; rows with one id twice are two candidates.
 
     Candidates are dealt by hash into blocks of about BLOCK_ROWS, the stated queries into packs of QUERY_ROWS, and every
-    pack meets every block once, in a group of one block and at most PACKS_AT_ONCE packs, however many queries there are. Each task returns k rows a query, and the
-    ranking cuts to k rows a query again before it shuffles.
+    pack meets every block once, in a group of one block and at most PACKS_AT_ONCE packs, however many queries there are. The blocks go in waves, one block first, then
+    WAVE times as many as before: a query's k-th best score so far is its floor in the next wave, below which no row can be among its answers. Each
+    task returns at most k rows a query, the ranking cuts to k rows a query again before it shuffles, and k rows a query are what a wave writes.
     """
 
     def whole(df: DataFrame) -> DataFrame:
@@ -97,21 +108,33 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
         return rows.select(F.col(id_col).cast("long").alias("id"), x.alias("v"), F.size(vec_col).alias("dims"))
 
     rows, asked = whole(candidates), whole(queries)
-    packed, rows = deal(rows, candidates.count(), asked, asked.count())
+    blocks, packs = max(1, -(-candidates.count() // BLOCK_ROWS)), max(1, -(-asked.count() // QUERY_ROWS))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
 
     def search(key, packs: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(block) and len(packs):
             m, ids = _matrix(block["v"], key[1]), block["id"].to_numpy()
-            for q_ids, vs in zip(packs["ids"], packs["vs"], strict=True):
-                found += search_block(np.asarray(vs).reshape(-1, key[1]), np.asarray(q_ids), m, ids, k)
+            for q_ids, vs, floors in zip(packs["ids"], packs["vs"], packs["floors"], strict=True):
+                found += search_block(np.asarray(vs).reshape(-1, key[1]), np.asarray(q_ids), m, ids, k, np.asarray(floors))
         return pd.DataFrame(found, columns=["query_id", "id", "score"])
 
-    met = packed.groupBy("block", "dims", "some").cogroup(rows.groupBy("block", "dims", "some"))
-    best = met.applyInPandas(search, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    best, first = None, 0
+    while first < blocks:
+        upto = min(blocks, max(1, WAVE * first))
+        if best is None:
+            floored = asked.withColumn("floor", F.lit(NO_FLOOR))
+        else:
+            best = table(best.select("query_id", "id", "score", "rank"), "best")
+            floor = best.filter(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+            floored = asked.join(floor, "id", "left").withColumn("floor", F.coalesce("floor", F.lit(NO_FLOOR)))
+        packed, part = deal(rows, floored, blocks, packs, first, upto - 1)
+        met = packed.groupBy("block", "dims", "some").cogroup(part.groupBy("block", "dims", "some"))
+        found = met.applyInPandas(search, "query_id long, id long, score long")
+        best = found if best is None else best.select("query_id", "id", "score").unionByName(found)
+        best = best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        first = upto
+    return best.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
