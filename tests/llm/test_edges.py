@@ -51,6 +51,29 @@ def test_ties(spark):
     assert [r["license"] for r in licenses.scan(text, same).collect()] == ["a"]
 
 
+@pytest.mark.parametrize("at_once", [1, 7, 65_536])
+def test_numbered_copies(spark, at_once):
+    rows = spark.createDataFrame([(None, 9, "a")] * 40 + [(3, 9, "a")] * 7 + [(3, 9, "b"), (None, None, None)], "doc long, size long, group string")
+    got = sorted(map(str, sharding.numbered_copies(rows, at_once).collect()))
+    want = [(None, 9, "a", k) for k in range(1, 41)] + [(3, 9, "a", k) for k in range(1, 8)] + [(3, 9, "b", 1), (None, None, None, 1)]
+    assert got == sorted(f"Row(doc={d}, size={n}, group={g!r}, copy={k})" for d, n, g, k in want)
+
+
+def test_odd_links(spark):
+    """Links with null, unknown, equal and repeated ends: every row has a place, gapless, and what can be kept together is."""
+    docs = spark.createDataFrame([(k if k < 60 else None, f"text number {k} " * (1 + k % 3)) for k in range(64)] + [(5, "again")], "doc_id long, text string")
+    pairs = [(1, 2), (2, 1), (1, 2), (7, 7), (None, 3), (3, None), (8, 9999), (8888, 9999), (10, 11)]
+    rows = sharding.shard(docs, shards=4, links=spark.createDataFrame(pairs, "a long, b long")).collect()
+    assert sorted(r["doc_id"] if r["doc_id"] is not None else -1 for r in rows) == sorted([*range(60), *[-1] * 4, 5])
+    slots, at = {}, {r["doc_id"]: r["shard"] for r in rows}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(slots) == 4
+    assert at[1] == at[2] and at[10] == at[11]
+    nothing = sharding.shard(docs, shards=4, links=spark.createDataFrame([], "a long, b long"))
+    assert nothing.count() == 65
+
+
 def test_pages(spark):
     body = "<p>" + " ".join(f"w{k}" for k in range(60_000)) + "</p>"
     rows = [(None, None, None), (None, None, None), (1, "http://h/1", ""), (2, "http://h/2", body), (2, "http://h/2", body), (3, "http://h/3", "<article>" + body), (4, "not a url", "<<<>&#0;&#xD800;&bogus;")]

@@ -140,6 +140,19 @@ def level(nodes: DataFrame, shards: int, most_size: float) -> DataFrame:
     return stay.unionByName(placed.select("id", "size", moved.alias("shard"), "free"))
 
 
+def numbered_copies(rows: DataFrame, at_once: int = 65_536) -> DataFrame:
+    """Rows with ``copy``, their number from 1 among the rows that equal them throughout.
+
+    Equal rows are counted, which combines them before the shuffle, and written out again by numbers, ``at_once`` to a task: however
+    many there are, no task or window holds them all.
+    """
+    counts = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(at_once).cast("long")))
+    pieces = counts.withColumn("_from", starts).repartition(*rows.columns, "_from")
+    numbers = F.sequence(F.col("_from") + 1, F.least(F.col("_n"), F.col("_from") + at_once))
+    return pieces.select(*rows.columns, F.explode(numbers).alias("copy"))
+
+
 def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rounds: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, size, text_crc32, law, shard, slot, grown_shard`` of every document; law ``bytes``: the sizes are near equal.
 
@@ -149,8 +162,8 @@ def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rou
     and small ones last, until shards differ by about one small document if free documents suffice. Slots are gapless from 0 in each shard,
     counted by hash buckets. Texts are read once and cross no shuffle.
 
-    A null text counts as empty (crc32 0). Rows that repeat an id are told apart by a number that a deterministic order of
-    their digests gives; a null id is an id of its own. Other columns are not carried; an empty table gives no rows.
+    A null text counts as empty (crc32 0). Rows that repeat an id are told apart by their texts' digests and, where these are equal too, by
+    numbers (:func:`numbered_copies`); a null id is an id of its own. Other columns are not carried; an empty table gives no rows.
     """
     body = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     base = docs.select(
@@ -158,11 +171,9 @@ def shard(docs: DataFrame, shards: int = 24, links: DataFrame | None = None, rou
         F.md5(body).alias("group"),
     )
     base = table(base, "sizes")
-    again = Window.partitionBy("doc", "group").orderBy("size")
     doubled = base.groupBy("doc").count().filter("count > 1 or doc is null").select(F.col("doc").alias("twice"))
     unique = base.join(doubled, F.col("doc").eqNullSafe(F.col("twice")), "left_anti").withColumn("copy", F.lit(0))
-    repeated = base.join(doubled, F.col("doc").eqNullSafe(F.col("twice")), "left_semi")
-    repeated = repeated.withColumn("copy", F.row_number().over(again))
+    repeated = numbered_copies(base.join(doubled, F.col("doc").eqNullSafe(F.col("twice")), "left_semi"))
     name = F.coalesce(F.col("doc").cast("string"), F.lit(""))
     base = unique.unionByName(repeated).withColumn("id", F.when(F.col("copy") > 0, F.concat_ws("/", name, "group", "copy")).otherwise(name))
     total, count = base.agg(F.sum("size"), F.count("*")).first()
