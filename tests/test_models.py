@@ -23,6 +23,18 @@ def test_mixture_recovers_its_parameters(spark):
     assert z[0] > 3 and z[1] > 0.9
 
 
+def test_fit_sums_alike(spark):
+    """The steps over a short list on the driver and those over the cached list end at the same parameters; nulls take no part."""
+    rng = np.random.default_rng(4)
+    f, b = rng.poisson(6, 3000) + 1, rng.poisson(6, 3000) + 1
+    rows = pd.DataFrame({"x": np.log(f / b), "s": 1 / (f + b)})
+    rows.loc[:150, "x"] = np.round(rng.uniform(-2, 3, 151), 1)
+    df = spark.createDataFrame([(float(x), float(s)) for x, s in rows.to_numpy()] + [(None, 0.1), (0.2, None)], "x double, s double")
+    here, there = m.fit_mixture(df), m.fit_mixture(df, histogram=0)
+    assert all(abs(here[k] - there[k]) <= 1e-9 * max(1, abs(there[k])) for k in there) and here.keys() == there.keys()
+    assert m.fit_mixture(df.limit(0)) == m.fit_mixture(df.limit(0), histogram=0)
+
+
 def test_profile_finds_two_peaks():
     bp = np.arange(1, 601)
     cov = 40 * np.exp(-((bp - 150) ** 2) / (2 * 20**2)) + 25 * np.exp(-((bp - 430) ** 2) / (2 * 20**2)) + 1

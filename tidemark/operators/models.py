@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.sequence import chunks
 from .intervals import nearest
 
+#: Distinct rows of a mixture fit up to which its steps sum on the driver.
+HISTOGRAM = 50_000
+
+
 def log_ratios(windows: DataFrame, fg: Column, bg: Column, least: float = 2.0) -> DataFrame:
     """``x`` (log enrichment against the totals) and ``s`` (its sampling variance) of windows with enough counts.
 
@@ -40,17 +44,18 @@ def replicate_ratios(windows: DataFrame, fg: list[str], bg: list[str], least: fl
     return joined.withColumn("x", mean(fg) - mean(bg)).withColumn("s", noise(fg) + noise(bg)).drop(*[f"_p_{c}" for c in (*fg, *bg)])
 
 
-def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100) -> dict[str, float]:
-    """Mixture of a uniform share ``rho`` and a normal ``mu, q + s`` of the rows ``x, s``.
+def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100, histogram: int = HISTOGRAM) -> dict[str, float]:
+    """Mixture of a uniform share ``rho`` and a normal ``mu, q + s`` of the rows ``x, s``; rows with a null in either take no part.
 
-    Equal rows are counted first. The outer search halves the interval of q by the sign of the likelihood's derivative
+    Equal rows are counted first. Both follow from two counts of a window, so there are few pairs, however many windows; up to ``histogram``
+    of them the steps sum over that list on the driver, beyond it each step is one job over the cached list. Both sum the same terms. The outer search halves the interval of q by the sign of the likelihood's derivative
     until its width is ``width`` of its middle; inside, from the mean on, expectation-maximisation steps of rho and mu, each one pass
-    that sums four columns, run until the sum of their relative changes is within ``width``.
+    that sums four terms, run until the sum of their relative changes is within ``width``.
     """
-    rows = df.groupBy("x", "s").agg(F.count("*").alias("n")).cache()
+    rows = df.filter("x is not null and s is not null").groupBy("x", "s").agg(F.count("*").alias("n")).cache()
     try:
-        base = rows.agg(F.sum("n"), F.min("x"), F.max("x"), F.sum(F.col("n") * F.col("x")), F.sum(F.col("n") * F.col("x") ** 2)).first()
-        count, low, high, sx, sxx = (float(v or 0) for v in base)
+        base = rows.agg(F.sum("n"), F.min("x"), F.max("x"), F.sum(F.col("n") * F.col("x")), F.sum(F.col("n") * F.col("x") ** 2), F.count("*")).first()
+        count, low, high, sx, sxx, pairs = (float(v or 0) for v in base)
         if not count or high <= low:
             return {"rho": 0.0, "mu": sx / count if count else 0.0, "q": 0.001, "range": 1.0}
         span, mean, rho = high - low, sx / count, 0.005
@@ -64,6 +69,15 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100) -> di
             got = rows.agg(F.sum(F.col("n") - same), F.sum(same * F.col("x") / v), F.sum(same / v), F.sum(same * (off / v**2 - 1 / v))).first()
             return [float(g or 0) for g in got]
 
+        if pairs <= histogram:
+            x, s, n = (c.to_numpy("f8") for _, c in rows.select("x", "s", "n").orderBy("x", "s").toPandas().items())
+
+            def step(q: float, mu: float, rho: float) -> list[float]:
+                v, off = s + q, (x - mu) ** 2
+                normal = (1 - rho) * np.exp(-off / (2 * v)) / np.sqrt(2 * math.pi * v)
+                same = n * normal / (rho / span + normal)
+                return [float(t.sum()) for t in (n - same, same * x / v, same / v, same * (off / v**2 - 1 / v))]
+
         while 2 * (hi - lo) / (hi + lo) > width:
             q, mu, slope = (lo + hi) / 2, mean, 0.0
             if not 1e-6 < rho < 1:
