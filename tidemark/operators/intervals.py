@@ -22,8 +22,10 @@ from ..sources import scratch
 BIN = 1000
 #: What listing a row under a bin costs, in tested pairs.
 LISTING = 16
-#: Positions that one task sweeps in order.
+#: Positions that one task sweeps in order, unless the caller says otherwise.
 TILE = 10_000
+#: Rows that a tile of a measured width should hold at most.
+TILE_ROWS = 200_000
 
 
 def _binned(df: DataFrame, start: Column, end: Column, width: int, name: str) -> DataFrame:
@@ -65,6 +67,17 @@ def overlaps(left: DataFrame, right: DataFrame, key: str = "chrom", width: int =
     return a.join(b, on & once & (shared >= least)).drop("_bin", "_r_bin")
 
 
+def tile_width(df: DataFrame, keys: list[str], at: str = "start", rows: int = TILE_ROWS) -> int:
+    """Positions in a tile such that the fullest one holds about ``rows`` rows, TILE at most.
+
+    Rows are counted by keys and TILE positions of ``at``, combined before the shuffle; the fullest count gives the width, if the rows lie evenly in it. So tiles narrow
+    as the rows grow, also where one sequence, or one stretch of it, holds most of them. Rows at one position can't be parted by it.
+    """
+    counts = df.groupBy(*keys, F.floor(F.col(at) / TILE).alias("_tile")).agg(F.count("*").alias("n"))
+    most = counts.agg(F.max("n").alias("n")).first()["n"] or 0
+    return TILE if most <= rows else max(1, TILE * rows // most)
+
+
 def _tiled(df: DataFrame, keys: list[str], at: str, tile: int, state: dict[str, Column], back: tuple[str, ...] = ()) -> DataFrame:
     """Rows with ``_tile`` (``at`` by ``tile`` positions) and each ``state`` of all tiles before (behind, for those in ``back``) within ``keys``.
 
@@ -199,9 +212,9 @@ def gaps(df: DataFrame, key: str = "chrom", tile: int = TILE) -> DataFrame:
     return opened.select(key, F.col("_before").alias("start"), F.col("start").alias("end")).distinct()
 
 
-def subtract(left: DataFrame, right: DataFrame, id_col: str, key: str = "chrom", width: int = BIN) -> DataFrame:
+def subtract(left: DataFrame, right: DataFrame, id_col: str, key: str = "chrom", width: int = BIN, tile: int = TILE) -> DataFrame:
     """What is left of each left interval without the union of the right ones: none, one or several rows."""
-    holes = overlaps(left.select(id_col, key, "start", "end"), merged(right, [key]).select(key, "start", "end"), key, width)
+    holes = overlaps(left.select(id_col, key, "start", "end"), merged(right, [key], tile=tile).select(key, "start", "end"), key, width)
     holes = holes.select(id_col, F.col("start").alias("s0"), F.col("end").alias("e0"), F.greatest("start", "r_start").alias("hs"), F.least("end", "r_end").alias("he"))
     order = Window.partitionBy(id_col, "s0", "e0").orderBy("hs")
     first = holes.withColumn("after", F.coalesce(F.lead("hs").over(order), F.col("e0"))).withColumn("n", F.row_number().over(order))

@@ -113,7 +113,8 @@ _FEW = ", few AS (SELECT * FROM regions WHERE score > 45)"
   SELECT region_id, start, "end" FROM parts UNION ALL SELECT region_id, start, "end" FROM regions WHERE score <= 45 AND region_id NOT IN (SELECT region_id FROM hit)"""),
 )
 def joi3(spark, sf):
-    return iv.subtract(v.regions(spark, sf).filter("score <= 45"), _few(spark, sf), "region_id")
+    few = _few(spark, sf)
+    return iv.subtract(v.regions(spark, sf).filter("score <= 45"), few, "region_id", tile=iv.tile_width(few, ["chrom"]))
 
 
 @query(
@@ -125,7 +126,8 @@ def joi4(spark, sf):
     """Reads whose 5' end lies in no repeat: the union of the repeats is binned, so a read meets at most a few intervals."""
     five = v.reads(spark, sf).select("event_id", "chrom", F.when(F.col("strand") == "+", F.col("start")).otherwise(F.col("end") - 1).alias("pos"))
     points = five.select("event_id", "chrom", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"))
-    within = iv.overlaps(points, iv.merged(_few(spark, sf), ["chrom"]).select("chrom", "start", "end")).select("event_id")
+    few = _few(spark, sf)
+    within = iv.overlaps(points, iv.merged(few, ["chrom"], tile=iv.tile_width(few, ["chrom"])).select("chrom", "start", "end")).select("event_id")
     return five.join(within, "event_id", "left_anti")
 
 
@@ -166,7 +168,7 @@ def joi5(spark, sf):
 def joi6(spark, sf):
     windows = v.reads(spark, sf).filter("weight > 1.5").selectExpr("chrom", "start div 250 * 250 + 125 as middle").distinct()
     peaks = v.regions(spark, sf).selectExpr("region_id", "chrom", "(start + end) div 2 as middle")
-    return iv.nearest(peaks, windows.withColumn("win", F.col("middle").cast("string")), "region_id", "win")
+    return iv.nearest(peaks, windows.withColumn("win", F.col("middle").cast("string")), "region_id", "win", tile=iv.tile_width(peaks, ["chrom"], "middle"))
 
 
 @query(
@@ -182,7 +184,8 @@ def joi7(spark, sf):
     """Peaks (the + regions) with the next three genes (the - regions) on either side, null where there are fewer."""
     a = v.regions(spark, sf).filter("strand = '+'").selectExpr("region_id", "chrom", "(start + end) div 2 as middle")
     b = v.regions(spark, sf).filter("strand = '-'").selectExpr("region_id as gene", "chrom", "(start + end) div 2 as middle")
-    return iv.nearest_sides(a, b, 3)
+    every = v.regions(spark, sf).selectExpr("chrom", "(start + end) div 2 as middle")
+    return iv.nearest_sides(a, b, 3, tile=iv.tile_width(every, ["chrom"], "middle"))
 
 
 @query(
@@ -321,7 +324,8 @@ def agg6(spark, sf):
   SELECT chrom, start, "end", score, n, 'reg' || (1000000 + row_number() OVER (ORDER BY score DESC, chrom, start) - 1) AS merged_id FROM m ORDER BY score DESC, chrom, start LIMIT 1000"""),
 )
 def agg12(spark, sf):
-    return top_regions(iv.merged(_few(spark, sf), ["chrom"], score=F.max("score")), 1000)
+    few = _few(spark, sf)
+    return top_regions(iv.merged(few, ["chrom"], tile=iv.tile_width(few, ["chrom"]), score=F.max("score")), 1000)
 
 
 def top_regions(runs, k: int):
@@ -336,7 +340,8 @@ def top_regions(runs, k: int):
     v.sql("regions scattered", _ISLANDS.format(t="scattered", slack=2) + """ SELECT chrom, min(start) AS start, max("end") AS "end", count(*) AS n FROM i GROUP BY chrom, island"""),
 )
 def agg13(spark, sf):
-    return iv.merged(v.scattered(spark, sf), ["chrom"], slack=2)
+    rows = v.scattered(spark, sf)
+    return iv.merged(rows, ["chrom"], slack=2, tile=iv.tile_width(rows, ["chrom"]))
 
 
 def _fold(view: str, joins: str) -> str:
@@ -361,13 +366,15 @@ def contains(start: int, end: int, low: int, high: int) -> bool:
 @query("agg13_cluster_members", _fold("scattered", 'r.start <= f.e + 2 AND f.s <= r."end" + 2'))
 def agg13_members(spark, sf):
     """A row for each region with its cluster, by a caller's predicate on the span so far: here overlap with two positions of slack."""
-    return iv.clusters(v.scattered(spark, sf), ["chrom"], "region_id", apart_by(2))
+    rows = v.scattered(spark, sf)
+    return iv.clusters(rows, ["chrom"], "region_id", apart_by(2), tile=iv.tile_width(rows, ["chrom"]))
 
 
 @query("agg13_contained_clusters", _fold("regions", '(f.s <= r.start AND r."end" <= f.e OR r.start <= f.s AND f.e <= r."end")'))
 def agg13_contained(spark, sf):
     """The same with containment, either way, instead of overlap, on the busy sequences."""
-    return iv.clusters(v.regions(spark, sf), ["chrom"], "region_id", contains)
+    rows = v.regions(spark, sf)
+    return iv.clusters(rows, ["chrom"], "region_id", contains, tile=iv.tile_width(rows, ["chrom"]))
 
 
 @query(
@@ -376,7 +383,8 @@ def agg13_contained(spark, sf):
   g AS (SELECT chrom, lag(e) OVER (PARTITION BY chrom ORDER BY s) AS start, s AS "end" FROM m) SELECT * FROM g WHERE start < "end" """),
 )
 def agg14(spark, sf):
-    return iv.gaps(v.scattered(spark, sf))
+    rows = v.scattered(spark, sf)
+    return iv.gaps(rows, tile=iv.tile_width(rows, ["chrom"]))
 
 
 @query(
