@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +14,35 @@ from pyspark.sql import functions as F
 from ..functions import sequence as sq
 
 
+#: Paths that the innermost :func:`tidying` block has made.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def noted(path: str) -> str:
+    """``path``, to be deleted at the end of the :func:`tidying` block around, if there is one."""
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def tidying(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what operators wrote on the way inside it.
+
+    Results are lazy and read those tables: write, collect or count them inside the block. What another thread or a block inside makes stays theirs.
+    """
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get() or []
+        _made.reset(token)
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share: spark.checkpoint.dir. Only in local mode may it be unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -19,7 +51,7 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(folder)
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return noted(f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
