@@ -35,6 +35,16 @@ def test_fit_sums_alike(spark):
     assert m.fit_mixture(df.limit(0)) == m.fit_mixture(df.limit(0), histogram=0)
 
 
+def test_no_uniform_share(spark):
+    """Without a uniform share nothing is enriched, however far off; rows of one normal give the same fit on both paths."""
+    far = spark.createDataFrame([(0.0, 0.01), (900.0, 0.01)], "x double, s double")
+    assert [r["post"] for r in m.z_scores(far, {"rho": 0.0, "mu": 0.0, "q": 0.01, "range": 900.0}).collect()] == [0.0, 0.0]
+    x = np.round(np.random.default_rng(8).normal(0, 0.1, 500), 2)
+    df = spark.createDataFrame([(float(v), 0.0001) for v in x], "x double, s double")
+    here, there = m.fit_mixture(df), m.fit_mixture(df, histogram=0)
+    assert all(abs(here[k] - there[k]) <= 1e-9 for k in there)
+
+
 def test_profile_finds_two_peaks():
     bp = np.arange(1, 601)
     cov = 40 * np.exp(-((bp - 150) ** 2) / (2 * 20**2)) + 25 * np.exp(-((bp - 430) ** 2) / (2 * 20**2)) + 1

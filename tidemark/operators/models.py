@@ -65,7 +65,7 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100, histo
         def step(q: float, mu: float, rho: float) -> list[float]:
             v, off = F.col("s") + q, (F.col("x") - mu) ** 2
             normal = (1 - rho) * F.exp(-off / (2 * v)) / F.sqrt(2 * math.pi * v)
-            same = F.col("n") * normal / (rho / span + normal)
+            same = F.col("n") * normal / (rho / span + normal) if rho else F.col("n")
             got = rows.agg(F.sum(F.col("n") - same), F.sum(same * F.col("x") / v), F.sum(same / v), F.sum(same * (off / v**2 - 1 / v))).first()
             return [float(g or 0) for g in got]
 
@@ -75,7 +75,7 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100, histo
             def step(q: float, mu: float, rho: float) -> list[float]:
                 v, off = s + q, (x - mu) ** 2
                 normal = (1 - rho) * np.exp(-off / (2 * v)) / np.sqrt(2 * math.pi * v)
-                same = n * normal / (rho / span + normal)
+                same = n * normal / (rho / span + normal) if rho else n
                 return [float(t.sum()) for t in (n - same, same * x / v, same / v, same * (off / v**2 - 1 / v))]
 
         while 2 * (hi - lo) / (hi + lo) > width:
@@ -98,11 +98,11 @@ def fit_mixture(df: DataFrame, width: float = 0.01, most_steps: int = 100, histo
 
 
 def z_scores(df: DataFrame, fit: dict[str, float]) -> DataFrame:
-    """``z`` and ``post`` (of enrichment) by the fitted mixture."""
+    """``z`` and ``post`` (of enrichment) by the fitted mixture; without a uniform share ``post`` is 0 everywhere, also where the normal vanishes."""
     v = F.col("s") + fit["q"]
     normal = (1 - fit["rho"]) * F.exp(-((F.col("x") - fit["mu"]) ** 2) / (2 * v)) / F.sqrt(2 * math.pi * v)
     other = fit["rho"] / fit["range"]
-    return df.withColumn("z", (F.col("x") - fit["mu"]) / F.sqrt(v)).withColumn("post", F.lit(other) / (other + normal))
+    return df.withColumn("z", (F.col("x") - fit["mu"]) / F.sqrt(v)).withColumn("post", F.lit(other) / (other + normal) if other else F.lit(0.0))
 
 
 def peak_z(peaks: DataFrame, windows: DataFrame, fg: list[str], bg: list[str], fragment: float, width: float, sigma: float, mu: float) -> DataFrame:
