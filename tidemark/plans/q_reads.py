@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -302,29 +304,61 @@ def aligned_reads(spark, sf):
     return v.fastq(spark, sf).select("read_id", (k % 3).alias("sample"), (1 + k % 5).alias("n"), (k % 7).alias("k"), F.col("seq").alias("q"))
 
 
-def _cycles(reads):
-    """A row for each hit's cycle: its weight n/hits, whether it differs from the target, and the differences up to there (a fold within the hit)."""
+def _hits(reads):
+    """``sample, n, k, q, t``: a row for each hit of :func:`aligned_reads`, with its target."""
     hits = reads.filter("k between 1 and 5").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
     q, kind = F.col("q"), (F.col("read_id") + F.col("j")) % 4
     target = F.when(kind == 0, F.concat(F.substring(q, 1, 7), F.lit("A"), F.expr("substr(q, 9)"))).when(kind == 1, F.replace(q, F.lit("N"), F.lit("C")))
     target = target.when(kind == 2, F.concat(F.substring(q, 1, 2), F.translate(F.substring(q, 3, 9), "AC", "CA"), F.expr("substr(q, 12)"))).otherwise(q)
-    bad = F.zip_with(sq.letters(q), sq.letters(F.substring(target, 1, v.READ)), lambda a, b: (a != b).cast("int"))
-    rows = hits.select("sample", (F.col("n").cast("double") / F.col("k")).alias("w"), F.slice(bad, F.lit(1), F.length(q)).alias("bad"))
-    start = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<bad:int,errors:int>>").alias("out"))
+    return hits.select("sample", "n", "k", "q", target.alias("t"))
 
-    def step(acc, x):
-        x = F.coalesce(x, F.lit(1))  # a target that ends before the read differs there
-        n = acc["n"] + x
-        return F.struct(n.alias("n"), F.concat(acc["out"], F.array(F.struct(x.alias("bad"), n.alias("errors")))).alias("out"))
 
-    done = rows.select("sample", "w", F.aggregate("bad", start, step, lambda acc: acc["out"]).alias("x"))
-    return done.select("sample", "w", F.posexplode("x").alias("p", "x")).select("sample", "w", (F.col("p") + 1).cast("long").alias("cycle"), "x.bad", "x.errors")
+#: Places of a batch's table of sums up to which it is summed whole.
+DENSE = 4_000_000
+
+
+def cycles(hits):
+    """``sample, cycle, bad, errors, w``: the weight (n/hits) of all hits (``sample, n, k, q, t``) of a sample that differ (``bad``) at a cycle or not and have had so many differences up to there.
+
+    A target that ends before the read differs there. Each batch of hits is one table of letters, whose rows' differences are summed along the cycles, and returns only its own sums: a row a sample,
+    cycle and number, not one a letter. Sums of n go by k, whole numbers, so they are the same however the batches fall.
+    """
+
+    def run(batches):
+        for hits in batches:
+            if not len(hits):
+                continue
+            q, t = (hits[c].to_numpy("U") for c in "qt")
+            size = np.char.str_len(q)
+            wide = max(1, int(size.max()))
+            letters = lambda x: np.ascontiguousarray(x.astype(f"U{wide}")).view("u4").reshape(len(x), wide)
+            bad = (letters(q) != letters(t)).astype("i4")
+            there = np.arange(wide) < size[:, None]
+            kinds, kind = np.unique(hits[["sample", "k"]].to_numpy("i8"), axis=0, return_inverse=True)
+            at = (((kind.reshape(-1, 1) * wide + np.arange(wide)) * 2 + bad) * (wide + 1) + bad.cumsum(1))[there]
+            n = np.broadcast_to(hits["n"].to_numpy("f8")[:, None], there.shape)[there]
+            if len(kinds) * wide * 2 * (wide + 1) <= DENSE:
+                sums = np.bincount(at, n)
+                found = np.flatnonzero(sums)
+                sums = sums[found]
+            else:  # long reads: only the places met
+                found, place = np.unique(at, return_inverse=True)
+                sums = np.bincount(place, n)
+            rest, errors = np.divmod(found, wide + 1)
+            rest, differs = np.divmod(rest, 2)
+            kind, cycle = np.divmod(rest, wide)
+            sample, k = kinds[kind].T
+            yield pd.DataFrame({"sample": sample, "cycle": cycle + 1, "bad": differs, "errors": errors, "k": k, "n": sums.astype("i8")})
+
+    counts = hits.filter("q is not null").mapInPandas(run, "sample long, cycle long, bad int, errors int, k long, n long")
+    whole = counts.groupBy("sample", "cycle", "bad", "errors", "k").agg(F.sum("n").alias("n"))
+    return whole.groupBy("sample", "cycle", "bad", "errors").agg(F.sum(F.col("n").cast("double") / F.col("k")).alias("w"))
 
 
 @query("agg17_error_profile", v.sql("fastq", _ALIGNED + " SELECT sample, cycle, round(sum(w), 6) AS total, round(100.0 * sum(w * bad) / sum(w), 6) AS percent FROM c GROUP BY ALL"))
 def agg17(spark, sf):
     """Share of differing letters by sample and cycle, hits weighted by their read's count over its hits."""
-    out = _cycles(aligned_reads(spark, sf)).groupBy("sample", "cycle").agg(F.sum("w").alias("t"), F.sum(F.col("w") * F.col("bad")).alias("b"))
+    out = cycles(_hits(aligned_reads(spark, sf))).groupBy("sample", "cycle").agg(F.sum("w").alias("t"), F.sum(F.col("w") * F.col("bad")).alias("b"))
     return out.select("sample", "cycle", F.round("t", 6).alias("total"), F.round(100.0 * F.col("b") / F.col("t"), 6).alias("percent"))
 
 
@@ -339,7 +373,7 @@ def agg17_aligned(spark, sf):
     reads = aligned_reads(spark, sf)
     n = lambda k: F.coalesce(F.sum(F.when(F.col("k") == k, F.col("n"))), F.lit(0)).cast("double")
     totals = reads.groupBy("sample").agg(F.sum("n").alias("total"), n(6).alias("many"), n(0).alias("none"))
-    known = _cycles(reads).groupBy("sample", "cycle", F.col("errors").cast("string").alias("errors")).agg(F.sum("w").alias("w"))
+    known = cycles(_hits(reads)).groupBy("sample", "cycle", F.col("errors").cast("string").alias("errors")).agg(F.sum("w").alias("w"))
     rest = totals.select("sample", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(v.READ).cast("long"))).alias("cycle"), F.explode(F.expr("map('ambiguous', many, 'unmapped', none)")).alias("errors", "w"))
     every = known.unionByName(rest).join(totals.select("sample", "total"), "sample")
     return every.select("sample", "cycle", "errors", F.round(100.0 * F.col("w") / F.col("total"), 9).alias("percent"))
