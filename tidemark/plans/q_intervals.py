@@ -270,15 +270,9 @@ _PILE = """, pairs AS (SELECT g.region_id, g.start AS gs, g."end" AS ge, r.start
   pile AS (SELECT region_id, replicate, unnest(range(greatest(rs, gs), least(re, ge))) AS p, weight FROM pairs)"""
 
 
-def _pairs(spark, sf):
-    found = read_regions(spark, sf)
-    return found.select(F.col("r_region_id").alias("region_id"), F.col("r_start").alias("gs"), F.col("r_end").alias("ge"), F.col("start").alias("rs"), F.col("end").alias("re"), "weight", "replicate")
-
-
-def profiles(cov):
-    """``region_id, cov``: a region's coverage in ten-thousandths from its first position to its last, an array as long as the region."""
-    listed = cov.groupBy("region_id").agg(F.array_sort(F.collect_list(F.struct("bp", F.round(F.col("cov") * 10_000).cast("long").alias("cov")))).alias("c"))
-    return listed.select("region_id", F.col("c.cov").alias("cov"))
+def profiles(found, over=None):
+    """``region_id, cov``: a region's coverage (over a column's value, if any) in ten-thousandths from its first position to its last, an array as long as the region."""
+    return found.select("region_id", F.transform("cov", lambda x: F.round((x if over is None else x / F.col(over)) * 10_000).cast("long")).alias("cov"))
 
 
 @query(
@@ -288,7 +282,7 @@ def profiles(cov):
 )
 def agg4(spark, sf):
     """Coverage of every position of every region that has reads, zeros included."""
-    return profiles(iv.coverage(_pairs(spark, sf), "region_id", "gs", "ge", "rs", "re", "weight"))
+    return profiles(iv.coverage(v.reads(spark, sf), v.regions(spark, sf), "region_id", "weight"))
 
 
 @query(
@@ -298,11 +292,8 @@ def agg4(spark, sf):
   SELECT region_id, list(CAST(round(cov * 10000) AS BIGINT) ORDER BY p) AS cov FROM o GROUP BY 1"""),
 )
 def agg5(spark, sf):
-    """Mean over the replicates that have the region: each adds its coverage over their number, so all replicates are one pass."""
-    pairs = _pairs(spark, sf)
-    n = pairs.groupBy("region_id").agg(F.count_distinct("replicate").alias("n"))
-    shared = pairs.join(n, "region_id").withColumn("weight", F.col("weight") / F.col("n"))
-    return profiles(iv.coverage(shared, "region_id", "gs", "ge", "rs", "re", "weight"))
+    """Mean over the replicates that have the region: their coverage together, over their number."""
+    return profiles(iv.coverage(v.reads(spark, sf), v.regions(spark, sf), "region_id", "weight", group="replicate"), "groups")
 
 
 @query(

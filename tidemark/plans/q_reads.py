@@ -219,12 +219,11 @@ def _by_strand(stranded: bool) -> str:
 
 def region_counts(reads, regions, stranded: bool):
     """Weights of the reads of each role over each region, regions without any as zeros."""
-    from ..operators.intervals import overlaps
+    from ..operators.intervals import region_sums
 
-    found = overlaps(reads.select("chrom", "start", "end", "strand", "role", "weight"), regions.select("region_id", "chrom", "start", "end", "strand"), stranded=stranded)
-    wide = found.groupBy(F.col("r_region_id").alias("region_id")).pivot("role", ["fg", "bg"]).agg(F.sum("weight"))
-    every = regions.select("region_id").join(wide, "region_id", "left")
-    return every.select("region_id", *[F.round(F.coalesce(s, F.lit(0.0)), 6).alias(s) for s in ("fg", "bg")])
+    of = {role: F.when(F.col("role") == role, F.col("weight")).otherwise(0.0) for role in ("fg", "bg")}
+    sums = region_sums(reads, regions, "region_id", ["chrom", "strand"] if stranded else ["chrom"], of)
+    return sums.select("region_id", *[F.round(s, 6).alias(s) for s in of])
 
 
 @query("agg8_region_sample_counts", _by_strand(True))
