@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import changes, tag_code
+from .sequence import changes, outermost, pieces, tag_code
 
 
 @dataclass
@@ -27,10 +27,12 @@ class Chain:
     indels: bool = True
     full: dict = field(init=False)
     part: dict = field(init=False)
+    held: dict = field(init=False)
 
     def __post_init__(self):
         sides = {5: self.five, 3: self.three}
         self.full = {side: changes(a, self.most, self.indels, side == 5, "") if a else {} for side, a in sides.items()}
+        self.held = {side: pieces(self.full[side], a) for side, a in sides.items()}
         self.part = {side: {k: self._part(side, a, k) for k in range(len(a) - 1, self.one - 1, -1)} for side, a in sides.items()}
 
     def _part(self, side: int, adaptor: str, k: int) -> dict[str, int]:
@@ -42,13 +44,7 @@ class Chain:
         n, known = len(self.five if side == 5 else self.three), self.full[side]
         if not n:
             return None
-        places = range(len(seq) - n + 2)
-        for i in reversed(places) if side == 5 else places:
-            for k in (n - 1, n, n + 1):
-                found = known.get(seq[i : i + k])
-                if found is not None:
-                    return i, len(seq[i : i + k]), found
-        return None
+        return outermost(seq, known, self.held[side], n, side == 5)
 
     def _end(self, seq: str, side: int) -> tuple[int, str, int] | None:
         """Length, kind and changes of the part at the tag's end."""
@@ -89,13 +85,15 @@ def trim_chain(seq: Column, chain: Chain) -> Column:
     """The chain's result on each tag, as a struct; dictionaries of the adaptors' variants make a step one lookup a place and length."""
     schema = f"trimmed string, {_SIDE.format(s='five')}, {_SIDE.format(s='three')}"
     names = [c.split()[0] for c in schema.split(", ")]
+    whole = {c for c in names if c.endswith(("from", "to", "changes"))}
 
     @F.pandas_udf(schema)
     def run(tags: pd.Series) -> pd.DataFrame:
         rows = [chain(t) if t is not None else (None,) * 9 for t in tags]
-        return pd.DataFrame(rows, columns=names, dtype=object).astype({c: "Int32" for c in names if c.endswith(("from", "to", "changes"))})
+        columns = zip(*rows, strict=True) if rows else [()] * len(names)
+        return pd.DataFrame({c: pd.array(x, dtype="Int32") if c in whole else pd.Series(x, dtype=object) for c, x in zip(names, columns, strict=True)})
 
-    return run(seq)
+    return run.asNondeterministic()(seq)  # in name only: so the steps above it don't work it out again
 
 
 def trimmed_tags(tags: DataFrame, chain: Chain, least_five: int = 0, least_three: int = 0) -> DataFrame:
