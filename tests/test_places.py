@@ -85,3 +85,23 @@ def test_regions_of_one_place_have_one_fit(spark, monkeypatch):
     assert places and len(met) == 2 * places  # not every region has reads
     of = lambda name: rows[rows["region_id"] == name].drop(columns="region_id").to_numpy()
     assert all(np.array_equal(of(name), of("copy" + name)) for name in met if not name.startswith("copy"))
+
+
+def test_lines_are_numbered_where_they_are_read(spark, tmp_path):
+    """Lines of files read in many blocks, several in a task, have their numbers; nothing but the blocks' table is exchanged."""
+    want = {}
+    for k in range(3):
+        want[k] = [f"{k}-{i}" + "x" * (i * 7 % 90) for i in range(400 + k)]
+        (tmp_path / f"f{k}").write_text("\n".join(want[k]) + "\n")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "10b")
+        lines = sources.numbered_lines(spark, str(tmp_path))
+        assert {(r["file"], r["line"], r["value"]) for r in lines.collect()} == {(k, i, x) for k, rows in want.items() for i, x in enumerate(rows)}
+        assert lines.count() == sum(map(len, want.values()))
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        for c, x in old.items():
+            spark.conf.set(c, x)
