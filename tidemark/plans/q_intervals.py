@@ -271,8 +271,12 @@ _PILE = """, pairs AS (SELECT g.region_id, g.start AS gs, g."end" AS ge, r.start
 
 
 def profiles(found, over=None):
-    """``region_id, cov``: a region's coverage (over a column's value, if any) in ten-thousandths from its first position to its last, an array as long as the region."""
-    return found.select("region_id", F.transform("cov", lambda x: F.round((x if over is None else x / F.col(over)) * 10_000).cast("long")).alias("cov"))
+    """``region_id, cov``: a region's coverage (over a column's value, if any) in ten-thousandths from its first position to its last, an array as long as the region, worked out once a place."""
+    whole = lambda x: F.round(x * 10_000).cast("long")
+    # A column named in the function of a position would be worked out again at each position, as Catalyst puts its expression there; a list of it is made once a row.
+    cov = F.transform("cov", whole) if over is None else F.zip_with("cov", F.array_repeat(over, F.size("cov")), lambda x, n: whole(x / n))
+    each = found.select("ids", cov.alias("cov"))
+    return each.select(F.explode("ids").alias("region_id"), "cov")
 
 
 @query(
@@ -282,7 +286,7 @@ def profiles(found, over=None):
 )
 def agg4(spark, sf):
     """Coverage of every position of every region that has reads, zeros included."""
-    return profiles(iv.coverage(v.reads(spark, sf), v.regions(spark, sf), "region_id", "weight"))
+    return profiles(iv.place_coverage(v.reads(spark, sf), v.regions(spark, sf), "region_id", "weight"))
 
 
 @query(
@@ -293,7 +297,7 @@ def agg4(spark, sf):
 )
 def agg5(spark, sf):
     """Mean over the replicates that have the region: their coverage together, over their number."""
-    return profiles(iv.coverage(v.reads(spark, sf), v.regions(spark, sf), "region_id", "weight", group="replicate"), "groups")
+    return profiles(iv.place_coverage(v.reads(spark, sf), v.regions(spark, sf), "region_id", "weight", group="replicate"), "groups")
 
 
 @query(
